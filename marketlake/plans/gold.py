@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.columns import change, relative_change
 from marketlake.operators.ordering import MAX_GROUP_ROWS
+from marketlake.operators.rolling import HELPERS, fixed_point, frame_mean, returns, running_totals, totals_before
 from marketlake.operators.series import over_series
 
 
@@ -22,31 +23,35 @@ def stock_facts(
     """Daily return, 30-row sample volatility and 90-row average close per ticker.
 
     ``prices`` is unique on (``key``, ``time``). Previous close, volatility and average share one
-    shuffle and one sort.
+    shuffle and one sort. Returns and averages of fixed-point closes (the silver type) are exact and
+    rounded to six places; other types are computed in doubles.
     """
     base = prices.select(
         *([F.col(id_col).alias("UUID")] if id_col else []),
-        F.concat(F.lit("STK_"), F.col(key)).alias("stock_id"),
         F.col(key).alias("ticker"),
         F.col(time).alias("trade_date"),
         *[F.col(c).alias(f"{c}_price") for c in ("open", "high", "low", "close")],
         F.col("volume").alias("stock_volume"),
     )
 
-    def metrics(df, w):
-        close, before = F.col("close_price"), F.col("prev_close_price")
-        return (
-            df.withColumn("prev_close_price", F.lag("close_price").over(w))
-            .withColumn("daily_return", relative_change(close, before).cast("double"))
-            .withColumns(
-                {
-                    "volatility_days_30": F.stddev_samp("daily_return").over(w.rowsBetween(1 - vol_rows, 0)),
-                    "stock_90_day_average": F.avg("close_price").over(w.rowsBetween(1 - avg_rows, 0)),
-                }
-            )
-        )
+    dtype = base.schema["close_price"].dataType
+    close, before = F.col("close_price"), F.col("prev_close_price")
 
-    return over_series(base, ["ticker"], "trade_date", max(vol_rows, avg_rows - 1), metrics, max_group_rows)
+    def metrics(df, w):
+        # Two window passes: the second one needs the results of the first.
+        prev = {"prev_close_price": F.lag(close).over(w)}
+        volatility = {"volatility_days_30": F.stddev_samp("daily_return").over(w.rowsBetween(1 - vol_rows, 0))}
+        if not fixed_point(dtype):
+            mean = F.avg(close).over(w.rowsBetween(1 - avg_rows, 0)).cast("double")
+            df = df.withColumns(prev).withColumn("daily_return", relative_change(close, before).cast("double"))
+            return df.withColumns(volatility | {"stock_90_day_average": mean})
+        df = df.withColumns(prev | running_totals("close_price", dtype.scale, w))
+        df = df.withColumn("daily_return", returns(close, before, dtype.scale))
+        df = df.withColumns(volatility | totals_before(avg_rows, w))
+        return df.withColumn("stock_90_day_average", frame_mean(dtype.scale)).drop(*HELPERS)
+
+    facts = over_series(base, ["ticker"], "trade_date", max(vol_rows, avg_rows), metrics, max_group_rows)
+    return facts.withColumn("stock_id", F.concat(F.lit("STK_"), F.col("ticker")))
 
 
 def macro_facts(

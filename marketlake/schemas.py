@@ -7,26 +7,36 @@ from pyspark.sql import types as T
 from marketlake.operators.contract import ColumnRule, Contract
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _schema(**columns: str) -> T.StructType:
+    schema = T.StructType()
+    for name, kind in columns.items():
+        schema = schema.add(name, kind)
+    return schema
 
 
 # Column names of the landing files, in file order.
 OHLCV_DAILY = _schema(
-    "Date DATE, CLOSE DOUBLE, HIGH DOUBLE, LOW DOUBLE, OPEN DOUBLE, VOLUME DOUBLE, COMPANY_TICKER STRING"
+    Date="date", CLOSE="double", HIGH="double", LOW="double", OPEN="double", VOLUME="double", COMPANY_TICKER="string"
 )
 OHLCV_HISTORIC = _schema(
-    "Date DATE, `ADJ CLOSE` DOUBLE, CLOSE DOUBLE, HIGH DOUBLE, LOW DOUBLE, OPEN DOUBLE, VOLUME DOUBLE,"
-    " COMPANY_TICKER STRING"
+    **{"Date": "date", "ADJ CLOSE": "double", "CLOSE": "double", "HIGH": "double", "LOW": "double", "OPEN": "double"},
+    VOLUME="double",
+    COMPANY_TICKER="string",
 )
 COMPANY = _schema(
-    "companyName STRING, symbol STRING, price DOUBLE, marketCap DOUBLE, sector STRING, industry STRING"
+    companyName="string", symbol="string", price="double", marketCap="double", sector="string", industry="string"
 )
-FX_HISTORIC = _schema("Date DATE, INR_amount DOUBLE, USD_rate DOUBLE")
-FX_DAILY = _schema("date DATE, inr_rate DOUBLE, USD_rate DOUBLE")
+FX_HISTORIC = _schema(Date="date", INR_amount="double", USD_rate="double")
+FX_DAILY = _schema(date="date", inr_rate="double", USD_rate="double")
 MACRO = _schema(
-    "ISO3 STRING, countryname STRING, id STRING, year INT, NOMINAL_GDP DOUBLE, REAL_GDP DOUBLE,"
-    " INFLATION DOUBLE, UNEMPLOYMENT DOUBLE"
+    ISO3="string",
+    countryname="string",
+    id="string",
+    year="integer",
+    NOMINAL_GDP="double",
+    REAL_GDP="double",
+    INFLATION="double",
+    UNEMPLOYMENT="double",
 )
 
 # Landing column -> table column.
