@@ -203,7 +203,9 @@ class Suite:
         found = df.filter(any_hit).select(F.explode(hits).alias("h")).filter("h is not null").select("h.*")
         spec = Window.partitionBy("position", "rule").orderBy("value")
         ranked = found.withColumn("sample", F.row_number().over(spec)).filter(F.col("sample") <= limit)
-        return ranked.select(F.lit(self.name).alias("suite"), *ranked.columns)
+        return ranked.select(
+            F.lit(self.name).alias("suite"), *found.columns, F.col("sample").cast("long").alias("sample")
+        )
 
     def clean(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Rows that break no rule, and rows that break any, with the rules they break."""

@@ -14,9 +14,6 @@ from marketlake.functions.columns import path_file_ts, path_run_day, path_ticker
 from marketlake.operators.fill import MAX_BROADCAST_GROUPS
 from marketlake.operators.ordering import group_sizes
 
-FILE_COLUMNS = ("file_path", "file_mtime", "run_day", "file_ts")
-
-
 def landing_glob(root: str, run_day: dt.date | None = None, by_ticker: bool = False) -> str:
     """Glob of one run day (or of all), so other days are never listed into the scan."""
     day = run_day.strftime("%Y/%b/%d") if run_day else "*/*/*"
@@ -82,7 +79,7 @@ def read_files(spark: SparkSession, paths: Sequence[str] | str, schema: T.Struct
 def with_file_columns(rows: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
     return rows.select(
-        *rows.columns,
+        *[F.col(f"`{c}`") for c in rows.columns],
         path.alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_mtime"),
         path_run_day(path).alias("run_day"),
@@ -120,3 +117,40 @@ def read_landing(
 def ticker_from_path(df: DataFrame) -> DataFrame:
     """``ticker`` from the folder above the run day (the historic load ignores the file's own column)."""
     return df.withColumn("ticker", path_ticker(F.col("file_path")))
+
+
+def read_stamped(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    by: Sequence[str] = (),
+    run_day: dt.date | None = None,
+    latest: bool = True,
+) -> DataFrame:
+    """Snapshots in ``[<by>=<value>/]run_day=.../run_time=...`` folders, with the same file columns.
+
+    With ``latest`` only the folders of the newest run time per leaf are opened.
+    """
+    root = root.rstrip("/")
+    day = run_day.isoformat() if run_day else "*"
+    folders = "/".join([*[f"{name}=*" for name in by], f"run_day={day}", "run_time=*"])
+    files = list_files(spark, f"{root}/{folders}/*.csv")
+    if files is None:
+        return _empty(spark, schema)
+    paths: Sequence[str] | str = f"{root}/{folders}"
+    if latest:
+        folder = F.regexp_replace("file_path", r"/[^/]+$", "")
+        leaf = F.regexp_replace("file_path", r"/run_time=[^/]+/[^/]+$", "")
+        newest = files.groupBy(leaf.alias("leaf")).agg(F.max(folder).alias("folder"))
+        paths = [r["folder"] for r in newest.collect()]
+    stamped = T.StructType(schema.fields)
+    for name in (*by, "run_day", "run_time"):
+        stamped = stamped.add(name, "string")
+    rows = spark.read.schema(stamped).option("header", True).option("basePath", root).csv(paths)
+    return rows.select(
+        *[F.col(f"`{c}`") for c in [*schema.names, *by]],
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_modification_time").alias("file_mtime"),
+        F.to_date("run_day").alias("run_day"),
+        F.to_timestamp(F.concat_ws(" ", "run_day", "run_time"), "yyyy-MM-dd HH-mm-ss").alias("file_ts"),
+    )

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.operators.upsert import MONTH, month_of
-from marketlake.sources.landing import FILE_COLUMNS
 
 
 def create_layers(spark: SparkSession, names: Sequence[str], root: str | None = None) -> None:
@@ -53,7 +52,7 @@ def create_empty(spark: SparkSession, table: str, schema: T.StructType, monthly:
 def write_landing(df: DataFrame, root: str, run: dt.datetime, by: Sequence[str] = ()) -> None:
     """Headered CSV snapshot below ``root``, stamped with the run day and time.
 
-    Folders are ``[<by>=<value>/]run_day=yyyy-MM-dd/run_time=HH-MM-SS``.
+    Folders are ``[<by>=<value>/]run_day=yyyy-MM-dd/run_time=HH-MM-SS``; a snapshot may have many files.
     """
     stamped = df.withColumn("run_day", F.lit(run.date().isoformat())).withColumn(
         "run_time", F.lit(run.strftime("%H-%M-%S"))
@@ -61,27 +60,6 @@ def write_landing(df: DataFrame, root: str, run: dt.datetime, by: Sequence[str]
     stamped.write.mode("append").partitionBy(*by, "run_day", "run_time").option("header", True).csv(root)
 
 
-def read_stamped(
-    spark: SparkSession, root: str, schema: T.StructType, by: Sequence[str] = (), run_day: dt.date | None = None
-) -> DataFrame:
-    """Snapshots written by :func:`write_landing`; the run day prunes folders."""
-    full = T.StructType(schema.fields)
-    for name in (*by, "run_day", "run_time"):
-        full = full.add(name, "string")
-    rows = spark.read.schema(full).option("header", True).csv(root)
-    if run_day:
-        rows = rows.filter(F.col("run_day") == run_day.isoformat())
-    path = F.col("_metadata.file_path")
-    return rows.select(
-        *schema.names,
-        *by,
-        path.alias(FILE_COLUMNS[0]),
-        F.col("_metadata.file_modification_time").alias(FILE_COLUMNS[1]),
-        F.to_date("run_day").alias(FILE_COLUMNS[2]),
-        F.to_timestamp(F.concat_ws(" ", "run_day", "run_time"), "yyyy-MM-dd HH-mm-ss").alias(FILE_COLUMNS[3]),
-    )
-
-
 def write_report(results: DataFrame, path: str, run: dt.datetime) -> None:
     """Suite results as JSON lines, one run after the other."""
     results.withColumn("run_ts", F.lit(run)).write.mode("append").json(path)

@@ -1,0 +1,103 @@
+import datetime as dt
+import math
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from marketlake.functions.columns import number_text, trim_strings
+from marketlake.operators.dedup import keep_first, keep_ranked, rank_dedup, rank_rows
+from marketlake.operators.fill import median_fill, ungrouped_rows, year_filter
+
+D = dt.date
+
+
+@pytest.fixture
+def prices(spark):
+    return spark.createDataFrame(
+        [
+            ("AAPL ", D(2025, 12, 17), 1.0, dt.datetime(2025, 12, 17, 9)),
+            ("AAPL", D(2025, 12, 17), 2.0, dt.datetime(2025, 12, 17, 16)),
+            ("AAPL", D(2025, 12, 17), 2.0, dt.datetime(2025, 12, 17, 16)),
+            ("AAPL", D(2025, 12, 18), 3.0, None),
+            (None, D(2025, 12, 18), 4.0, None),
+        ],
+        "ticker string, date date, close double, insert_datetime timestamp",
+    )
+
+
+def test_trim_then_newest_survives(prices):
+    kept = rank_dedup(trim_strings(prices), ["ticker", "date"])
+    assert sorted(r.close for r in kept.collect()) == [2.0, 3.0, 4.0]
+
+
+def test_ranks_agree_with_survivors(prices):
+    ranked = rank_rows(trim_strings(prices), ["ticker", "date"])
+    assert sorted(r.rank_assigned for r in ranked.collect()) == [1, 1, 1, 2, 3]
+    assert rows(keep_ranked(ranked)) == rows(keep_first(trim_strings(prices), ["ticker", "date"]))
+    split = rank_rows(trim_strings(prices), ["ticker", "date"], max_group_rows=1)
+    assert rows(split) == rows(ranked)
+
+
+def test_survivors_are_picked_before_the_shuffle(prices):
+    plan = keep_first(prices, ["ticker", "date"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.fixture
+def macro(spark):
+    return spark.createDataFrame(
+        [
+            ("A", 1, 1.0, None),
+            ("A", 2, None, None),
+            ("A", 3, 4.0, None),
+            ("B", 1, 1.0, 7.0),
+            ("B", 2, 2.0, float("nan")),
+            ("B", 3, 9.0, 8.0),
+            ("B", 4, None, 8.0),
+            (None, 1, 5.0, 5.0),
+        ],
+        "iso string, year int, x double, y double",
+    )
+
+
+@pytest.mark.parametrize("limit", [100, 2])
+def test_median_fill(macro, limit):
+    got = rows(median_fill(macro, "iso", ["x", "y"], max_group_rows=limit))
+    assert got == sorted(
+        [
+            ("A", 1, 1.0, 0.0),
+            ("A", 2, 2.5, 0.0),
+            ("A", 3, 4.0, 0.0),
+            ("B", 1, 1.0, 7.0),
+            ("B", 2, 2.0, 8.0),
+            ("B", 3, 9.0, 8.0),
+            ("B", 4, 2.0, 8.0),
+        ],
+        key=repr,
+    )
+
+
+def test_split_median_equals_plain_median(spark):
+    df = spark.range(1001).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 5)).alias("g"),
+        F.when(F.col("id") % 4 != 0, (F.col("id") * 7919 % 1009) / 4).alias("x"),
+    )
+    plain, split = median_fill(df, "g", ["x"]), median_fill(df, "g", ["x"], max_group_rows=50)
+    assert rows(plain) == rows(split)
+    assert not any(math.isnan(r.x) for r in split.collect())
+
+
+def test_ungrouped_rows_are_reported(macro):
+    assert rows(ungrouped_rows(macro, "iso")) == [(None, 1, 5.0, 5.0)]
+
+
+def test_year_filter_includes_both_ends(macro):
+    assert year_filter(macro.withColumn("year", F.col("year") + 2019), "year", "2020-05-01", "2021-01-01").count() == 5
+
+
+def test_number_text(spark):
+    df = spark.createDataFrame([(100.0,), (0.81875,), (12345678.5,), (1e12,), (0.0,), (None,)], "x double")
+    assert [r[0] for r in df.select(number_text(F.col("x"))).collect()] == [
+        "100", "0.81875", "12345678.5", "1000000000000", "0", None,
+    ]
