@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.operators.contract import ContractError
 from marketlake.operators.dedup import keep_first, newest_first
 from marketlake.operators.ordering import surrogate_key
+from marketlake.session import checkpointed
 
 MAX_BROADCAST_ROWS = 100_000
 MONTH = "month"
+LAST_ID = "marketlake.last_id"
 
 
 def upsert(
@@ -67,8 +70,22 @@ def month_of(date: str) -> Column:
     return F.date_format(F.col(date), "yyyy-MM")
 
 
-def table_exists(spark: SparkSession, table: str) -> bool:
-    return spark.catalog.tableExists(table)
+def table_location(spark: SparkSession, table: str) -> str:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return details.filter("col_name = 'Location'").first()["data_type"]
+
+
+def reserve_ids(spark: SparkSession, table: str, id_col: str, count: int) -> int:
+    """Set ``count`` ids aside and return the last one in use before them.
+
+    The mark is a table property, so an increment does not scan the stored ids; only a table without
+    the mark is scanned, once. Ids are reserved before they are written: a failed run leaves a gap,
+    never a repeated id.
+    """
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == LAST_ID).first()
+    last = int(found["value"]) if found else spark.table(table).agg(F.max(id_col)).first()[0] or 0
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LAST_ID}' = '{last + count}')")
+    return last
 
 
 def upsert_table(
@@ -91,12 +108,20 @@ def upsert_table(
     months = [r[0] for r in source.select(MONTH).distinct().collect()]  # at most the calendar's months
     if not months:
         return
-    last_id = target.agg(F.max(id_col)).first()[0] or 0 if id_col else None
+    if None in months:
+        raise ContractError(f"{table}: rows without {date}")
+    last_id = reserve_ids(spark, table, id_col, source.count()) if id_col else None
     touched = target.filter(F.col(MONTH).isin(months))
     merged = upsert(touched, source, [*keys, MONTH], order, id_col, newer_by, last_id)
+    # The merged months are stored before the old ones are replaced: nothing is read from files that
+    # the same job removes, whichever executor is lost on the way.
     (
-        merged.select(*target.columns)
+        checkpointed(merged.select(*target.columns))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
+        .partitionBy(MONTH)
+        .parquet(table_location(spark, table))
     )
+    for month in months:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({MONTH} = '{month}')")
+    spark.catalog.refreshTable(table)
