@@ -44,10 +44,12 @@ def landing_time(ts: Column) -> Column:
     return F.date_format(ts, "HH-mm-ss")
 
 
-# The landing layout is [<ticker>/]yyyy/Mon/dd/<name>HH-MM-SS.csv
+# A landing file is [<ticker>/]yyyy/Mon/dd/<name>HH-MM-SS.csv; a snapshot written by Spark
+# is run_day=yyyy-MM-dd/run_time=HH-MM-SS/<part>.csv
 PATH_DAY = r"/(\d{4})/([A-Z][a-z]{2})/(\d{2})/[^/]+$"
 PATH_TIME = r"(\d{2}-\d{2}-\d{2})\.csv$"
 PATH_TICKER = r"([^/]+)/\d{4}/[A-Z][a-z]{2}/\d{2}/[^/]+$"
+STAMP = r"/run_day=(\d{4}-\d{2}-\d{2})/run_time=(\d{2}-\d{2}-\d{2})/[^/]+$"
 
 
 def path_ticker(path: Column) -> Column:
@@ -55,13 +57,21 @@ def path_ticker(path: Column) -> Column:
     return F.regexp_extract(path, PATH_TICKER, 1)
 
 
+def _folder_day(path: Column) -> Column:
+    return F.concat_ws("-", *[F.regexp_extract(path, PATH_DAY, i) for i in (1, 2, 3)])
+
+
 def path_run_day(path: Column) -> Column:
-    parts = [F.regexp_extract(path, PATH_DAY, i) for i in (1, 2, 3)]
-    return F.try_to_timestamp(F.concat_ws("-", *parts), F.lit("yyyy-MMM-dd")).cast("date")
+    named = F.try_to_timestamp(_folder_day(path), F.lit("yyyy-MMM-dd"))
+    stamped = F.try_to_timestamp(F.regexp_extract(path, STAMP, 1), F.lit("yyyy-MM-dd"))
+    return F.coalesce(named, stamped).cast("date")
 
 
 def path_file_ts(path: Column) -> Column:
-    """Run day and file stamp as one timestamp; NULL when the name carries no stamp."""
-    parts = [F.regexp_extract(path, PATH_DAY, i) for i in (1, 2, 3)]
-    stamp = F.concat(F.concat_ws("-", *parts), F.lit(" "), F.regexp_extract(path, PATH_TIME, 1))
-    return F.try_to_timestamp(stamp, F.lit("yyyy-MMM-dd HH-mm-ss"))
+    """Run day and time as one timestamp; NULL when the path carries no time."""
+    named = F.concat(_folder_day(path), F.lit(" "), F.regexp_extract(path, PATH_TIME, 1))
+    stamped = F.concat(F.regexp_extract(path, STAMP, 1), F.lit(" "), F.regexp_extract(path, STAMP, 2))
+    return F.coalesce(
+        F.try_to_timestamp(named, F.lit("yyyy-MMM-dd HH-mm-ss")),
+        F.try_to_timestamp(stamped, F.lit("yyyy-MM-dd HH-mm-ss")),
+    )

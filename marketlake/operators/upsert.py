@@ -117,11 +117,12 @@ def upsert_table(
     # the same job removes, whichever executor is lost on the way.
     (
         checkpointed(merged.select(*target.columns))
+        .hint("rebalance", F.col(MONTH))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)
         .parquet(table_location(spark, table))
     )
-    for month in months:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({MONTH} = '{month}')")
+    partitions = " ".join(f"PARTITION ({MONTH} = '{month}')" for month in months)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partitions}")
     spark.catalog.refreshTable(table)

@@ -121,12 +121,14 @@ def create_gold_views(spark: SparkSession, silver_db: str = "silver", gold_db: s
                    volume AS stock_volume, LAG(close) {series} AS prev_close_price
             FROM {silver_db}.ohclv_silver
         ), returns AS (
-            SELECT *, CAST((close_price - prev_close_price) / NULLIF(prev_close_price, 0) AS DOUBLE) AS daily_return
+            SELECT *, CAST(close_price - prev_close_price AS DECIMAL(28,10)) / NULLIF(prev_close_price, 0) AS change
             FROM priced
+        ), rounded AS (
+            SELECT * EXCEPT (change), CAST(ROUND(change, 6) AS DOUBLE) AS daily_return FROM returns
         )
         SELECT *, STDDEV_SAMP(daily_return) {frame.format(29)} AS volatility_days_30,
-               AVG(close_price) {frame.format(89)} AS stock_90_day_average
-        FROM returns
+               CAST(AVG(close_price) {frame.format(89)} AS DOUBLE) AS stock_90_day_average
+        FROM rounded
     """)
     previous = ", ".join(
         f"NULLIF(LAG({c}) OVER (PARTITION BY country_code ORDER BY year), 0) AS prev_{c}"

@@ -39,8 +39,9 @@ def _bronze(df: DataFrame, columns: list[str], id_col: str, batch_ts: dt.datetim
 
 def bronze_ohlcv(spark, lake: Lake, day: dt.date, ts: dt.datetime, schema: T.StructType) -> DataFrame:
     rows = lake.landing(spark, lake.ohlcv, schema, day, by_ticker=True)
-    names = {k: v for k, v in schemas.OHLCV_RENAME.items() if v != "ticker"}
-    rows = (rows if lake.stamped else ticker_from_path(rows)).withColumnsRenamed(names)
+    if not lake.stamped:
+        rows = ticker_from_path(rows.drop("COMPANY_TICKER"))
+    rows = rows.withColumnsRenamed(schemas.OHLCV_RENAME)
     return _bronze(rows, schemas.OHLCV_COLUMNS, "id", ts)
 
 
@@ -89,7 +90,8 @@ def _to_silver(
     intermediate: bool,
 ) -> None:
     """Rank, keep the survivors, enforce the contract; rejects go to ``<table>_rejects``."""
-    order = newest_first(prepared)
+    # The id only tells copies apart that agree in everything else.
+    order = [*newest_first(prepared.drop(id_col)), F.col(id_col).asc()]
     if intermediate:
         processed = refresh(rank_rows(prepared, keys, order), f"{lake.bronze}.{base}_processed")
         clean = refresh(keep_ranked(processed), f"{lake.silver}.{base}_clean")

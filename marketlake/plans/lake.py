@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from marketlake.sources.landing import read_landing, read_stamped
+from marketlake.sources.landing import landing_glob, read_landing, read_stamped
 
 log = logging.getLogger("marketlake")
 
@@ -19,7 +19,8 @@ log = logging.getLogger("marketlake")
 class Lake:
     """Landing folders, layer databases and the report folder.
 
-    ``stamped`` selects the folder layout that Spark itself writes for landing snapshots.
+    ``stamped`` selects the folder layout that Spark itself writes for landing snapshots
+    (``run_day=.../run_time=...``, ticker in the file's own column).
     """
 
     reports: str
@@ -42,9 +43,15 @@ class Lake:
     ) -> DataFrame:
         """Newest snapshot per leaf of ``run_day``."""
         if self.stamped:
-            return read_stamped(spark, root, schema, by=("ticker",) if by_ticker else (), run_day=run_day)
+            return read_stamped(spark, root, schema, run_day=run_day)
         return read_landing(spark, root, schema, run_day, by_ticker)
 
+    def folders(self, root: str, by_ticker: bool = False) -> str:
+        """Glob of all leaf folders below ``root``."""
+        if self.stamped:
+            return f"{root.rstrip('/')}/run_day=*/run_time=*"
+        return landing_glob(root, by_ticker=by_ticker).rsplit("/", 1)[0]
+
 
 @dataclass
 class Run:

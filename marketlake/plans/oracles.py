@@ -150,7 +150,7 @@ def facts(source: str, time: str, extra: str = "") -> str:
     """
 
 
-def macro_facts(unemployment: str) -> str:
+def macro_facts(unemployment: str, source: str = MACRO_SERIES, extra: str = "", places: int | None = None) -> str:
     def lagged(c):
         return f"lag({c}) OVER (PARTITION BY country_code ORDER BY year)"
 
@@ -160,14 +160,18 @@ def macro_facts(unemployment: str) -> str:
     def difference(c):
         return f"CASE WHEN p_{c} IS NULL OR p_{c} = 0 THEN NULL ELSE {c} - p_{c} END"
 
+    def shown(value, name):
+        return f"{value if places is None else f'round({value}, {places})'} AS {name}"
+
     previous = ", ".join(f"{lagged(c)} AS p_{c}" for c in q.MEASURES)
     return f"""
-        WITH p AS (SELECT *, {previous} FROM ({MACRO_SERIES}))
-        SELECT country_code, country_name, year AS data_point_year, {', '.join(q.MEASURES)},
-               {rate('nominal_gdp')} AS year_on_year_gdp_change,
-               {rate('real_gdp')} AS year_on_real_gdp_change,
-               {difference('inflation')} AS inflation_change_year_on_year,
-               {difference(unemployment)} AS unemployment_change_year_on_year
+        WITH p AS (SELECT *, {previous} FROM ({source}))
+        SELECT {extra} country_code, country_name, year AS data_point_year,
+               {', '.join(shown(c, c) for c in q.MEASURES)},
+               {shown(rate('nominal_gdp'), 'year_on_year_gdp_change')},
+               {shown(rate('real_gdp'), 'year_on_real_gdp_change')},
+               {shown(difference('inflation'), 'inflation_change_year_on_year')},
+               {shown(difference(unemployment), 'unemployment_change_year_on_year')}
         FROM p
     """
 
@@ -366,6 +370,39 @@ UPSERT_FX = f"""
 """
 
 
+# --- flows ------------------------------------------------------------------------------------
+
+VALUES = ("ticker", "date", *SILVER_PRICES, "volume")
+VALUE_ORDER = newest(VALUES, [])
+FITS = " AND ".join(["length(ticker) <= 10", *[f"TRY_CAST({c} AS DECIMAL(6,2)) IS NOT NULL" for c in SILVER_PRICES]])
+TYPED = (
+    f"ticker, date, {', '.join(f'CAST({c} AS DECIMAL(6,2)) AS {c}' for c in SILVER_PRICES)}, "
+    "CAST(volume AS BIGINT) AS volume"
+)
+HISTORICAL_SILVER = f"""
+    SELECT row_number() OVER (ORDER BY ticker, date) AS stock_id, {TYPED}, DATE '2025-12-17' AS insert_datetime
+    FROM ({first(TRIMMED, 'ticker, date', VALUE_ORDER)}) WHERE {FITS} AND volume IS NOT NULL
+"""
+
+
+def batch_rows(where: str, day: str) -> str:
+    rows = f"SELECT {', '.join(VALUES)} FROM ({TRIMMED}) WHERE {where} AND volume IS NOT NULL"
+    return f"SELECT *, DATE '{day}' AS insert_datetime FROM ({first(rows, 'ticker, date', VALUE_ORDER)})"
+
+
+def second_over_first(accepted: str) -> str:
+    """The second batch over the first, among rows that satisfy ``accepted``."""
+    cols = [*VALUES[2:], "insert_datetime"]
+    return f"""
+        WITH t AS ({batch_rows(f'batch <= 3 AND {accepted}', '2025-12-17')}),
+             s AS ({batch_rows(f'batch > 3 AND {accepted}', '2025-12-18')}),
+             m AS (SELECT ticker, date,
+                          {', '.join(f'CASE WHEN s.volume IS NULL THEN t.{c} ELSE s.{c} END AS {c}' for c in cols)}
+                   FROM t FULL JOIN s USING (ticker, date))
+        SELECT {TYPED}, insert_datetime FROM m WHERE {FITS}
+    """
+
+
 def oracles() -> dict[str, str]:
     ohlcv, daily = suites.ohlcv_suite(q.NOW), suites.ohlcv_daily_suite(q.TODAY_BARS)
     fx, fx_daily = suites.fx_suite(q.NOW_FX), suites.fx_daily_suite(q.TODAY_FX)
@@ -452,4 +489,17 @@ def oracles() -> dict[str, str]:
             SELECT ticker, bar_ts AS date,
                    {', '.join(f'round(CAST({c} AS DOUBLE), 2) AS {c}' for c in SILVER_PRICES)}, 1 AS "USD_rate"
             FROM ({BARS})""",
+        "landing_snapshot": f"""
+            SELECT company_name AS "companyName", ticker AS symbol, price, market_cap AS "marketCap", sector, industry
+            FROM ({COMPANY})""",
+        "historical_silver": HISTORICAL_SILVER,
+        "historical_gold": macro_facts(
+            "unemployment",
+            f"""SELECT *, row_number() OVER (ORDER BY country_code, year) AS id
+                FROM ({filled(CLEAN_MACRO, 'country_name, country_id AS country_code, year')})""",
+            'id AS "UUID",',
+            places=6,
+        ),
+        "daily_silver": second_over_first(FITS),
+        "stream_silver": second_over_first("true"),
     }

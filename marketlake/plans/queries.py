@@ -23,10 +23,16 @@ from marketlake.operators.fill import median_fill, ungrouped_rows, year_filter
 from marketlake.operators.ordering import surrogate_key
 from marketlake.operators.profile import null_profile
 from marketlake.operators.quality import Suite
-from marketlake.operators.upsert import upsert
+from marketlake.operators.upsert import MONTH, upsert
 from marketlake.plans import adapters, gold, suites
+from marketlake.plans.daily import run_daily
+from marketlake.plans.historical import run_historical
+from marketlake.plans.lake import Lake
+from marketlake.session import scratch_path
 from marketlake.sources.landing import latest_snapshot
 from marketlake.sources.payloads import explode_rates, flatten_rate, pick_keys, upper_headers
+from marketlake.sources.tables import write_landing
+from marketlake.streaming.daily import stream_bars
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -360,6 +366,100 @@ def provider_columns(spark, sf):
     )
 
 
+# --- flows: landing files written from the tables, loaded through the layers ---------------------
+
+FIRST_RUN = dt.datetime(2025, 12, 17, 18)
+SECOND_RUN = dt.datetime(2025, 12, 18, 18)
+
+
+def _lake(spark: SparkSession) -> Lake:
+    """A lake of its own below the shared folder."""
+    root = scratch_path(spark, "lake")
+    tag = root.rsplit("-", 1)[1][:12]
+    return Lake(
+        reports=f"{root}/reports",
+        **{name: f"{root}/landing/{name}" for name in ("ohlcv", "company", "fx", "macro")},
+        bronze=f"bronze_{tag}",
+        silver=f"silver_{tag}",
+        gold=f"gold_{tag}",
+        tables_root=f"{root}/tables",
+        stamped=True,
+    )
+
+
+def _provider(df: DataFrame, names: dict[str, str], schema) -> DataFrame:
+    """Table names back to the provider's, in file order."""
+    return df.withColumnsRenamed({v: k for k, v in names.items()}).select(*schema.names)
+
+
+def _land_bars(rows: DataFrame, lake: Lake, run: dt.datetime) -> None:
+    write_landing(_provider(rows, schemas.OHLCV_RENAME, schemas.OHLCV_DAILY), lake.ohlcv, run)
+
+
+def _land_rates(rows: DataFrame, lake: Lake, run: dt.datetime) -> None:
+    write_landing(_provider(rows, schemas.FX_DAILY_RENAME, schemas.FX_DAILY), lake.fx, run)
+
+
+def landing_snapshot(spark, sf):
+    """Two snapshots of one run day; the later one is read."""
+    lake, rows = _lake(spark), _company(spark, sf)
+    files = _provider(rows, schemas.COMPANY_RENAME, schemas.COMPANY)
+    write_landing(files.filter("price > 0"), lake.company, FIRST_RUN)
+    write_landing(files, lake.company, FIRST_RUN.replace(hour=20))
+    return lake.landing(spark, lake.company, schemas.COMPANY, FIRST_RUN.date()).select(*schemas.COMPANY.names)
+
+
+def _historical(spark, sf) -> Lake:
+    lake = _lake(spark)
+    _land_bars(_ohlcv(spark, sf), lake, FIRST_RUN)
+    write_landing(_provider(_company(spark, sf), schemas.COMPANY_RENAME, schemas.COMPANY), lake.company, FIRST_RUN)
+    rates = dedup_fx(spark, sf).filter("date is not null")
+    write_landing(_provider(rates, schemas.FX_HISTORIC_RENAME, schemas.FX_HISTORIC), lake.fx, FIRST_RUN)
+    macro = dedup_macro(spark, sf).withColumn("ISO3", F.col("country_id"))
+    write_landing(_provider(macro, schemas.MACRO_RENAME, schemas.MACRO), lake.macro, FIRST_RUN)
+    run_historical(spark, lake, FIRST_RUN, fail_fast=True)
+    return lake
+
+
+def historical_silver(spark, sf):
+    """Bars after the full refresh: landing, bronze, validation, ranking, contract, ids."""
+    return spark.table(f"{_historical(spark, sf).silver}.ohclv_silver").drop(MONTH)
+
+
+def historical_gold(spark, sf):
+    """Macro facts read from the catalog view after the full refresh."""
+    facts = spark.table(f"{_historical(spark, sf).gold}.macro_facts")
+    return facts.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in facts.dtypes])
+
+
+def _daily_halves(spark, sf):
+    bars, rates = _ohlcv(spark, sf), _fx_by_day(spark, sf).filter("date is not null")
+    return (
+        (bars.filter("batch <= 3"), bars.filter("batch > 3")),
+        (rates.filter("insert_order % 2 = 0"), rates.filter("insert_order % 2 = 1")),
+    )
+
+
+def daily_silver(spark, sf):
+    """Bars after two daily increments, the second over the first."""
+    lake, (bars, rates) = _lake(spark), _daily_halves(spark, sf)
+    for run, b, r in zip((FIRST_RUN, SECOND_RUN), bars, rates):
+        _land_bars(b, lake, run)
+        _land_rates(r, lake, run)
+        run_daily(spark, lake, run, fail_fast=True)
+    return spark.table(f"{lake.silver}.ohclv_silver").drop(MONTH, "stock_id")
+
+
+def stream_silver(spark, sf):
+    """The same two snapshots as a file stream, the newer one arriving first."""
+    lake, (bars, _) = _lake(spark), _daily_halves(spark, sf)
+    checkpoint = scratch_path(spark, "stream")
+    for run, b in ((SECOND_RUN, bars[1]), (FIRST_RUN, bars[0])):
+        _land_bars(b, lake, run)
+        stream_bars(spark, lake, checkpoint).awaitTermination()
+    return spark.table(f"{lake.silver}.ohclv_silver").drop(MONTH, "stock_id")
+
+
 QUERIES: dict[str, Query] = {
     "stock_facts": stock_facts,
     "stock_facts_silver": stock_facts_silver,
@@ -404,4 +504,9 @@ QUERIES: dict[str, Query] = {
     "json_rate_flatten": json_rate_flatten,
     "json_pick_keys": json_pick_keys,
     "provider_columns": provider_columns,
+    "landing_snapshot": landing_snapshot,
+    "historical_silver": historical_silver,
+    "historical_gold": historical_gold,
+    "daily_silver": daily_silver,
+    "stream_silver": stream_silver,
 }

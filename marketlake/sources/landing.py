@@ -14,6 +14,9 @@ from marketlake.functions.columns import path_file_ts, path_run_day, path_ticker
 from marketlake.operators.fill import MAX_BROADCAST_GROUPS
 from marketlake.operators.ordering import group_sizes
 
+FILE_COLUMNS = ("file_path", "file_mtime", "run_day", "file_ts")
+
+
 def landing_glob(root: str, run_day: dt.date | None = None, by_ticker: bool = False) -> str:
     """Glob of one run day (or of all), so other days are never listed into the scan."""
     day = run_day.strftime("%Y/%b/%d") if run_day else "*/*/*"
@@ -79,7 +82,7 @@ def read_files(spark: SparkSession, paths: Sequence[str] | str, schema: T.Struct
 def with_file_columns(rows: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
     return rows.select(
-        *[F.col(f"`{c}`") for c in rows.columns],
+        *[F.col(f"`{c}`") for c in rows.columns if c not in ("run_day", "run_time")],
         path.alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_mtime"),
         path_run_day(path).alias("run_day"),
@@ -143,14 +146,8 @@ def read_stamped(
         leaf = F.regexp_replace("file_path", r"/run_time=[^/]+/[^/]+$", "")
         newest = files.groupBy(leaf.alias("leaf")).agg(F.max(folder).alias("folder"))
         paths = [r["folder"] for r in newest.collect()]
-    stamped = T.StructType(schema.fields)
-    for name in (*by, "run_day", "run_time"):
-        stamped = stamped.add(name, "string")
-    rows = spark.read.schema(stamped).option("header", True).option("basePath", root).csv(paths)
-    return rows.select(
-        *[F.col(f"`{c}`") for c in [*schema.names, *by]],
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_modification_time").alias("file_mtime"),
-        F.to_date("run_day").alias("run_day"),
-        F.to_timestamp(F.concat_ws(" ", "run_day", "run_time"), "yyyy-MM-dd HH-mm-ss").alias("file_ts"),
-    )
+    full = T.StructType(schema.fields)
+    for name in by:
+        full = full.add(name, "string")
+    rows = spark.read.schema(full).option("header", True).option("basePath", root).csv(paths)
+    return with_file_columns(rows).select(*[f"`{c}`" for c in full.names], *FILE_COLUMNS)

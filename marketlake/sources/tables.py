@@ -57,7 +57,8 @@ def write_landing(df: DataFrame, root: str, run: dt.datetime, by: Sequence[str]
     stamped = df.withColumn("run_day", F.lit(run.date().isoformat())).withColumn(
         "run_time", F.lit(run.strftime("%H-%M-%S"))
     )
-    stamped.write.mode("append").partitionBy(*by, "run_day", "run_time").option("header", True).csv(root)
+    writer = stamped.write.mode("append").partitionBy(*by, "run_day", "run_time").option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root)
 
 
 def write_report(results: DataFrame, path: str, run: dt.datetime) -> None:

@@ -14,7 +14,7 @@ from marketlake.operators.upsert import MAX_BROADCAST_ROWS, MONTH, month_of, ups
 from marketlake.plans.daily import create_targets, daily_bars, daily_rates, silver_bars, silver_rates
 from marketlake.plans.lake import Lake
 from marketlake.session import shared_dir
-from marketlake.sources.landing import landing_glob, with_file_columns
+from marketlake.sources.landing import with_file_columns
 
 
 def read_stream(spark: SparkSession, folders: str, schema: T.StructType) -> DataFrame:
@@ -54,7 +54,7 @@ def apply_batch(
 def stream_bars(spark: SparkSession, lake: Lake, checkpoint: str | None = None) -> StreamingQuery:
     """Process all bar files that have not been seen yet, then stop."""
     create_targets(spark, lake)
-    folders = landing_glob(lake.ohlcv, by_ticker=True).rsplit("/", 1)[0]
+    folders = lake.folders(lake.ohlcv, by_ticker=True)
 
     def apply(batch: DataFrame, _: int) -> None:
         apply_batch(
@@ -68,7 +68,7 @@ def stream_bars(spark: SparkSession, lake: Lake, checkpoint: str | None = None)
 def stream_rates(spark: SparkSession, lake: Lake, checkpoint: str | None = None) -> StreamingQuery:
     """Process all rate files that have not been seen yet, then stop."""
     create_targets(spark, lake)
-    folders = landing_glob(lake.fx).rsplit("/", 1)[0]
+    folders = lake.folders(lake.fx)
 
     def apply(batch: DataFrame, _: int) -> None:
         apply_batch(
@@ -79,7 +79,9 @@ def stream_rates(spark: SparkSession, lake: Lake, checkpoint: str | None = None)
     return _start(spark, read_stream(spark, folders, schemas.FX_DAILY), apply, checkpoint, lake, "rates")
 
 
-def _start(spark, stream: DataFrame, apply, checkpoint: str | None, lake: Lake, name: str) -> StreamingQuery:
+def _start(
+    spark: SparkSession, stream: DataFrame, apply, checkpoint: str | None, lake: Lake, name: str
+) -> StreamingQuery:
     place = checkpoint or f"{shared_dir(spark).rstrip('/')}/{lake.silver}-{name}"
     return (
         stream.writeStream.foreachBatch(apply)

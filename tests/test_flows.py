@@ -84,7 +84,7 @@ def test_historical_refresh(spark, historic):
     names = ["UUID", "stock_id", "trade_date", "prev_close_price"]
     assert rows(view.select(*names)) == rows(facts.select(*names))
     joined = view.alias("v").join(facts.alias("f"), ["ticker", "trade_date"])
-    for c, limit in (("daily_return", 6e-7), ("volatility_days_30", 1e-6), ("stock_90_day_average", 6e-7)):
+    for c, limit in (("daily_return", 0), ("volatility_days_30", 1e-12), ("stock_90_day_average", 0)):
         assert joined.filter(F.abs(F.col(f"v.{c}") - F.col(f"f.{c}")) > limit).count() == 0
         assert joined.filter(F.col(f"v.{c}").isNull() != F.col(f"f.{c}").isNull()).count() == 0
     register_gold(spark, lake.silver)
