@@ -20,7 +20,7 @@ MAX_GROUP_ROWS = 1_000_000
 COPY_STEP = 65_536
 
 COPIES, AHEAD = "_copies", "_ahead"
-_PART, _FROM = "_part", "_from"
+_PART, _FROM, _PLACE = "_part", "_from", "_place"
 
 
 @dataclass(frozen=True)
@@ -80,21 +80,48 @@ def rows_ahead(distinct: DataFrame, keys: Sequence[str], order: Sequence[Column]
     ).drop(_PART, *offsets.columns)
 
 
+def _number_sorted_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Number a whole table of distinct rows: one range shuffle, then a position inside each partition."""
+    # Partition number and position come from one id: partition << 33 | position.
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = checkpointed(ranged.withColumn(_PLACE, F.monotonically_increasing_id()))
+    part, position = F.shiftright(_PLACE, 33), F.col(_PLACE).bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(  # one row per partition
+        F.col(_PART).alias("_o_part"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+    )
+    joined = placed.join(F.broadcast(offsets), part == F.col("_o_part"))
+    return joined.select(*df.columns, (F.col("_before") + position + 1).alias(name))
+
+
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     name: str,
     max_group_rows: int = MAX_GROUP_ROWS,
+    at_most: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` as column ``name``.
 
     ``order`` should be total over distinct rows; rows that tie get numbers in arbitrary order.
+    ``at_most`` is a known bound on the rows of a group, if there is one. ``unique`` states that no
+    two rows tie on ``keys`` and ``order``.
     """
-    if group_sizes(df, keys).largest <= max_group_rows:
+    if at_most is None or at_most > max_group_rows:
+        at_most = group_sizes(df, keys).largest
+    if at_most <= max_group_rows:
         spec = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
         return df.withColumn(name, F.row_number().over(spec).cast("long"))
 
+    if unique and not keys:
+        return _number_sorted_rows(df, order, name)
+    if unique:
+        numbered = rows_ahead(df.withColumn(COPIES, F.lit(1).cast("long")), keys, order)
+        return numbered.select(*df.columns, (F.col(AHEAD) + 1).alias(name))
+
     placed = rows_ahead(collapse_copies(df), keys, order)
     most = placed.agg(F.max(COPIES)).first()[0]
     if most > COPY_STEP:
@@ -115,7 +142,9 @@ def surrogate_key(
     order: Sequence[Column],
     start: int = 0,
     max_rows: int = MAX_GROUP_ROWS,
+    at_most: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Consecutive ids ``start + 1, start + 2, ...`` in the given order, as the first column."""
-    numbered = number_rows(df, [], order, name, max_rows)
+    numbered = number_rows(df, [], order, name, max_rows, at_most, unique)
     return numbered.select((F.col(name) + start).alias(name), *df.columns)

@@ -192,19 +192,21 @@ class Suite:
 
         hits = F.array(
             *[
-                F.when(
-                    rule.unexpected(types),
-                    F.struct(F.lit(i + 1).alias("position"), F.lit(rule.rule).alias("rule"), value(rule).alias("value")),
-                )
+                F.when(rule.unexpected(types), F.struct(F.lit(i + 1).alias("position"), value(rule).alias("value")))
                 for i, rule in enumerate(self.expectations)
             ]
         )
         any_hit = reduce(lambda a, b: a | b, [r.unexpected(types) for r in self.expectations])
         found = df.filter(any_hit).select(F.explode(hits).alias("h")).filter("h is not null").select("h.*")
-        spec = Window.partitionBy("position", "rule").orderBy("value")
+        spec = Window.partitionBy("position").orderBy("value")
         ranked = found.withColumn("sample", F.row_number().over(spec)).filter(F.col("sample") <= limit)
+        rules = F.array(*[F.lit(rule.rule) for rule in self.expectations])
         return ranked.select(
-            F.lit(self.name).alias("suite"), *found.columns, F.col("sample").cast("long").alias("sample")
+            F.lit(self.name).alias("suite"),
+            "position",
+            F.element_at(rules, F.col("position")).alias("rule"),
+            "value",
+            F.col("sample").cast("long").alias("sample"),
         )
 
     def clean(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -32,7 +32,7 @@ def over_series(
         return compute(df, Window.partitionBy(*keys).orderBy(time))
 
     size = max(max_group_rows, lookback)
-    numbered = number_rows(df, keys, [F.col(time)], _ROW, max_group_rows)
+    numbered = number_rows(df, keys, [F.col(time)], _ROW, max_group_rows, unique=True)
     home = F.expr(f"({_ROW} - 1) div {size}")
     in_tail = F.expr(f"({_ROW} - 1) % {size}") >= size - lookback
     blocks = F.when(in_tail, F.array(_HOME, F.col(_HOME) + 1)).otherwise(F.array(_HOME))

@@ -17,6 +17,42 @@ MONTH = "month"
 LAST_ID = "marketlake.last_id"
 
 
+def _merge(
+    target: DataFrame,
+    rows: DataFrame,
+    count: int,
+    keys: list[str],
+    id_col: str | None,
+    newer_by: str | None,
+    last_id: int,
+    broadcast_rows: int,
+) -> DataFrame:
+    """``rows`` (``count`` of them, unique on ``keys``) written over ``target``."""
+
+    # A daily batch is small: the target is then joined where it lies, without a shuffle. Both sides
+    # are unique on the key, so the shuffled join beyond the limit has no hot key either.
+    def side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if count <= broadcast_rows else df
+
+    columns = [c for c in target.columns if c not in keys and c != id_col]
+    marked = rows.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
+    replace = F.col("_hit").isNotNull()
+    if newer_by:
+        stored, incoming = F.col(newer_by), F.col(f"_new_{newer_by}")
+        replace = replace & F.coalesce(stored.isNull() | (incoming >= stored), F.lit(False))
+    updated = target.join(side(marked), keys, "left").select(
+        *[
+            F.when(replace, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+            for c in target.columns
+        ]
+    )
+    present = target.join(side(rows.select(*keys)), keys, "left_semi").select(*keys)
+    added = rows.join(side(present), keys, "left_anti")
+    if id_col:
+        added = surrogate_key(added, id_col, [F.col(k) for k in keys], start=last_id, at_most=count, unique=True)
+    return updated.unionByName(added.select(*target.columns))
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -24,46 +60,20 @@ def upsert(
     order: Sequence[Column] | None = None,
     id_col: str | None = None,
     newer_by: str | None = None,
-    last_id: int | None = None,
     broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """``target`` with the rows of ``source`` written over it.
 
     One source row per key survives (``order``, default newest ``insert_datetime``). A key that
     exists gets all its non-key columns replaced, NULLs included, and keeps its ``id_col``; a new key
-    is added and gets the next id after ``last_id`` (default: the largest id in ``target``). With
-    ``newer_by`` an existing row is only replaced when the source value is at least as large, so the
-    result does not depend on the order in which batches arrive.
+    is added and gets the next id after the largest one in ``target``. With ``newer_by`` an existing
+    row is only replaced when the source value is at least as large, so the result does not depend on
+    the order in which batches arrive.
     """
-    keys = list(keys)
-    columns = [c for c in target.columns if c != id_col]
-    rows = keep_first(source.select(*columns), keys, order or newest_first(source.select(*columns)))
-
-    # A daily batch is small: the target is then joined where it lies, without a shuffle. Both sides
-    # are unique on the key, so the shuffled join beyond the limit has no hot key either.
-    small = rows.count() <= broadcast_rows
-    marked = rows.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns if c not in keys])
-    marked = marked.withColumn("_hit", F.lit(True))
-    joined = target.join(F.broadcast(marked) if small else marked, keys, "left")
-    replace = F.coalesce(F.col("_hit"), F.lit(False))
-    if newer_by:
-        kept = F.col(newer_by).isNull() | (F.col(f"_new_{newer_by}") >= F.col(newer_by))
-        replace = replace & F.coalesce(kept, F.lit(False))
-    updated = joined.select(
-        *[
-            F.col(c) if c in keys or c == id_col else F.when(replace, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-            for c in target.columns
-        ]
-    )
-
-    probe = rows.select(*keys)
-    present = target.join(F.broadcast(probe) if small else probe, keys, "left_semi").select(*keys)
-    added = rows.join(F.broadcast(present) if small else present, keys, "left_anti")
-    if id_col:
-        if last_id is None:
-            last_id = target.agg(F.max(id_col)).first()[0] or 0
-        added = surrogate_key(added, id_col, [F.col(k) for k in keys], start=last_id)
-    return updated.unionByName(added.select(*target.columns))
+    source = source.select(*[c for c in target.columns if c != id_col])
+    rows = checkpointed(keep_first(source, keys, order or newest_first(source)))  # used four times
+    last_id = (target.agg(F.max(id_col)).first()[0] or 0) if id_col else 0
+    return _merge(target, rows, rows.count(), list(keys), id_col, newer_by, last_id, broadcast_rows)
 
 
 def month_of(date: str) -> Column:
@@ -103,26 +113,30 @@ def upsert_table(
     Only the months present in the batch are read and rewritten. Running the same batch again gives
     the same table.
     """
-    source = source.withColumn(MONTH, month_of(date))
     target = spark.table(table)
-    months = [r[0] for r in source.select(MONTH).distinct().collect()]  # at most the calendar's months
-    if not months:
-        return
-    if None in months:
-        raise ContractError(f"{table}: rows without {date}")
-    last_id = reserve_ids(spark, table, id_col, source.count()) if id_col else None
-    touched = target.filter(F.col(MONTH).isin(months))
-    merged = upsert(touched, source, [*keys, MONTH], order, id_col, newer_by, last_id)
-    # The merged months are stored before the old ones are replaced: nothing is read from files that
-    # the same job removes, whichever executor is lost on the way.
-    (
-        checkpointed(merged.select(*target.columns))
-        .hint("rebalance", F.col(MONTH))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(table_location(spark, table))
-    )
+    source = source.withColumn(MONTH, month_of(date)).select(*[c for c in target.columns if c != id_col])
+    rows = keep_first(source, keys, order or newest_first(source)).persist()
+    try:
+        counts = rows.groupBy(MONTH).count().collect()  # one row per calendar month in the batch
+        months, count = [r[MONTH] for r in counts], sum(r["count"] for r in counts)
+        if None in months:
+            raise ContractError(f"{table}: rows without {date}")
+        if not months:
+            return
+        last_id = reserve_ids(spark, table, id_col, count) if id_col else 0
+        touched = target.filter(F.col(MONTH).isin(months))
+        merged = _merge(touched, rows, count, [*keys, MONTH], id_col, newer_by, last_id, MAX_BROADCAST_ROWS)
+        # Old files are removed when the job commits, after every task has read and written.
+        (
+            merged.select(*target.columns)
+            .hint("rebalance", F.col(MONTH))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MONTH)
+            .parquet(table_location(spark, table))
+        )
+    finally:
+        rows.unpersist()
     partitions = " ".join(f"PARTITION ({MONTH} = '{month}')" for month in months)
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partitions}")
     spark.catalog.refreshTable(table)

@@ -77,9 +77,7 @@ def layer_metrics(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def _to_silver(
-    spark: SparkSession,
     lake: Lake,
-    source: str,
     base: str,
     prepared: DataFrame,
     keys: list[str],
@@ -87,50 +85,49 @@ def _to_silver(
     contract: Contract,
     load_date: dt.date,
     monthly: bool,
-    intermediate: bool,
+    ranked: bool,
 ) -> None:
     """Rank, keep the survivors, enforce the contract; rejects go to ``<table>_rejects``."""
     # The id only tells copies apart that agree in everything else.
     order = [*newest_first(prepared.drop(id_col)), F.col(id_col).asc()]
-    if intermediate:
-        processed = refresh(rank_rows(prepared, keys, order), f"{lake.bronze}.{base}_processed")
-        clean = refresh(keep_ranked(processed), f"{lake.silver}.{base}_clean")
+    if ranked:
+        survivors = keep_ranked(refresh(rank_rows(prepared, keys, order), f"{lake.bronze}.{base}_processed"))
     else:
-        clean = keep_first(prepared, keys, order)
+        survivors = keep_first(prepared, keys, order)
+    # Stored once: the contract, the rejects and the ids each read it again.
+    clean = refresh(survivors, f"{lake.silver}.{base}_clean")
     if "insert_datetime" in contract.names:
         clean = clean.withColumn("insert_datetime", F.lit(load_date))
     good, rejects = enforce(clean, contract)
     by_key: list[Column] = [F.col(k) for k in keys]
     table = f"{lake.silver}.{contract.name}"
-    numbered = surrogate_key(good, id_col, by_key)
+    numbered = surrogate_key(good, id_col, by_key, unique=True)
     refresh_monthly(numbered, table) if monthly else refresh(numbered, table)
     refresh(rejects, f"{table}_rejects")
 
 
-def load_silver(spark: SparkSession, lake: Lake, load_date: dt.date, run: Run, intermediate: bool) -> None:
+def load_silver(spark: SparkSession, lake: Lake, load_date: dt.date, run: Run, ranked: bool) -> None:
     def bronze(name: str) -> DataFrame:
         return trim_strings(spark.table(f"{lake.bronze}.{name}"))
 
-    def to_silver(source, base, prepared, keys, id_col, contract, monthly=False):
-        _to_silver(
-            spark, lake, source, base, prepared, keys, id_col, contract, load_date, monthly, intermediate
-        )
+    def to_silver(base, prepared, keys, id_col, contract, monthly=False):
+        _to_silver(lake, base, prepared, keys, id_col, contract, load_date, monthly, ranked)
 
     run.step("silver_ohlcv", lambda: to_silver(
-        "ohclv_bronze", "ohclv", bronze("ohclv_bronze").withColumnRenamed("id", "stock_id"),
+        "ohclv", bronze("ohclv_bronze").withColumnRenamed("id", "stock_id"),
         ["ticker", "date"], "stock_id", schemas.OHLCV_SILVER, monthly=True,
     ))
     run.step("silver_company", lambda: to_silver(
-        "company_meta_data_bronze", "company_meta_data", bronze("company_meta_data_bronze"),
+        "company_meta_data", bronze("company_meta_data_bronze"),
         ["ticker"], "company_id", schemas.COMPANY_SILVER,
     ))
     run.step("silver_fx", lambda: to_silver(
-        "exchange_rates_bronze", "exchange_rates",
+        "exchange_rates",
         bronze("exchange_rates_bronze").withColumnRenamed("id", "rate_id").withColumn("date", F.to_date("date")),
         ["date"], "rate_id", schemas.FX_SILVER, monthly=True,
     ))
     run.step("silver_macro", lambda: to_silver(
-        "macro_economic_data_bronze", "macro_economic_data",
+        "macro_economic_data",
         bronze("macro_economic_data_bronze").withColumnsRenamed({"id": "data_id", "country_id": "country_code"}),
         ["country_code", "year"], "data_id", schemas.MACRO_SILVER,
     ))
@@ -141,13 +138,13 @@ def run_historical(
     lake: Lake,
     run_ts: dt.datetime,
     ohlcv_schema: T.StructType = schemas.OHLCV_DAILY,
-    intermediate: bool = False,
+    ranked: bool = False,
     fail_on_error: bool = False,
     fail_fast: bool = False,
 ) -> dict[str, str]:
     """Load, validate, transform and publish one run day; returns the outcome of every step.
 
-    ``intermediate`` also stores the ranked (``*_processed``) and de-duplicated (``*_clean``) tables.
+    ``ranked`` also stores every row with its rank (``*_processed``), not only the survivors.
     A broken rule is only reported unless ``fail_on_error``.
     """
     run, day = Run(fail_fast), run_ts.date()
@@ -163,7 +160,7 @@ def run_historical(
     for name, suite in validation_suites(run_ts).items():
         run.step(f"validate_{name}", lambda: validate(spark, lake, name, suite, run_ts, fail_on_error))
     run.step("layer_metrics", lambda: write_metrics(layer_metrics(spark, lake), f"{lake.reports}/bronze_layer_metrics"))
-    load_silver(spark, lake, day, run, intermediate)
+    load_silver(spark, lake, day, run, ranked)
     run.step("gold", lambda: create_gold_views(spark, lake.silver, lake.gold))
     return run.steps
 

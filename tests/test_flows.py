@@ -46,7 +46,7 @@ def historic(lake, land):
 
 def test_historical_refresh(spark, historic):
     lake = historic
-    steps = run_historical(spark, lake, RUN, intermediate=True)
+    steps = run_historical(spark, lake, RUN, ranked=True)
     assert set(steps.values()) == {"ok"}, steps
 
     bronze = spark.table(f"{lake.bronze}.ohclv_bronze")

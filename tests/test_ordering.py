@@ -43,6 +43,14 @@ def test_identical_copies_are_numbered_without_gaps(spark, monkeypatch):
     assert [(r.v, r.n) for r in numbered.filter("k = 'a' and v <> 1").orderBy("v").collect()] == [(0, 1), (2, 102)]
 
 
+def test_numbering_of_distinct_rows(spark):
+    df = spark.range(500).select((F.col("id") * 7919 % 997).alias("v"), (F.col("id") % 3).alias("k"))
+    whole = surrogate_key(df, "n", [F.col("v").desc()])
+    assert rows(surrogate_key(df, "n", [F.col("v").desc()], start=0, max_rows=10, unique=True)) == rows(whole)
+    by_key = number_rows(df, ["k"], [F.col("v")], "n")
+    assert rows(number_rows(df, ["k"], [F.col("v")], "n", max_group_rows=10, unique=True)) == rows(by_key)
+
+
 def test_surrogate_key_continues_after_start(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",)], "k string")
     want = [(11, "a"), (12, "b"), (13, "c")]
