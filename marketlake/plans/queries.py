@@ -300,14 +300,8 @@ def _with_paths(events: DataFrame) -> DataFrame:
 
 def latest_snapshot_rows(spark, sf):
     """All files have the same modification time, so the stamp in the name decides."""
-    rows = _with_paths(adapters.table(spark, sf, "events"))
-    path = F.col("file_path")
-    placed = rows.withColumns(
-        {"ticker": path_ticker(path), "run_day": path_run_day(path), "file_ts": path_file_ts(path),
-         "file_mtime": F.lit(0)}
-    )
-    latest = latest_snapshot(placed, ["ticker", "run_day"])
-    return latest.select("event_id", "value", "ticker", "run_day")
+    rows = _with_paths(adapters.table(spark, sf, "events")).withColumn("file_mtime", F.lit(0))
+    return latest_snapshot(rows).select("event_id", "value", F.col("folder_ticker").alias("ticker"), "run_day")
 
 
 def path_parts(spark, sf):

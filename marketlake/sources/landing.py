@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 
 from marketlake.functions.columns import path_file_ts, path_run_day, path_ticker
 from marketlake.operators.fill import MAX_BROADCAST_GROUPS
-from marketlake.operators.ordering import group_sizes
+from marketlake.session import checkpointed
 
-FILE_COLUMNS = ("file_path", "file_mtime", "run_day", "file_ts")
+FILE_COLUMNS = ("file_path", "file_mtime", "run_day", "file_ts", "folder_ticker")
+NEWEST = ("file_mtime", "file_ts", "file_path")
 
 
 def landing_glob(root: str, run_day: dt.date | None = None, by_ticker: bool = False) -> str:
@@ -24,7 +25,7 @@ def landing_glob(root: str, run_day: dt.date | None = None, by_ticker: bool = Fa
 
 
 def list_files(spark: SparkSession, glob: str) -> DataFrame | None:
-    """File name, time and leaf folder of every landing file; contents are not read.
+    """Name and time of every landing file; contents are not read.
 
     ``None`` when nothing matches: a missing leaf is skipped, not an error.
     """
@@ -34,65 +35,72 @@ def list_files(spark: SparkSession, glob: str) -> DataFrame | None:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    path = F.col("path")
+    return files.select(F.col("path").alias("file_path"), F.col("modificationTime").alias("file_mtime"))
+
+
+def file_facts(files: DataFrame) -> DataFrame:
+    """What a path says: ticker folder, run day, time stamp, leaf folder. Evaluated per file, not per row."""
+    path = F.col("file_path")
     return files.select(
-        path.alias("file_path"),
-        F.col("modificationTime").alias("file_mtime"),
-        F.regexp_replace(path, r"/[^/]+$", "").alias("leaf"),
+        "file_path",
+        "file_mtime",
+        F.regexp_replace(path, r"(/run_time=[^/]+)?/[^/]+$", "").alias("leaf"),
+        path_ticker(path).alias("folder_ticker"),
+        path_run_day(path).alias("run_day"),
         path_file_ts(path).alias("file_ts"),
     )
 
 
-def latest_files(files: DataFrame, leaf: Sequence[str] = ("leaf",)) -> DataFrame:
+def latest_files(facts: DataFrame) -> DataFrame:
     """One file per leaf folder: newest modification time, then the stamp in the name, then the name."""
-    newest = F.max(F.struct("file_mtime", "file_ts", "file_path")).alias("f")
-    return files.groupBy(*leaf).agg(newest).select(*leaf, "f.file_path", "f.file_mtime", "f.file_ts")
+    rest = [c for c in facts.columns if c not in (*NEWEST, "leaf")]
+    newest = F.max(F.struct(*NEWEST, *rest)).alias("f")
+    return facts.groupBy("leaf").agg(newest).select("leaf", "f.*")
 
 
-def latest_snapshot(
-    df: DataFrame, leaf: Sequence[str], order: Sequence[str] = ("file_mtime", "file_ts", "file_path")
-) -> DataFrame:
-    """Rows of the newest snapshot of every leaf, for data that carries its file columns.
+def latest_folders(facts: DataFrame) -> DataFrame:
+    """All files of the newest run time of every leaf, for snapshots of several files."""
+    newest = facts.groupBy("leaf").agg(F.max("file_ts").alias("file_ts"))
+    return facts.join(newest, ["leaf", "file_ts"])
 
-    The newest file per leaf is found by a pre-aggregated maximum, so no task holds a whole leaf.
-    """
-    newest = df.groupBy(*leaf).agg(F.max(F.struct(*order)).alias("_newest"))
-    if group_sizes(newest, []).largest <= MAX_BROADCAST_GROUPS:
-        newest = F.broadcast(newest)
-    return (
-        df.join(newest, list(leaf))
-        .filter(F.struct(*order).eqNullSafe(F.col("_newest")))
-        .select(*df.columns)
-    )
 
+def attach_facts(rows: DataFrame, facts: DataFrame, count: int) -> DataFrame:
+    """Rows of the files in ``facts`` (``count`` of them), with their file columns."""
+    facts = facts.select(*FILE_COLUMNS)
+    if count <= MAX_BROADCAST_GROUPS:
+        facts = F.broadcast(facts)
+    names = [f"`{c}`" for c in rows.columns if c not in FILE_COLUMNS]
+    return rows.select("file_path", *names).join(facts, "file_path").select(*names, *FILE_COLUMNS)
 
-def read_files(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType) -> DataFrame:
-    """Typed scan of headered CSV files plus the file columns. Headers must match ``schema``."""
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(paths)
-    )
-    return with_file_columns(rows)
 
+def latest_snapshot(df: DataFrame) -> DataFrame:
+    """Rows of the newest file of every leaf, for data that carries ``file_path`` and ``file_mtime``.
+
+    Files are compared, not rows: each task reduces its rows to their distinct files first.
+    """
+    files = df.select("file_path", "file_mtime").distinct()
+    newest = checkpointed(latest_files(file_facts(files)))
+    return attach_facts(df, newest, newest.count())
 
-def with_file_columns(rows: DataFrame) -> DataFrame:
-    path = F.col("_metadata.file_path")
-    return rows.select(
-        *[F.col(f"`{c}`") for c in rows.columns if c not in ("run_day", "run_time")],
-        path.alias("file_path"),
-        F.col("_metadata.file_modification_time").alias("file_mtime"),
-        path_run_day(path).alias("run_day"),
-        path_file_ts(path).alias("file_ts"),
-    )
+
+def _read_csv(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType, **options: str) -> DataFrame:
+    """Typed scan of headered CSV files with the name of the file of each row."""
+    reader = spark.read.schema(schema).options(header=True, quote='"', escape='"', **options)
+    rows = reader.csv(paths)
+    return rows.select(*[F.col(f"`{c}`") for c in schema.names], F.col("_metadata.file_path").alias("file_path"))
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     columns = T.StructType(schema.fields).add("file_path", "string").add("file_mtime", "timestamp")
-    return spark.createDataFrame([], columns.add("run_day", "date").add("file_ts", "timestamp"))
+    columns = columns.add("run_day", "date").add("file_ts", "timestamp").add("folder_ticker", "string")
+    return spark.createDataFrame([], columns)
+
+
+def _read(spark: SparkSession, facts: DataFrame, schema: T.StructType, **options: str) -> DataFrame:
+    # The list of file names on the driver is the one Spark keeps for any file scan.
+    files = facts.collect()
+    rows = _read_csv(spark, [f["file_path"] for f in files], schema, **options)
+    return attach_facts(rows, spark.createDataFrame(files, facts.schema), len(files))
 
 
 def read_landing(
@@ -105,21 +113,18 @@ def read_landing(
 ) -> DataFrame:
     """Rows of a landing tree ``<root>[/<ticker>]/yyyy/Mon/dd/*.csv`` with their file columns.
 
-    With ``latest`` only the newest file of every leaf is opened. The list of file names on the
-    driver is the one Spark keeps for any file scan.
+    With ``latest`` only the newest file of every leaf is opened. Headers must match ``schema``.
     """
-    glob = landing_glob(root, run_day, by_ticker)
-    files = list_files(spark, glob)
+    files = list_files(spark, landing_glob(root, run_day, by_ticker))
     if files is None:
         return _empty(spark, schema)
-    if not latest:
-        return read_files(spark, glob, schema)
-    return read_files(spark, [r["file_path"] for r in latest_files(files).collect()], schema)
+    facts = file_facts(files)
+    return _read(spark, latest_files(facts) if latest else facts, schema, enforceSchema="false")
 
 
 def ticker_from_path(df: DataFrame) -> DataFrame:
     """``ticker`` from the folder above the run day (the historic load ignores the file's own column)."""
-    return df.withColumn("ticker", path_ticker(F.col("file_path")))
+    return df.withColumn("ticker", F.col("folder_ticker"))
 
 
 def read_stamped(
@@ -132,7 +137,7 @@ def read_stamped(
 ) -> DataFrame:
     """Snapshots in ``[<by>=<value>/]run_day=.../run_time=...`` folders, with the same file columns.
 
-    With ``latest`` only the folders of the newest run time per leaf are opened.
+    With ``latest`` only the files of the newest run time per leaf are opened.
     """
     root = root.rstrip("/")
     day = run_day.isoformat() if run_day else "*"
@@ -140,14 +145,18 @@ def read_stamped(
     files = list_files(spark, f"{root}/{folders}/*.csv")
     if files is None:
         return _empty(spark, schema)
-    paths: Sequence[str] | str = f"{root}/{folders}"
-    if latest:
-        folder = F.regexp_replace("file_path", r"/[^/]+$", "")
-        leaf = F.regexp_replace("file_path", r"/run_time=[^/]+/[^/]+$", "")
-        newest = files.groupBy(leaf.alias("leaf")).agg(F.max(folder).alias("folder"))
-        paths = [r["folder"] for r in newest.collect()]
     full = T.StructType(schema.fields)
     for name in by:
         full = full.add(name, "string")
-    rows = spark.read.schema(full).option("header", True).option("basePath", root).csv(paths)
-    return with_file_columns(rows).select(*[f"`{c}`" for c in full.names], *FILE_COLUMNS)
+    facts = file_facts(files)
+    return _read(spark, latest_folders(facts) if latest else facts, full, basePath=root)
+
+
+def stream_landing(spark: SparkSession, folders: str, schema: T.StructType) -> DataFrame:
+    """Landing files as they arrive, with their time stamps."""
+    rows = spark.readStream.schema(schema).options(header=True, quote='"', escape='"').csv(folders)
+    return rows.select(
+        *rows.columns,
+        F.col("_metadata.file_modification_time").alias("file_mtime"),
+        path_file_ts(F.col("_metadata.file_path")).alias("file_ts"),
+    )

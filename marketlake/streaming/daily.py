@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake import schemas
@@ -14,13 +13,7 @@ from marketlake.operators.upsert import MAX_BROADCAST_ROWS, MONTH, month_of, ups
 from marketlake.plans.daily import create_targets, daily_bars, daily_rates, silver_bars, silver_rates
 from marketlake.plans.lake import Lake
 from marketlake.session import shared_dir
-from marketlake.sources.landing import with_file_columns
-
-
-def read_stream(spark: SparkSession, folders: str, schema: T.StructType) -> DataFrame:
-    """Landing files as they arrive, with their file columns."""
-    rows = spark.readStream.schema(schema).option("header", True).option("quote", '"').csv(folders)
-    return with_file_columns(rows)
+from marketlake.sources.landing import stream_landing
 
 
 def _stamped(rows: DataFrame) -> DataFrame:
@@ -62,7 +55,7 @@ def stream_bars(spark: SparkSession, lake: Lake, checkpoint: str | None = None)
             f"{lake.silver}.ohclv_silver", ["ticker", "date"], "stock_id", silver_bars,
         )
 
-    return _start(spark, read_stream(spark, folders, schemas.OHLCV_DAILY), apply, checkpoint, lake, "bars")
+    return _start(spark, stream_landing(spark, folders, schemas.OHLCV_DAILY), apply, checkpoint, lake, "bars")
 
 
 def stream_rates(spark: SparkSession, lake: Lake, checkpoint: str | None = None) -> StreamingQuery:
@@ -76,7 +69,7 @@ def stream_rates(spark: SparkSession, lake: Lake, checkpoint: str | None = None)
             f"{lake.silver}.exchange_rates_silver", ["date"], "rate_id", silver_rates,
         )
 
-    return _start(spark, read_stream(spark, folders, schemas.FX_DAILY), apply, checkpoint, lake, "rates")
+    return _start(spark, stream_landing(spark, folders, schemas.FX_DAILY), apply, checkpoint, lake, "rates")
 
 
 def _start(

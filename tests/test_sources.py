@@ -79,12 +79,14 @@ def test_wrong_header_is_not_read_by_position(spark, lake, land):
 
 
 def test_latest_snapshot_of_rows(spark):
+    leaf = "file:/r/A/2025/Dec/18/A_stock"
     df = spark.createDataFrame(
-        [("a", 1, 5, "x"), ("a", 1, 5, "y"), ("a", 2, 4, "z"), ("b", 1, None, "w")],
-        "leaf string, file_mtime int, file_ts int, v string",
+        [(f"{leaf}_09-00-00.csv", 1, "x"), (f"{leaf}_10-00-00.csv", 1, "y"), (f"{leaf}_10-00-00.csv", 1, "z"),
+         (f"{leaf}_08-00-00.csv", 0, "old"), ("file:/r/B/2025/Dec/18/B.csv", 1, "w")],
+        "file_path string, file_mtime int, v string",
     )
-    got = latest_snapshot(df, ["leaf"], ["file_mtime", "file_ts"])
-    assert rows(got.select("leaf", "v")) == [("a", "z"), ("b", "w")]
+    got = latest_snapshot(df)
+    assert rows(got.select("folder_ticker", "v", "run_day")) == [("A", "y", DAY), ("A", "z", DAY), ("B", "w", DAY)]
 
 
 def test_path_parts(spark):
