@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
@@ -179,8 +180,8 @@ class Suite:
         """Every row that breaks ``rule``."""
         return df.filter(rule.unexpected({f.name: f.dataType for f in df.schema.fields}))
 
-    def samples(self, df: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:
-        """Up to ``limit`` unexpected values per broken rule, for all rules in one pass.
+    def samples(self, df: DataFrame, limit: int = SAMPLE_ROWS, positions: Collection[int] | None = None) -> DataFrame:
+        """Up to ``limit`` unexpected values per broken rule, for all rules (or ``positions``) in one pass.
 
         The row limit per rule is applied before the shuffle too.
         """
@@ -190,13 +191,12 @@ class Suite:
             columns = [rule.column] + ([rule.other] if rule.other else [])
             return F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns])
 
+        wanted = [(i, r) for i, r in enumerate(self.expectations, 1) if positions is None or i in positions]
+        broken = {i: rule.unexpected(types) for i, rule in wanted}
         hits = F.array(
-            *[
-                F.when(rule.unexpected(types), F.struct(F.lit(i + 1).alias("position"), value(rule).alias("value")))
-                for i, rule in enumerate(self.expectations)
-            ]
+            *[F.when(broken[i], F.struct(F.lit(i).alias("position"), value(r).alias("value"))) for i, r in wanted]
         )
-        any_hit = reduce(lambda a, b: a | b, [r.unexpected(types) for r in self.expectations])
+        any_hit = reduce(lambda a, b: a | b, broken.values())
         found = df.filter(any_hit).select(F.explode(hits).alias("h")).filter("h is not null").select("h.*")
         spec = Window.partitionBy("position").orderBy("value")
         ranked = found.withColumn("sample", F.row_number().over(spec)).filter(F.col("sample") <= limit)
@@ -221,7 +221,10 @@ class Suite:
         """Results of :meth:`run`; raises on a broken rule only when asked to."""
         results = self.run(df)
         if fail_on_error:
-            failed = [r["rule"] for r in results.filter(~F.col("success")).collect()]
-            if failed:
-                raise QualityError(f"{self.name}: {'; '.join(failed)}")
+            self.raise_failed(results)
         return results
+
+    def raise_failed(self, results: DataFrame) -> None:
+        failed = [r["rule"] for r in results.filter(~F.col("success")).collect()]
+        if failed:
+            raise QualityError(f"{self.name}: {'; '.join(failed)}")

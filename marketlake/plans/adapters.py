@@ -6,8 +6,6 @@ and every repair has rows to work on.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +42,11 @@ def bars(events: DataFrame) -> DataFrame:
     )
 
 
+def cents(value: str) -> Column:
+    """A two-decimal double as whole cents."""
+    return F.floor(F.col(value) * 100 + 0.5)
+
+
 def ohlcv_rows(lineitem: DataFrame) -> DataFrame:
     """Raw monthly bars: padded tickers, repeated (ticker, date) keys, high below low, missing volume."""
     line = F.col("l_linenumber")
@@ -53,28 +56,28 @@ def ohlcv_rows(lineitem: DataFrame) -> DataFrame:
         .when((line == 5) & (F.col("l_returnflag") == "N"), F.lower(name))
         .otherwise(name)
     )
-    scale = F.when(money("l_tax") == Decimal("0.08"), F.lit(Decimal("1.00"))).otherwise(F.lit(Decimal("0.05")))
+    price, up, down = cents("l_extendedprice"), cents("l_discount"), cents("l_tax")
     base = lineitem.select(
         "l_linenumber",
         "l_returnflag",
         ticker.alias("ticker"),
         F.trunc(F.col("l_shipdate").cast("date"), "month").alias("date"),
-        (money("l_extendedprice") * scale).cast(MONEY).alias("open"),
-        ((money("l_quantity") - 25) / 100).cast(MONEY).alias("move"),
-        money("l_discount").alias("up"),
-        money("l_tax").alias("down"),
-        F.when(money("l_discount") != Decimal("0.10"), F.col("l_quantity") * 100).alias("volume"),
+        F.when(down == 8, price).otherwise(F.call_function("div", price * 5 + 50, F.lit(100))).alias("open"),
+        (F.col("l_quantity").cast("long") - 25).alias("move"),
+        up.alias("up"),
+        down.alias("down"),
+        F.when(up != 10, F.col("l_quantity") * 100).alias("volume"),
         F.col("l_shipdate").alias("insert_datetime"),
     )
-    base = base.withColumn("close", (F.col("open") + F.col("move")).cast(MONEY))
+    base = base.withColumn("close", F.col("open") + F.col("move"))
     low = F.least("open", "close") - F.col("down")
     crossed = (line == 7) & (F.col("l_returnflag") == "R")
-    high = F.when(crossed, low - Decimal("0.01")).otherwise(F.greatest("open", "close") + F.col("up"))
+    high = F.when(crossed, low - 1).otherwise(F.greatest("open", "close") + F.col("up"))
+    prices = {"open": F.col("open"), "high": high, "low": low, "close": F.col("close")}
     return base.select(
         "ticker",
         "date",
-        *[c.cast(MONEY).cast("double").alias(n) for n, c in
-          (("open", F.col("open")), ("high", high), ("low", low), ("close", F.col("close")))],
+        *[(value / 100.0).alias(name) for name, value in prices.items()],
         "volume",
         "insert_datetime",
         F.col("l_linenumber").alias("batch"),

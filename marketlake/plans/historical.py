@@ -19,6 +19,7 @@ from marketlake.operators.quality import Suite
 from marketlake.plans import suites
 from marketlake.plans.gold import create_gold_views
 from marketlake.plans.lake import Lake, Run
+from marketlake.session import checkpointed
 from marketlake.sources.landing import ticker_from_path
 from marketlake.sources.tables import create_layers, refresh, refresh_monthly, write_metrics, write_report
 
@@ -168,9 +169,12 @@ def run_historical(
 def validate(
     spark: SparkSession, lake: Lake, table: str, suite: Suite, run_ts: dt.datetime, fail_on_error: bool = False
 ) -> None:
-    """Report of one suite, with samples of the values that break its rules."""
+    """Report of one suite; values that break its rules are looked up only when a rule is broken."""
     rows = spark.table(f"{lake.bronze}.{table}")
-    write_report(suite.run(rows), f"{lake.reports}/{table}", run_ts)
-    write_report(suite.samples(rows), f"{lake.reports}/{table}_samples", run_ts)
+    results = checkpointed(suite.run(rows))
+    write_report(results, f"{lake.reports}/{table}", run_ts)
+    failed = [r["position"] for r in results.filter(~F.col("success")).collect()]
+    if failed:
+        write_report(suite.samples(rows, positions=failed), f"{lake.reports}/{table}_samples", run_ts)
     if fail_on_error:
-        suite.check(rows, fail_on_error=True)
+        suite.raise_failed(results)

@@ -28,7 +28,7 @@ from marketlake.plans import adapters, gold, suites
 from marketlake.plans.daily import run_daily
 from marketlake.plans.historical import run_historical
 from marketlake.plans.lake import Lake
-from marketlake.session import scratch_path
+from marketlake.session import checkpointed, scratch_path
 from marketlake.sources.landing import latest_snapshot
 from marketlake.sources.payloads import explode_rates, flatten_rate, pick_keys, upper_headers
 from marketlake.sources.tables import write_landing
@@ -77,7 +77,7 @@ def stock_facts(spark, sf):
 
 
 def stock_facts_silver(spark, sf):
-    silver = surrogate_key(_silver_ohlcv(spark, sf), "stock_id", [F.col("ticker"), F.col("date")])
+    silver = checkpointed(surrogate_key_silver(spark, sf))  # a stored table in the flows
     return _rounded_facts(gold.stock_facts(silver))
 
 
@@ -213,8 +213,17 @@ def unique_violations_ohlcv(spark, sf):
     return unique_violations(_trimmed_ohlcv(spark, sf), ["ticker", "date"])
 
 
+BAR_KEY = ["ticker", "date"]
+
+
 def surrogate_key_ohlcv(spark, sf):
-    return surrogate_key(_clean_ohlcv(spark, sf), "stock_id", [F.col("ticker"), F.col("date")])
+    clean = checkpointed(_clean_ohlcv(spark, sf))  # a stored table in the flows
+    return surrogate_key(clean, "stock_id", [F.col(k) for k in BAR_KEY], unique=True)
+
+
+def surrogate_key_silver(spark, sf):
+    clean = checkpointed(_silver_ohlcv(spark, sf))
+    return surrogate_key(clean, "stock_id", [F.col(k) for k in BAR_KEY], unique=True)
 
 
 # --- upsert -----------------------------------------------------------------------------------
@@ -224,7 +233,7 @@ def upsert_ohlcv(spark, sf):
     """First half of the lines as the stored table, second half as the incoming batch."""
     rows = _trimmed_ohlcv(spark, sf)
     stored = keep_first(rows.filter("batch <= 3").drop("batch"), ["ticker", "date"])
-    target = surrogate_key(stored, "id", [F.col("ticker"), F.col("date")])
+    target = checkpointed(surrogate_key(stored, "id", [F.col("ticker"), F.col("date")], unique=True))
     return upsert(target, rows.filter("batch > 3").drop("batch"), ["ticker", "date"], id_col="id")
 
 

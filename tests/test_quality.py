@@ -35,6 +35,7 @@ def test_daily_bars_break_one_rule(bars):
     assert [(r.rule, r.value, r.sample) for r in suite.samples(bars).collect()] == [
         ("pair_ge(high, close)", "98.54/98.6", 1)
     ]
+    assert suite.samples(bars, positions=[1, 2]).count() == 0
     assert [r.ticker for r in suite.clean(bars)[1].collect()] == ["TGT"]
 
 
