@@ -80,7 +80,7 @@ def rows_ahead(distinct: DataFrame, keys: Sequence[str], order: Sequence[Column]
     ).drop(_PART, *offsets.columns)
 
 
-def _number_sorted_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+def number_sorted_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Number a whole table of distinct rows: one range shuffle, then a position inside each partition."""
     # Partition number and position come from one id: partition << 33 | position.
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -117,7 +117,7 @@ def number_rows(
         return df.withColumn(name, F.row_number().over(spec).cast("long"))
 
     if unique and not keys:
-        return _number_sorted_rows(df, order, name)
+        return number_sorted_rows(df, order, name)
     if unique:
         numbered = rows_ahead(df.withColumn(COPIES, F.lit(1).cast("long")), keys, order)
         return numbered.select(*df.columns, (F.col(AHEAD) + 1).alias(name))

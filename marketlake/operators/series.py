@@ -7,7 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from marketlake.operators.ordering import MAX_GROUP_ROWS, group_sizes, number_rows
+from marketlake.operators.ordering import MAX_GROUP_ROWS, group_sizes, number_sorted_rows
+
+BLOCK_ROWS = 100_000
 
 _ROW, _HOME, _BLOCK = "_row", "_home", "_block"
 
@@ -31,8 +33,10 @@ def over_series(
     if group_sizes(df, keys).largest <= max_group_rows:
         return compute(df, Window.partitionBy(*keys).orderBy(time))
 
-    size = max(max_group_rows, lookback)
-    numbered = number_rows(df, keys, [F.col(time)], _ROW, max_group_rows, unique=True)
+    # Blocks are cut from the whole table in (keys, time) order, so all have the same size. The rows
+    # before a block start belong to the same series or to another one, which the window keeps apart.
+    size = max(min(max_group_rows, BLOCK_ROWS), lookback)
+    numbered = number_sorted_rows(df, [*[F.col(k) for k in keys], F.col(time)], _ROW)
     home = F.expr(f"({_ROW} - 1) div {size}")
     in_tail = F.expr(f"({_ROW} - 1) % {size}") >= size - lookback
     blocks = F.when(in_tail, F.array(_HOME, F.col(_HOME) + 1)).otherwise(F.array(_HOME))
