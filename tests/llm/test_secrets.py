@@ -1,0 +1,94 @@
+import hashlib
+import re
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+from cases import SF, by_id, docs, with_clashes
+
+from marketlake.llm.secrets import RULES, Rule, find_secrets, secret_report, trigram_query
+
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
+)
+
+
+def brute(text):
+    text = text or ""
+    base = [("assign", m) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    base += [("access", m) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    base += [("hex", m) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    more = [(r.kind, m) for r in RULES[3:] for m in re.finditer(r.pattern, text)]
+    order = {r.kind: i for i, r in enumerate(RULES)}
+
+    def join(found):
+        found = sorted((m.start(), order[k], k, m.end()) for k, m in found)
+        return ",".join(f"{k}:{a}:{b}" for a, _, k, b in found)
+
+    return {
+        **{f"n_{kind}": sum(k == kind for k, _ in base) for kind in ("assign", "access", "hex")},
+        "base_sha256": hashlib.sha256(join(base).encode()).hexdigest(),
+        "spans": join(base + more),
+    }
+
+
+TEXTS = [
+    None,
+    "",
+    "nothing here",
+    "é😀 PassWord = \"abcdefgh1\" and token: x and ToKeN:'longer+value=='",
+    "secret: token = abcdef123 api-key=abcdefg api_key:=abcdefg apikey='ABCDEFG'",
+    "AKIA" + "A1" * 8 + " AKIAAKIA" + "Z" * 11 + " AKIA" + "Z" * 16,
+    "f" * 23 + " " + "0123456789abcdef" * 2 + "g" + "a" * 24,
+    "token=" + "ab12" * 20 + "\npasswd=" + "deadbeef" * 5,
+    "ghp_" + "a1" * 20 + " xoxb-1234567890ab https://me:pw@host/ eyJabcdefgh.eyJabcdefgh.abcdefghij",
+    "-----BEGIN RSA PRIVATE KEY----- -----BEGIN PRIVATE KEY-----",
+    "AIza" + "b" * 35 + " sk_live_" + "0a" * 12 + " ſecret=abcdefg toKen=abcdefg",
+    "x " * 3000 + "token=abcdefgh " * 700,
+]
+
+
+def check(df, texts):
+    got = by_id(df)
+    assert sum(map(len, got.values())) == len(texts)
+    for i, text in enumerate(texts):
+        for row in got[i]:
+            assert {k: v for k, v in row.items() if k != "doc_id"} == brute(text), text and text[:80]
+
+
+def test_against_brute_force(spark):
+    check(secret_report(with_clashes(docs(spark, TEXTS))), TEXTS)
+
+
+def test_given_table(spark):
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = dict(given.select("doc_id", "text").collect())
+    got = by_id(secret_report(given))
+    assert all(len(v) == 1 for v in got.values()) and got.keys() == texts.keys()
+    for i, text in texts.items():
+        assert {k: v for k, v in got[i][0].items() if k != "doc_id"} == brute(text)
+
+
+def test_repeated_rows_null_ids_and_empty_table(spark):
+    df = docs(spark, ["token=abcdefg", "token=abcdefg", "password=1234567"], ids=[1, 1, None])
+    rows = secret_report(df).collect()
+    assert [r["n_assign"] for r in rows] == [1, 1, 1]
+    assert secret_report(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("rule", RULES, ids=lambda r: r.kind)
+def test_query_never_misses_a_match(rule):
+    query = trigram_query(rule.pattern)
+    for text in (t for t in TEXTS if t):
+        low = text.lower()
+        if re.search(rule.pattern, text, re.A) and query:
+            assert any(all(g in low for g in clause) for clause in query)
+
+
+def test_rules_without_trigrams_scan_fully(spark):
+    assert trigram_query(r"[0-9]{4}") == [] and trigram_query(r"(ab)?c+") == []
+    df = docs(spark, ["a 1234 b", "none"])
+    got = by_id(find_secrets(df, rules=(Rule("pin", r"[0-9]{4}"),)))
+    assert [(s["start"], s["end"]) for s in got[0][0]["spans"]] == [(2, 6)] and got[1][0]["spans"] == []
