@@ -5,14 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.llm.common import table
+from marketlake.llm.pii import pii_report
+from marketlake.llm.quality_rules import quality_report
 from marketlake.llm.secrets import secret_report
 
 
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_secret_scan": op2_secret_scan,
+    "op9_quality_rules": op9_quality_rules,
 }
 ORACLES: dict[str, str] = {}
