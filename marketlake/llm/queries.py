@@ -8,6 +8,7 @@ from marketlake.llm.common import table
 from marketlake.llm.pii import pii_report
 from marketlake.llm.quality_rules import quality_report
 from marketlake.llm.secrets import secret_report
+from marketlake.llm.simhash import simhash_report
 
 
 def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_report(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -25,6 +30,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_secret_scan": op2_secret_scan,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 ORACLES: dict[str, str] = {}
