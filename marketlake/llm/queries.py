@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.llm.common import table
+from marketlake.llm.decontamination import ORACLE as DECONTAMINATION
+from marketlake.llm.decontamination import decontamination_report
 from marketlake.llm.pii import pii_report
 from marketlake.llm.quality_rules import quality_report
 from marketlake.llm.secrets import secret_report
@@ -23,6 +25,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_report(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,6 +37,7 @@ QUERIES = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_secret_scan": op2_secret_scan,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_decontamination": op6_decontamination,
     "op9_quality_rules": op9_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_decontamination": DECONTAMINATION}
