@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from marketlake.llm.bpe import bpe_report
 from marketlake.llm.common import table
 from marketlake.llm.decontamination import ORACLE as DECONTAMINATION
 from marketlake.llm.decontamination import decontamination_report
@@ -29,6 +31,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,6 +44,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op6_decontamination": op6_decontamination,
+    "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality_rules": op9_quality_rules,
 }
 ORACLES: dict[str, str] = {"op6_decontamination": DECONTAMINATION}
