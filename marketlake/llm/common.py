@@ -31,6 +31,17 @@ def text_key(*columns: str | Column) -> Column:
     return F.xxhash64(*columns)
 
 
+def row_keys(id_col: str, text: str) -> list[Column]:
+    """``key`` and ``key2``: together they tell rows apart that differ in id or text. Rows equal in both share them."""
+    return [F.xxhash64(id_col, text).alias("key"), F.hash(text, id_col).alias("key2")]
+
+
+def keyed_rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(row, key, key2): whole rows with their keys, whatever their columns are called."""
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(own.alias("row"), *row_keys(id_col, text))
+
+
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` evaluated once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))

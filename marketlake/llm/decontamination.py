@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored
+from marketlake.llm.common import keyed_rows, row_keys, stored
 
 WINDOW = 10
 GRAM = 5
@@ -196,7 +196,7 @@ def item_fingerprints(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id"
 ) -> DataFrame:
-    """(id, n_words, n_hit, items) for every row; ``items`` are the ids, as sorted strings, whose windows occur."""
+    """(id, key, key2, n_words, n_hit, items) for every row; ``items`` are the ids, as sorted strings, whose windows occur."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col("text").alias("text"))
     windows = stored(
         items.mapInPandas(item_windows, "item string, size int, digest binary").distinct(), "benchmark-windows"
@@ -206,10 +206,7 @@ def contamination(
     )
     sizes = [r["size"] for r in windows.where(F.col("size") < WINDOW).select("size").distinct().collect()]  # below 10
 
-    # Two hashes together tell rows apart that differ in id or text; equal rows may share what is found.
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).select(
-        "id", F.xxhash64("id", "text").alias("key"), F.hash("text", "id").alias("key2"), "text"
-    )
+    rows = docs.select(F.col(id_col).alias("id"), *row_keys(id_col, text), F.col(text).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     marks = stored(
         rows.mapInArrow(
@@ -251,7 +248,9 @@ def contamination(
         .join(spans.select("key", "key2", covered.alias("n_hit")), ["key", "key2"], "left")
         .join(listed, ["key", "key2"], "left")
         .select(
-            F.col("id").alias(id_col),
+            "id",
+            "key",
+            "key2",
             "n_words",
             F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -261,7 +260,7 @@ def contamination(
 
 def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return contamination(docs, benchmark).select(
-        "doc_id",
+        F.col("id").alias("doc_id"),
         "n_words",
         "n_hit",
         F.size("items").cast("bigint").alias("n_items"),
@@ -270,6 +269,13 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without a hit."""
+    hit = contamination(docs, benchmark, id_col, text).where("n_hit > 0").select("key", "key2").distinct()
+    hit = stored(hit, "contaminated")
+    return keyed_rows(docs, id_col, text).join(hit, ["key", "key2"], "left_anti").select("row.*")
+
+
 #: The same rows in SQL: every window of every document is compared.
 ORACLE = r"""
 WITH d AS (

@@ -161,20 +161,27 @@ def micro_weights(raw: list[float], target: list[float]) -> tuple[int, ...]:
     return tuple(round(MICRO * math.log((t / all_target) / (r / all_raw))) for r, t in zip(raw, target, strict=True))
 
 
-def judge(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, the fixed counts, ``base_failed``, ``score`` and ``kept``."""
-    rows = docs.select(F.col(id_col).alias(id_col), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    hashed = (
+def judge(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
+    """(row, verdict) for every row: the row itself, and its fixed counts, ``base_failed``, ``score`` and ``kept``."""
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(own.alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    counted = (
         with_grams(rows, "text")
         .withColumn("h4", widened(F.col("h2"), 2))
         .withColumn("h8", widened(F.col("h4"), 4))
-        .select(id_col, *base_columns(F.col("text")), score(model.column()).alias("score"))
+        .select("row", *base_columns(F.col("text")), score(model.column()).alias("score"))
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     passed = F.lit(True) if model.threshold is None else F.col("score") >= model.threshold
-    return hashed.withColumn("base_failed", failed).withColumn("kept", F.when(failed, False).otherwise(passed))
+    judged = counted.withColumn("base_failed", failed).withColumn("kept", F.when(failed, False).otherwise(passed))
+    return judged.select("row", F.struct(*[c for c in judged.columns if c != "row"]).alias("verdict"))
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """All rows of ``docs`` judged by a model fit on them and ``labels``."""
-    return judge(docs, fit(docs, labels))
+    return judge(docs.select("doc_id", "text"), fit(docs, labels)).select("row.doc_id", "verdict.*")
+
+
+def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept."""
+    return judge(docs, fit(docs, labels)).where("verdict.kept").select("row.*")

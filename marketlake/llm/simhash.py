@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored
+from marketlake.llm.common import keyed_rows, row_keys, stored
 from marketlake.llm.components import components
 
 SHINGLE = 3
@@ -63,7 +63,7 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) for every row; ``fp`` is the fingerprint as a signed long."""
+    """(id, key, key2, fp) for every row; ``fp`` is the fingerprint as a signed long."""
 
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sh
             yield pd.Series(found.view(np.int64))
 
     fingerprint = F.pandas_udf(of, "bigint")
-    return docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text)).alias("fp"))
+    return docs.select(F.col(id_col).alias("id"), *row_keys(id_col, text), fingerprint(F.col(text)).alias("fp"))
 
 
 # --- covering masks --------------------------------------------------------------------------------------------------
@@ -159,7 +159,7 @@ def near_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
 ) -> DataFrame:
-    """(id, fp, component_id) for every row."""
+    """(id, key, key2, fp, root, component_id) for every row; ``root`` names the component, also one without ids."""
     own = stored(fingerprints(docs, id_col, text, shingle), "fingerprints")
     fps = stored(own.groupBy("fp").agg(F.min("id").alias("first")), "fingerprint-firsts")
     roots = components(near_links(fps.select("fp"), radius))
@@ -167,8 +167,17 @@ def near_duplicates(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     linked = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = stored(rooted.join(linked, "root").select("fp", "component_id"), "fingerprint-classes")
-    return own.join(classes, "fp", "left").select(F.col("id").alias(id_col), "fp", "component_id")
+    classes = stored(rooted.join(linked, "root").select("fp", "root", "component_id"), "fingerprint-classes")
+    return own.join(classes, "fp", "left").select("id", "key", "key2", "fp", "root", "component_id")
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component: that of the smallest id, of the smallest key among equal or missing ids."""
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "key", "key2")
+    firsts = near_duplicates(docs, id_col, text).groupBy("root").agg(F.min(order).alias("first"))
+    firsts = stored(firsts.select("first.key", "first.key2"), "simhash-kept")
+    kept = keyed_rows(docs, id_col, text).join(firsts, ["key", "key2"], "left_semi")
+    return kept.dropDuplicates(["key", "key2"]).select("row.*")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -177,4 +186,4 @@ def hex_digits(fp: Column) -> Column:
 
 def simhash_report(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
-    return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+    return found.select(F.col("id").alias("doc_id"), hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
