@@ -1,0 +1,103 @@
+import hashlib
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+import zstandard
+
+sys.path.insert(0, str(Path(__file__).parent))
+sys.path.insert(0, str(Path(__file__).parents[1]))
+from cases import SF, with_clashes
+from compare import difference
+
+from marketlake.llm import warc
+
+PAGES = "page_id bigint, url string, html string"
+LONG = "<p>é " + "x" * 1200
+
+
+def brute(rows):
+    out = []
+    for page, _, html in rows:
+        data = (html or "").encode()
+        same = [p for p, _, h in rows if (h or "") == (html or "") and p is not None]
+        response = max(same) if same and len(data) >= 1000 else None
+        refers = response if response is not None and page != response else None
+        out.append((page, len(data), hashlib.sha1(data).hexdigest(), "response" if refers is None else "revisit", refers))
+    return sorted(out, key=repr)
+
+
+ROWS = [
+    (1, "http://a/1", LONG),
+    (2, None, LONG),
+    (9, "http://a/\r\nX: y", LONG),
+    (9, "http://a/\r\nX: y", LONG),
+    (None, "http://n", LONG),
+    (None, "http://n", LONG + "only without ids"),
+    (3, "u", "short"),
+    (4, "u", "short"),
+    (5, "u", None),
+    (6, "", ""),
+    (7, "u", "\r\n\r\nWARC/1.1\r\n\r\n" * 400),
+    (8, "u", "y" * 3_000_000),
+]
+
+
+def got(df):
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr)
+
+
+def test_against_brute_force(spark):
+    df = with_clashes(spark.createDataFrame(ROWS, PAGES).repartition(3))
+    assert got(warc.warc_report(df)) == brute(ROWS)
+    assert warc.warc_report(df.limit(0)).count() == 0
+
+
+def test_given_table_agrees_with_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    assert difference(warc.warc_report(spark.read.parquet(f"{SF}/pages.parquet")), con, warc.ORACLE) is None
+
+
+def test_files_are_archives_and_payloads_return(spark, tmp_path, monkeypatch):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    path = str(tmp_path / "archives")
+    warc.write_archives(pages.repartition(2), path)
+    files = [f for f in (tmp_path / "archives").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 2
+    for file in files:
+        data = file.read_bytes()
+        assert data[:4] == (0x184D2A5D).to_bytes(4, "little") and data.endswith(warc.EMPTY_FRAME.encode())
+        assert all(text.startswith(b"WARC/1.1\r\n") for _, text in warc.frames(data))
+    back = {r["page_id"]: r["payload"] for r in warc.read_archives(spark, path).collect()}
+    assert {r["page_id"]: r["html"].encode() for r in pages.collect()} == {k: bytes(v) for k, v in back.items()}
+
+
+def test_small_archives_split(spark, monkeypatch):
+    batch = warc.pa.RecordBatch.from_pylist(
+        [{"page_id": i, "url": "u", "payload": b"z" * 900, "refers_to": None} for i in range(50)]
+    )
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 10_000)
+    archives = [b.column(0)[0].as_py() for b in warc.pack(iter([batch]))]
+    assert len(archives) > 4
+    assert [warc.parse(d, a)["page_id"] for x in archives for a, d in warc.frames(x)] == list(range(50))
+
+
+def test_faults_are_found():
+    good = warc.record(1, "u", b"payload", None)
+    packed = zstandard.ZstdCompressor(write_checksum=True).compress(good)
+    assert [d for _, d in warc.frames(packed)] == [good]
+    for bad in (packed[:-1], packed + b"junk junk", packed[:10] + b"\0" + packed[11:]):
+        with pytest.raises(ValueError, match="offset"):
+            list(warc.frames(bad))
+    for bad in (
+        good[:-1],
+        good.replace(b"payload", b"Payload"),
+        good.replace(b"WARC/1.1", b"WARC/0.9"),
+        good.replace(b"WARC-Type: response\r\n", b""),
+        good + good,
+    ):
+        with pytest.raises(ValueError, match="offset"):
+            warc.parse(bad, 0)
