@@ -1,0 +1,120 @@
+import random
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).parent))
+import numpy as np
+from cases import SF, by_id, docs, with_clashes
+
+from marketlake.llm.substring_dedup import GEAR, LEAST_UNIT, REACH, cuts, substring_report, units
+
+
+def slow_cuts(text):
+    """The same cuts, place by place."""
+
+    def value(i):
+        if not 0 <= i < len(text) or text[i] & 0xC0 == 0x80:
+            return 2**32 - 1
+        h = sum(int(GEAR[text[i - j]]) << j for j in range(16) if i >= j) & (2**32 - 1)
+        h = h * 0x9E3779B1 & (2**32 - 1)
+        return h ^ h >> 15
+
+    v = {i: value(i) for i in range(-REACH, len(text) + REACH + 1)}
+    inner = [
+        i
+        for i in range(1, len(text))
+        if all(v[i] < v[i - d] and v[i] <= v[i + d] for d in range(1, REACH + 1))
+    ]
+    return [0, *inner, len(text)]
+
+
+def brute(rows):
+    """(id, text) of every row to the text that is left; ids are given and differ."""
+    found = {}
+    for i, text in rows:
+        data = (text or "").encode()
+        if len(data) >= LEAST_UNIT:
+            for digest, a, b in units(data, np.array(slow_cuts(data))):
+                found.setdefault(digest, []).append((i, a, b))
+    gone = {}
+    for places in found.values():
+        for i, a, b in sorted(places)[1:]:
+            gone.setdefault(i, set()).update(range(a, b))
+    out = {}
+    for i, text in rows:
+        data = (text or "").encode()
+        left = bytes(c for at, c in enumerate(data) if at not in gone.get(i, ()))
+        out[i] = None if text is None else left.decode()
+    return out
+
+
+def sentences(seed, n):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choice("abcdeilnorstuéß") for _ in range(draw.randrange(2, 10))) for _ in range(n))
+
+
+PASSAGE = sentences(1, 60)
+TEXTS = [
+    None,
+    "",
+    "short",
+    sentences(2, 100) + " " + PASSAGE + " " + sentences(3, 50),
+    PASSAGE + sentences(4, 80),
+    sentences(5, 3) + PASSAGE,
+    sentences(6, 200),
+    sentences(7, 100) + "\n" + PASSAGE + "\n" + PASSAGE,
+    sentences(8, 30),
+    sentences(8, 30),
+    "a" * 3000,
+    "日本語" * 200 + sentences(9, 20),
+    sentences(10, 3000) + PASSAGE + sentences(11, 3000),
+]
+
+
+def test_cuts_against_the_plain_rule():
+    data = [t.encode() for t in TEXTS if t and len(t) < 3000]
+    for text, places in zip(data, cuts(data), strict=True):
+        assert places.tolist() == slow_cuts(text)
+        assert min(b - a for a, b in zip(places[1:], places[2:-1], strict=False)) > REACH if len(places) > 4 else True
+
+
+def test_against_brute_force(spark):
+    got = by_id(substring_report(with_clashes(docs(spark, TEXTS))))
+    want = brute(list(enumerate(TEXTS)))
+    for i, text in enumerate(TEXTS):
+        row = got[i][0]
+        assert row["text"] == want[i], i
+        assert row["dup_chars"] == len(text or "") - len(row["text"] or "")
+        spans = [tuple(map(int, s.split(":"))) for s in row["spans"].split(",") if s]
+        left, at = "", 0
+        for a, b in spans:
+            left, at = left + text[at:a], b
+        assert (None if text is None else left + text[at:]) == row["text"] and row["n_spans"] == len(spans)
+    middle = PASSAGE[100:250]
+    assert [middle in (got[i][0]["text"] or "") for i in (3, 4, 5, 7, 12)] == [True, False, False, False, False]
+    assert not got[6][0]["has_repeat"] and got[9][0]["text"] == "" and got[8][0]["text"] == TEXTS[8]
+
+
+def test_given_table(spark):
+    given = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 4000")
+    rows = [tuple(r) for r in given.select("doc_id", "text").collect()]
+    want = brute(rows)
+    assert {i: v[0]["text"] for i, v in by_id(substring_report(given)).items()} == want
+
+
+def test_every_long_passage_is_found():
+    missed = 0
+    for seed in range(300):
+        passage = sentences(1000 + seed, 51)
+        one, two = ((sentences(s, 40) + " " + passage + " " + sentences(s + 1, 40)).encode() for s in (seed, 5000 + seed))
+        found = [{d for d, _, _ in units(t, p)} for t, p in zip((one, two), cuts([one, two]), strict=True)]
+        missed += not found[0] & found[1]
+    assert missed == 0
+
+
+def test_repeats_null_ids_and_empty(spark):
+    text = sentences(20, 60)
+    rows = substring_report(docs(spark, [text, text, text, text], ids=[1, 1, None, 2])).collect()
+    left = sorted(((r["doc_id"], r["text"]) for r in rows if r["doc_id"] is not None))
+    assert left == [(1, text), (1, text), (2, "")]
+    assert substring_report(docs(spark, []).limit(0)).count() == 0
