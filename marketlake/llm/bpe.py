@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MOST_WORDS = 1 << 18  # words remembered by a worker
+MOST_WORDS = 1 << 18  # words in each of a worker's two generations of remembered words
 LONGEST_WORD = 48  # longer words are encoded each time
 BLOCK = 1 << 21  # characters of text put into one output batch
 
-NONE = 1 << 62
+FAR = 1 << 30  # the rank of a pair that is never merged
+NONE = FAR << 32
 
 
 def merged(symbols: list[int], ranks: dict[tuple[int, int], int], products: list[int]) -> list[int]:
@@ -40,43 +41,37 @@ def merged(symbols: list[int], ranks: dict[tuple[int, int], int], products: list
     if n < 2:
         return symbols
     size = 1 << (n - 1).bit_length()
-    tree = [NONE] * (2 * size)
-    for i in range(n - 1):
-        rank = ranks.get((symbols[i], symbols[i + 1]))
-        if rank is not None:
-            tree[size + i] = rank << 32 | i
+    rank_of = ranks.get
+    tree = [NONE] * size
+    tree += [rank_of(pair, FAR) << 32 | i for i, pair in enumerate(zip(symbols, symbols[1:]))]
+    tree += [NONE] * (2 * size - len(tree))
     for i in range(size - 1, 0, -1):
-        tree[i] = min(tree[2 * i], tree[2 * i + 1])
-    if tree[1] == NONE:
-        return symbols
-    symbols = list(symbols)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-    def put(at: int, value: int) -> None:
-        at += size
-        tree[at] = value
-        while at > 1:
-            at >>= 1
-            least = min(tree[2 * at], tree[2 * at + 1])
-            if tree[at] == least:
-                return
-            tree[at] = least
-
-    def pair(left: int, right: int) -> None:
-        rank = ranks.get((symbols[left], symbols[right])) if right < n else None
-        put(left, NONE if rank is None else rank << 32 | left)
-
-    while tree[1] != NONE:
-        rank, at = tree[1] >> 32, tree[1] & 0xFFFFFFFF
+        left, right = tree[2 * i], tree[2 * i + 1]
+        tree[i] = left if left < right else right
+    symbols = [*symbols, -1]  # -1 is in no pair
+    after, before = list(range(1, n + 1)), list(range(-1, n))
+    top = tree[1]
+    while top < NONE:
+        at = top & 0xFFFFFFFF
         gone = after[at]
-        symbols[at] = products[rank]
-        after[at] = following = after[gone]
-        if following < n:
-            before[following] = at
-        put(gone, NONE)
-        pair(at, following)
-        if before[at] >= 0:
-            pair(before[at], at)
+        following, previous = after[gone], before[at]
+        symbols[at] = new = products[top >> 32]
+        after[at], before[following] = following, at
+        changed = [(gone, NONE), (at, rank_of((new, symbols[following]), FAR) << 32 | at)]
+        if previous >= 0:
+            changed.append((previous, rank_of((symbols[previous], new), FAR) << 32 | previous))
+        for place, value in changed:
+            place += size
+            tree[place] = value
+            while place > 1:
+                other = tree[place ^ 1]
+                if other < value:
+                    value = other
+                place >>= 1
+                if tree[place] == value:
+                    break
+                tree[place] = value
+        top = tree[1]
     out, at = [], 0
     while at < n:
         out.append(symbols[at])
@@ -92,24 +87,32 @@ def byte_characters() -> list[str]:
 
 
 @cache
-def character_classes() -> tuple[str, str, str]:
+def character_classes() -> tuple[list[tuple[int, int]], ...]:
     """Letters, numbers and spaces as ranges. Unicode grows, so they are those of the published library's version."""
     from tokenizers import Regex
     from tokenizers.pre_tokenizers import Split
 
     everything = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
 
-    def ranges(pattern: str) -> str:
+    def ranges(pattern: str) -> list[tuple[int, int]]:
         runs = Split(Regex(f"{pattern}+"), "removed", invert=True).pre_tokenize_str(everything)
-        return "".join(f"\\U{ord(everything[a]):08x}-\\U{ord(everything[b - 1]):08x}" for _, (a, b) in runs)
+        return [(ord(everything[a]), ord(everything[b - 1])) for _, (a, b) in runs]
 
     return ranges(r"\p{L}"), ranges(r"\p{N}"), ranges(r"\s")
 
 
+def word_pattern(classes: tuple[list[tuple[int, int]], ...], top: int) -> re.Pattern:
+    """The words of texts without characters beyond ``top``. Sets of few characters are matched much faster."""
+    letters, numbers, spaces = (
+        "".join(f"\\U{a:08x}-\\U{min(b, top):08x}" for a, b in ranges if a <= top) for ranges in classes
+    )
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
+
+
 class Codec:
     """One vocabulary: text to ids and back."""
 
-    def __init__(self, source: str, classes: tuple[str, str, str]):
+    def __init__(self, source: str, classes: tuple[list[tuple[int, int]], ...]):
         parts = json.loads(source)
         model = parts["model"]
         self.source = source
@@ -122,24 +125,35 @@ class Codec:
         for left, right in model["merges"]:
             self.ranks[self.vocabulary[left], self.vocabulary[right]] = len(self.products)
             self.products.append(self.vocabulary[left + right])
-        letters, numbers, spaces = classes
-        self.word = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
+        self.latin, self.plane, self.word = (word_pattern(classes, top) for top in (0xFF, 0xFFFF, 0x10FFFF))
         self.special = re.compile(f"({'|'.join(map(re.escape, sorted(specials, key=len, reverse=True)))})")
         self.characters = byte_characters()
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.normalizer = None
 
-    def normal(self, text: str) -> str:
-        """Composed and lower-cased; Latin-1 text is composed already."""
+    def words(self, text: str) -> list[str]:
+        """The composed, lower-cased words. Latin-1 text is composed already."""
         try:
             text.encode("latin-1")
-            return text.lower()
+            return self.latin.findall(text.lower())
         except UnicodeEncodeError:
             if self.normalizer is None:
                 from tokenizers import Tokenizer
 
                 self.normalizer = Tokenizer.from_str(self.source).normalizer
-            return self.normalizer.normalize_str(text)
+            text = self.normalizer.normalize_str(text)
+            return (self.plane if max(text, default="") <= "\uffff" else self.word).findall(text)
+
+    def remember(self, word: str) -> tuple[int, ...]:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.word_ids(word)
+        if len(word) <= LONGEST_WORD:
+            if len(self.known) >= MOST_WORDS:
+                self.known, self.older = {}, self.known
+            self.known[word] = ids
+        return ids
 
     def word_ids(self, word: str) -> tuple[int, ...]:
         own = [self.characters[b] for b in word.encode("utf-8")]
@@ -149,20 +163,12 @@ class Codec:
 
     def encode(self, text: str | None) -> list[int]:
         out: list[int] = []
-        known = self.known
         for part in self.special.split(text or "") if self.specials else [text or ""]:
             if part in self.specials:
                 out.append(self.specials[part])
                 continue
-            for word in self.word.findall(self.normal(part)):
-                ids = known.get(word)
-                if ids is None:
-                    ids = self.word_ids(word)
-                    if len(word) <= LONGEST_WORD:
-                        if len(known) >= MOST_WORDS:
-                            known.clear()
-                        known[word] = ids
-                out.extend(ids)
+            for word in self.words(part):
+                out += self.known.get(word) or self.remember(word)
         return out
 
     def decode(self, ids: list[int]) -> str:
