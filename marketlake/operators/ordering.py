@@ -110,14 +110,14 @@ def number_rows(
     ``at_most`` is a known bound on the rows of a group, if there is one. ``unique`` states that no
     two rows tie on ``keys`` and ``order``.
     """
+    if unique and not keys:
+        return number_sorted_rows(df, order, name)  # no count first, and no task ever sees the whole table
     if at_most is None or at_most > max_group_rows:
         at_most = group_sizes(df, keys).largest
     if at_most <= max_group_rows:
         spec = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
         return df.withColumn(name, F.row_number().over(spec).cast("long"))
 
-    if unique and not keys:
-        return number_sorted_rows(df, order, name)
     if unique:
         numbered = rows_ahead(df.withColumn(COPIES, F.lit(1).cast("long")), keys, order)
         return numbered.select(*df.columns, (F.col(AHEAD) + 1).alias(name))

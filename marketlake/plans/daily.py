@@ -16,8 +16,7 @@ from marketlake.operators.upsert import upsert_table
 from marketlake.plans import suites
 from marketlake.plans.historical import validate
 from marketlake.plans.lake import Lake, Run
-from marketlake.sources.tables import append, create_empty, create_layers, refresh
-
+from marketlake.sources.tables import create_empty, create_layers, keep_rejects, refresh
 
 _JSON_TYPES = {"bigint": "long", "int": "integer", "smallint": "short"}
 
@@ -55,18 +54,24 @@ def daily_rates(rows: DataFrame) -> DataFrame:
 def _stage(rows: DataFrame, contract: Contract, table: str, batch_ts: dt.datetime) -> None:
     good, rejects = enforce(rows.withColumn("insert_datetime", F.lit(batch_ts)), contract)
     refresh(good, table)
-    append(rejects, f"{table}_rejects")
+    keep_rejects(rejects, f"{table}_rejects", batch_ts.date().isoformat())
 
 
-def silver_bars(staged: DataFrame) -> DataFrame:
-    """One trimmed row per (ticker, date), load time narrowed to its day."""
+def silver_bars(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One trimmed row per (ticker, date), load time narrowed to its day; and the rows the contract rejects."""
     staged = trim_strings(staged, ["ticker"])
     rows = rank_dedup(staged, ["ticker", "date"])
-    return enforce(rows.withColumn("insert_datetime", F.to_date("insert_datetime")), schemas.OHLCV_SILVER)[0]
+    return enforce(rows.withColumn("insert_datetime", F.to_date("insert_datetime")), schemas.OHLCV_SILVER)
+
+
+def silver_rates(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return enforce(staged.withColumn("insert_datetime", F.to_date("insert_datetime")), schemas.FX_SILVER)
 
 
-def silver_rates(staged: DataFrame) -> DataFrame:
-    return enforce(staged.withColumn("insert_datetime", F.to_date("insert_datetime")), schemas.FX_SILVER)[0]
+def _accepted(split: tuple[DataFrame, DataFrame], table: str, day: dt.date) -> DataFrame:
+    """The good rows; the others are kept beside ``table``."""
+    keep_rejects(split[1], f"{table}_rejects", day.isoformat())
+    return split[0]
 
 
 def run_daily(
@@ -90,26 +95,35 @@ def run_daily(
     ))
     run.step("lineage_bars", lambda: upsert_table(
         spark, f"{lake.bronze}.ohclv_daily_lineage",
-        enforce(spark.table(bars), schemas.OHLCV_DAILY_LINEAGE)[0], ["ticker", "date"], id_col="id",
-    ))
+        _accepted(
+            enforce(spark.table(bars), schemas.OHLCV_DAILY_LINEAGE), f"{lake.bronze}.ohclv_daily_lineage", day
+        ),
+        ["ticker", "date"], id_col="id",
+    ), ["stage_bars"])
     run.step("lineage_rates", lambda: upsert_table(
         spark, f"{lake.bronze}.exchange_daily_lineage",
-        enforce(spark.table(rates), schemas.FX_DAILY_LINEAGE)[0], ["date"], id_col="id",
-    ))
+        _accepted(
+            enforce(spark.table(rates), schemas.FX_DAILY_LINEAGE), f"{lake.bronze}.exchange_daily_lineage", day
+        ),
+        ["date"], id_col="id",
+    ), ["stage_rates"])
     run.step("validate_bars", lambda: validate(
         spark, lake, "ohclv_daily_bronze", suites.ohlcv_daily_suite(day), run_ts, fail_on_error
-    ))
+    ), ["stage_bars"])
     run.step("validate_rates", lambda: validate(
         spark, lake, "exchange_daily_bronze", suites.fx_daily_suite(day), run_ts, fail_on_error
-    ))
+    ), ["stage_rates"])
     run.step("processed_bars", lambda: refresh(
-        silver_bars(spark.table(bars)), f"{lake.bronze}.ohclv_daily_processed"
-    ))
+        _accepted(silver_bars(spark.table(bars)), f"{lake.silver}.ohclv_daily", day),
+        f"{lake.bronze}.ohclv_daily_processed",
+    ), ["stage_bars"])
     run.step("silver_bars", lambda: upsert_table(
         spark, f"{lake.silver}.ohclv_silver", spark.table(f"{lake.bronze}.ohclv_daily_processed"),
         ["ticker", "date"], id_col="stock_id",
-    ))
+    ), ["processed_bars"])
     run.step("silver_rates", lambda: upsert_table(
-        spark, f"{lake.silver}.exchange_rates_silver", silver_rates(spark.table(rates)), ["date"], id_col="rate_id",
-    ))
+        spark, f"{lake.silver}.exchange_rates_silver",
+        _accepted(silver_rates(spark.table(rates)), f"{lake.silver}.exchange_daily", day),
+        ["date"], id_col="rate_id",
+    ), ["stage_rates"])
     return run.steps

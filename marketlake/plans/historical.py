@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from marketlake import schemas
 from marketlake.functions.columns import trim_strings
-from marketlake.operators.contract import Contract, enforce
+from marketlake.operators.contract import Contract, enforce, require_unique
 from marketlake.operators.dedup import keep_first, keep_ranked, newest_first, rank_rows
 from marketlake.operators.fill import median_fill
 from marketlake.operators.ordering import surrogate_key
@@ -73,7 +73,7 @@ def validation_suites(now: dt.datetime) -> dict[str, Suite]:
 
 
 def layer_metrics(spark: SparkSession, lake: Lake) -> DataFrame:
-    tables = BRONZE_COLUMNS.items()
+    tables = [(n, c) for n, c in BRONZE_COLUMNS.items() if spark.catalog.tableExists(f"{lake.bronze}.{n}")]
     return null_profile({name: (spark.table(f"{lake.bronze}.{name}"), cols) for name, cols in tables})
 
 
@@ -100,6 +100,7 @@ def _to_silver(
     if "insert_datetime" in contract.names:
         clean = clean.withColumn("insert_datetime", F.lit(load_date))
     good, rejects = enforce(clean, contract)
+    require_unique(good, contract.unique or keys, contract.name)
     by_key: list[Column] = [F.col(k) for k in keys]
     table = f"{lake.silver}.{contract.name}"
     numbered = surrogate_key(good, id_col, by_key, unique=True)
@@ -117,21 +118,21 @@ def load_silver(spark: SparkSession, lake: Lake, load_date: dt.date, run: Run, r
     run.step("silver_ohlcv", lambda: to_silver(
         "ohclv", bronze("ohclv_bronze").withColumnRenamed("id", "stock_id"),
         ["ticker", "date"], "stock_id", schemas.OHLCV_SILVER, monthly=True,
-    ))
+    ), ["ohclv_bronze"])
     run.step("silver_company", lambda: to_silver(
         "company_meta_data", bronze("company_meta_data_bronze"),
         ["ticker"], "company_id", schemas.COMPANY_SILVER,
-    ))
+    ), ["company_meta_data_bronze"])
     run.step("silver_fx", lambda: to_silver(
         "exchange_rates",
         bronze("exchange_rates_bronze").withColumnRenamed("id", "rate_id").withColumn("date", F.to_date("date")),
         ["date"], "rate_id", schemas.FX_SILVER, monthly=True,
-    ))
+    ), ["exchange_rates_bronze"])
     run.step("silver_macro", lambda: to_silver(
         "macro_economic_data",
         bronze("macro_economic_data_bronze").withColumnsRenamed({"id": "data_id", "country_id": "country_code"}),
         ["country_code", "year"], "data_id", schemas.MACRO_SILVER,
-    ))
+    ), ["macro_economic_data_bronze"])
 
 
 def run_historical(
@@ -159,7 +160,7 @@ def run_historical(
     for name, load in loads.items():
         run.step(name, lambda: refresh(load(), f"{lake.bronze}.{name}"))
     for name, suite in validation_suites(run_ts).items():
-        run.step(f"validate_{name}", lambda: validate(spark, lake, name, suite, run_ts, fail_on_error))
+        run.step(f"validate_{name}", lambda: validate(spark, lake, name, suite, run_ts, fail_on_error), [name])
     run.step("layer_metrics", lambda: write_metrics(layer_metrics(spark, lake), f"{lake.reports}/bronze_layer_metrics"))
     load_silver(spark, lake, day, run, ranked)
     run.step("gold", lambda: create_gold_views(spark, lake.silver, lake.gold))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from marketlake.sources.landing import landing_glob, read_landing, read_stamped
+from marketlake.sources.landing import NoLandingFiles, landing_glob, read_landing, read_stamped
 
 log = logging.getLogger("marketlake")
 
@@ -41,10 +41,10 @@ class Lake:
     def landing(
         self, spark: SparkSession, root: str, schema: T.StructType, run_day: dt.date, by_ticker: bool = False
     ) -> DataFrame:
-        """Newest snapshot per leaf of ``run_day``."""
+        """Newest snapshot per leaf of ``run_day``; ``NoLandingFiles`` without any."""
         if self.stamped:
-            return read_stamped(spark, root, schema, run_day=run_day)
-        return read_landing(spark, root, schema, run_day, by_ticker)
+            return read_stamped(spark, root, schema, run_day=run_day, required=True)
+        return read_landing(spark, root, schema, run_day, by_ticker, required=True)
 
     def folders(self, root: str, by_ticker: bool = False) -> str:
         """Glob of all leaf folders below ``root``."""
@@ -55,15 +55,25 @@ class Lake:
 
 @dataclass
 class Run:
-    """Runs named steps; a failed step is recorded and the next one still runs."""
+    """Runs named steps; a failed step is recorded and the next one still runs, but for those that need it.
+
+    A step without landing files is skipped, as are the steps that need it, so stored tables stay as they are.
+    """
 
     fail_fast: bool = False
     steps: dict[str, str] = field(default_factory=dict)
 
-    def step(self, name: str, action: Callable[[], object]) -> None:
+    def step(self, name: str, action: Callable[[], object], needs: Sequence[str] = ()) -> None:
+        missing = [n for n in needs if self.steps.get(n) != "ok"]
+        if missing:
+            self.steps[name] = f"skipped: needs {', '.join(missing)}"
+            return
         try:
             action()
             self.steps[name] = "ok"
+        except NoLandingFiles as absent:
+            log.warning("step %s skipped: %s", name, absent)
+            self.steps[name] = f"skipped: {absent}"
         except Exception as error:
             if self.fail_fast:
                 raise

@@ -362,8 +362,8 @@ UPSERT_OHLCV = f"""
 FX_BATCH_ORDER = "insert_order DESC, inr_rate"
 UPSERT_FX = f"""
     WITH rows AS (SELECT * FROM ({FX_DAY}) WHERE date IS NOT NULL),
-    t AS ({first('SELECT * FROM rows WHERE insert_order % 2 = 0 AND day(date) <= 20', 'date', FX_BATCH_ORDER)}),
-    s AS ({first('SELECT * FROM rows WHERE insert_order % 2 = 1 AND day(date) >= 10', 'date', FX_BATCH_ORDER)})
+    t AS ({first('SELECT * FROM rows WHERE insert_order % 2 = 0', 'date', FX_BATCH_ORDER)}),
+    s AS ({first('SELECT * FROM rows WHERE insert_order % 2 = 1', 'date', FX_BATCH_ORDER)})
     SELECT date,
            {', '.join(f'CASE WHEN s.insert_order IS NULL THEN t.{c} ELSE s.{c} END AS {c}' for c in FX_COLS[1:])}
     FROM t FULL JOIN s USING (date)

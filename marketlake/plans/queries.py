@@ -240,8 +240,8 @@ def upsert_ohlcv(spark, sf):
 def upsert_fx(spark, sf):
     rates = _fx_by_day(spark, sf).filter("date is not null")
     order = [F.col("insert_order").desc(), F.col("inr_rate").asc()]
-    stored = keep_first(rates.filter("insert_order % 2 = 0 and day(date) <= 20"), ["date"], order)
-    return upsert(stored, rates.filter("insert_order % 2 = 1 and day(date) >= 10"), ["date"], order)
+    stored = keep_first(rates.filter("insert_order % 2 = 0"), ["date"], order)
+    return upsert(stored, rates.filter("insert_order % 2 = 1"), ["date"], order)
 
 
 # --- validation -------------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -16,6 +17,11 @@ from marketlake.session import checkpointed
 
 FILE_COLUMNS = ("file_path", "file_mtime", "run_day", "file_ts", "folder_ticker")
 NEWEST = ("file_mtime", "file_ts", "file_path")
+RAW_PATH = "raw_path"
+
+
+class NoLandingFiles(LookupError):
+    """A landing leaf that a load asked for has no files."""
 
 
 def landing_glob(root: str, run_day: dt.date | None = None, by_ticker: bool = False) -> str:
@@ -35,15 +41,22 @@ def list_files(spark: SparkSession, glob: str) -> DataFrame | None:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return files.select(F.col("path").alias("file_path"), F.col("modificationTime").alias("file_mtime"))
+    # Rows carry their file's encoded name, so files are known by that; the plain one says ticker and day.
+    return files.select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("modificationTime").alias("file_mtime"),
+        F.col("path").alias(RAW_PATH),
+    )
 
 
 def file_facts(files: DataFrame) -> DataFrame:
     """What a path says: ticker folder, run day, time stamp, leaf folder. Evaluated per file, not per row."""
-    path = F.col("file_path")
+    names = [c for c in (RAW_PATH,) if c in files.columns]
+    path = F.col(names[0] if names else "file_path")
     return files.select(
         "file_path",
         "file_mtime",
+        *names,
         F.regexp_replace(path, r"(/run_time=[^/]+)?/[^/]+$", "").alias("leaf"),
         path_ticker(path).alias("folder_ticker"),
         path_run_day(path).alias("run_day"),
@@ -91,15 +104,21 @@ def _read_csv(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructT
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    columns = T.StructType(schema.fields).add("file_path", "string").add("file_mtime", "timestamp")
+    columns = T.StructType([*schema.fields]).add("file_path", "string").add("file_mtime", "timestamp")
     columns = columns.add("run_day", "date").add("file_ts", "timestamp").add("folder_ticker", "string")
     return spark.createDataFrame([], columns)
 
 
+def _absent(spark: SparkSession, schema: T.StructType, root: str, required: bool) -> DataFrame:
+    if required:
+        raise NoLandingFiles(f"no landing files below {root}")
+    return _empty(spark, schema)
+
+
 def _read(spark: SparkSession, facts: DataFrame, schema: T.StructType, **options: str) -> DataFrame:
     # The list of file names on the driver is the one Spark keeps for any file scan.
     files = facts.collect()
-    rows = _read_csv(spark, [f["file_path"] for f in files], schema, **options)
+    rows = _read_csv(spark, [re.sub(r"([\\\[\]{}*?])", r"\\\1", f[RAW_PATH]) for f in files], schema, **options)
     return attach_facts(rows, spark.createDataFrame(files, facts.schema), len(files))
 
 
@@ -110,14 +129,16 @@ def read_landing(
     run_day: dt.date | None = None,
     by_ticker: bool = False,
     latest: bool = True,
+    required: bool = False,
 ) -> DataFrame:
     """Rows of a landing tree ``<root>[/<ticker>]/yyyy/Mon/dd/*.csv`` with their file columns.
 
-    With ``latest`` only the newest file of every leaf is opened. Headers must match ``schema``.
+    With ``latest`` only the newest file of every leaf is opened. Headers must match ``schema``. Without
+    files the result is empty, or ``NoLandingFiles`` is raised if they are ``required``.
     """
     files = list_files(spark, landing_glob(root, run_day, by_ticker))
     if files is None:
-        return _empty(spark, schema)
+        return _absent(spark, schema, root, required)
     facts = file_facts(files)
     return _read(spark, latest_files(facts) if latest else facts, schema, enforceSchema="false")
 
@@ -134,6 +155,7 @@ def read_stamped(
     by: Sequence[str] = (),
     run_day: dt.date | None = None,
     latest: bool = True,
+    required: bool = False,
 ) -> DataFrame:
     """Snapshots in ``[<by>=<value>/]run_day=.../run_time=...`` folders, with the same file columns.
 
@@ -144,12 +166,12 @@ def read_stamped(
     folders = "/".join([*[f"{name}=*" for name in by], f"run_day={day}", "run_time=*"])
     files = list_files(spark, f"{root}/{folders}/*.csv")
     if files is None:
-        return _empty(spark, schema)
-    full = T.StructType(schema.fields)
+        return _absent(spark, schema, root, required)
+    full = T.StructType([*schema.fields])
     for name in by:
         full = full.add(name, "string")
     facts = file_facts(files)
-    return _read(spark, latest_folders(facts) if latest else facts, full, basePath=root)
+    return _read(spark, latest_folders(facts) if latest else facts, full, basePath=root, enforceSchema="false")
 
 
 def stream_landing(spark: SparkSession, folders: str, schema: T.StructType) -> DataFrame:

@@ -38,12 +38,21 @@ def append(df: DataFrame, table: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(table)
 
 
+def keep_rejects(rejects: DataFrame, table: str, run: str) -> None:
+    """Rejected rows of one run below ``table``: the same run again replaces its own rows and no others."""
+    spark = rejects.sparkSession
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run = '{run}')")
+    writer = rejects.withColumn("run", F.lit(run)).write.mode("append").format("parquet").partitionBy("run")
+    writer.saveAsTable(table)
+
+
 def create_empty(spark: SparkSession, table: str, schema: T.StructType, monthly: bool = False) -> None:
     """``CREATE TABLE IF NOT EXISTS`` for an upsert target."""
     if spark.catalog.tableExists(table):
         return
     if monthly:
-        schema = T.StructType(schema.fields).add(MONTH, "string")
+        schema = T.StructType([*schema.fields]).add(MONTH, "string")
     empty = spark.createDataFrame([], schema)
     writer = empty.write.format("parquet")
     (writer.partitionBy(MONTH) if monthly else writer).saveAsTable(table)

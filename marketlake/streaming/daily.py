@@ -14,6 +14,7 @@ from marketlake.plans.daily import create_targets, daily_bars, daily_rates, silv
 from marketlake.plans.lake import Lake
 from marketlake.session import shared_dir
 from marketlake.sources.landing import stream_landing
+from marketlake.sources.tables import keep_rejects
 
 
 def _stamped(rows: DataFrame) -> DataFrame:
@@ -32,13 +33,19 @@ def _stored(spark: SparkSession, table: str, batch: DataFrame, keys: list[str])
 
 def apply_batch(
     spark: SparkSession, rows: DataFrame, lineage: str, contract: Contract, silver: str, keys: list[str],
-    silver_id: str, to_silver,
+    silver_id: str, to_silver, run: str,
 ) -> None:
-    """Upsert one micro-batch. A replayed batch, or an older file that arrives late, changes nothing."""
-    batch = enforce(trim_strings(_stamped(rows)), contract)[0].persist()
+    """Upsert one micro-batch. A replayed batch, or an older file that arrives late, changes nothing.
+
+    Rows that a contract rejects are kept beside the tables, by batch, so a replay adds none.
+    """
+    good, rejects = enforce(trim_strings(_stamped(rows)), contract)
+    keep_rejects(rejects, f"{lineage}_stream_rejects", run)
+    batch = good.persist()
     try:
         upsert_table(spark, lineage, batch, keys, id_col="id", newer_by="insert_datetime")
-        newest = to_silver(_stored(spark, lineage, batch, keys))
+        newest, unfit = to_silver(_stored(spark, lineage, batch, keys))
+        keep_rejects(unfit, f"{silver}_stream_rejects", run)
         upsert_table(spark, silver, newest, keys, id_col=silver_id)
     finally:
         batch.unpersist()
@@ -49,10 +56,10 @@ def stream_bars(spark: SparkSession, lake: Lake, checkpoint: str | None = None)
     create_targets(spark, lake)
     folders = lake.folders(lake.ohlcv, by_ticker=True)
 
-    def apply(batch: DataFrame, _: int) -> None:
+    def apply(batch: DataFrame, number: int) -> None:
         apply_batch(
             spark, daily_bars(batch), f"{lake.bronze}.ohclv_daily_lineage", schemas.OHLCV_DAILY_LINEAGE,
-            f"{lake.silver}.ohclv_silver", ["ticker", "date"], "stock_id", silver_bars,
+            f"{lake.silver}.ohclv_silver", ["ticker", "date"], "stock_id", silver_bars, f"bars-{number}",
         )
 
     return _start(spark, stream_landing(spark, folders, schemas.OHLCV_DAILY), apply, checkpoint, lake, "bars")
@@ -63,10 +70,10 @@ def stream_rates(spark: SparkSession, lake: Lake, checkpoint: str | None = None)
     create_targets(spark, lake)
     folders = lake.folders(lake.fx)
 
-    def apply(batch: DataFrame, _: int) -> None:
+    def apply(batch: DataFrame, number: int) -> None:
         apply_batch(
             spark, daily_rates(batch), f"{lake.bronze}.exchange_daily_lineage", schemas.FX_DAILY_LINEAGE,
-            f"{lake.silver}.exchange_rates_silver", ["date"], "rate_id", silver_rates,
+            f"{lake.silver}.exchange_rates_silver", ["date"], "rate_id", silver_rates, f"rates-{number}",
         )
 
     return _start(spark, stream_landing(spark, folders, schemas.FX_DAILY), apply, checkpoint, lake, "rates")

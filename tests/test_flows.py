@@ -168,3 +168,33 @@ def test_stream_equals_daily_runs(spark, lake, land, tmp_path):
     # A lost checkpoint replays every file; the tables stay the same.
     stream_bars(spark, lake, str(tmp_path / "replay")).awaitTermination()
     assert silver(spark, lake)[0] == want_bars
+
+
+def test_a_day_without_files_leaves_the_tables_alone(spark, historic, land):
+    lake = historic
+    assert set(run_historical(spark, lake, RUN).values()) == {"ok"}
+    before = rows(spark.table(f"{lake.silver}.ohclv_silver").drop(MONTH))
+    later = dt.datetime(2025, 12, 19, 17)
+    land(lake.fx, "2025/Dec/19", "exchange_rates_09-19-44.csv", "Date,INR_amount,USD_rate", ["2025-12-19,91.5,1"])
+    steps = run_historical(spark, lake, later)
+    assert steps["ohclv_bronze"].startswith("skipped") and steps["silver_ohlcv"].startswith("skipped")
+    assert steps["exchange_rates_bronze"] == steps["silver_fx"] == "ok"
+    assert rows(spark.table(f"{lake.silver}.ohclv_silver").drop(MONTH)) == before
+    assert [len(s) for s in (schemas.OHLCV_DAILY, schemas.FX_DAILY)] == [7, 3]
+    steps = run_daily(spark, lake, later)
+    assert {v[:7] for k, v in steps.items() if k != "targets"} == {"skipped"} or steps["stage_bars"].startswith("skipped")
+    daily(land, lake, D18, "13-16-54", {"AAPL": 271}, 90.2)
+    assert set(run_daily(spark, lake, dt.datetime(2025, 12, 18, 18)).values()) == {"ok"}
+
+
+def test_rejected_rows_are_kept_once(spark, lake, land, tmp_path):
+    daily(land, lake, D18, "13-16-54", {"AAPL": 271, "TGT": 12000}, 90.2)
+    for _ in range(2):
+        assert set(run_daily(spark, lake, dt.datetime(2025, 12, 18, 18)).values()) == {"ok"}
+    found = [spark.table(t) for t in (f"{lake.bronze}.ohclv_daily_bronze_rejects", f"{lake.silver}.ohclv_daily_rejects")]
+    assert sum(t.count() for t in found) == 1 and spark.table(f"{lake.silver}.ohclv_silver").count() == 1
+    for name in ("one", "two"):
+        stream_bars(spark, lake, str(tmp_path / name)).awaitTermination()
+    assert spark.table(f"{lake.silver}.ohclv_silver").count() == 1
+    kept = [f"{lake.bronze}.ohclv_daily_lineage_stream_rejects", f"{lake.silver}.ohclv_silver_stream_rejects"]
+    assert sum(spark.table(t).count() for t in kept) == 1

@@ -144,3 +144,13 @@ def test_headers_and_reports(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "report")).count() == 2
     write_metrics(df, str(tmp_path / "metrics"))
     assert spark.read.option("header", True).csv(str(tmp_path / "metrics")).columns == ["Open", "cLose"]
+
+
+def test_file_names_with_encoded_characters(spark, lake, land):
+    tickers = ["AAPL", "^GSPC", "BRK B", "EURUSD=X", "A%41", "A[1]"]
+    for ticker in tickers:
+        row = f"2025-12-18,2,3,1,2,5,{ticker}"
+        land(lake.ohlcv, f"{ticker}/2025/Dec/18", f"{ticker}_stock_13-16-54.csv", BARS, [row])
+    got = ticker_from_path(read_landing(spark, lake.ohlcv, schemas.OHLCV_DAILY, DAY, by_ticker=True))
+    assert sorted(r.ticker for r in got.collect()) == sorted(tickers)
+    assert rows(got.select("ticker", "run_day")) == sorted((t, DAY) for t in tickers)
