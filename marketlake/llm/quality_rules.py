@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import SPACE_RUN, SPACES, bind
+from marketlake.llm.common import SPACE_RUN, SPACES, bind, stored
 
 BUCKETS = 1 << 14
 MICRO = 1_000_000
@@ -183,5 +183,9 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept."""
-    return judge(docs, fit(docs, labels)).where("verdict.kept").select("row.*")
+    """The rows of ``docs`` that are kept.
+
+    Verdicts are stored before they filter: a filter would otherwise be pushed below the hashes, and every use of a
+    hash array would compute it anew.
+    """
+    return stored(judge(docs, fit(docs, labels)), "judged").where("verdict.kept").select("row.*")
