@@ -24,9 +24,14 @@ def change(now: Column, before: Column) -> Column:
 
 
 def number_text(value: Column) -> Column:
-    """Plain decimal text of a number: no exponent, no trailing zeros."""
-    fixed = value.try_cast("decimal(38,10)").cast("string")
-    return F.regexp_replace(fixed, r"\.?0+$", "")
+    """The whole text of a number without trailing zeros; an exponent is written out where 38 digits hold it exactly."""
+    text = value.cast("string")
+    plain = F.lit(None).cast("string")
+    for kind in ("decimal(38,0)", "decimal(38,20)", "decimal(38,37)"):
+        fixed = value.try_cast(kind)
+        plain = F.coalesce(plain, F.when(fixed.cast("double") == value.cast("double"), fixed.cast("string")))
+    text = F.when(text.contains("E"), F.coalesce(plain, text)).otherwise(text)
+    return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
 
 
 def missing_as_null(value: Column) -> Column:
@@ -34,6 +39,12 @@ def missing_as_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """Every floating column with NULL for NaN."""
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: missing_as_null(F.col(c)) for c in floating})
+
+
 def landing_day(ts: Column) -> Column:
     """``yyyy/Mon/dd`` folder of a run."""
     return F.date_format(ts, "yyyy/MMM/dd")

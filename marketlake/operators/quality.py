@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions.columns import number_text
+from marketlake.functions.columns import number_text, without_nan
 
 SAMPLE_ROWS = 20
 
@@ -128,7 +128,8 @@ class Suite:
         object.__setattr__(self, "expectations", tuple(dict.fromkeys(self.expectations)))
 
     def run(self, df: DataFrame) -> DataFrame:
-        """One row per rule. All counts come from a single aggregation."""
+        """One row per rule. All counts come from a single aggregation. NaN counts as a missing value."""
+        df = without_nan(df)
         types = {f.name: f.dataType for f in df.schema.fields}
         aggregates = [F.count(F.lit(1)).alias("n")]
         for i, rule in enumerate(self.expectations):
@@ -178,13 +179,14 @@ class Suite:
 
     def failing_rows(self, df: DataFrame, rule: Expectation) -> DataFrame:
         """Every row that breaks ``rule``."""
-        return df.filter(rule.unexpected({f.name: f.dataType for f in df.schema.fields}))
+        return without_nan(df).filter(rule.unexpected({f.name: f.dataType for f in df.schema.fields}))
 
     def samples(self, df: DataFrame, limit: int = SAMPLE_ROWS, positions: Collection[int] | None = None) -> DataFrame:
         """Up to ``limit`` unexpected values per broken rule, for all rules (or ``positions``) in one pass.
 
         The row limit per rule is applied before the shuffle too.
         """
+        df = without_nan(df)
         types = {f.name: f.dataType for f in df.schema.fields}
 
         def value(rule: Expectation) -> Column:
@@ -210,7 +212,8 @@ class Suite:
         )
 
     def clean(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows that break no rule, and rows that break any, with the rules they break."""
+        """Rows that break no rule, and rows that break any, with the rules they break. NaN becomes NULL."""
+        df = without_nan(df)
         types = {f.name: f.dataType for f in df.schema.fields}
         broken = {rule.rule: rule.unexpected(types) for rule in self.expectations}
         bad = reduce(lambda a, b: a | b, broken.values())

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +86,43 @@ def table_location(spark: SparkSession, table: str) -> str:
     return details.filter("col_name = 'Location'").first()["data_type"]
 
 
+def versions_root(spark: SparkSession, table: str) -> str:
+    """Folder of the months that upserts have written, beside the table's own."""
+    return f"{table_location(spark, table).rstrip('/')}-months"
+
+
+def point_months(spark: SparkSession, table: str, months: Iterable[str], folder: str) -> None:
+    """Let the partitions of ``months`` read from ``folder``; a month changes over at once, its old files stay."""
+    known = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}  # one row per calendar month
+    places = {month: f"PARTITION ({MONTH} = '{month}')" for month in months}
+    added = [f"{p} LOCATION '{folder}/{MONTH}={m}'" for m, p in places.items() if f"{MONTH}={m}" not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
+    for month, place in places.items():
+        if f"{MONTH}={month}" in known:
+            spark.sql(f"ALTER TABLE {table} {place} SET LOCATION '{folder}/{MONTH}={month}'")
+    spark.catalog.refreshTable(table)
+
+
+def drop_old_months(spark: SparkSession, table: str) -> None:
+    """Remove written months that no partition reads from. For quiet times: an older reader may still use them."""
+    used = set()
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        month = row["partition"].split("=", 1)[1]
+        facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({MONTH} = '{month}')")
+        place = facts.filter("col_name = 'Location'").first()["data_type"]
+        used.add("/".join(place.rstrip("/").split("/")[-2:]))
+    root = spark._jvm.org.apache.hadoop.fs.Path(versions_root(spark, table))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return
+    for version in files.listStatus(root):
+        months = [m.getPath() for m in files.listStatus(version.getPath()) if m.isDirectory()]
+        unused = [m for m in months if f"{version.getPath().getName()}/{m.getName()}" not in used]
+        for path in [version.getPath()] if len(unused) == len(months) else unused:
+            files.delete(path, True)
+
+
 def reserve_ids(spark: SparkSession, table: str, id_col: str, count: int) -> int:
     """Set ``count`` ids aside and return the last one in use before them.
 
@@ -110,8 +148,9 @@ def upsert_table(
 ) -> None:
     """Upsert ``source`` into ``table``, a Parquet table partitioned by ``month`` of ``date``.
 
-    Only the months present in the batch are read and rewritten. Running the same batch again gives
-    the same table.
+    Only the months present in the batch are read and rewritten. They are written to new folders, and their
+    partitions point there once all are complete: until then, and if the job is lost, the table keeps its old months.
+    Running the same batch again gives the same table. One writer per table: ids are reserved without a lock.
     """
     target = spark.table(table)
     source = source.withColumn(MONTH, month_of(date)).select(*[c for c in target.columns if c != id_col])
@@ -126,17 +165,8 @@ def upsert_table(
         last_id = reserve_ids(spark, table, id_col, count) if id_col else 0
         touched = target.filter(F.col(MONTH).isin(months))
         merged = _merge(touched, rows, count, [*keys, MONTH], id_col, newer_by, last_id, MAX_BROADCAST_ROWS)
-        # Old files are removed when the job commits, after every task has read and written.
-        (
-            merged.select(*target.columns)
-            .hint("rebalance", F.col(MONTH))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH)
-            .parquet(table_location(spark, table))
-        )
+        folder = f"{versions_root(spark, table)}/{uuid4().hex}"
+        merged.select(*target.columns).hint("rebalance", F.col(MONTH)).write.partitionBy(MONTH).parquet(folder)
     finally:
         rows.unpersist()
-    partitions = " ".join(f"PARTITION ({MONTH} = '{month}')" for month in months)
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partitions}")
-    spark.catalog.refreshTable(table)
+    point_months(spark, table, months, folder)

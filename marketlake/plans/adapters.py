@@ -124,10 +124,10 @@ def fx_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def macro_rows(orders: DataFrame, nation: DataFrame) -> DataFrame:
-    """One observation per order: many per country and year, gaps, one country without unemployment."""
-    country = (F.col("o_custkey") % 25).cast("int")  # the nation table has 25 fixed rows
-    joined = orders.withColumn("n_nationkey", country).join(nation, "n_nationkey")
+def macro_rows(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """One observation per order, by its customer's country: gaps, one country without unemployment."""
+    homes = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+    joined = orders.join(homes, "o_custkey").join(nation, "n_nationkey")
     key, year = F.col("n_nationkey"), F.year("o_orderdate")
     code = F.when(key != 24, F.concat(F.lit("N"), key.cast("string")))
     return joined.select(

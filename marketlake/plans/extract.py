@@ -30,18 +30,25 @@ def provider_macro(panel: DataFrame, start: str, end: str) -> DataFrame:
     return named.select(*schemas.MACRO.names)
 
 
+def _land(rows: DataFrame, lake: Lake, root: str, run: dt.datetime) -> None:
+    """Snapshots of several files need the stamped layout, so a lake that reads another one is refused."""
+    if not lake.stamped:
+        raise ValueError("snapshots are landed in run_day=/run_time= folders: use Lake(stamped=True)")
+    write_landing(rows, root, run)
+
+
 def land_bars(bars: DataFrame, lake: Lake, run: dt.datetime, ticker: str | None = None) -> None:
-    write_landing(provider_bars(bars, ticker), lake.ohlcv, run)
+    _land(provider_bars(bars, ticker), lake, lake.ohlcv, run)
 
 
 def land_macro(panel: DataFrame, lake: Lake, run: dt.datetime, start: str, end: str) -> None:
-    write_landing(provider_macro(panel, start, end), lake.macro, run)
+    _land(provider_macro(panel, start, end), lake, lake.macro, run)
 
 
 def land_companies(payloads: DataFrame, lake: Lake, run: dt.datetime, body: str = "body") -> None:
-    write_landing(pick_keys(payloads, body), lake.company, run)
+    _land(pick_keys(payloads, body), lake, lake.company, run)
 
 
 def land_rates(payloads: DataFrame, lake: Lake, run: dt.datetime, body: str = "body", history: bool = False) -> None:
     """One row per date of a rate history, or the single rate of a latest-rate payload."""
-    write_landing((explode_rates if history else flatten_rate)(payloads, body), lake.fx, run)
+    _land((explode_rates if history else flatten_rate)(payloads, body), lake, lake.fx, run)

@@ -77,7 +77,7 @@ MACRO = """
            CASE WHEN n_nationkey <> 7 AND o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 110 AS DOUBLE) END
                AS unemployment,
            o_orderdate AS insert_datetime, o_orderkey AS insert_order
-    FROM orders JOIN nation ON n_nationkey = o_custkey % 25
+    FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
 """
 MACRO_TRIMMED = f"SELECT * REPLACE (trim(country_id) AS country_id, trim(country_name) AS country_name) FROM ({MACRO})"
 MACRO_SERIES = f"""
@@ -187,8 +187,8 @@ def filled(source: str, cols: str) -> str:
 SILVER_PRICES = ("open", "high", "low", "close")
 
 
-def _ohlcv_reasons() -> str:
-    parts = ["CASE WHEN length(ticker) > 10 THEN 'length:ticker' END"]
+def _ohlcv_reasons(longest: int = 10) -> str:
+    parts = [f"CASE WHEN length(ticker) > {longest} THEN 'length:ticker' END"]
     for c in SILVER_PRICES:
         parts.append(f"CASE WHEN TRY_CAST({c} AS DECIMAL(6,2)) IS NULL THEN 'type:{c}' END")
     parts.append("CASE WHEN volume IS NULL THEN 'null:volume' END")
@@ -242,10 +242,6 @@ def _pair(a: str, b: str) -> tuple[str, str, str]:
     return a, f"{a} IS NULL AND {b} IS NULL", f"{a} < {b}"
 
 
-def _text(c: str) -> str:
-    return f"regexp_replace(CAST(CAST({c} AS DECIMAL(38,10)) AS VARCHAR), '\\.?0+$', '')"
-
-
 TICKER_CHECKS = [
     _null("ticker"),
     _row("ticker", "NOT length(ticker) BETWEEN 1 AND 7"),
@@ -274,7 +270,7 @@ def fx_checks(low: str, high: str) -> list[tuple[str, str, str]]:
         _row("date", f"date < DATE '{low}' OR date > DATE '{high}'"),
         _null("inr_rate"),
         _row("inr_rate", "inr_rate <= 0"),
-        _row("inr_rate", f"NOT regexp_matches({_text('inr_rate')}, '^\\d+(\\.\\d{{1,3}})?$')"),
+        _row("inr_rate", "inr_rate < 0 OR inr_rate <> round(inr_rate, 3)"),
         _null("usd_amount"),
         _row("usd_amount", "usd_amount <= 0"),
     ]
@@ -361,7 +357,7 @@ UPSERT_OHLCV = f"""
 """
 FX_BATCH_ORDER = "insert_order DESC, inr_rate"
 UPSERT_FX = f"""
-    WITH rows AS (SELECT * FROM ({FX_DAY}) WHERE date IS NOT NULL),
+    WITH rows AS ({FX_DAY}),
     t AS ({first('SELECT * FROM rows WHERE insert_order % 2 = 0', 'date', FX_BATCH_ORDER)}),
     s AS ({first('SELECT * FROM rows WHERE insert_order % 2 = 1', 'date', FX_BATCH_ORDER)})
     SELECT date,
@@ -390,19 +386,64 @@ def batch_rows(where: str, day: str) -> str:
     return f"SELECT *, DATE '{day}' AS insert_datetime FROM ({first(rows, 'ticker, date', VALUE_ORDER)})"
 
 
-def second_over_first(accepted: str) -> str:
-    """The second batch over the first, among rows that satisfy ``accepted``."""
-    cols = [*VALUES[2:], "insert_datetime"]
+def second_over_first(first_batch: str, second_batch: str, keys: str, cols: Sequence[str], always: str) -> str:
+    """The second batch over the first; ``always`` is a column that no accepted row leaves NULL."""
+    merged = ", ".join(f"CASE WHEN s.{always} IS NULL THEN t.{c} ELSE s.{c} END AS {c}" for c in cols)
     return f"""
-        WITH t AS ({batch_rows(f'batch <= 3 AND {accepted}', '2025-12-17')}),
-             s AS ({batch_rows(f'batch > 3 AND {accepted}', '2025-12-18')}),
-             m AS (SELECT ticker, date,
-                          {', '.join(f'CASE WHEN s.volume IS NULL THEN t.{c} ELSE s.{c} END AS {c}' for c in cols)}
-                   FROM t FULL JOIN s USING (ticker, date))
-        SELECT {TYPED}, insert_datetime FROM m WHERE {FITS}
+        WITH t AS ({first_batch}), s AS ({second_batch})
+        SELECT {keys}, {merged} FROM t FULL JOIN s USING ({keys})
     """
 
 
+#: Among the rows that the contracts accept, in a batch run and in the stream alike.
+SILVER_AFTER_TWO = f"""
+    SELECT {TYPED}, insert_datetime FROM ({second_over_first(
+        batch_rows(f'batch <= 3 AND {FITS}', '2025-12-17'), batch_rows(f'batch > 3 AND {FITS}', '2025-12-18'),
+        'ticker, date', (*VALUES[2:], 'insert_datetime'), 'volume')})
+"""
+REJECTS_OF_TWO = f"""
+    SELECT ticker, date, reasons FROM (SELECT *, {_ohlcv_reasons(20)} AS reasons FROM ({TRIMMED})) WHERE reasons <> ''
+"""
+
+
+def lineage_batch(where: str, run: str) -> str:
+    """The staging contract, on tickers as they were landed."""
+    rows = f"""SELECT {', '.join(VALUES)}
+        FROM (SELECT *, {_ohlcv_reasons(20)} AS reasons FROM ({OHLCV})) WHERE reasons = '' AND {where}"""
+    cols = "* REPLACE (CAST(volume AS BIGINT) AS volume)"
+    return f"SELECT {cols}, TIMESTAMP '{run}' AS insert_datetime FROM ({first(rows, 'ticker, date', VALUE_ORDER)})"
+
+
+LINEAGE_AFTER_TWO = second_over_first(
+    lineage_batch("batch <= 3", "2025-12-17 18:00:00"), lineage_batch("batch > 3", "2025-12-18 18:00:00"),
+    "ticker, date", (*VALUES[2:], "insert_datetime"), "volume",
+)
+
+RATES = ("date", "inr_rate", "usd_amount")
+RATE_VALUES = f"SELECT date, inr_rate, usd_amount FROM ({FX_DAY})"
+RATE_TYPED = "date, inr_rate, CAST(usd_amount AS SMALLINT) AS usd_amount"
+
+
+def rate_batch(odd: int, day: str) -> str:
+    rows = f"""SELECT date, inr_rate, usd_amount FROM ({FX_DAY})
+        WHERE insert_order % 2 = {odd} AND date IS NOT NULL AND usd_amount IS NOT NULL"""
+    return f"SELECT {RATE_TYPED}, DATE '{day}' AS insert_datetime FROM ({first(rows, 'date', newest(RATES, []))})"
+
+
+DAILY_FX = second_over_first(
+    rate_batch(0, "2025-12-17"), rate_batch(1, "2025-12-18"), "date", (*RATES[1:], "insert_datetime"), "usd_amount"
+)
+HISTORICAL_FX = f"""
+    SELECT {RATE_TYPED}, DATE '2025-12-17' AS insert_datetime
+    FROM ({first(RATE_VALUES, 'date', newest(RATES, []))}) WHERE date IS NOT NULL AND usd_amount IS NOT NULL
+"""
+#: Gaps are filled before the rows of a country and year are ranked by their values.
+HISTORICAL_MACRO = first(
+    filled(MACRO_TRIMMED, "country_name, country_id AS country_code, year"), "country_code, year",
+    newest(("country_name", *q.MEASURES), []),
+)
+
+
 def oracles() -> dict[str, str]:
     ohlcv, daily = suites.ohlcv_suite(q.NOW), suites.ohlcv_daily_suite(q.TODAY_BARS)
     fx, fx_daily = suites.fx_suite(q.NOW_FX), suites.fx_daily_suite(q.TODAY_FX)
@@ -496,10 +537,15 @@ def oracles() -> dict[str, str]:
         "historical_gold": macro_facts(
             "unemployment",
             f"""SELECT *, row_number() OVER (ORDER BY country_code, year) AS id
-                FROM ({filled(CLEAN_MACRO, 'country_name, country_id AS country_code, year')})""",
+                FROM ({HISTORICAL_MACRO})""",
             'id AS "UUID",',
             places=6,
         ),
-        "daily_silver": second_over_first(FITS),
-        "stream_silver": second_over_first("true"),
+        "historical_fx": HISTORICAL_FX,
+        "daily_silver": SILVER_AFTER_TWO,
+        "daily_fx_silver": DAILY_FX,
+        "lineage_ohlcv": LINEAGE_AFTER_TWO,
+        "daily_rejects": REJECTS_OF_TWO,
+        "stream_silver": SILVER_AFTER_TWO,
+        "stream_rejects": REJECTS_OF_TWO,
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def _fx(spark, sf):
 
 
 def _macro(spark, sf):
-    return adapters.macro_rows(adapters.table(spark, sf, "orders"), adapters.table(spark, sf, "nation"))
+    return adapters.macro_rows(*[adapters.table(spark, sf, name) for name in ("orders", "customer", "nation")])
 
 
 # --- gold -------------------------------------------------------------------------------------
@@ -238,7 +239,7 @@ def upsert_ohlcv(spark, sf):
 
 
 def upsert_fx(spark, sf):
-    rates = _fx_by_day(spark, sf).filter("date is not null")
+    rates = _fx_by_day(spark, sf)
     order = [F.col("insert_order").desc(), F.col("inr_rate").asc()]
     stored = keep_first(rates.filter("insert_order % 2 = 0"), ["date"], order)
     return upsert(stored, rates.filter("insert_order % 2 = 1"), ["date"], order)
@@ -416,9 +417,9 @@ def _historical(spark, sf) -> Lake:
     lake = _lake(spark)
     _land_bars(_ohlcv(spark, sf), lake, FIRST_RUN)
     write_landing(_provider(_company(spark, sf), schemas.COMPANY_RENAME, schemas.COMPANY), lake.company, FIRST_RUN)
-    rates = dedup_fx(spark, sf).filter("date is not null")
+    rates = _fx_by_day(spark, sf)
     write_landing(_provider(rates, schemas.FX_HISTORIC_RENAME, schemas.FX_HISTORIC), lake.fx, FIRST_RUN)
-    macro = dedup_macro(spark, sf).withColumn("ISO3", F.col("country_id"))
+    macro = _macro(spark, sf).withColumn("ISO3", F.col("country_id"))
     write_landing(_provider(macro, schemas.MACRO_RENAME, schemas.MACRO), lake.macro, FIRST_RUN)
     run_historical(spark, lake, FIRST_RUN, fail_fast=True)
     return lake
@@ -429,6 +430,11 @@ def historical_silver(spark, sf):
     return spark.table(f"{_historical(spark, sf).silver}.ohclv_silver").drop(MONTH)
 
 
+def historical_fx(spark, sf):
+    """Rates after the full refresh; many per day are landed, some without a date."""
+    return spark.table(f"{_historical(spark, sf).silver}.exchange_rates_silver").drop(MONTH, "rate_id")
+
+
 def historical_gold(spark, sf):
     """Macro facts read from the catalog view after the full refresh."""
     facts = spark.table(f"{_historical(spark, sf).gold}.macro_facts")
@@ -436,31 +442,70 @@ def historical_gold(spark, sf):
 
 
 def _daily_halves(spark, sf):
-    bars, rates = _ohlcv(spark, sf), _fx_by_day(spark, sf).filter("date is not null")
+    bars, rates = _ohlcv(spark, sf), _fx_by_day(spark, sf)
     return (
         (bars.filter("batch <= 3"), bars.filter("batch > 3")),
         (rates.filter("insert_order % 2 = 0"), rates.filter("insert_order % 2 = 1")),
     )
 
 
-def daily_silver(spark, sf):
-    """Bars after two daily increments, the second over the first."""
+def _daily(spark, sf) -> Lake:
     lake, (bars, rates) = _lake(spark), _daily_halves(spark, sf)
     for run, b, r in zip((FIRST_RUN, SECOND_RUN), bars, rates):
         _land_bars(b, lake, run)
         _land_rates(r, lake, run)
         run_daily(spark, lake, run, fail_fast=True)
-    return spark.table(f"{lake.silver}.ohclv_silver").drop(MONTH, "stock_id")
+    return lake
 
 
-def stream_silver(spark, sf):
+def daily_silver(spark, sf):
+    """Bars after two daily increments, the second over the first."""
+    return spark.table(f"{_daily(spark, sf).silver}.ohclv_silver").drop(MONTH, "stock_id")
+
+
+def daily_fx_silver(spark, sf):
+    """Rates after two daily increments."""
+    return spark.table(f"{_daily(spark, sf).silver}.exchange_rates_silver").drop(MONTH, "rate_id")
+
+
+def lineage_ohlcv(spark, sf):
+    """Every bar that passed the staging contract, with the run that brought it."""
+    lineage = spark.table(f"{_daily(spark, sf).bronze}.ohclv_daily_lineage").drop(MONTH, "id")
+    return lineage.withColumn("insert_datetime", F.col("insert_datetime").cast("timestamp_ntz"))
+
+
+def _reasons(spark, tables) -> DataFrame:
+    found = [spark.table(t).select(F.trim("ticker").alias("ticker"), "date", F.concat_ws(",", "reasons").alias("reasons")) for t in tables]
+    return reduce(DataFrame.unionByName, found)
+
+
+def daily_rejects(spark, sf):
+    """Bars that the contracts of the two increments rejected."""
+    lake = _daily(spark, sf)
+    return _reasons(spark, [f"{lake.bronze}.ohclv_daily_bronze_rejects", f"{lake.silver}.ohclv_daily_rejects"])
+
+
+def _streamed(spark, sf) -> Lake:
     """The same two snapshots as a file stream, the newer one arriving first."""
     lake, (bars, _) = _lake(spark), _daily_halves(spark, sf)
     checkpoint = scratch_path(spark, "stream")
     for run, b in ((SECOND_RUN, bars[1]), (FIRST_RUN, bars[0])):
         _land_bars(b, lake, run)
         stream_bars(spark, lake, checkpoint).awaitTermination()
-    return spark.table(f"{lake.silver}.ohclv_silver").drop(MONTH, "stock_id")
+    return lake
+
+
+def stream_silver(spark, sf):
+    """Bars after the stream: the same rows as after the two increments."""
+    return spark.table(f"{_streamed(spark, sf).silver}.ohclv_silver").drop(MONTH, "stock_id")
+
+
+def stream_rejects(spark, sf):
+    """Bars that the contracts of the stream rejected."""
+    lake = _streamed(spark, sf)
+    return _reasons(
+        spark, [f"{lake.bronze}.ohclv_daily_lineage_stream_rejects", f"{lake.silver}.ohclv_silver_stream_rejects"]
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -509,7 +554,12 @@ QUERIES: dict[str, Query] = {
     "provider_columns": provider_columns,
     "landing_snapshot": landing_snapshot,
     "historical_silver": historical_silver,
+    "historical_fx": historical_fx,
     "historical_gold": historical_gold,
     "daily_silver": daily_silver,
+    "daily_fx_silver": daily_fx_silver,
+    "lineage_ohlcv": lineage_ohlcv,
+    "daily_rejects": daily_rejects,
     "stream_silver": stream_silver,
+    "stream_rejects": stream_rejects,
 }

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions.columns import path_file_ts, path_run_day, path_ticker
+from marketlake.functions.columns import path_file_ts, path_run_day, path_ticker, without_nan
 from marketlake.operators.fill import MAX_BROADCAST_GROUPS
 from marketlake.session import checkpointed
 
@@ -119,7 +119,7 @@ def _read(spark: SparkSession, facts: DataFrame, schema: T.StructType, **options
     # The list of file names on the driver is the one Spark keeps for any file scan.
     files = facts.collect()
     rows = _read_csv(spark, [re.sub(r"([\\\[\]{}*?])", r"\\\1", f[RAW_PATH]) for f in files], schema, **options)
-    return attach_facts(rows, spark.createDataFrame(files, facts.schema), len(files))
+    return without_nan(attach_facts(rows, spark.createDataFrame(files, facts.schema), len(files)))
 
 
 def read_landing(
@@ -175,10 +175,13 @@ def read_stamped(
 
 
 def stream_landing(spark: SparkSession, folders: str, schema: T.StructType) -> DataFrame:
-    """Landing files as they arrive, with their time stamps."""
-    rows = spark.readStream.schema(schema).options(header=True, quote='"', escape='"').csv(folders)
-    return rows.select(
-        *rows.columns,
-        F.col("_metadata.file_modification_time").alias("file_mtime"),
-        path_file_ts(F.col("_metadata.file_path")).alias("file_ts"),
+    """Landing files as they arrive, with their time stamps. Headers must match ``schema``; NaN is read as NULL."""
+    checked = spark.readStream.schema(schema).options(header=True, quote='"', escape='"', enforceSchema="false")
+    rows = checked.csv(folders)
+    return without_nan(
+        rows.select(
+            *rows.columns,
+            F.col("_metadata.file_modification_time").alias("file_mtime"),
+            path_file_ts(F.col("_metadata.file_path")).alias("file_ts"),
+        )
     )

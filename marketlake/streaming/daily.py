@@ -32,16 +32,19 @@ def _stored(spark: SparkSession, table: str, batch: DataFrame, keys: list[str])
 
 
 def apply_batch(
-    spark: SparkSession, rows: DataFrame, lineage: str, contract: Contract, silver: str, keys: list[str],
-    silver_id: str, to_silver, run: str,
+    spark: SparkSession, rows: DataFrame, lineage: str, contracts: tuple[Contract, Contract], silver: str,
+    keys: list[str], silver_id: str, to_silver, run: str,
 ) -> None:
     """Upsert one micro-batch. A replayed batch, or an older file that arrives late, changes nothing.
 
-    Rows that a contract rejects are kept beside the tables, by batch, so a replay adds none.
+    ``contracts`` are those of the staging and the lineage table. As in the batch run, rows must pass the first one
+    before the newest row of a key is chosen, and the second only converts what passed: an unfit newer row never hides
+    an accepted one, whichever arrives first. Rejected rows are kept beside the tables, by batch, so a replay adds none.
     """
-    good, rejects = enforce(trim_strings(_stamped(rows)), contract)
+    staging, lasting = contracts
+    good, rejects = enforce(trim_strings(_stamped(rows)), staging)
     keep_rejects(rejects, f"{lineage}_stream_rejects", run)
-    batch = good.persist()
+    batch = enforce(good, lasting)[0].persist()
     try:
         upsert_table(spark, lineage, batch, keys, id_col="id", newer_by="insert_datetime")
         newest, unfit = to_silver(_stored(spark, lineage, batch, keys))
@@ -58,7 +61,8 @@ def stream_bars(spark: SparkSession, lake: Lake, checkpoint: str | None = None)
 
     def apply(batch: DataFrame, number: int) -> None:
         apply_batch(
-            spark, daily_bars(batch), f"{lake.bronze}.ohclv_daily_lineage", schemas.OHLCV_DAILY_LINEAGE,
+            spark, daily_bars(batch), f"{lake.bronze}.ohclv_daily_lineage",
+            (schemas.OHLCV_DAILY_BRONZE, schemas.OHLCV_DAILY_LINEAGE),
             f"{lake.silver}.ohclv_silver", ["ticker", "date"], "stock_id", silver_bars, f"bars-{number}",
         )
 
@@ -72,7 +76,8 @@ def stream_rates(spark: SparkSession, lake: Lake, checkpoint: str | None = None)
 
     def apply(batch: DataFrame, number: int) -> None:
         apply_batch(
-            spark, daily_rates(batch), f"{lake.bronze}.exchange_daily_lineage", schemas.FX_DAILY_LINEAGE,
+            spark, daily_rates(batch), f"{lake.bronze}.exchange_daily_lineage",
+            (schemas.FX_DAILY_BRONZE, schemas.FX_DAILY_LINEAGE),
             f"{lake.silver}.exchange_rates_silver", ["date"], "rate_id", silver_rates, f"rates-{number}",
         )
 

@@ -1,13 +1,15 @@
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from marketlake import schemas
+from marketlake.operators import upsert as upserts
 from marketlake.operators.contract import ContractError, enforce, require_unique, unique_violations
-from marketlake.operators.upsert import MONTH, upsert, upsert_table
+from marketlake.operators.upsert import MONTH, drop_old_months, upsert, upsert_table
 from marketlake.sources.tables import create_layers, refresh_monthly
 
 D = dt.date(2025, 12, 17)
@@ -118,3 +120,33 @@ def test_upsert_table_rewrites_only_touched_months(spark, lake):
             (1, day(1, 5), 1.0), (2, day(2, 5), 2.0), (3, day(2, 6), 9.0), (4, day(3, 1), 4.0),
         ]
     assert [f for f in spark.table(table).inputFiles() if "month=2025-01" in f] == january
+
+
+def test_a_job_lost_before_the_swap_leaves_the_old_month(spark, lake, monkeypatch):
+    create_layers(spark, [lake.silver], lake.tables_root)
+    table = f"{lake.silver}.t"
+    day = dt.date(2025, 2, 5)
+    refresh_monthly(spark.createDataFrame([(1, day, 1.0)], "id bigint, date date, x double"), table)
+    source = spark.createDataFrame([(day, 9.0), (dt.date(2025, 2, 6), 4.0)], "date date, x double")
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(upserts, "point_months", lost)
+        with pytest.raises(RuntimeError):
+            upsert_table(spark, table, source, ["date"], id_col="id", order=[F.col("x")])
+    spark.catalog.refreshTable(table)
+    assert rows(spark.table(table).drop(MONTH)) == [(1, day, 1.0)]
+    before = spark.table(table).inputFiles()
+    for _ in range(2):
+        upsert_table(spark, table, source, ["date"], id_col="id", order=[F.col("x")])
+    assert spark.table(table).filter("x in (9.0, 4.0)").count() == 2
+    assert not set(before) & set(spark.table(table).inputFiles())
+
+    written = Path(upserts.versions_root(spark, table).removeprefix("file:"))
+    assert len(list(written.iterdir())) == 3
+    drop_old_months(spark, table)
+    drop_old_months(spark, table)
+    spark.catalog.refreshTable(table)
+    assert len(list(written.iterdir())) == 1 and spark.table(table).count() == 2

@@ -2,6 +2,7 @@ import dataclasses
 import datetime as dt
 import json
 
+import pytest
 from conftest import rows
 
 from marketlake.plans.daily import run_daily
@@ -46,3 +47,9 @@ def test_provider_data_reaches_silver(spark, lake, tmp_path):
     for query in stream_daily(spark, daily, str(tmp_path / "stream")):
         query.awaitTermination()
     assert spark.table(f"{lake.silver}.ohclv_silver").count() == 2
+
+
+def test_landing_wants_the_layout_that_is_read(spark, lake):
+    bodies = spark.createDataFrame([("{}",)], "body string")
+    with pytest.raises(ValueError, match="stamped"):
+        land_rates(bodies, lake, RUN)

@@ -198,3 +198,38 @@ def test_rejected_rows_are_kept_once(spark, lake, land, tmp_path):
     assert spark.table(f"{lake.silver}.ohclv_silver").count() == 1
     kept = [f"{lake.bronze}.ohclv_daily_lineage_stream_rejects", f"{lake.silver}.ohclv_silver_stream_rejects"]
     assert sum(spark.table(t).count() for t in kept) == 1
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_an_unfit_newer_row_never_hides_an_accepted_one(spark, lake, land, tmp_path, late):
+    """Batch and stream keep the newest accepted row, in either order of arrival."""
+    def older():
+        daily(land, lake, D18, "13-16-54", {"AAPL": 271}, 90.2)
+
+    def newer():
+        leaf = D18.strftime("%Y/%b/%d")
+        land(lake.ohlcv, f"AAPL/{leaf}", "AAPL_stock_16-16-54.csv", BARS, [bar(D18, 12000, "AAPL")])
+
+    for arrive in (newer, older) if late else (older, newer):
+        arrive()
+        stream_bars(spark, lake, str(tmp_path / "stream")).awaitTermination()
+    bars = spark.table(f"{lake.silver}.ohclv_silver").select("ticker", "date", "close")
+    assert rows(bars) == [("AAPL", D18, Decimal("271.00"))]
+    assert spark.table(f"{lake.bronze}.ohclv_daily_lineage").count() == 1
+    assert spark.table(f"{lake.bronze}.ohclv_daily_lineage_stream_rejects").count() == 1
+
+
+def test_a_stream_refuses_other_headers(spark, lake, land, tmp_path):
+    land(lake.ohlcv, f"AAPL/{LEAF}", "AAPL_stock_13-16-54.csv", BARS.replace("CLOSE", "ADJ CLOSE"), [bar(D18, 271, "AAPL")])
+    with pytest.raises(Exception):
+        stream_bars(spark, lake, str(tmp_path / "stream")).awaitTermination()
+    assert spark.table(f"{lake.silver}.ohclv_silver").count() == 0
+
+
+def test_nan_is_a_missing_value(spark, lake, land):
+    land(lake.ohlcv, f"AAPL/{LEAF}", "AAPL_stock_13-16-54.csv", BARS, [f"{D18},NaN,NaN,NaN,NaN,NaN,AAPL", bar(D17, 271, "AAPL")])
+    run_historical(spark, lake, RUN)
+    bronze = spark.table(f"{lake.bronze}.ohclv_bronze")
+    assert bronze.filter("open is null and volume is null").count() == 1 and bronze.filter("isnan(open)").count() == 0
+    report = spark.read.json(f"{lake.reports}/ohclv_bronze")
+    assert {r.column for r in report.filter("not success").collect()} >= {"open", "high", "low", "close", "volume"}

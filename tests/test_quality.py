@@ -2,7 +2,9 @@ import datetime as dt
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
+from marketlake.functions.columns import number_text
 from marketlake.operators.profile import null_profile
 from marketlake.operators.quality import QualityError, Suite, between, in_set, match, not_match, not_null, pair
 from marketlake.plans import suites
@@ -132,3 +134,20 @@ def test_null_profile(spark):
     got = null_profile({"some": (some, ["a", "b"]), "full": (some.filter("b is not null"), ["a", "b"]),
                         "none": (some.limit(0), ["a", "b"])})
     assert rows(got) == sorted([("some", 3, 3), ("full", 1, 0), ("none", 0, None)], key=repr)
+
+
+@pytest.mark.parametrize("value, text", [
+    (100.0, "100"), (0.5, "0.5"), (1.00000000001, "1.00000000001"), (1e30, "1" + "0" * 30), (1.25e-5, "0.0000125"),
+    (-12345678.9, "-12345678.9"), (1e-300, "1.0E-300"), (0.0, "0"), (None, None),
+])
+def test_number_text_is_whole(spark, value, text):
+    df = spark.createDataFrame([(value,)], "x double")
+    assert df.select(number_text(F.col("x"))).first()[0] == text
+
+
+def test_nan_is_missing_in_every_rule(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
+    suite = Suite("s", (not_null("x"), between("x", low=0)))
+    found = {r.position: (r.missing_count, r.unexpected_count) for r in suite.run(df).collect()}
+    assert found == {1: (0, 1), 2: (1, 0)}
+    assert suite.clean(df)[0].count() == 1
