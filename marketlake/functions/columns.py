@@ -31,7 +31,8 @@ def number_text(value: Column) -> Column:
         fixed = value.try_cast(kind)
         plain = F.coalesce(plain, F.when(fixed.cast("double") == value.cast("double"), fixed.cast("string")))
     text = F.when(text.contains("E"), F.coalesce(plain, text)).otherwise(text)
-    return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+    padded = text.contains(".") & ~text.contains("E")
+    return F.when(padded, F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
 
 
 def missing_as_null(value: Column) -> Column:
