@@ -1,11 +1,13 @@
 """Every query against its SQL on an independent engine."""
 
 import os
+from functools import cache
 
 import pytest
 from compare import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
+from marketlake.plans import queries as catalogue
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -16,6 +18,15 @@ def duck():
     return connect(SF_DIR)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_flows():
+    """Queries over the tables of one flow share its run here."""
+    with pytest.MonkeyPatch.context() as patch:
+        for flow in ("_historical", "_daily", "_streamed"):
+            patch.setattr(catalogue, flow, cache(getattr(catalogue, flow)))
+        yield
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_sql(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
