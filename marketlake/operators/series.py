@@ -21,16 +21,20 @@ def over_series(
     lookback: int,
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
     max_group_rows: int = MAX_GROUP_ROWS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Run ``compute(df, window)`` where ``window`` orders each series by ``time``.
 
     ``compute`` may look at most ``lookback`` rows back. While every series is short this is one
     shuffle on the keys. A longer series is cut into blocks of consecutive rows, and each block gets
     copies of the ``lookback`` rows before it, so values at block starts stay exact.
-    ``time`` must be unique inside a series.
+    ``time`` must be unique inside a series. ``at_most`` is a known bound on the rows of a series; without
+    one below ``max_group_rows`` the rows are counted first. The bound chooses the plan only, never the result.
     """
     keys = list(keys)
-    if group_sizes(df, keys).largest <= max_group_rows:
+    if at_most is None or at_most > max_group_rows:
+        at_most = group_sizes(df, keys).largest
+    if at_most <= max_group_rows:
         return compute(df, Window.partitionBy(*keys).orderBy(time))
 
     # Blocks are cut from the whole table in (keys, time) order, so all have the same size. The rows

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.functions.columns import change, relative_change
 from marketlake.operators.ordering import MAX_GROUP_ROWS
 from marketlake.operators.rolling import HELPERS, fixed_point, frame_mean, returns, running_totals, totals_before
 from marketlake.operators.series import over_series
 
+# A series holds one row per calendar day or year, so the calendar bounds it: three centuries of days.
+DAYS_OF_SERIES, YEARS_OF_SERIES = 110_000, 10_000
+
 
 def stock_facts(
     prices: DataFrame,
@@ -50,7 +54,8 @@ def stock_facts(
         df = df.withColumns(volatility | totals_before(avg_rows, w))
         return df.withColumn("stock_90_day_average", frame_mean(dtype.scale)).drop(*HELPERS)
 
-    facts = over_series(base, ["ticker"], "trade_date", max(vol_rows, avg_rows), metrics, max_group_rows)
+    at_most = DAYS_OF_SERIES if base.schema["trade_date"].dataType == T.DateType() else None
+    facts = over_series(base, ["ticker"], "trade_date", max(vol_rows, avg_rows), metrics, max_group_rows, at_most)
     return facts.withColumn("stock_id", F.concat(F.lit("STK_"), F.col("ticker")))
 
 
@@ -91,7 +96,7 @@ def macro_facts(
             }
         ).drop(*[f"prev_{c}" for c in measures])
 
-    return over_series(base, ["country_code"], "data_point_year", 1, metrics, max_group_rows)
+    return over_series(base, ["country_code"], "data_point_year", 1, metrics, max_group_rows, YEARS_OF_SERIES)
 
 
 def register_gold(spark: SparkSession, silver_db: str = "silver") -> dict[str, DataFrame]:

@@ -12,7 +12,7 @@ from marketlake import schemas
 from marketlake.functions.columns import trim_strings
 from marketlake.operators.contract import Contract, enforce, require_unique
 from marketlake.operators.dedup import keep_first, keep_ranked, newest_first, rank_rows
-from marketlake.operators.fill import median_fill
+from marketlake.operators.fill import median_fill, ungrouped_rows
 from marketlake.operators.ordering import surrogate_key
 from marketlake.operators.profile import null_profile
 from marketlake.operators.quality import Suite
@@ -21,7 +21,14 @@ from marketlake.plans.gold import create_gold_views
 from marketlake.plans.lake import Lake, Run
 from marketlake.session import checkpointed
 from marketlake.sources.landing import ticker_from_path
-from marketlake.sources.tables import create_layers, refresh, refresh_monthly, write_metrics, write_report
+from marketlake.sources.tables import (
+    create_layers,
+    keep_rejects,
+    refresh,
+    refresh_monthly,
+    write_metrics,
+    write_report,
+)
 
 BRONZE_COLUMNS = {
     "ohclv_bronze": schemas.OHLCV_COLUMNS,
@@ -57,8 +64,11 @@ def bronze_fx(spark, lake: Lake, day: dt.date, ts: dt.datetime) -> DataFrame:
 
 
 def bronze_macro(spark, lake: Lake, day: dt.date, ts: dt.datetime) -> DataFrame:
-    """Gaps are filled per country before the load."""
+    """Gaps are filled per country before the load; rows without a country are kept as rejects of the run."""
     rows = lake.landing(spark, lake.macro, schemas.MACRO, day)
+    lost = ungrouped_rows(rows, "ISO3").withColumnRenamed("id", "country_id").withColumnsRenamed(schemas.MACRO_RENAME)
+    lost = lost.select(*schemas.MACRO_COLUMNS, F.array(F.lit("null:ISO3")).alias("reasons"))
+    keep_rejects(lost, f"{lake.bronze}.macro_economic_data_bronze_rejects", day.isoformat())
     filled = median_fill(rows, "ISO3", schemas.MACRO_MEASURES).withColumnRenamed("id", "country_id")
     return _bronze(filled.withColumnsRenamed(schemas.MACRO_RENAME), schemas.MACRO_COLUMNS, "id", ts)
 

@@ -276,9 +276,14 @@ def fx_checks(low: str, high: str) -> list[tuple[str, str, str]]:
     ]
 
 
-def _in(values: Sequence[str]) -> str:
-    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
-
+# Fixed values, written out so that the lists of the package are checked too.
+SECTORS = "'Technology', 'Consumer Cyclical', 'Financial Services', 'Consumer Defensive'"
+INDUSTRIES = """
+    'Consumer Electronics', 'Internet Content & Information', 'Semiconductors', 'Auto - Manufacturers',
+    'Software - Infrastructure', 'Specialty Retail', 'Financial - Capital Markets', 'Discount Stores',
+    'Banks - Diversified', 'Software - Application', 'Information Technology Services',
+    'Electronic Gaming & Multimedia'
+"""
 
 COMPANY_CHECKS = [
     _null("company_name"),
@@ -292,9 +297,9 @@ COMPANY_CHECKS = [
     _null("market_cap"),
     _row("market_cap", "market_cap < 0"),
     _null("sector"),
-    _row("sector", f"sector NOT IN {_in(suites.SECTORS)}"),
+    _row("sector", f"sector NOT IN ({SECTORS})"),
     _null("industry"),
-    _row("industry", f"industry NOT IN {_in(suites.INDUSTRIES)}"),
+    _row("industry", f"industry NOT IN ({INDUSTRIES})"),
 ]
 
 MACRO_CHECKS = [
@@ -452,6 +457,7 @@ def oracles() -> dict[str, str]:
     company_checks = checks_sql(company, COMPANY, COMPANY_CHECKS)
     return {
         "stock_facts": facts(BARS, "bar_ts"),
+        "stock_facts_split": facts(BARS, "bar_ts"),
         "stock_facts_silver": facts(
             f"SELECT *, row_number() OVER (ORDER BY ticker, date) AS id FROM ({SILVER_OHLCV})", "date", 'id AS "UUID",'
         ),
@@ -460,6 +466,7 @@ def oracles() -> dict[str, str]:
         "rank_trim_ohlcv": ranked(TRIMMED, "ticker, date", OHLCV_ORDER),
         "rank_trim_company": ranked(COMPANY_TRIMMED, "ticker", COMPANY_ORDER),
         "rank_trim_fx": ranked(FX_DAY, "date", FX_ORDER),
+        "rank_trim_fx_split": ranked(FX_DAY, "date", FX_ORDER),
         "rank_trim_macro": ranked(MACRO_TRIMMED, "country_id, year", MACRO_ORDER),
         "dedup_ohlcv": CLEAN,
         "dedup_company": CLEAN_COMPANY,
@@ -470,6 +477,7 @@ def oracles() -> dict[str, str]:
             SELECT * REPLACE (CAST(insert_datetime AS DATE) AS insert_datetime)
             FROM ({first(f'SELECT * EXCLUDE (batch) FROM ({TRIMMED})', 'ticker, date', BATCH_ORDER)})""",
         "macro_median_fill": filled(MACRO, "country_id, year, insert_order"),
+        "macro_median_fill_split": filled(MACRO, "country_id, year, insert_order"),
         "macro_ungrouped": f"SELECT * FROM ({MACRO}) WHERE country_id IS NULL",
         "year_filter": f"SELECT * FROM ({MACRO}) WHERE year BETWEEN 1996 AND 1999",
         "contract_ohlcv": SILVER_OHLCV,
@@ -533,7 +541,29 @@ def oracles() -> dict[str, str]:
         "landing_snapshot": f"""
             SELECT company_name AS "companyName", ticker AS symbol, price, market_cap AS "marketCap", sector, industry
             FROM ({COMPANY})""",
+        "landing_tree": f"""
+            SELECT CASE ticker WHEN 'VIEW' THEN 'VIEW B' WHEN 'CLICK' THEN '^CLICK' ELSE ticker END AS ticker,
+                   CAST(bar_ts AS DATE) AS date, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in SILVER_PRICES)},
+                   CAST(volume AS DOUBLE) AS volume
+            FROM ({BARS})""",
         "historical_silver": HISTORICAL_SILVER,
+        "historical_stock_view": facts(
+            f"SELECT * EXCLUDE (insert_datetime) FROM ({HISTORICAL_SILVER})", "date", 'stock_id AS "UUID",'
+        ),
+        "macro_rejects": f"""
+            SELECT * EXCLUDE (insert_datetime, insert_order), 'null:ISO3' AS reasons
+            FROM ({MACRO}) WHERE country_id IS NULL""",
+        "layer_metrics_report": " UNION ALL ".join(
+            [
+                profile_sql("ohclv_bronze", OHLCV, OHLCV_COLS[:-1]),
+                profile_sql("company_meta_data_bronze", COMPANY, COMPANY_COLS[:-1]),
+                profile_sql(
+                    "macro_economic_data_bronze", filled(MACRO, "country_name, country_id, year"), MACRO_COLS[:-2]
+                ),
+                profile_sql("exchange_rates_bronze", FX, FX_COLS[:-1]),
+            ]
+        ),
+        "suite_report": company_checks,
         "historical_gold": macro_facts(
             "unemployment",
             f"""SELECT *, row_number() OVER (ORDER BY country_code, year) AS id

@@ -30,7 +30,7 @@ from marketlake.plans.daily import run_daily
 from marketlake.plans.historical import run_historical
 from marketlake.plans.lake import Lake
 from marketlake.session import checkpointed, scratch_path
-from marketlake.sources.landing import latest_snapshot
+from marketlake.sources.landing import latest_snapshot, read_landing, ticker_from_path
 from marketlake.sources.payloads import explode_rates, flatten_rate, pick_keys, upper_headers
 from marketlake.sources.tables import write_landing
 from marketlake.streaming.daily import stream_bars
@@ -77,6 +77,11 @@ def stock_facts(spark, sf):
     return _rounded_facts(gold.stock_facts(_bars(spark, sf), time="bar_ts", id_col=None))
 
 
+def stock_facts_split(spark, sf):
+    """The same facts when every series is too long for one task."""
+    return _rounded_facts(gold.stock_facts(_bars(spark, sf), time="bar_ts", id_col=None, max_group_rows=100))
+
+
 def stock_facts_silver(spark, sf):
     silver = checkpointed(surrogate_key_silver(spark, sf))  # a stored table in the flows
     return _rounded_facts(gold.stock_facts(silver))
@@ -130,6 +135,12 @@ def rank_trim_fx(spark, sf):
     return rank_dedup(rates, ["date"], newest_first(rates, ["insert_order"]), keep_rank=True)
 
 
+def rank_trim_fx_split(spark, sf):
+    """The same ranks when every day has too many rates for one task."""
+    rates = _fx_by_day(spark, sf)
+    return rank_dedup(rates, ["date"], newest_first(rates, ["insert_order"]), keep_rank=True, max_group_rows=50)
+
+
 def dedup_fx(spark, sf):
     rates = _fx_by_day(spark, sf)
     return rank_dedup(rates, ["date"], newest_first(rates, ["insert_order"]))
@@ -158,11 +169,16 @@ def dedup_daily(spark, sf):
 # --- gaps -------------------------------------------------------------------------------------
 
 
-def macro_median_fill(spark, sf):
-    filled = median_fill(_macro(spark, sf), "country_id", MEASURES)
+def macro_median_fill(spark, sf, **limits):
+    filled = median_fill(_macro(spark, sf), "country_id", MEASURES, **limits)
     return filled.select("country_id", "year", "insert_order", *[F.round(c, 4).alias(c) for c in MEASURES])
 
 
+def macro_median_fill_split(spark, sf):
+    """The same medians when every country is too large for one task."""
+    return macro_median_fill(spark, sf, max_group_rows=20)
+
+
 def macro_ungrouped(spark, sf):
     return ungrouped_rows(_macro(spark, sf), "country_id")
 
@@ -413,6 +429,21 @@ def landing_snapshot(spark, sf):
     return lake.landing(spark, lake.company, schemas.COMPANY, FIRST_RUN.date()).select(*schemas.COMPANY.names)
 
 
+def landing_tree(spark, sf):
+    """Bars in the provider's folders ``<ticker>/yyyy/Mon/dd``; the folder names the ticker, whatever the file says."""
+    root = scratch_path(spark, "tree")
+    kind = F.col("ticker")
+    named = F.when(kind == "VIEW", "VIEW B").when(kind == "CLICK", "^CLICK").otherwise(kind)
+    rows = _bars(spark, sf).withColumns({"ticker": named, "date": F.to_date("bar_ts")})
+    rows = checkpointed(_provider(rows, schemas.OHLCV_RENAME, schemas.OHLCV_DAILY))
+    for ticker in [r[0] for r in rows.select("COMPANY_TICKER").distinct().collect()]:  # a folder for each event type
+        own = rows.filter(F.col("COMPANY_TICKER") == ticker).withColumn("COMPANY_TICKER", F.lit("of the file"))
+        own.write.option("header", True).csv(f"{root}/{ticker}/{FIRST_RUN:%Y/%b/%d}")
+    found = read_landing(spark, root, schemas.OHLCV_DAILY, FIRST_RUN.date(), by_ticker=True, latest=False)
+    found = ticker_from_path(found.drop("COMPANY_TICKER")).withColumnsRenamed(schemas.OHLCV_RENAME)
+    return found.select(*schemas.OHLCV_COLUMNS)
+
+
 def _historical(spark, sf) -> Lake:
     lake = _lake(spark)
     _land_bars(_ohlcv(spark, sf), lake, FIRST_RUN)
@@ -441,6 +472,31 @@ def historical_gold(spark, sf):
     return facts.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in facts.dtypes])
 
 
+def historical_stock_view(spark, sf):
+    """Price facts read from the catalog view after the full refresh."""
+    facts = _rounded_facts(spark.table(f"{_historical(spark, sf).gold}.stock_facts"))
+    return facts.withColumn("stock_90_day_average", F.round("stock_90_day_average", 6))
+
+
+def macro_rejects(spark, sf):
+    """Macro rows without a country, as the full refresh keeps them."""
+    rows = spark.table(f"{_historical(spark, sf).bronze}.macro_economic_data_bronze_rejects").drop("run")
+    return rows.withColumn("reasons", F.concat_ws(",", "reasons"))
+
+
+def layer_metrics_report(spark, sf):
+    """The CSV report of the full refresh: rows and NULLs of each loaded table."""
+    path = f"{_historical(spark, sf).reports}/bronze_layer_metrics"
+    return spark.read.schema("table_name string, total_records bigint, total_null_values bigint").csv(path, header=True)
+
+
+def suite_report(spark, sf):
+    """The JSON report of the full refresh on the company table."""
+    lake = _historical(spark, sf)
+    schema = suites.company_suite().run(spark.table(f"{lake.bronze}.company_meta_data_bronze")).schema
+    return spark.read.schema(schema).json(f"{lake.reports}/company_meta_data_bronze")
+
+
 def _daily_halves(spark, sf):
     bars, rates = _ohlcv(spark, sf), _fx_by_day(spark, sf)
     return (
@@ -510,12 +566,14 @@ def stream_rejects(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "stock_facts": stock_facts,
+    "stock_facts_split": stock_facts_split,
     "stock_facts_silver": stock_facts_silver,
     "macro_facts": macro_facts,
     "macro_facts_compat": macro_facts_compat,
     "rank_trim_ohlcv": rank_trim_ohlcv,
     "rank_trim_company": rank_trim_company,
     "rank_trim_fx": rank_trim_fx,
+    "rank_trim_fx_split": rank_trim_fx_split,
     "rank_trim_macro": rank_trim_macro,
     "dedup_ohlcv": dedup_ohlcv,
     "dedup_company": dedup_company,
@@ -524,6 +582,7 @@ QUERIES: dict[str, Query] = {
     "dedup_macro": dedup_macro,
     "dedup_daily": dedup_daily,
     "macro_median_fill": macro_median_fill,
+    "macro_median_fill_split": macro_median_fill_split,
     "macro_ungrouped": macro_ungrouped,
     "year_filter": macro_year_filter,
     "contract_ohlcv": contract_ohlcv,
@@ -553,9 +612,14 @@ QUERIES: dict[str, Query] = {
     "json_pick_keys": json_pick_keys,
     "provider_columns": provider_columns,
     "landing_snapshot": landing_snapshot,
+    "landing_tree": landing_tree,
     "historical_silver": historical_silver,
     "historical_fx": historical_fx,
     "historical_gold": historical_gold,
+    "historical_stock_view": historical_stock_view,
+    "macro_rejects": macro_rejects,
+    "layer_metrics_report": layer_metrics_report,
+    "suite_report": suite_report,
     "daily_silver": daily_silver,
     "daily_fx_silver": daily_fx_silver,
     "lineage_ohlcv": lineage_ohlcv,

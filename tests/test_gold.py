@@ -121,3 +121,12 @@ def test_macro_facts(macro, limit):
 def test_macro_facts_compat_repeats_inflation(macro):
     got = macro_facts(macro, compat=True).collect()
     assert all(r.unemployment_change_year_on_year == r.inflation_change_year_on_year for r in got)
+
+
+def test_dated_series_are_not_counted_first(spark, prices):
+    spark.sparkContext.setJobGroup("build", "facts are only declared")
+    try:
+        stock_facts(prices)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
