@@ -173,7 +173,7 @@ class Codec:
 
     def decode(self, ids: list[int]) -> str:
         """Without a decoder of its own, the vocabulary's tokens are joined by spaces."""
-        return " ".join([self.tokens[i] for i in ids])
+        return " ".join(map(self.tokens.__getitem__, ids))
 
 
 _CODECS: dict[int, Codec] = {}
@@ -213,7 +213,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         codec = codec_of(vocabulary)
         for batch in batches:
             for part in by_size(batch, pc.multiply(pc.list_value_length(batch.column(ids)), 8)):
-                texts = [codec.decode(i or []) for i in part.column(ids).to_pylist()]
+                texts = [codec.decode(i) for i in id_lists(part.column(ids))]
                 columns = [*part.columns, pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "decoded"])
 
@@ -225,6 +225,14 @@ def broadcast_file(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast((file.read(), character_classes()))
 
 
+def id_lists(column: pa.ListArray) -> Iterator[list[int]]:
+    """The lists of a column, NULL as an empty one: its values become numbers at once, not one by one."""
+    ends = column.offsets.to_pylist()
+    values = column.values[ends[0] : ends[-1]].to_numpy(zero_copy_only=False)
+    for row, valid in enumerate(column.is_valid().to_pylist()):
+        yield values[ends[row] - ends[0] : ends[row + 1] - ends[0]].tolist() if valid else []
+
+
 def by_size(batch: pa.RecordBatch, sizes: pa.Array) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` of about BLOCK characters, a row at least."""
     total = np.cumsum(np.nan_to_num(sizes.to_numpy(zero_copy_only=False).astype(float)))
