@@ -35,7 +35,7 @@ SHAPES = {
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:\x20[0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}"
     r"|3[47][0-9]{2}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])(?:(?:\+?1[\x20.-]?)?(?:\([2-9][0-9]{2}\)\x20?|[2-9][0-9]{2}[\x20.-])[2-9][0-9]{2}[\x20.-][0-9]{4}"
+    "phone": r"(?<![0-9A-Za-z+])(?:(?:\+?1[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}"
     r"|\+[2-9][0-9](?:[\x20.-]?\(?[0-9]{1,9}\)?){2,5})(?![0-9A-Za-z])",
 }
 ANY_SHAPE = "|".join(f"(?:{p})" for p in SHAPES.values())
@@ -223,10 +223,10 @@ def date_pseudonym(value: Column, keyed: Permutation) -> Column:
 
 
 def phone_pseudonym(value: Column, keyed: Permutation) -> Column:
-    """North American numbers stay in their plan; others keep their first two digits."""
+    """North American numbers stay in their plan (area and exchange from 200), those written like them stay outside of
+    it; others keep their first two digits."""
 
-    def american(digits: Column) -> Column:
-        area, office, line = (F.substring(digits, at, n).cast("bigint") for at, n in ((1, 3), (4, 3), (7, 4)))
+    def planned(area: Column, office: Column, line: Column) -> Column:
         moved = keyed(
             (area - 200) * 800 + office - 200, line, F.lit(640_000), F.lit(10_000), F.lit("phone")
         )
@@ -239,6 +239,23 @@ def phone_pseudonym(value: Column, keyed: Permutation) -> Column:
             ),
         )
 
+    def unplanned(area: Column, office: Column, line: Column) -> Column:
+        # 200 areas with 1,000 exchanges each, then 800 areas with 200 each.
+        rank = F.when(area < 200, area * 1000 + office).otherwise(200_000 + (area - 200) * 200 + office)
+
+        def text(new: Column) -> Column:
+            rest = new["x"] - 200_000
+            prefix = F.when(rest < 0, new["x"]).otherwise((F.floor(rest / 200) + 200) * 1000 + rest % 200)
+            return F.concat(F.lpad(prefix.cast("string"), 6, "0"), F.lpad(new["y"].cast("string"), 4, "0"))
+
+        return bind(keyed(rank, line, F.lit(360_000), F.lit(10_000), F.lit("phone|unplanned")), text)
+
+    def american(digits: Column) -> Column:
+        area, office, line = (F.substring(digits, at, n).cast("bigint") for at, n in ((1, 3), (4, 3), (7, 4)))
+        return F.when((area >= 200) & (office >= 200), planned(area, office, line)).otherwise(
+            unplanned(area, office, line)
+        )
+
     def new(digits: Column) -> Column:
         n = F.length(digits)
         code = F.substring(digits, 1, 2)

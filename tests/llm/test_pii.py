@@ -115,6 +115,35 @@ def test_formats_stay_valid_and_linked(spark):
         assert 1 <= area <= 899 and area != 666 and n[4:6] != "00" and n[7:] != "0000"
 
 
+def unplanned(digits):
+    area, office = int(digits[:3]), int(digits[3:6])
+    rank = area * 1000 + office if area < 200 else 200_000 + (area - 200) * 200 + office
+    x, y = permute(rank, int(digits[6:]), 360_000, 10_000, "phone|unplanned")
+    prefix = x if x < 200_000 else ((x - 200_000) // 200 + 200) * 1000 + (x - 200_000) % 200
+    return f"{prefix:06d}{y:04d}"
+
+
+def test_phones_outside_the_plan(spark):
+    numbers = ["+1 (017) 555-7713", "+1 (152) 555-8590", "988-155-2485", "(988) 099 2485", "000.000.0000"]
+    got = by_id(pii_report(docs(spark, [f"call {n}, or" for n in numbers])))
+    for i, number in enumerate(numbers):
+        plain = re.sub("[^0-9]", "", number)
+        new = plain[:-10] + unplanned(plain[-10:])
+        assert got[i][0]["text"] == f"call {refill(number, new)}, or" and got[i][0]["n_phone"] == 1, number
+        assert new[-10] < "2" or new[-7] < "2"  # never the pseudonym of a number of the plan
+
+
+def test_given_phones_are_all_found(spark):
+    given = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    texts = dict(given.select("doc_id", "text").collect())
+    written = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+    got = by_id(pii_report(given))
+    counts = {i: len(re.findall(written, t)) for i, t in texts.items()}
+    assert sum(counts.values()) == 19
+    for i, n in counts.items():
+        assert got[i][0]["n_phone"] >= n and not any(v in got[i][0]["text"] for v in re.findall(written, texts[i]))
+
+
 def test_every_day_has_its_own_pseudonym(spark):
     keyed = Permutation(SAMPLE_KEY)
     days = DAYS[0] * DAYS[1]
