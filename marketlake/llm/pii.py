@@ -8,7 +8,8 @@ the exact size of the format, so no cycle walking is needed. Round values are HM
 
 E-mail addresses have no bounded format; they get a keyed digest below ``.invalid``.
 
-Defined results: NULL stays NULL without finds; numbers that fail their check stay as they are; a text without finds is
+Defined results: NULL stays NULL without finds; numbers that fail their check stay as they are,
+and hide no number inside or after them; a text without finds is
 unchanged; repeated rows and columns of any name are kept.
 """
 
@@ -23,21 +24,66 @@ from marketlake.llm.common import bind
 SAMPLE_KEY = b"marketlake sample key, not a secret"
 ROUNDS = 12
 
+OCTET = r"(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+LEAP_YEAR = r"(?:19(?:0[48]|[2468][048]|[13579][26])|20(?:[02468][048]|[13579][26]))"
+
+
+def day_shape(whole: str) -> str:
+    """The days of a calendar; ``whole`` puts {day}, {month} and {year} into order."""
+    any_year = "(?:19|20)[0-9]{2}"
+    days = [
+        ("(?:0[1-9]|1[0-9]|2[0-8])", "(?:0[1-9]|1[0-2])", any_year),
+        ("(?:29|30)", "(?:0[13-9]|1[0-2])", any_year),
+        ("31", "(?:0[13578]|1[02])", any_year),
+        ("29", "02", LEAP_YEAR),
+    ]
+    return "(?:" + "|".join(whole.format(day=d, month=m, year=y) for d, m, y in days) + ")"
+
+
+#: Checks other than those of ``START`` are part of the shape, so what fails them hides nothing.
+IPV4 = rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?[0-9])"
+DATE = (
+    rf"(?<![0-9A-Za-z-]){day_shape('{year}-{month}-{day}')}(?![0-9-])"
+    + "".join(
+        rf"|(?<![0-9A-Za-z./]){day_shape(order)}(?![./]?[0-9])"
+        for order in ("{day}/{month}/{year}", "{month}/{day}/{year}", r"{day}\.{month}\.{year}")
+    )
+)
+SSN = (
+    r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])"
+)
+IBAN = (
+    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
+)
+CARD = (
+    r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:\x20[0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}"
+    r"|3[47][0-9]{2}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0-9A-Za-z])"
+)
+AMERICAN = r"(?:\+?1[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])"
+# A number abroad has 8 to 15 digits. It never runs into a card that would make it longer, and from its eighth digit on
+# it ends where a number of another kind begins. In a run of groups of four, cards are the last 4, 8, 12, ... groups.
+FOURS = r"[0-9]{4}(?:[\x20-][0-9]{4}){3}"
+CARDS = rf"{FOURS}(?:[\x20-]{FOURS})*(?![0-9A-Za-z])(?![\x20-][0-9]{{4}}(?![0-9-]))"
+OTHER_CARD = r"(?:[0-9]{14,19}|3[47][0-9]{2}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0-9A-Za-z])"
+NEXT_CARD = rf"(?![\x20.-](?:{CARDS}|{OTHER_CARD}))"
+NEXT = rf"(?![\x20.-](?:{IPV4}|{DATE}|{SSN}|{CARDS}|{OTHER_CARD}|[0-9]{{13}}(?![0-9A-Za-z])|{AMERICAN}))"
+DIGIT = r"[\x20.-]?\(?[0-9]\)?"
+ABROAD = rf"\+[2-9][0-9](?:{NEXT_CARD}{DIGIT}){{6}}(?:{NEXT}{DIGIT}){{0,7}}(?![0-9A-Za-z])"
+
 #: Shapes to look at, tried in this order at each place. Spans that are found are disjoint.
 SHAPES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}"
     r"(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)"
-    r"(?![A-Za-z0-9])",
-    "ipv4": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
-    "date": r"(?<![0-9A-Za-z-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])"
-    r"|(?<![0-9A-Za-z./])[0-9]{2}([./])[0-9]{2}\1(?:19|20)[0-9]{2}(?![./]?[0-9])",
-    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:\x20[0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}"
-    r"|3[47][0-9]{2}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])(?:(?:\+?1[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}"
-    r"|\+[2-9][0-9](?:[\x20.-]?\(?[0-9]{1,9}\)?){2,5})(?![0-9A-Za-z])",
+    "iban": IBAN,
+    "ipv4": IPV4,
+    "date": DATE,
+    "ssn": SSN,
+    "card": CARD,
+    "phone": rf"(?<![0-9A-Za-z+])(?:{AMERICAN}|{ABROAD})",
 }
+#: Kinds whose check no shape can hold: texts with a span that fails it are read again, see ``exact_shape``. Their first
+#: characters.
+START = {"iban": "[A-Z]{2}[0-9]{2}", "card": "[0-9]{4}"}
 ANY_SHAPE = "|".join(f"(?:{p})" for p in SHAPES.values())
 KINDS = tuple(SHAPES)
 
@@ -298,6 +344,47 @@ PSEUDONYMS = {
 }
 
 
+def is_card(value: Column) -> Column:
+    return bind(only_digits(value), lambda d: luhn_sum(d) % 10 == 0)
+
+
+def is_iban(value: Column) -> Column:
+    plain = F.replace(value, F.lit(" "), F.lit(""))
+    return bind(plain, lambda p: modulo_97(F.concat(F.substr(p, F.lit(5), F.length(p) - 4), F.substring(p, 1, 4))) == 1)
+
+
+def exact_shape(content: Column) -> Column:
+    """``ANY_SHAPE`` with the IBANs and cards that pass their check in place of their shapes.
+
+    Candidates are taken at every place, inside of others too, and a spaced IBAN may end at each of its groups, so what
+    fails a check hides nothing. At one place the longest value that passes is taken.
+    """
+
+    def everywhere(kind: str) -> Column:
+        return F.array_distinct(F.regexp_extract_all(content, F.lit(f"(?=({SHAPES[kind]}))"), F.lit(1)))
+
+    def shorter(value: Column) -> Column:
+        groups = F.split(value, " ")
+        ends = F.when(F.size(groups) > 3, F.sequence(F.lit(3), F.size(groups))).otherwise(F.array(F.size(groups)))
+        return F.transform(ends, lambda n: F.array_join(F.slice(groups, 1, n), " "))
+
+    def among(kind: str, values: Column) -> Column:
+        longest_first = F.transform(
+            F.sort_array(F.transform(values, lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))), asc=False),
+            lambda s: s["v"],
+        )
+        listed = F.concat(
+            F.lit(rf"(?<![A-Za-z0-9])(?={START[kind]})(?:"), F.array_join(longest_first, "|"), F.lit(r")(?![A-Za-z0-9])")
+        )
+        return F.when(F.size(values) > 0, listed).otherwise(F.lit("(?!)"))
+
+    ibans = F.filter(F.array_distinct(F.flatten(F.transform(everywhere("iban"), shorter))), is_iban)
+    cards = F.filter(everywhere("card"), is_card)
+    shapes = {k: F.lit(s) for k, s in SHAPES.items()}
+    shapes |= {"iban": bind(ibans, lambda v: among("iban", v)), "card": bind(cards, lambda v: among("card", v))}
+    return F.concat_ws("|", *[F.concat(F.lit("(?:"), s, F.lit(")")) for s in shapes.values()])
+
+
 def pseudonymize(docs: DataFrame, text: str = "text", key: bytes = SAMPLE_KEY) -> DataFrame:
     """``docs`` with ``text`` replaced and ``pii`` added: (kind, pseudonym) of each find, in order."""
     keyed = Permutation(key)
@@ -313,14 +400,27 @@ def pseudonymize(docs: DataFrame, text: str = "text", key: bytes = SAMPLE_KEY) -
             finds = F.when(value.rlike(f"^(?:{SHAPES[kind]})$"), found).otherwise(finds)
         return F.struct(value.alias("old"), finds.alias("find"))
 
-    values = F.regexp_extract_all(content, F.lit(ANY_SHAPE), F.lit(0))
+    def fails(value: Column) -> Column:
+        return (value.rlike(f"^(?:{SHAPES['iban']})$") & ~is_iban(value)) | (
+            value.rlike(f"^(?:{SHAPES['card']})$") & ~is_card(value)
+        )
+
+    def spans(shape: Column) -> Column:
+        """The texts between the finds, and the finds."""
+        return F.struct(
+            F.split(content, shape, -1).alias("rest"),
+            F.transform(F.regexp_extract_all(content, shape, F.lit(0)), one).alias("found"),
+        )
+
     none = F.array().cast("array<struct<old:string,find:struct<kind:string,new:string>>>")
-    found = F.when(content.rlike(ANY_SHAPE), F.transform(values, one)).otherwise(none)
+    values = F.regexp_extract_all(content, F.lit(ANY_SHAPE), F.lit(0))
+    exact = F.when(F.exists(values, fails), exact_shape(content)).otherwise(F.lit(ANY_SHAPE))
+    found = F.when(content.rlike(ANY_SHAPE), bind(exact, spans))
 
     def spliced(finds: Column) -> Column:
-        news = F.transform(finds, lambda f: F.coalesce(f["find"]["new"], f["old"]))
+        news = F.transform(finds["found"], lambda f: F.coalesce(f["find"]["new"], f["old"]))
         return F.array_join(
-            F.flatten(F.zip_with(F.split(content, ANY_SHAPE, -1), news, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))),
+            F.flatten(F.zip_with(finds["rest"], news, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))),
             "",
         )
 
@@ -330,13 +430,13 @@ def pseudonymize(docs: DataFrame, text: str = "text", key: bytes = SAMPLE_KEY) -
         found_col += "_"
     return docs.select(*[F.col(f"`{c}`") for c in names], found.alias(found_col)).select(
         *[
-            F.when(F.size(found_col) > 0, spliced(F.col(found_col))).otherwise(content).alias(text)
+            F.when(F.size(F.col(found_col)["found"]) > 0, spliced(F.col(found_col))).otherwise(content).alias(text)
             if c == text
             else F.col(f"`{c}`")
             for c in names
         ],
         F.transform(
-            F.filter(found_col, lambda f: f["find"].isNotNull()), lambda f: f["find"]
+            F.filter(F.coalesce(F.col(found_col)["found"], none), lambda f: f["find"].isNotNull()), lambda f: f["find"]
         ).alias("pii"),
     )
 

@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 from cases import SF, by_id, docs, with_clashes
 from pyspark.sql import functions as F
 
-from marketlake.llm.pii import ANY_SHAPE, DAYS, KINDS, ROUNDS, SAMPLE_KEY, Permutation, pii_report, pseudonymize
+from marketlake.llm.pii import ANY_SHAPE, DAYS, KINDS, ROUNDS, SAMPLE_KEY, SHAPES, Permutation, pii_report, pseudonymize
 
 
 def permute(x, y, a, b, tweak):
@@ -123,6 +123,58 @@ def unplanned(digits):
     return f"{prefix:06d}{y:04d}"
 
 
+def abroad(digits):
+    return digits[:2] + permute_digits(digits[2:], f"phone|{len(digits)}|{digits[:2]}")
+
+
+def test_failed_spans_hide_nothing(spark):
+    phone, other = "+44 20 7946 0958", "4111 1111 1111 1111"
+    new = refill(phone, "" + abroad("442079460958"))
+    new_card = refill(other, card("4111111111111111"))
+    cases = {
+        f"{phone} {other}": f"{new} {new_card}",
+        f"{phone} 4111 1111 1111 1112.": f"{new} 4111 1111 1111 1112.",
+        f"{phone} 192.168.1.1": f"{new} {ipv4('192.168.1.1')}",
+        f"{phone} 988-555-2485": f"{new} {refill('988-555-2485', nanp('9885552485'))}",
+        f"{phone} 2020-02-29": f"{new} {day(dt.date(2020, 2, 29))}",
+        f"+44 {other}": f"+44 {new_card}",
+        f"+44 1.2.3.4 {phone}": f"+44 {ipv4('1.2.3.4')} {new}",
+        f"AB12 {other}": f"AB12 {new_card}",
+        f"order 1234 {other}": f"order 1234 {new_card}",
+        f"1234 5678 {other} {other}": f"1234 5678 {new_card} {new_card}",
+        f"2021-02-30 {other}": f"2021-02-30 {new_card}",
+        f"99.99.2020 {other} 192.168.1.256": f"99.99.2020 {new_card} 192.168.1.256",
+        "4111111111111112 4111111111111111": f"4111111111111112 {card('4111111111111111')}",
+    }
+    got = by_id(pii_report(docs(spark, list(cases))))
+    for i, (text, want) in enumerate(cases.items()):
+        assert got[i][0]["text"] == want, text
+    texts = ["BE68 5390 0754 7034", "BE68 5390 0754 7034 USD", "BE68 5390 0754 7034 4111 1111 1111 1111"]
+    rows = by_id(pii_report(docs(spark, texts)))
+    iban = rows[0][0]["text"]
+    assert iban != texts[0] and rows[0][0]["n_iban"] == 1
+    assert rows[1][0]["text"] == f"{iban} USD" and rows[2][0]["text"] == f"{iban} {new_card}"
+
+
+def test_calendar_in_the_shape(spark):
+    days = [f"{y}-{m:02d}-{d:02d}" for y in (1900, 1904, 1999, 2000, 2023, 2096) for m in range(14) for d in range(33)]
+
+    def real(text):
+        try:
+            return bool(dt.date.fromisoformat(text))
+        except ValueError:
+            return False
+
+    forms = ("{0}-{1}-{2}", "{2}/{1}/{0}", "{1}/{2}/{0}", "{2}.{1}.{0}")
+    for text in days:
+        for form in forms:
+            written = form.format(*text.split("-"))
+            wants = real(text) or (
+                "/" in written and real("-".join((written[6:], written[3:5], written[:2])))
+            ) or ("/" in written and real("-".join((written[6:], written[:2], written[3:5]))))
+            assert bool(re.fullmatch(SHAPES["date"], written, re.A)) == wants, written
+
+
 def test_phones_outside_the_plan(spark):
     numbers = ["+1 (017) 555-7713", "+1 (152) 555-8590", "988-155-2485", "(988) 099 2485", "000.000.0000"]
     got = by_id(pii_report(docs(spark, [f"call {n}, or" for n in numbers])))
