@@ -6,6 +6,10 @@ same chunks wherever it stands. Chunks are at least ``REACH`` bytes long. Two ne
 known by its 128-bit digest: a short run of common words is no repeat by itself. The first place of a unit (smallest
 document, then earliest place) stays, all others are cut out.
 
+A stretch that repeats with a period of at most ``REACH`` bytes has no cut. It gets units of its own: whole periods from
+the first least rotation on, each known by its bytes and its number in the stretch, and the stretch as a whole. So a
+stretch that other documents have too is found whatever surrounds it, but is no repeat of itself.
+
 Within a document, repeats are found in the task that chunks it; across documents, units meet by digest: per digest
 only the smallest and largest document are kept (partial sums before the shuffle), and units are joined with those, so
 a digest that a third of all documents share is one row on one side and can be split on the other.
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 REACH = 24
 LEAST_UNIT = 2 * REACH + 2  # bytes; shorter units are never repeats
 BLOCK = 1 << 21
+LEAST_RUN = 100  # bytes of a periodic stretch; shorter ones have no units of their own
 GAP = 64  # zero bytes between texts; more than the reach and the rolling window together
 
 #: 32-bit gear values, a fixed pseudo-random function of the byte. Zero bytes add nothing, so gaps are neutral.
@@ -93,6 +99,53 @@ def units(text: bytes, places: np.ndarray) -> Iterator[tuple[bytes, int, int]]:
             yield hashlib.blake2b(text[a:b], digest_size=16).digest(), a, b
 
 
+def stretches(text: bytes, low: int, high: int) -> Iterator[tuple[int, int, int]]:
+    """(period, start, end) of the longest periodic stretches between two places, shortest periods first."""
+    data = np.frombuffer(text, np.uint8)[low:high]
+    found: list[tuple[int, int]] = []
+    for period in range(1, REACH + 1):
+        same = np.concatenate([[False], data[period:] == data[:-period], [False]])
+        edges = np.flatnonzero(same[1:] != same[:-1])
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            start, end = a, b + period
+            if end - start >= LEAST_RUN and not any(x <= start and end <= y for x, y in found):
+                found.append((start, end))
+                yield period, low + start, low + end
+
+
+def run_units(text: bytes, places: np.ndarray) -> Iterator[tuple[bytes, int, int]]:
+    """(digest, start, end) of the units of periodic stretches. A stretch has no cut beyond the first bytes that see what
+    is before it, so only long chunks are looked at."""
+    lead = REACH + 15
+    done: set[tuple[int, int]] = set()
+    for at in np.flatnonzero(np.diff(places) >= LEAST_RUN - lead).tolist():
+        low, high = max(0, int(places[at]) - lead), int(places[at + 1])
+        if not may_repeat(text[low:high]):
+            continue
+        for period, a, b in stretches(text, low, high):
+            # Whole characters only.
+            while a < b and text[a] & 0xC0 == 0x80:
+                a += 1
+            while b > a and b < len(text) and text[b] & 0xC0 == 0x80:
+                b -= 1
+            turns = [i for i in range(a, a + period) if text[i] & 0xC0 != 0x80]
+            if b - a < LEAST_UNIT or (a, b) in done or not turns:
+                continue
+            done.add((a, b))
+            yield hashlib.blake2b(text[a:b], digest_size=16, person=b"whole").digest(), a, b
+            first = min(turns, key=lambda i: (text[i : i + period], i))
+            step = -(-LEAST_UNIT // period) * period
+            for n, start in enumerate(range(first, b - step + 1, step)):
+                word = hashlib.blake2b(text[start : start + step], digest_size=16, person=b"run", salt=n.to_bytes(8, "big"))
+                yield word.digest(), start, start + step
+
+
+def may_repeat(piece: bytes) -> bool:
+    """Whether a periodic stretch can be in it: the bytes at the middle of one are there again within ``REACH``."""
+    size = (LEAST_RUN - REACH) // 2
+    return any(piece.find(piece[i : i + size], i + 1, i + size + REACH) >= 0 for i in range(0, len(piece) - size, size))
+
+
 def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of (doc, tkey, text) as units (digest, doc, tkey, start, end, again); ``again``: seen in this text."""
 
@@ -101,7 +154,7 @@ def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns: list[list] = [[], [], [], [], [], []]
         for (doc, tkey, text), places in zip(block, cuts(texts), strict=True):
             seen: dict[bytes, int] = {}
-            for digest, a, b in units(text, places):
+            for digest, a, b in chain(units(text, places), run_units(text, places)):
                 again = digest in seen
                 seen.setdefault(digest, a)
                 for column, value in zip(columns, (digest, doc, tkey, a, b, again), strict=True):

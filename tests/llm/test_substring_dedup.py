@@ -118,3 +118,31 @@ def test_repeats_null_ids_and_empty(spark):
     left = sorted(((r["doc_id"], r["text"]) for r in rows if r["doc_id"] is not None))
     assert left == [(1, text), (1, text), (2, "")]
     assert substring_report(docs(spark, []).limit(0)).count() == 0
+
+
+def test_periodic_passages_are_found(spark):
+    for word, times in (("all rights reserved. ", 40), ("ha ha ho ", 40), ("a ", 60), ("日本語 ", 60), ("x" * 23 + " ", 20)):
+        run = word * times
+        texts = [
+            sentences(30, 60) + " Q " + run + "W " + sentences(31, 60),
+            sentences(32, 60) + word[-1] + run + sentences(33, 60),
+            sentences(34, 60) + " Z " + run * 2 + "V " + sentences(35, 60),
+            sentences(36, 60) + " Y " + sentences(37, 60),
+        ]
+        got = by_id(substring_report(docs(spark, texts)))
+        assert got[0][0]["text"] == texts[0] and got[3][0]["text"] == texts[3]  # the first one stays, others have none
+        step = -(-LEAST_UNIT // len(word.encode())) * len(word.encode())
+        for i, copies in ((1, 1), (2, 1)):
+            row = got[i][0]
+            left = run * 2 if i == 2 else run
+            assert row["has_repeat"] and len(left.encode()) > step
+            gone = len(texts[i]) - len(row["text"])
+            assert len(run) * copies - 2 * step < gone <= len(run) * copies + len(word), (word, i)
+            assert row["text"][:300] == texts[i][:300] and row["text"][-300:] == texts[i][-300:]
+
+
+def test_stretches_of_one_text(spark):
+    run = "ha ha ho " * 40
+    text = sentences(40, 60) + " Q " + run + "W " + sentences(41, 60) + " Z " + run + "V " + sentences(42, 60)
+    row = by_id(substring_report(docs(spark, [text])))[0][0]
+    assert len(run) - 120 < len(text) - len(row["text"]) <= len(run) + 2
