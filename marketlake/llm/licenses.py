@@ -89,6 +89,7 @@ def own_licenses(files: DataFrame, templates: dict[str, str], threshold: float)
         F.split("text", SENTENCE_END, -1), lambda s: F.lower(s).rlike(rf"(?<![a-z0-9])(?:{needed})(?![a-z0-9])")
     )
     candidates = files.select("path", "tkey", F.posexplode(F.array_distinct(sentences)).alias("place", "sentence"))
+    candidates = candidates.distinct()  # rows of one path and text are one file
     terms = F.regexp_extract_all(F.lower("sentence"), F.lit(TERM), F.lit(0))
     idf = F.create_map(*[F.lit(x) for pair in sorted(weights.idf.items()) for x in pair])
     counted = (

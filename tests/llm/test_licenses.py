@@ -98,3 +98,13 @@ def test_repeats_null_ids_and_empty(spark):
     rows = license_report(df).collect()
     assert sorted((r["own_license"] or "") for r in rows) == ["", "proprietary", "proprietary"]
     assert license_report(df.limit(0)).count() == 0
+
+
+def test_copies_score_as_one(spark):
+    text = "Licensed under the Apache License, Version 2.0, with wibble wobble and wubble."
+    rows = [(None, text)] * 40 + [(7, text)] * 40 + [(i, "plain words") for i in range(100, 200)]
+    df = docs(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    files = [(r["doc_id"], r["path"], r["text"]) for r in as_files(df).collect()]
+    got = {k: {tuple(r.values())[1:] for r in v} for k, v in by_id(license_report(df).drop("path")).items()}
+    assert got == {k: set(v) for k, v in brute(files).items()}
+    assert all(own is None for own, *_ in got[None] | got[7])
