@@ -11,6 +11,8 @@ from marketlake.llm.chat_format import preference_report
 from marketlake.llm.common import table
 from marketlake.llm.decontamination import ORACLE as DECONTAMINATION
 from marketlake.llm.decontamination import decontamination_report
+from marketlake.llm.exact_topk import ORACLE as TOP_K
+from marketlake.llm.exact_topk import top_k_report
 from marketlake.llm.licenses import license_report
 from marketlake.llm.pii import pii_report
 from marketlake.llm.quality_rules import quality_report
@@ -61,6 +63,10 @@ def op10_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference_report(table(spark, sf_dir, "conversations"))
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_secret_scan": op2_secret_scan,
@@ -72,9 +78,11 @@ QUERIES = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality_rules": op9_quality_rules,
     "op10_preference_pairs": op10_preference_pairs,
+    "op11_exact_topk": op11_exact_topk,
 }
 ORACLES: dict[str, str] = {
     "op6_decontamination": DECONTAMINATION,
     "op7_warc_archives": ARCHIVES,
     "op10_preference_pairs": PREFERENCES,
+    "op11_exact_topk": TOP_K,
 }
