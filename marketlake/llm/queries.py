@@ -9,11 +9,15 @@ from marketlake.llm.bpe import bpe_report
 from marketlake.llm.chat_format import ORACLE as PREFERENCES
 from marketlake.llm.chat_format import preference_report
 from marketlake.llm.common import table
+from marketlake.llm.conversation_trie import ORACLE as TRIE
+from marketlake.llm.conversation_trie import conversation_trie
 from marketlake.llm.decontamination import ORACLE as DECONTAMINATION
 from marketlake.llm.decontamination import decontamination_report
 from marketlake.llm.exact_topk import ORACLE as TOP_K
 from marketlake.llm.exact_topk import top_k_report
 from marketlake.llm.licenses import license_report
+from marketlake.llm.merkle import ORACLE as MANIFEST
+from marketlake.llm.merkle import merkle_report
 from marketlake.llm.pii import pii_report
 from marketlake.llm.quality_rules import quality_report
 from marketlake.llm.secrets import secret_report
@@ -67,6 +71,14 @@ def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_secret_scan": op2_secret_scan,
@@ -79,10 +91,14 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_preference_pairs": op10_preference_pairs,
     "op11_exact_topk": op11_exact_topk,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
     "op6_decontamination": DECONTAMINATION,
     "op7_warc_archives": ARCHIVES,
     "op10_preference_pairs": PREFERENCES,
     "op11_exact_topk": TOP_K,
+    "op12_conversation_trie": TRIE,
+    "op13_merkle_manifest": MANIFEST,
 }
