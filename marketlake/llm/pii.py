@@ -157,12 +157,15 @@ def only_digits(value: Column) -> Column:
 
 
 def luhn_sum(digits: Column) -> Column:
-    def part(at: Column) -> Column:
-        digit = F.substr(digits, at, F.lit(1)).cast("int")
-        twice = digit * 2 - F.when(digit > 4, 9).otherwise(0)
-        return F.when((F.length(digits) - at) % 2 == 1, twice).otherwise(digit)
+    def total(bound: Column) -> Column:
+        def part(at: Column) -> Column:
+            digit = F.substr(bound, at, F.lit(1)).cast("int")
+            twice = digit * 2 - F.when(digit > 4, 9).otherwise(0)
+            return F.when((F.length(bound) - at) % 2 == 1, twice).otherwise(digit)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), lambda acc, at: acc + part(at))
+        return F.aggregate(F.sequence(F.lit(1), F.length(bound)), F.lit(0), lambda acc, at: acc + part(at))
+
+    return bind(digits, total)  # a lambda evaluates what it refers to at every step
 
 
 def modulo_97(value: Column) -> Column:
@@ -179,17 +182,20 @@ def modulo_97(value: Column) -> Column:
 def refill(template: Column, digits: Column) -> Column:
     """``template`` with its digits replaced in order."""
 
-    def step(state: Column, char: Column) -> Column:
-        return F.when(
-            (char != "") & char.between("0", "9"),
-            F.struct(
-                (state["at"] + 1).alias("at"),
-                F.concat(state["out"], F.substr(digits, state["at"], F.lit(1))).alias("out"),
-            ),
-        ).otherwise(F.struct(state["at"].alias("at"), F.concat(state["out"], char).alias("out")))
+    def filled(bound: Column) -> Column:
+        def step(state: Column, char: Column) -> Column:
+            return F.when(
+                (char != "") & char.between("0", "9"),
+                F.struct(
+                    (state["at"] + 1).alias("at"),
+                    F.concat(state["out"], F.substr(bound, state["at"], F.lit(1))).alias("out"),
+                ),
+            ).otherwise(F.struct(state["at"].alias("at"), F.concat(state["out"], char).alias("out")))
 
-    start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(F.split(template, ""), start, step, lambda state: state["out"])
+        start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+        return F.aggregate(F.split(template, ""), start, step, lambda state: state["out"])
+
+    return bind(digits, filled)
 
 
 # --- one pseudonym for each kind: NULL if the value fails its check ---------------------------------------------------
@@ -211,8 +217,12 @@ def card_pseudonym(value: Column, keyed: Permutation) -> Column:
                 F.substr(digits, F.lit(2), F.length(digits) - 2), F.concat_ws("|", F.lit("card"), F.length(digits), first)
             ),
         )
-        check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
-        return F.when(luhn_sum(digits) % 10 == 0, F.concat(body, check.cast("string")))
+
+        def checked(whole: Column) -> Column:
+            check = (10 - luhn_sum(F.concat(whole, F.lit("0"))) % 10) % 10
+            return F.concat(whole, check.cast("string"))
+
+        return F.when(luhn_sum(digits) % 10 == 0, bind(body, checked))
 
     return bind(only_digits(value), lambda d: refill(value, new(d)))
 
