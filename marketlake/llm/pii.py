@@ -15,6 +15,8 @@ unchanged; repeated rows and columns of any name are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +27,14 @@ SAMPLE_KEY = b"marketlake sample key, not a secret"
 ROUNDS = 12
 
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
-LEAP_YEAR = r"(?:19(?:0[48]|[2468][048]|[13579][26])|20(?:[02468][048]|[13579][26]))"
+# Years 1000 to 2999.
+YEAR = "[12][0-9]{3}"
+LEAP_YEAR = r"(?:[12][0-9](?:0[48]|[2468][048]|[13579][26])|(?:1[26]|2[048])00)"
 
 
 def day_shape(whole: str) -> str:
     """The days of a calendar; ``whole`` puts {day}, {month} and {year} into order."""
-    any_year = "(?:19|20)[0-9]{2}"
+    any_year = YEAR
     days = [
         ("(?:0[1-9]|1[0-9]|2[0-8])", "(?:0[1-9]|1[0-2])", any_year),
         ("(?:29|30)", "(?:0[13-9]|1[0-2])", any_year),
@@ -52,9 +56,8 @@ DATE = (
 SSN = (
     r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])"
 )
-IBAN = (
-    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
-)
+_IBAN = "[{0}]{{2}}[0-9]{{2}}(?:[{0}0-9]{{11,30}}|(?:\\x20[{0}0-9]{{4}}){{2,7}}(?:\\x20[{0}0-9]{{1,3}})?)"
+IBAN = f"(?<![A-Za-z0-9])(?:{_IBAN.format('A-Z')}|{_IBAN.format('a-z')})(?![A-Za-z0-9])"
 CARD = (
     r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:\x20[0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}"
     r"|3[47][0-9]{2}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0-9A-Za-z])"
@@ -68,27 +71,38 @@ OTHER_CARD = r"(?:[0-9]{14,19}|3[47][0-9]{2}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0
 NEXT_CARD = rf"(?![\x20.-](?:{CARDS}|{OTHER_CARD}))"
 NEXT = rf"(?![\x20.-](?:{IPV4}|{DATE}|{SSN}|{CARDS}|{OTHER_CARD}|[0-9]{{13}}(?![0-9A-Za-z])|{AMERICAN}))"
 DIGIT = r"[\x20.-]?\(?[0-9]\)?"
+#: As dialled within a country: a trunk zero, then three groups.
+NATIONAL = r"0[1-9][0-9]{0,3}[\x20-][0-9]{3,4}[\x20-][0-9]{3,4}(?![0-9A-Za-z])(?![\x20-][0-9])"
 ABROAD = rf"\+[2-9][0-9](?:{NEXT_CARD}{DIGIT}){{6}}(?:{NEXT}{DIGIT}){{0,7}}(?![0-9A-Za-z])"
 
+#: Letters of an address: ASCII, and those of the alphabets that separate words by spaces.
+LETTERS = "A-Za-z0-9\u00c0-\u024f\u0370-\u1fff"
+#: A domain name has at most 127 labels; nothing else is bounded.
+EMAIL = (
+    rf"(?<![{LETTERS}._%+-])[{LETTERS}._%+-]++@[{LETTERS}-]++(?:\.[{LETTERS}-]++){{0,125}}"
+    rf"\.[{LETTERS.replace('0-9', '')}]{{2,}}+(?![{LETTERS}])"
+)
+
 #: Shapes to look at, tried in this order at each place. Spans that are found are disjoint.
 SHAPES = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}"
-    r"(?![A-Za-z0-9])",
+    "email": EMAIL,
     "iban": IBAN,
     "ipv4": IPV4,
     "date": DATE,
     "ssn": SSN,
     "card": CARD,
-    "phone": rf"(?<![0-9A-Za-z+])(?:{AMERICAN}|{ABROAD})",
+    "phone": rf"(?<![0-9A-Za-z+])(?:{AMERICAN}|{ABROAD}|(?<![0-9][\x20-]){NATIONAL})",
 }
 #: Kinds whose check no shape can hold: texts with a span that fails it are read again, see ``exact_shape``. Their first
 #: characters.
-START = {"iban": "[A-Z]{2}[0-9]{2}", "card": "[0-9]{4}"}
+START = {"iban": "(?:[A-Z]{2}|[a-z]{2})[0-9]{2}", "card": "[0-9]{4}"}
 ANY_SHAPE = "|".join(f"(?:{p})" for p in SHAPES.values())
 KINDS = tuple(SHAPES)
 
 # Days of 1900-01-01 to 2099-12-31: 200 * 365 + 49 leap days = 17 * 4297.
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)
+# The days of 1000 to 1899 and of 2100 to 2999 move among themselves: 328,718 each, 611 * 1076 together.
+BEFORE, OTHER_DAYS = 328_718, (611, 1076)
 
 
 class Permutation:
@@ -266,21 +280,29 @@ def date_pseudonym(value: Column, keyed: Permutation) -> Column:
 
     def new(format: str) -> Column:
         day = F.datediff(F.try_to_timestamp(value, F.lit(format)).cast("date"), F.lit(FIRST_DAY).cast("date"))
-        moved = keyed(day % DAYS[0], F.floor(day / DAYS[0]), F.lit(DAYS[0]), F.lit(DAYS[1]), F.lit("date"))
-        text = bind(
-            moved,
-            lambda m: F.date_format(
-                F.date_add(F.lit(FIRST_DAY).cast("date"), (m["y"] * DAYS[0] + m["x"]).cast("int")), format
-            ),
-        )
-        return F.when(day.isNotNull(), text)
+        within = DAYS[0] * DAYS[1]
+
+        def moved(rank: Column, domain: tuple[int, int], tweak: str, back: Callable[[Column], Column]) -> Column:
+            a, b = domain
+            new = keyed(rank % a, F.floor(rank / a), F.lit(a), F.lit(b), F.lit(tweak))
+            first = F.lit(FIRST_DAY).cast("date")
+            return bind(new, lambda m: F.date_format(F.date_add(first, back(m["y"] * a + m["x"]).cast("int")), format))
+
+        def text(n: Column) -> Column:
+            rank = F.when(n < 0, n + BEFORE).otherwise(n - within + BEFORE)
+            other = moved(
+                rank, OTHER_DAYS, "date|other", lambda r: F.when(r < BEFORE, r - BEFORE).otherwise(r - BEFORE + within)
+            )
+            return F.when(n.between(0, within - 1), moved(n, DAYS, "date", lambda r: r)).otherwise(other)
+
+        return F.when(day.isNotNull(), bind(day, text))
 
     return F.coalesce(*[new(f) for f in formats])
 
 
 def phone_pseudonym(value: Column, keyed: Permutation) -> Column:
     """North American numbers stay in their plan (area and exchange from 200), those written like them stay outside of
-    it; others keep their first two digits."""
+    it; others keep their first two digits, the trunk zero of a national number included."""
 
     def planned(area: Column, office: Column, line: Column) -> Column:
         moved = keyed(
@@ -316,8 +338,10 @@ def phone_pseudonym(value: Column, keyed: Permutation) -> Column:
         n = F.length(digits)
         code = F.substring(digits, 1, 2)
         other = F.concat(code, keyed.digits(F.substr(digits, F.lit(3), n - 2), F.concat_ws("|", F.lit("phone"), n, code)))
+        national = value.rlike(f"^{NATIONAL}$") & ~value.rlike(f"^{AMERICAN}$")
         return (
             F.when(value.rlike(r"^\+[2-9]"), F.when(n.between(8, 15), other))
+            .when(national, other)
             .when(n == 10, american(digits))
             .otherwise(F.concat(F.lit("1"), american(F.substr(digits, F.lit(2), F.lit(10)))))
         )
@@ -326,7 +350,7 @@ def phone_pseudonym(value: Column, keyed: Permutation) -> Column:
 
 
 def iban_pseudonym(value: Column, keyed: Permutation) -> Column:
-    """Country and letters stay, digits of the account move, check digits follow."""
+    """Country and letters stay, digits of the account move, check digits follow. Letters may be small."""
 
     def new(plain: Column) -> Column:
         country, account = F.substring(plain, 1, 2), F.substr(plain, F.lit(5), F.length(plain) - 4)
@@ -340,7 +364,7 @@ def iban_pseudonym(value: Column, keyed: Permutation) -> Column:
 
         return F.when(valid, bind(moved, whole))
 
-    return bind(F.replace(value, F.lit(" "), F.lit("")), new)
+    return bind(F.upper(F.replace(value, F.lit(" "), F.lit(""))), new)
 
 
 PSEUDONYMS = {
@@ -359,7 +383,7 @@ def is_card(value: Column) -> Column:
 
 
 def is_iban(value: Column) -> Column:
-    plain = F.replace(value, F.lit(" "), F.lit(""))
+    plain = F.upper(F.replace(value, F.lit(" "), F.lit("")))
     return bind(plain, lambda p: modulo_97(F.concat(F.substr(p, F.lit(5), F.length(p) - 4), F.substring(p, 1, 4))) == 1)
 
 

@@ -3,6 +3,7 @@ import hashlib
 import hmac
 import re
 import sys
+import time
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -196,6 +197,80 @@ def test_given_phones_are_all_found(spark):
         assert got[i][0]["n_phone"] >= n and not any(v in got[i][0]["text"] for v in re.findall(written, texts[i]))
 
 
+def outer_day(value):
+    """Days of 1000 to 1899 and of 2100 to 2999 are one domain."""
+    first, last = dt.date(1000, 1, 1), dt.date(2100, 1, 1)
+    before = (dt.date(1900, 1, 1) - first).days
+    n = (value - first).days if value.year < 1900 else before + (value - last).days
+    x, y = permute(n % 611, n // 611, 611, 1076, "date|other")
+    n = y * 611 + x
+    return first + dt.timedelta(days=n) if n < before else last + dt.timedelta(days=n - before)
+
+
+def test_kinds_written_by_hand(spark):
+    """Values that a stranger would write, each with what must become of it."""
+    long_name = "n" * 70
+    mails = [
+        f"{long_name}@example.org", "a@b.c.d.e.f.g.h.i.j.example.com", f"x@{'l' * 80}.example", "größe@müller.de",
+        "иван@почта.рф", "first.last+tag@sub.example.museum",
+    ]
+    for i, row in by_id(pii_report(docs(spark, [f"write {m}, please" for m in mails]))).items():
+        assert re.fullmatch(r"write u[0-9a-f]{16}@[0-9a-f]{8}\.invalid, please", row[0]["text"]), mails[i]
+        assert row[0]["n_email"] == 1
+    old, late = outer_day(dt.date(1899, 5, 5)), outer_day(dt.date(2101, 1, 1))
+    iban = "gb82west12345698765432"
+    london = "020 7946 0958"
+    cases = {
+        "born 1899-05-05.": (f"born {old}.", "date"),
+        "due 01.01.2101": (f"due {late:%d.%m.%Y}", "date"),
+        "leap 29/02/1600": (f"leap {outer_day(dt.date(1600, 2, 29)):%d/%m/%Y}", "date"),
+        f"call {london}.": (f"call {refill(london, abroad('02079460958'))}.", "phone"),
+        "call 0171-555-7713 now": (f"call {refill('0171-555-7713', abroad('01715557713'))} now", "phone"),
+        "version 0.1.2 and 00 1234 5678": ("version 0.1.2 and 00 1234 5678", None),
+        "no leap 1900-02-29, 2100-02-29": ("no leap 1900-02-29, 2100-02-29", None),
+        "not a mail: @example.com a@b x@y.1": ("not a mail: @example.com a@b x@y.1", None),
+        f"wrong {iban[:-1]}3": (f"wrong {iban[:-1]}3", None),
+    }
+    got = by_id(pii_report(docs(spark, [*cases, f"{iban} {iban.upper()}"])))
+    for i, (text, (want, kind)) in enumerate(cases.items()):
+        assert got[i][0]["text"] == want, text
+        assert sum(got[i][0][f"n_{k}"] for k in KINDS) == (kind is not None), text
+        assert kind is None or got[i][0][f"n_{kind}"] == 1
+    small, large = got[len(cases)][0]["text"].split()
+    assert small.upper() == large != iban.upper() and small.islower() and got[len(cases)][0]["n_iban"] == 2
+
+
+def test_given_values_all_move(spark):
+    """What the given table holds, by shapes of this test's own."""
+    given = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    texts = dict(given.select("doc_id", "text").collect())
+    got = by_id(pii_report(given))
+    shapes = (r"[\w.+-]+@[\w-]+\.[\w.]*\w", r"\b\d{3}-\d{2}-\d{4}\b", r"\b\d{1,3}(?:\.\d{1,3}){3}\b", r"\b\d{16}\b")
+    found = 0
+    for i, text in texts.items():
+        for shape in shapes:
+            for value in re.findall(shape, text):
+                if value.isdigit() and luhn(value):
+                    continue
+                found += 1
+                assert value not in got[i][0]["text"], value
+    assert found > 20
+
+
+def test_two_thousand_cards_in_one_text(spark):
+    def made(n):
+        body = f"4{n:014d}"
+        return body + str((10 - luhn(body + "0")) % 10)
+
+    cards = [made(n * 7919) for n in range(2000)]
+    df = docs(spark, [" ".join(cards)], parts=1)
+    row = pii_report(df).first()
+    start = time.perf_counter()
+    row = pii_report(df).first()
+    assert time.perf_counter() - start < 15  # 50 s and more if the permutation ran again for every digit
+    assert row["n_card"] == 2000 and row["text"].split() == [card(c) for c in cards]
+
+
 def test_every_day_has_its_own_pseudonym(spark):
     keyed = Permutation(SAMPLE_KEY)
     days = DAYS[0] * DAYS[1]
