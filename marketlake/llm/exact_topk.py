@@ -81,10 +81,17 @@ class Sparse:
             return math.inf
         return float(np.abs(self.weights).max()) if len(self.weights) else 0.0
 
-    def postings(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """Term to (rows, weights)."""
-        spans = zip(self.ends[:-1], self.ends[1:], strict=True)
-        return {int(t): (self.rows[a:b], self.weights[a:b]) for t, (a, b) in zip(self.terms, spans, strict=True)}
+    def postings(self) -> dict[int, tuple[np.ndarray | None, np.ndarray]]:
+        """Term to (rows, weights). A posting of more than half of the rows is laid out over all, with rows None."""
+        found = {}
+        for term, a, b in zip(self.terms.tolist(), self.ends[:-1], self.ends[1:], strict=True):
+            rows, weights = self.rows[a:b], self.weights[a:b]
+            if 2 * len(rows) > self.n:
+                spread = np.zeros(self.n, weights.dtype)
+                spread[rows] = weights
+                rows, weights = None, spread
+            found[term] = rows, weights
+        return found
 
     def with_id(self, value) -> slice:
         """The rows of one id."""
@@ -92,20 +99,26 @@ class Sparse:
         return slice(int(a), int(b))
 
 
-def scatter(postings: dict, terms: dict, start: int, stop: int, n: int, kind) -> np.ndarray:
+def scatter(postings: dict, asked: dict, start: int, stop: int, n: int, kind) -> np.ndarray:
     """Scores of the queries ``start`` to ``stop``: one term after the other, each adding its weighted posting."""
     scores = np.zeros((stop - start, n), kind)
-    for term, (queries, weights) in terms.items():
-        a, b = np.searchsorted(queries, [start, stop])
-        if a == b or term not in postings:
-            continue
+    for term in asked.keys() & postings.keys():
+        queries, weights = asked[term]
         rows, values = postings[term]
-        if len(rows) < n:
-            scores[np.ix_(queries[a:b] - start, rows)] += weights[a:b, None] * values
-        elif b - a == stop - start:  # every query has the term, and so has every row
-            scores += weights[a:b, None] * values
+        if queries is None:
+            queries, weights = slice(None), weights[start:stop]
         else:
-            scores[queries[a:b] - start] += weights[a:b, None] * values
+            a, b = np.searchsorted(queries, [start, stop])
+            if a == b:
+                continue
+            queries, weights = queries[a:b] - start, weights[a:b]
+        added = weights[:, None] * values
+        if rows is None:
+            scores[queries] += added
+        elif isinstance(queries, slice):
+            scores[:, rows] += added
+        else:
+            scores[np.ix_(queries, rows)] += added
     return scores
 
 
