@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.operators.upsert import MONTH, month_of
+from marketlake.sources.versions import refresh
 
 
 def create_layers(spark: SparkSession, names: Sequence[str], root: str | None = None) -> None:
@@ -19,16 +20,6 @@ def create_layers(spark: SparkSession, names: Sequence[str], root: str | None =
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{location}")
 
 
-def refresh(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace ``table`` by ``df`` and return the stored table."""
-    if partition_by:
-        # Rebalancing gathers a partition value into few files and still splits a very large one.
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
-    return df.sparkSession.table(table)
-
-
 def refresh_monthly(df: DataFrame, table: str, date: str = "date") -> DataFrame:
     """Replace ``table``, partitioned by the month of ``date`` so that later upserts touch few files."""
     return refresh(df.withColumn(MONTH, month_of(date)), table, [MONTH])

@@ -1,0 +1,117 @@
+"""Full refreshes: a table keeps its rows until the new ones are complete."""
+
+from pathlib import Path
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from marketlake.operators.upsert import LAST_ID, MONTH, reserve_ids, table_location, upsert_table
+from marketlake.sources import versions
+from marketlake.sources.tables import create_layers, refresh_monthly
+from marketlake.sources.versions import NEXT, drop_old_versions, refresh, settle, table_versions
+
+
+@pytest.fixture
+def table(spark, lake):
+    create_layers(spark, [lake.silver], lake.tables_root)
+    return f"{lake.silver}.t"
+
+
+def dated(spark, days):
+    return spark.createDataFrame([(i, f"2025-{m:02d}-01", float(i)) for i, m in enumerate(days)], "id bigint, date string, x double").withColumn(
+        "date", F.to_date("date")
+    )
+
+
+def failing(spark, rows):
+    """Rows that cannot be computed to the end."""
+    return rows.withColumn("id", F.when(F.col("id") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+
+
+@pytest.mark.parametrize("monthly", [False, True])
+def test_a_failing_refresh_keeps_the_old_rows(spark, table, monthly):
+    store = refresh_monthly if monthly else refresh
+    old = dated(spark, [1, 2, 2])
+    store(old, table)
+    before = rows(spark.table(table))
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            store(failing(spark, dated(spark, range(1, 12))), table)
+        spark.catalog.refreshTable(table)
+        assert rows(spark.table(table)) == before
+    assert len(list(Path(table_versions(spark, table).removeprefix("file:")).iterdir())) == 1
+    store(dated(spark, range(1, 12)), table)
+    assert spark.table(table).count() == 11
+
+
+@pytest.mark.parametrize("monthly", [False, True])
+def test_a_reader_goes_on_with_the_version_it_knows(spark, table, monthly):
+    store = refresh_monthly if monthly else refresh
+    store(dated(spark, [1, 2]), table)
+    reader = spark.table(table)
+    want = rows(reader)
+    store(dated(spark, [3, 4, 5]), table)
+    assert rows(reader) == want and spark.table(table).count() == 3
+
+
+def test_a_table_may_be_replaced_by_what_is_read_from_it(spark, table):
+    refresh(dated(spark, [1, 2, 3]), table)
+    refresh(spark.table(table).filter("id > 0"), table)
+    assert spark.table(table).count() == 2
+
+
+def test_columns_and_partitions_may_change(spark, table):
+    refresh(dated(spark, [1, 2]), table)
+    refresh(dated(spark, [1, 2]).withColumn("y", F.lit("new")), table)
+    assert spark.table(table).columns == ["id", "date", "x", "y"]
+    refresh_monthly(dated(spark, [1, 2]), table)
+    assert spark.table(table).columns == ["id", "date", "x", MONTH]
+    refresh(dated(spark, []), table)
+    assert spark.table(table).count() == 0 and spark.table(table).columns == ["id", "date", "x"]
+
+
+@pytest.mark.parametrize("after", ["CREATE", "DROP"])
+def test_a_driver_lost_in_the_change_over(spark, table, monkeypatch, after):
+    refresh_monthly(dated(spark, [1, 2]), table)
+    before = rows(spark.table(table))
+    plain = versions.change_over
+
+    def lost(spark, table, schema, folder, partition_by):
+        versions._create(spark, f"{table}{NEXT}", schema, folder, partition_by)
+        if after == "DROP":
+            spark.sql(f"DROP TABLE {table}")
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(versions, "change_over", lost)
+    with pytest.raises(RuntimeError):
+        refresh_monthly(dated(spark, [3, 4, 5]), table)
+    monkeypatch.setattr(versions, "change_over", plain)
+    settle(spark, table)
+    assert not spark.catalog.tableExists(f"{table}{NEXT}")
+    found = rows(spark.table(table))
+    assert found == before if after == "CREATE" else len(found) == 3
+    refresh_monthly(dated(spark, [6]), table)
+    assert spark.table(table).count() == 1
+
+
+def test_old_versions_go_with_their_months(spark, table):
+    refresh_monthly(dated(spark, [1, 2]), table)
+    upsert_table(spark, table, dated(spark, [2]).drop("id"), ["date"], id_col="id", order=[F.col("x")])
+    first = table_location(spark, table)
+    folder = Path(table_versions(spark, table).removeprefix("file:"))
+    assert {p.name.removesuffix("-months") for p in folder.iterdir()} == {first.rsplit("/", 1)[1]}
+    for _ in range(3):
+        refresh_monthly(dated(spark, [1, 2]), table)
+    assert first.rsplit("/", 1)[1] not in {p.name.removesuffix("-months") for p in folder.iterdir()}
+    assert len(list(folder.iterdir())) == 2
+    drop_old_versions(spark, table, keep=0)
+    assert len(list(folder.iterdir())) == 1 and spark.table(table).count() == 2
+
+
+def test_a_refresh_gives_ids_anew(spark, table):
+    refresh(dated(spark, [1, 2]), table)
+    assert reserve_ids(spark, table, "id", 5) == 1
+    refresh(dated(spark, range(1, 10)), table)
+    assert spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == LAST_ID).isEmpty()
+    assert reserve_ids(spark, table, "id", 5) == 8
