@@ -61,10 +61,15 @@ def _checks(df: DataFrame, contract: Contract) -> tuple[dict[str, Column], dict[
     return typed, broken
 
 
+def unfit(df: DataFrame, contract: Contract) -> Column:
+    """Whether a row of ``df`` breaks the contract."""
+    return reduce(lambda a, b: a | b, _checks(df, contract)[1].values(), F.lit(False))
+
+
 def enforce(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into rows that satisfy the contract, typed, and rejects with their reasons."""
     typed, broken = _checks(df, contract)
-    bad = reduce(lambda a, b: a | b, broken.values(), F.lit(False))
+    bad = unfit(df, contract)
     good = df.filter(~bad).select(*[typed[name].alias(name) for name in contract.names])
     reasons = F.array_compact(F.array(*[F.when(is_bad, F.lit(why)) for why, is_bad in broken.items()]))
     rejects = df.filter(bad).withColumn(REASONS, reasons)

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,7 +51,7 @@ class Expectation:
         """Rows the rule ignores."""
         if self.kind == "not_null":
             return F.lit(False)
-        if self.kind == "pair_ge" or self.kind == "pair_gt":
+        if self.kind in ("pair_ge", "pair_gt"):
             return F.col(self.column).isNull() & F.col(self.other).isNull()
         return F.col(self.column).isNull()
 
@@ -78,6 +78,8 @@ class Expectation:
             return value >= F.col(self.other)
         if self.kind == "pair_gt":
             return value > F.col(self.other)
+        if self.kind == "same_day":
+            return F.to_date(value) == F.to_date(self.other)
         raise ValueError(f"unknown expectation kind {self.kind}")
 
     def unexpected(self, types: dict[str, T.DataType]) -> Column:
@@ -114,6 +116,10 @@ def pair(a: str, b: str, or_equal: bool = True) -> Expectation:
     return Expectation("pair_ge" if or_equal else "pair_gt", a, other=b)
 
 
+def same_day(column: str, other: str) -> Expectation:
+    return Expectation("same_day", column, other=other)
+
+
 class QualityError(ValueError):
     """A suite failed and the caller asked to stop."""
 
@@ -127,15 +133,35 @@ class Suite:
         # The same rule stated twice is evaluated once.
         object.__setattr__(self, "expectations", tuple(dict.fromkeys(self.expectations)))
 
-    def run(self, df: DataFrame) -> DataFrame:
-        """One row per rule. All counts come from a single aggregation. NaN counts as a missing value."""
-        df = without_nan(df)
+    def counts(self, df: DataFrame) -> list[Column]:
+        """What has to be counted: all rows, and for each rule the rows it ignores and those that break it."""
         types = {f.name: f.dataType for f in df.schema.fields}
         aggregates = [F.count(F.lit(1)).alias("n")]
         for i, rule in enumerate(self.expectations):
             aggregates.append(F.coalesce(F.count_if(rule.missing()), F.lit(0)).alias(f"m{i}"))
             aggregates.append(F.coalesce(F.count_if(rule.unexpected(types)), F.lit(0)).alias(f"u{i}"))
-        totals = df.agg(*aggregates)
+        return aggregates
+
+    def observe(self, df: DataFrame, observation: Observation) -> DataFrame:
+        """``df`` without NaN, counted by the job that stores it; ``observed`` turns the counts into results.
+
+        A task that runs twice because its executor was lost is counted twice if a shuffle follows, so compare the
+        number of rows with what was stored.
+        """
+        df = without_nan(df)
+        return df.observe(observation, *self.counts(df))
+
+    def observed(self, spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+        """The results of counts that were observed."""
+        schema = ", ".join(f"{name} bigint" for name in counts)
+        return self._results(spark.createDataFrame([tuple(counts.values())], schema))
+
+    def run(self, df: DataFrame) -> DataFrame:
+        """One row per rule. All counts come from a single aggregation. NaN counts as a missing value."""
+        df = without_nan(df)
+        return self._results(df.agg(*self.counts(df)))
+
+    def _results(self, totals: DataFrame) -> DataFrame:
         results = F.array(
             *[
                 F.struct(

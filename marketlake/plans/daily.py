@@ -16,13 +16,15 @@ from marketlake.operators.upsert import upsert_table
 from marketlake.plans import suites
 from marketlake.plans.historical import validate
 from marketlake.plans.lake import Lake, Run
+from marketlake.plans.loading import stage
+from marketlake.sources.landing import RAW_LINE
 from marketlake.sources.tables import create_empty, create_layers, keep_rejects, refresh
 
 _JSON_TYPES = {"bigint": "long", "int": "integer", "smallint": "short"}
 
 
-def _table_schema(id_col: str, contract: Contract) -> T.StructType:
-    schema = T.StructType().add(id_col, "long")
+def _table_schema(id_col: str | None, contract: Contract) -> T.StructType:
+    schema = T.StructType().add(id_col, "long") if id_col else T.StructType()
     for rule in contract.columns:
         schema = schema.add(rule.name, _JSON_TYPES.get(rule.type, rule.type))
     return schema
@@ -34,6 +36,8 @@ def create_targets(spark: SparkSession, lake: Lake) -> None:
     for table, id_col, contract in (
         (f"{lake.bronze}.ohclv_daily_lineage", "id", schemas.OHLCV_DAILY_LINEAGE),
         (f"{lake.bronze}.exchange_daily_lineage", "id", schemas.FX_DAILY_LINEAGE),
+        (f"{lake.bronze}.ohclv_daily_accepted", None, schemas.OHLCV_ACCEPTED),
+        (f"{lake.bronze}.exchange_daily_accepted", None, schemas.FX_ACCEPTED),
         (f"{lake.silver}.ohclv_silver", "stock_id", schemas.OHLCV_SILVER),
         (f"{lake.silver}.exchange_rates_silver", "rate_id", schemas.FX_SILVER),
     ):
@@ -43,18 +47,12 @@ def create_targets(spark: SparkSession, lake: Lake) -> None:
 def daily_bars(rows: DataFrame) -> DataFrame:
     """Landing bars under table names, ticker from the file's own column."""
     named = rows.drop("ticker").withColumnsRenamed(schemas.OHLCV_RENAME)
-    return named.select(*schemas.OHLCV_COLUMNS, "file_ts", "file_mtime")
+    return named.select(*schemas.OHLCV_COLUMNS, "file_ts", "file_mtime", RAW_LINE)
 
 
 def daily_rates(rows: DataFrame) -> DataFrame:
     named = rows.withColumnsRenamed(schemas.FX_DAILY_RENAME)
-    return named.select(*schemas.FX_COLUMNS, "file_ts", "file_mtime")
-
-
-def _stage(rows: DataFrame, contract: Contract, table: str, batch_ts: dt.datetime) -> None:
-    good, rejects = enforce(rows.withColumn("insert_datetime", F.lit(batch_ts)), contract)
-    refresh(good, table)
-    keep_rejects(rejects, f"{table}_rejects", batch_ts.date().isoformat())
+    return named.select(*schemas.FX_COLUMNS, "file_ts", "file_mtime", RAW_LINE)
 
 
 def silver_bars(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -86,12 +84,20 @@ def run_daily(
     bars, rates = f"{lake.bronze}.ohclv_daily_bronze", f"{lake.bronze}.exchange_daily_bronze"
     run.step("targets", lambda: create_targets(spark, lake))
 
-    run.step("stage_bars", lambda: _stage(
-        daily_bars(lake.landing(spark, lake.ohlcv, schemas.OHLCV_DAILY, day, by_ticker=True)),
-        schemas.OHLCV_DAILY_BRONZE, bars, run_ts,
+    counted = {}
+
+    def stage_table(table, root, schema, shape, contract, suite, by_ticker=False):
+        landed = lake.landing(spark, root, schema, day, by_ticker)
+        counted[table] = stage(
+            landed, schema, lambda rows: shape(rows).withColumn("insert_datetime", F.lit(run_ts)), contract, suite, table,
+            day.isoformat(),
+        )
+
+    run.step("stage_bars", lambda: stage_table(
+        bars, lake.ohlcv, schemas.OHLCV_DAILY, daily_bars, schemas.OHLCV_DAILY_BRONZE, suites.ohlcv_daily_suite(day), True
     ))
-    run.step("stage_rates", lambda: _stage(
-        daily_rates(lake.landing(spark, lake.fx, schemas.FX_DAILY, day)), schemas.FX_DAILY_BRONZE, rates, run_ts,
+    run.step("stage_rates", lambda: stage_table(
+        rates, lake.fx, schemas.FX_DAILY, daily_rates, schemas.FX_DAILY_BRONZE, suites.fx_daily_suite(day)
     ))
     run.step("lineage_bars", lambda: upsert_table(
         spark, f"{lake.bronze}.ohclv_daily_lineage",
@@ -108,10 +114,10 @@ def run_daily(
         ["date"], id_col="id",
     ), ["stage_rates"])
     run.step("validate_bars", lambda: validate(
-        spark, lake, "ohclv_daily_bronze", suites.ohlcv_daily_suite(day), run_ts, fail_on_error
+        spark, lake, "ohclv_daily_bronze", suites.ohlcv_daily_suite(day), run_ts, fail_on_error, counted.get(bars)
     ), ["stage_bars"])
     run.step("validate_rates", lambda: validate(
-        spark, lake, "exchange_daily_bronze", suites.fx_daily_suite(day), run_ts, fail_on_error
+        spark, lake, "exchange_daily_bronze", suites.fx_daily_suite(day), run_ts, fail_on_error, counted.get(rates)
     ), ["stage_rates"])
     run.step("processed_bars", lambda: refresh(
         _accepted(silver_bars(spark.table(bars)), f"{lake.silver}.ohclv_daily", day),

@@ -4,7 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from marketlake.operators.quality import Suite, between, in_set, length, match, not_match, not_null, pair
+from marketlake.operators.quality import (
+    Suite,
+    between,
+    in_set,
+    length,
+    match,
+    not_match,
+    not_null,
+    pair,
+    same_day,
+)
 
 # Patterns, bounds and the allowed sectors and industries.
 TICKER = r"^[A-Z0-9]{1,7}$"
@@ -63,6 +73,11 @@ def ohlcv_daily_suite(today: dt.date) -> Suite:
     return Suite("daily_ohclv_suit", _bar_rules(between("date", today, today)))
 
 
+def ohlcv_stream_suite() -> Suite:
+    """The daily rules where rows of several days arrive together: a row's date is the day of its snapshot."""
+    return Suite("daily_ohclv_suit", _bar_rules(same_day("date", "insert_datetime")))
+
+
 def ohlcv_documented_suite(now: dt.date | dt.datetime) -> Suite:
     """The written rules, which also ask for positive lows."""
     rules = _bar_rules(between("date", FIRST_TRADE_DATE, now))
@@ -114,6 +129,11 @@ def fx_daily_suite(today: dt.date) -> Suite:
     return Suite("daily_exchg_suit", _rate_rules(between("date", today, today)))
 
 
+def fx_stream_suite() -> Suite:
+    """As ``ohlcv_stream_suite``."""
+    return Suite("daily_exchg_suit", _rate_rules(same_day("date", "insert_datetime")))
+
+
 def macro_suite(current_year: int, first_year: int = FIRST_MACRO_YEAR, max_inflation: float = 20000) -> Suite:
     return Suite(
         "bronze_macro_suit",

@@ -118,6 +118,9 @@ def _rates(name: str, amount: str, stamp: str, unique: bool) -> Contract:
 OHLCV_SILVER = _bars("ohclv_silver", 10, "decimal(6,2)", "date", True)
 OHLCV_DAILY_LINEAGE = _bars("ohclv_daily_lineage", 20, "double", "timestamp", True)
 OHLCV_DAILY_BRONZE = _bars("ohclv_daily_bronze", 20, "decimal(6,2)", "timestamp", False)
+#: What silver accepts, with the time of the snapshot: by it the stream knows the newest accepted row of a key.
+OHLCV_ACCEPTED = _bars("ohclv_daily_accepted", 10, "decimal(6,2)", "timestamp", True)
+FX_ACCEPTED = _rates("exchange_daily_accepted", "smallint", "timestamp", True)
 FX_SILVER = _rates("exchange_rates_silver", "smallint", "date", True)
 FX_DAILY_LINEAGE = _rates("exchange_daily_lineage", "int", "timestamp", True)
 FX_DAILY_BRONZE = _rates("exchange_daily_bronze", "int", "timestamp", False)

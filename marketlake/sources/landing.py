@@ -18,6 +18,13 @@ from marketlake.session import checkpointed
 FILE_COLUMNS = ("file_path", "file_mtime", "run_day", "file_ts", "folder_ticker")
 NEWEST = ("file_mtime", "file_ts", "file_path")
 RAW_PATH = "raw_path"
+#: The whole line where a field cannot be read as its type, or where there are more or fewer fields; else NULL.
+RAW_LINE = "raw_line"
+# All columns are parsed, whichever are asked for, so a line is judged the same way by every query.
+CSV = {
+    "header": True, "quote": '"', "escape": '"', "enforceSchema": "false",
+    "columnNameOfCorruptRecord": RAW_LINE, "columnPruning": "false",
+}
 
 
 class NoLandingFiles(LookupError):
@@ -96,15 +103,47 @@ def latest_snapshot(df: DataFrame) -> DataFrame:
     return attach_facts(df, newest, newest.count())
 
 
+def with_raw_line(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields]).add(RAW_LINE, "string")
+
+
+def readable(rows: DataFrame) -> DataFrame:
+    """The rows whose every field could be read."""
+    return rows.filter(F.col(RAW_LINE).isNull()).drop(RAW_LINE)
+
+
+def unreadable(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """(file_path, raw_line, reasons) of the lines that could not be read: ``unreadable:<field>`` or ``fields``."""
+    names = schema.names
+    texts = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    fields = F.from_csv(F.col(RAW_LINE), texts, {"quote": '"', "escape": '"'})
+    lost = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    F.col(f"`{c}`").isNull() & F.col(f"_fields.c{i}").isNotNull() & (F.lower(f"_fields.c{i}") != "nan"),
+                    F.lit(f"unreadable:{c}"),
+                )
+                for i, c in enumerate(names)
+            ]
+        )
+    )
+    other = (F.size(lost) == 0) | F.col(f"_fields.c{len(names)}").isNotNull()
+    bad = rows.filter(F.col(RAW_LINE).isNotNull()).withColumn("_fields", fields)
+    return bad.select(
+        "file_path", RAW_LINE, F.when(other, F.concat(lost, F.array(F.lit("fields")))).otherwise(lost).alias("reasons")
+    )
+
+
 def _read_csv(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType, **options: str) -> DataFrame:
-    """Typed scan of headered CSV files with the name of the file of each row."""
-    reader = spark.read.schema(schema).options(header=True, quote='"', escape='"', **options)
-    rows = reader.csv(paths)
+    """Typed scan of headered CSV files with the name of the file of each row, and the line where it cannot be read."""
+    schema = with_raw_line(schema)
+    rows = spark.read.schema(schema).options(**CSV, **options).csv(paths)
     return rows.select(*[F.col(f"`{c}`") for c in schema.names], F.col("_metadata.file_path").alias("file_path"))
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    columns = T.StructType([*schema.fields]).add("file_path", "string").add("file_mtime", "timestamp")
+    columns = with_raw_line(schema).add("file_path", "string").add("file_mtime", "timestamp")
     columns = columns.add("run_day", "date").add("file_ts", "timestamp").add("folder_ticker", "string")
     return spark.createDataFrame([], columns)
 
@@ -133,14 +172,15 @@ def read_landing(
 ) -> DataFrame:
     """Rows of a landing tree ``<root>[/<ticker>]/yyyy/Mon/dd/*.csv`` with their file columns.
 
-    With ``latest`` only the newest file of every leaf is opened. Headers must match ``schema``. Without
+    With ``latest`` only the newest file of every leaf is opened. Headers must match ``schema``. A line that cannot be
+    read is kept in ``raw_line`` (see ``readable`` and ``unreadable``). Without
     files the result is empty, or ``NoLandingFiles`` is raised if they are ``required``.
     """
     files = list_files(spark, landing_glob(root, run_day, by_ticker))
     if files is None:
         return _absent(spark, schema, root, required)
     facts = file_facts(files)
-    return _read(spark, latest_files(facts) if latest else facts, schema, enforceSchema="false")
+    return _read(spark, latest_files(facts) if latest else facts, schema)
 
 
 def ticker_from_path(df: DataFrame) -> DataFrame:
@@ -171,16 +211,16 @@ def read_stamped(
     for name in by:
         full = full.add(name, "string")
     facts = file_facts(files)
-    return _read(spark, latest_folders(facts) if latest else facts, full, basePath=root, enforceSchema="false")
+    return _read(spark, latest_folders(facts) if latest else facts, full, basePath=root)
 
 
 def stream_landing(spark: SparkSession, folders: str, schema: T.StructType) -> DataFrame:
     """Landing files as they arrive, with their time stamps. Headers must match ``schema``; NaN is read as NULL."""
-    checked = spark.readStream.schema(schema).options(header=True, quote='"', escape='"', enforceSchema="false")
-    rows = checked.csv(folders)
+    rows = spark.readStream.schema(with_raw_line(schema)).options(**CSV).csv(folders)
     return without_nan(
         rows.select(
             *rows.columns,
+            F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_modification_time").alias("file_mtime"),
             path_file_ts(F.col("_metadata.file_path")).alias("file_ts"),
         )

@@ -29,11 +29,18 @@ def append(df: DataFrame, table: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(table)
 
 
-def keep_rejects(rejects: DataFrame, table: str, run: str) -> None:
-    """Rejected rows of one run below ``table``: the same run again replaces its own rows and no others."""
+def keep_rejects(rejects: DataFrame, table: str, run: str, none: bool = False) -> None:
+    """Rejected rows of one run below ``table``: the same run again replaces its own rows and no others.
+
+    ``none`` states that there are no rejects, as a count taken on the way has shown; they are not looked for then.
+    """
     spark = rejects.sparkSession
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run = '{run}')")
+        if none:
+            return
+    if none:
+        rejects = spark.createDataFrame([], rejects.schema)
     writer = rejects.withColumn("run", F.lit(run)).write.mode("append").format("parquet").partitionBy("run")
     writer.saveAsTable(table)
 
@@ -66,6 +73,11 @@ def write_report(results: DataFrame, path: str, run: dt.datetime) -> None:
     results.withColumn("run_ts", F.lit(run)).write.mode("append").json(path)
 
 
+def write_batch_report(results: DataFrame, path: str, batch: str) -> None:
+    """Suite results of one micro-batch as JSON lines; the same batch again replaces its own."""
+    results.write.mode("overwrite").json(f"{path}/batch={batch}")
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Layer metrics as one headered CSV (one row per table)."""
     metrics.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

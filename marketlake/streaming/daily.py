@@ -2,86 +2,116 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake import schemas
 from marketlake.functions.columns import trim_strings
 from marketlake.operators.contract import Contract, enforce
+from marketlake.operators.quality import Suite
 from marketlake.operators.upsert import MAX_BROADCAST_ROWS, MONTH, month_of, upsert_table
-from marketlake.plans.daily import create_targets, daily_bars, daily_rates, silver_bars, silver_rates
+from marketlake.plans import suites
+from marketlake.plans.daily import create_targets, daily_bars, daily_rates
 from marketlake.plans.lake import Lake
+from marketlake.plans.loading import stage
 from marketlake.session import shared_dir
 from marketlake.sources.landing import stream_landing
-from marketlake.sources.tables import keep_rejects
+from marketlake.sources.tables import keep_rejects, write_batch_report
 
 
 def _stamped(rows: DataFrame) -> DataFrame:
     """The snapshot time takes the place of the load time, so it does not matter when a file is read."""
     stamp = F.coalesce("file_ts", "file_mtime")
-    return rows.withColumn("insert_datetime", stamp).drop("file_ts", "file_mtime")
+    rows = rows.withColumn("insert_datetime", stamp).drop("file_ts", "file_mtime")
+    return trim_strings(rows, ["ticker"]) if "ticker" in rows.columns else rows
 
 
 def _stored(spark: SparkSession, table: str, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """The lineage rows of the keys in ``batch``: the newest known snapshot of each."""
+    """The rows of ``table`` for the keys in ``batch``."""
     wanted = batch.select(*keys, month_of("date").alias(MONTH)).distinct()
     if wanted.count() <= MAX_BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     return spark.table(table).join(wanted, [*keys, MONTH], "left_semi")
 
 
-def apply_batch(
-    spark: SparkSession, rows: DataFrame, lineage: str, contracts: tuple[Contract, Contract], silver: str,
-    keys: list[str], silver_id: str, to_silver, run: str,
-) -> None:
+@dataclass(frozen=True)
+class Feed:
+    """One kind of landing files: their layout, rules and tables."""
+
+    name: str
+    schema: T.StructType
+    shape: Callable[[DataFrame], DataFrame]
+    keys: list[str]
+    staging: Contract
+    lineage: Contract
+    accepted: Contract
+    suite: Suite
+    silver: str
+    silver_id: str
+
+
+BARS = Feed(
+    "bars", schemas.OHLCV_DAILY, daily_bars, ["ticker", "date"], schemas.OHLCV_DAILY_BRONZE, schemas.OHLCV_DAILY_LINEAGE,
+    schemas.OHLCV_ACCEPTED, suites.ohlcv_stream_suite(), "ohclv_silver", "stock_id",
+)
+RATES = Feed(
+    "rates", schemas.FX_DAILY, daily_rates, ["date"], schemas.FX_DAILY_BRONZE, schemas.FX_DAILY_LINEAGE,
+    schemas.FX_ACCEPTED, suites.fx_stream_suite(), "exchange_rates_silver", "rate_id",
+)
+
+
+def apply_batch(spark: SparkSession, lake: Lake, feed: Feed, landed: DataFrame, run: str) -> None:
     """Upsert one micro-batch. A replayed batch, or an older file that arrives late, changes nothing.
 
-    ``contracts`` are those of the staging and the lineage table. As in the batch run, rows must pass the first one
-    before the newest row of a key is chosen, and the second only converts what passed: an unfit newer row never hides
-    an accepted one, whichever arrives first. Rejected rows are kept beside the tables, by batch, so a replay adds none.
+    The batch is staged behind the staging contract and validated in the same pass; its report, its rejects and its
+    unreadable lines are kept by batch, so a replay adds none. The lineage keeps the newest staged row of each key.
+    Silver follows another table, of the newest row that the silver contract accepts too, by the time of its snapshot: an
+    unfit newer row never hides an accepted one, whichever arrives first.
     """
-    staging, lasting = contracts
-    good, rejects = enforce(trim_strings(_stamped(rows)), staging)
-    keep_rejects(rejects, f"{lineage}_stream_rejects", run)
-    batch = enforce(good, lasting)[0].persist()
-    try:
-        upsert_table(spark, lineage, batch, keys, id_col="id", newer_by="insert_datetime")
-        newest, unfit = to_silver(_stored(spark, lineage, batch, keys))
-        keep_rejects(unfit, f"{silver}_stream_rejects", run)
-        upsert_table(spark, silver, newest, keys, id_col=silver_id)
-    finally:
-        batch.unpersist()
+    lineage, accepted, silver = (
+        f"{lake.bronze}.{feed.lineage.name}", f"{lake.bronze}.{feed.accepted.name}", f"{lake.silver}.{feed.silver}"
+    )
+    staged = f"{lineage}_stream"
+    counts = stage(
+        landed, feed.schema, lambda rows: _stamped(feed.shape(rows)), feed.staging, feed.suite, staged, run
+    )
+    spark.catalog.refreshTable(staged)  # the stream stores it from a session of its own
+    batch = spark.table(staged)
+    results = feed.suite.observed(spark, counts) if counts else feed.suite.run(batch)
+    write_batch_report(results, f"{lake.reports}/{feed.staging.name}_stream", run)
+
+    upsert_table(spark, lineage, enforce(batch, feed.lineage)[0], feed.keys, id_col="id", newer_by="insert_datetime")
+    fit, unfit = enforce(batch, feed.accepted)
+    keep_rejects(unfit, f"{silver}_stream_rejects", run)
+    upsert_table(spark, accepted, fit, feed.keys, newer_by="insert_datetime")
+    newest = _stored(spark, accepted, fit, feed.keys)
+    upsert_table(
+        spark, silver, newest.withColumn("insert_datetime", F.to_date("insert_datetime")), feed.keys, id_col=feed.silver_id
+    )
 
 
-def stream_bars(spark: SparkSession, lake: Lake, checkpoint: str | None = None) -> StreamingQuery:
-    """Process all bar files that have not been seen yet, then stop."""
+def _stream(spark: SparkSession, lake: Lake, feed: Feed, folders: str, checkpoint: str | None) -> StreamingQuery:
     create_targets(spark, lake)
-    folders = lake.folders(lake.ohlcv, by_ticker=True)
 
     def apply(batch: DataFrame, number: int) -> None:
-        apply_batch(
-            spark, daily_bars(batch), f"{lake.bronze}.ohclv_daily_lineage",
-            (schemas.OHLCV_DAILY_BRONZE, schemas.OHLCV_DAILY_LINEAGE),
-            f"{lake.silver}.ohclv_silver", ["ticker", "date"], "stock_id", silver_bars, f"bars-{number}",
-        )
+        apply_batch(spark, lake, feed, batch, f"{feed.name}-{number}")
 
-    return _start(spark, stream_landing(spark, folders, schemas.OHLCV_DAILY), apply, checkpoint, lake, "bars")
+    return _start(spark, stream_landing(spark, folders, feed.schema), apply, checkpoint, lake, feed.name)
 
 
-def stream_rates(spark: SparkSession, lake: Lake, checkpoint: str | None = None) -> StreamingQuery:
-    """Process all rate files that have not been seen yet, then stop."""
-    create_targets(spark, lake)
-    folders = lake.folders(lake.fx)
+def stream_bars(spark: SparkSession, lake: Lake, checkpoint: str | None = None) -> StreamingQuery:
+    """Process all bar files that have not been seen yet, then stop."""
+    return _stream(spark, lake, BARS, lake.folders(lake.ohlcv, by_ticker=True), checkpoint)
 
-    def apply(batch: DataFrame, number: int) -> None:
-        apply_batch(
-            spark, daily_rates(batch), f"{lake.bronze}.exchange_daily_lineage",
-            (schemas.FX_DAILY_BRONZE, schemas.FX_DAILY_LINEAGE),
-            f"{lake.silver}.exchange_rates_silver", ["date"], "rate_id", silver_rates, f"rates-{number}",
-        )
 
-    return _start(spark, stream_landing(spark, folders, schemas.FX_DAILY), apply, checkpoint, lake, "rates")
+def stream_rates(spark: SparkSession, lake: Lake, checkpoint: str | None = None) -> StreamingQuery:
+    """Process all rate files that have not been seen yet, then stop."""
+    return _stream(spark, lake, RATES, lake.folders(lake.fx), checkpoint)
 
 
 def _start(
