@@ -411,6 +411,32 @@ REJECTS_OF_TWO = f"""
 """
 
 
+def _money(value: str) -> str:
+    return f"CAST(CAST({value} AS DECIMAL(12,2)) AS VARCHAR)"
+
+
+_FAULT = "CAST(round(close * 100) AS BIGINT) % 50"
+#: The planted faults, written out: the whole line and what cannot be read of it.
+LANDING_REJECTS = f"""
+    SELECT '2025-12-17/run_time=18-00-00' AS snapshot,
+           concat_ws(',', CASE WHEN fault = 1 THEN strftime(date, '%d/%m/%Y') ELSE strftime(date, '%Y-%m-%d') END,
+                     CASE WHEN fault = 0 THEN 'abc' ELSE {_money('close')} END, {_money('high')}, {_money('low')},
+                     CASE WHEN fault = 4 THEN '?' ELSE {_money('open')} END,
+                     CASE WHEN fault = 4 THEN '1 lot' ELSE coalesce(CAST(CAST(volume AS BIGINT) AS VARCHAR), '') END,
+                     CASE WHEN fault <> 2 THEN ticker END, CASE WHEN fault = 3 THEN 'x' END) AS raw_line,
+           CASE fault WHEN 0 THEN 'unreadable:CLOSE' WHEN 1 THEN 'unreadable:Date'
+                WHEN 4 THEN 'unreadable:OPEN,unreadable:VOLUME' ELSE 'fields' END AS reasons
+    FROM (SELECT *, {_FAULT} AS fault FROM ({OHLCV})) WHERE fault BETWEEN 0 AND 4
+"""
+
+
+def staged_report(suite: Suite, where: str, day: str, batch: str) -> str:
+    """The daily rules on the rows of one snapshot that the staging contract accepts."""
+    rows = f"""SELECT {TYPED} FROM (SELECT *, {_ohlcv_reasons(20)} AS reasons FROM ({TRIMMED}))
+        WHERE reasons = '' AND {where}"""
+    return f"SELECT *, '{batch}' AS batch FROM ({checks_sql(suite, rows, bar_checks(day, day))})"
+
+
 def lineage_batch(where: str, run: str) -> str:
     """The staging contract, on tickers as they were landed."""
     rows = f"""SELECT {', '.join(VALUES)}
@@ -546,6 +572,7 @@ def oracles() -> dict[str, str]:
                    CAST(bar_ts AS DATE) AS date, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in SILVER_PRICES)},
                    CAST(volume AS DOUBLE) AS volume
             FROM ({BARS})""",
+        "landing_rejects": LANDING_REJECTS,
         "historical_silver": HISTORICAL_SILVER,
         "historical_stock_view": facts(
             f"SELECT * EXCLUDE (insert_datetime) FROM ({HISTORICAL_SILVER})", "date", 'stock_id AS "UUID",'
@@ -578,4 +605,10 @@ def oracles() -> dict[str, str]:
         "daily_rejects": REJECTS_OF_TWO,
         "stream_silver": SILVER_AFTER_TWO,
         "stream_rejects": REJECTS_OF_TWO,
+        "stream_suite_report": " UNION ALL ".join(
+            [
+                staged_report(suites.ohlcv_stream_suite(), "batch > 3", "2025-12-18", "bars-0"),
+                staged_report(suites.ohlcv_stream_suite(), "batch <= 3", "2025-12-17", "bars-1"),
+            ]
+        ),
     }

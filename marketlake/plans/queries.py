@@ -27,12 +27,13 @@ from marketlake.operators.quality import Suite
 from marketlake.operators.upsert import MONTH, upsert
 from marketlake.plans import adapters, gold, suites
 from marketlake.plans.daily import run_daily
-from marketlake.plans.historical import run_historical
+from marketlake.plans.historical import bronze_ohlcv, run_historical
 from marketlake.plans.lake import Lake
+from marketlake.plans.loading import load
 from marketlake.session import checkpointed, scratch_path
 from marketlake.sources.landing import latest_snapshot, read_landing, ticker_from_path
 from marketlake.sources.payloads import explode_rates, flatten_rate, pick_keys, upper_headers
-from marketlake.sources.tables import write_landing
+from marketlake.sources.tables import create_layers, write_landing
 from marketlake.streaming.daily import stream_bars
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -444,6 +445,40 @@ def landing_tree(spark, sf):
     return found.select(*schemas.OHLCV_COLUMNS)
 
 
+def _faulty_lines(spark, sf) -> DataFrame:
+    """Landing lines of the bars, some of them beyond reading: text for a number, another order of the day, a field
+    less, a field more, two bad fields."""
+    rows = _ohlcv(spark, sf)
+    close, fault = F.col("close"), F.round(F.col("close") * 100).cast("long") % 50
+    fields = [
+        F.when(fault == 1, F.date_format("date", "dd/MM/yyyy")).otherwise(F.date_format("date", "yyyy-MM-dd")),
+        F.when(fault == 0, F.lit("abc")).otherwise(adapters.money(close).cast("string")),
+        *[adapters.money(c).cast("string") for c in ("high", "low")],
+        F.when(fault == 4, F.lit("?")).otherwise(adapters.money("open").cast("string")),
+        F.when(fault == 4, F.lit("1 lot")).otherwise(F.coalesce(F.col("volume").cast("long").cast("string"), F.lit(""))),
+    ]
+    fields.append(F.when(fault != 2, F.col("ticker")))
+    fields.append(F.when(fault == 3, F.lit("x")))
+    return rows.select(F.concat_ws(",", *fields).alias(",".join(schemas.OHLCV_DAILY.names)))
+
+
+def landing_rejects(spark, sf):
+    """Lines that a load could not read, with their snapshot and the reasons."""
+    lake = _lake(spark)
+    create_layers(spark, lake.databases, lake.tables_root)
+    folder = f"{lake.ohlcv}/run_day={FIRST_RUN:%Y-%m-%d}/run_time={FIRST_RUN:%H-%M-%S}"
+    lines = _faulty_lines(spark, sf).write.option("header", True).option("sep", "\u0001")  # a line is one field here
+    lines.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    landed = lake.landing(spark, lake.ohlcv, schemas.OHLCV_DAILY, FIRST_RUN.date())
+    table = f"{lake.bronze}.ohclv_bronze"
+    load(
+        landed, schemas.OHLCV_DAILY, lambda rows: bronze_ohlcv(rows, lake, FIRST_RUN), suites.ohlcv_suite(NOW), table, "one"
+    )
+    found = spark.table(f"{table}_landing_rejects")
+    snapshot = F.regexp_extract("file_path", "run_day=([^/]+/run_time=[^/]+)/", 1).alias("snapshot")
+    return found.select(snapshot, "raw_line", F.concat_ws(",", "reasons").alias("reasons"))
+
+
 def _historical(spark, sf) -> Lake:
     lake = _lake(spark)
     _land_bars(_ohlcv(spark, sf), lake, FIRST_RUN)
@@ -556,6 +591,13 @@ def stream_silver(spark, sf):
     return spark.table(f"{_streamed(spark, sf).silver}.ohclv_silver").drop(MONTH, "stock_id")
 
 
+def stream_suite_report(spark, sf):
+    """The reports of the stream's two micro-batches, each on the rows that it staged."""
+    lake = _streamed(spark, sf)
+    schema = suites.ohlcv_stream_suite().run(spark.table(f"{lake.bronze}.ohclv_daily_lineage")).schema
+    return spark.read.schema(schema.add("batch", "string")).json(f"{lake.reports}/ohclv_daily_bronze_stream")
+
+
 def stream_rejects(spark, sf):
     """Bars that the contracts of the stream rejected."""
     lake = _streamed(spark, sf)
@@ -613,6 +655,7 @@ QUERIES: dict[str, Query] = {
     "provider_columns": provider_columns,
     "landing_snapshot": landing_snapshot,
     "landing_tree": landing_tree,
+    "landing_rejects": landing_rejects,
     "historical_silver": historical_silver,
     "historical_fx": historical_fx,
     "historical_gold": historical_gold,
@@ -626,4 +669,5 @@ QUERIES: dict[str, Query] = {
     "daily_rejects": daily_rejects,
     "stream_silver": stream_silver,
     "stream_rejects": stream_rejects,
+    "stream_suite_report": stream_suite_report,
 }

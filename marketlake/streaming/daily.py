@@ -80,7 +80,9 @@ def apply_batch(spark: SparkSession, lake: Lake, feed: Feed, landed: DataFrame,
     counts = stage(
         landed, feed.schema, lambda rows: _stamped(feed.shape(rows)), feed.staging, feed.suite, staged, run
     )
-    spark.catalog.refreshTable(staged)  # the stream stores it from a session of its own
+    # The stream stores these from a session of its own, whose changes this one has to be told of.
+    for table in (staged, f"{staged}_rejects", f"{staged}_landing_rejects"):
+        spark.catalog.refreshTable(table)
     batch = spark.table(staged)
     results = feed.suite.observed(spark, counts) if counts else feed.suite.run(batch)
     write_batch_report(results, f"{lake.reports}/{feed.staging.name}_stream", run)

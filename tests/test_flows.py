@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from marketlake import schemas
 from marketlake.operators.upsert import MONTH
 from marketlake.plans.daily import run_daily
+from marketlake.plans import suites
 from marketlake.plans.gold import register_gold, stock_facts
 from marketlake.plans.historical import run_historical
-from marketlake.streaming.daily import stream_bars, stream_daily
+from marketlake.plans.loading import stored_counts
+from marketlake.streaming.daily import stream_bars, stream_daily, stream_rates
 
 BARS = "Date,CLOSE,HIGH,LOW,OPEN,VOLUME,COMPANY_TICKER"
 RUN = dt.datetime(2025, 12, 18, 17, 0, 0)
@@ -219,6 +221,69 @@ def test_an_unfit_newer_row_never_hides_an_accepted_one(spark, lake, land, tmp_p
     assert spark.table(f"{lake.bronze}.ohclv_daily_lineage_stream_rejects").count() == 1
 
 
+@pytest.mark.parametrize("late", [False, True])
+def test_an_amount_that_silver_cannot_hold_hides_no_older_rate(spark, lake, land, tmp_path, late):
+    """40000 fits the staging type, not the silver type. Either order of arrival, a restart and a replay end alike."""
+    leaf = D18.strftime("%Y/%b/%d")
+    snapshots = [("13-16-54", "90.2,1"), ("16-16-54", "90.9,40000")]
+    for stamp, values in reversed(snapshots) if late else snapshots:
+        land(lake.fx, leaf, f"exchange_rate{stamp}.csv", "date,inr_rate,USD_rate", [f"{D18},{values}"])
+        stream_rates(spark, lake, str(tmp_path / "stream")).awaitTermination()
+    for checkpoint in ("stream", "replay"):
+        stream_rates(spark, lake, str(tmp_path / checkpoint)).awaitTermination()
+        rates = spark.table(f"{lake.silver}.exchange_rates_silver").select("date", "inr_rate", "usd_amount")
+        assert rows(rates) == [(D18, 90.2, 1)]
+    lineage = spark.table(f"{lake.bronze}.exchange_daily_lineage").select("inr_rate", "usd_amount")
+    assert rows(lineage) == [(90.9, 40000)]
+
+
+def test_unreadable_lines_are_kept_by_batch_and_stream(spark, lake, land, tmp_path):
+    lines = [
+        f"{D18},abc,3,1,2,5,AAPL", "18/12/2025,2,3,1,2,5,AAPL", f"{D18},2,3,1", f"{D18},2,3,1,2,5,AAPL,more",
+        f'{D18},"2,5",3,1,?,5,AAPL', f"{D18},2,3,1,2,,TGT", bar(D18, 271, "AAPL"),
+    ]
+    want = [
+        (lines[0], "unreadable:CLOSE"), (lines[1], "unreadable:Date"), (lines[2], "fields"), (lines[3], "fields"),
+        (lines[4], "unreadable:CLOSE,unreadable:OPEN"),
+    ]
+    land(lake.ohlcv, f"AAPL/{LEAF}", "AAPL_stock_13-16-54.csv", BARS, lines)
+
+    def kept(table):
+        found = spark.table(table)
+        assert all(r.file_path.endswith("AAPL_stock_13-16-54.csv") for r in found.collect())
+        return sorted((r.raw_line, ",".join(r.reasons)) for r in found.collect())
+
+    for _ in range(2):
+        assert set(run_daily(spark, lake, dt.datetime(2025, 12, 18, 18)).values()) <= {
+            "ok", f"skipped: no landing files below {lake.fx}", "skipped: needs stage_rates"
+        }
+        assert kept(f"{lake.bronze}.ohclv_daily_bronze_landing_rejects") == sorted(want)
+    rejects = spark.table(f"{lake.bronze}.ohclv_daily_bronze_rejects")
+    assert [r.reasons for r in rejects.collect()] == [["null:volume"]]
+    run_historical(spark, lake, RUN)
+    assert spark.table(f"{lake.bronze}.ohclv_bronze").count() == 2
+    assert kept(f"{lake.bronze}.ohclv_bronze_landing_rejects") == sorted(want)
+    for checkpoint in ("one", "two"):
+        stream_bars(spark, lake, str(tmp_path / checkpoint)).awaitTermination()
+        assert kept(f"{lake.bronze}.ohclv_daily_lineage_stream_landing_rejects") == sorted(want)
+    report = spark.read.json(f"{lake.reports}/ohclv_daily_bronze_stream")
+    plain = spark.read.json(f"{lake.reports}/ohclv_daily_bronze").filter("run_ts is not null").limit(16)
+    counts = ["position", "column", "element_count", "missing_count", "unexpected_count"]
+    assert rows(report.select(*counts).distinct()) == rows(plain.select(*counts).distinct()) and report.count() == 16
+
+
+def test_rules_are_counted_by_the_job_that_stores(spark, lake, land):
+    """The counts of the pass equal a run of the suite over the table; a wrong count is not used."""
+    land(lake.ohlcv, f"AAPL/{LEAF}", "AAPL_stock_13-16-54.csv", BARS, [bar(D18, 271, "AAPL"), f"{D17},5,4,1,-2,,aapl"])
+    run_historical(spark, lake, RUN)
+    suite = suites.ohlcv_suite(RUN.date())
+    stored = spark.table(f"{lake.bronze}.ohclv_bronze")
+    report = spark.read.json(f"{lake.reports}/ohclv_bronze").drop("run_ts")
+    want = suite.run(stored)
+    assert rows(report.select(want.columns)) == rows(want)
+    assert stored_counts(stored, {"n": 3}) is None and stored_counts(stored, {"n": 2}) == {"n": 2}
+
+
 def test_a_stream_refuses_other_headers(spark, lake, land, tmp_path):
     land(lake.ohlcv, f"AAPL/{LEAF}", "AAPL_stock_13-16-54.csv", BARS.replace("CLOSE", "ADJ CLOSE"), [bar(D18, 271, "AAPL")])
     with pytest.raises(Exception):
