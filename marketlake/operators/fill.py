@@ -41,6 +41,53 @@ def _medians_by_range(df: DataFrame, group: str, cols: Sequence[str], few_groups
     )
 
 
+METRIC, VALUE = "metric", "value"
+
+
+def value_counts(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
+    """(group, metric, value, n): how often each value of ``cols`` occurs in each group. Gaps and rows without a group
+    are left out. Counts of two loads add up, so they can be kept and merged."""
+    known = df.filter(F.col(group).isNotNull())
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias(METRIC), missing_as_null(F.col(c).cast("double")).alias(VALUE)) for c in cols])
+    )
+    values = known.select(F.col(group).alias("group"), pairs.alias("p")).select("group", "p.*").filter(f"{VALUE} is not null")
+    return values.groupBy("group", METRIC, VALUE).agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_counts(kept: DataFrame, new: DataFrame) -> DataFrame:
+    """The counts of both loads."""
+    return kept.unionByName(new).groupBy("group", METRIC, VALUE).agg(F.sum("n").alias("n"))
+
+
+def medians_of_counts(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(group, one median for each of ``cols``) from counted values, whatever number of rows they stand for.
+
+    Ranks come from running sums over the sorted values, which span partitions, so no group has to fit a task.
+    """
+    placed = rows_ahead(counts.withColumnRenamed("n", COPIES), ["group", METRIC], [F.col(VALUE)])
+    sizes = counts.groupBy("group", METRIC).agg(F.sum("n").alias("n"))
+    middle = placed.join(sizes, ["group", METRIC]).filter(
+        (F.col(AHEAD) < F.expr("(n + 2) div 2")) & (F.expr("(n + 1) div 2") <= F.col(AHEAD) + F.col(COPIES))
+    )
+    medians = middle.groupBy("group", METRIC).agg(((F.min(VALUE) + F.max(VALUE)) / 2).alias("median"))
+    return medians.groupBy("group").agg(*[F.max(F.when(F.col(METRIC) == c, F.col("median"))).alias(c) for c in cols])
+
+
+def fill_by_medians(
+    df: DataFrame, group: str, cols: Sequence[str], medians: DataFrame, empty: float = 0.0
+) -> DataFrame:
+    """Gaps in ``cols`` replaced by known medians, or by ``empty``. Rows without a group are dropped."""
+    known = df.filter(F.col(group).isNotNull()).withColumns(
+        {c: missing_as_null(F.col(c).cast("double")) for c in cols}
+    )
+    named = medians.select(F.col("group").alias(group), *[F.col(c).alias(f"_median_{c}") for c in cols])
+    filled = known.join(named, group, "left").withColumns(
+        {c: F.coalesce(F.col(c), F.col(f"_median_{c}"), F.lit(float(empty))) for c in cols}
+    )
+    return filled.select(*df.columns)
+
+
 def median_fill(
     df: DataFrame,
     group: str,

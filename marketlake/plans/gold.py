@@ -49,10 +49,10 @@ def stock_facts(
             mean = F.avg(close).over(w.rowsBetween(1 - avg_rows, 0)).cast("double")
             df = df.withColumns(prev).withColumn("daily_return", relative_change(close, before).cast("double"))
             return df.withColumns(volatility | {"stock_90_day_average": mean})
-        df = df.withColumns(prev | running_totals("close_price", dtype.scale, w))
-        df = df.withColumn("daily_return", returns(close, before, dtype.scale))
+        df = df.withColumns(prev | running_totals("close_price", dtype, w))
+        df = df.withColumn("daily_return", returns(close, before, dtype))
         df = df.withColumns(volatility | totals_before(avg_rows, w))
-        return df.withColumn("stock_90_day_average", frame_mean(dtype.scale)).drop(*HELPERS)
+        return df.withColumn("stock_90_day_average", frame_mean(dtype)).drop(*HELPERS)
 
     at_most = DAYS_OF_SERIES if base.schema["trade_date"].dataType == T.DateType() else None
     facts = over_series(base, ["ticker"], "trade_date", max(vol_rows, avg_rows), metrics, max_group_rows, at_most)

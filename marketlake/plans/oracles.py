@@ -487,6 +487,8 @@ def oracles() -> dict[str, str]:
         "stock_facts_silver": facts(
             f"SELECT *, row_number() OVER (ORDER BY ticker, date) AS id FROM ({SILVER_OHLCV})", "date", 'id AS "UUID",'
         ),
+        "stock_facts_wide": facts(BARS, "bar_ts"),
+        "stock_facts_increment": facts(f"SELECT * EXCLUDE (insert_datetime) FROM ({SILVER_AFTER_TWO})", "date"),
         "macro_facts": macro_facts("unemployment"),
         "macro_facts_compat": macro_facts("inflation"),
         "rank_trim_ohlcv": ranked(TRIMMED, "ticker, date", OHLCV_ORDER),
@@ -504,6 +506,7 @@ def oracles() -> dict[str, str]:
             FROM ({first(f'SELECT * EXCLUDE (batch) FROM ({TRIMMED})', 'ticker, date', BATCH_ORDER)})""",
         "macro_median_fill": filled(MACRO, "country_id, year, insert_order"),
         "macro_median_fill_split": filled(MACRO, "country_id, year, insert_order"),
+        "macro_median_increment": filled(MACRO, "country_id, year, insert_order"),
         "macro_ungrouped": f"SELECT * FROM ({MACRO}) WHERE country_id IS NULL",
         "year_filter": f"SELECT * FROM ({MACRO}) WHERE year BETWEEN 1996 AND 1999",
         "contract_ohlcv": SILVER_OHLCV,
@@ -556,6 +559,12 @@ def oracles() -> dict[str, str]:
             UNION ALL
             SELECT CAST(ts AS DATE) + 1, value + 1, 1 FROM events""",
         "json_rate_flatten": 'SELECT CAST(ts AS DATE) AS date, value AS inr_rate, 1 AS "USD_rate" FROM events',
+        "json_variant_rates": """
+            SELECT event_id, CASE WHEN event_id % 4 <> 2 THEN CAST(ts AS DATE) END AS date,
+                   CASE WHEN event_id % 4 <> 2 THEN value END AS rate,
+                   CASE event_id % 4 WHEN 0 THEN 'amount=1' WHEN 1 THEN 'note="n"' WHEN 2 THEN 'base="USD"' ELSE '' END
+                       AS other
+            FROM events""",
         "json_pick_keys": f"""
             SELECT company_name AS "companyName", ticker AS symbol, price, market_cap AS "marketCap", sector,
                    CASE WHEN industry <> 'Semiconductors' THEN industry END AS industry

@@ -20,20 +20,21 @@ from marketlake.functions.columns import (
 )
 from marketlake.operators.contract import enforce, unique_violations
 from marketlake.operators.dedup import keep_first, keep_ranked, newest_first, rank_dedup
-from marketlake.operators.fill import median_fill, ungrouped_rows, year_filter
+from marketlake.operators.fill import fill_by_medians, median_fill, ungrouped_rows, year_filter
 from marketlake.operators.ordering import surrogate_key
 from marketlake.operators.profile import null_profile
 from marketlake.operators.quality import Suite
-from marketlake.operators.upsert import MONTH, upsert
+from marketlake.operators.upsert import MONTH, upsert, upsert_table
 from marketlake.plans import adapters, gold, suites
 from marketlake.plans.daily import run_daily
 from marketlake.plans.historical import bronze_ohlcv, run_historical
+from marketlake.plans.increment import store_facts, update_facts, update_medians
 from marketlake.plans.lake import Lake
 from marketlake.plans.loading import load
 from marketlake.session import checkpointed, scratch_path
 from marketlake.sources.landing import latest_snapshot, read_landing, ticker_from_path
-from marketlake.sources.payloads import explode_rates, flatten_rate, pick_keys, upper_headers
-from marketlake.sources.tables import create_layers, write_landing
+from marketlake.sources.payloads import explode_rates, flatten_rate, pick_keys, upper_headers, variant_rates
+from marketlake.sources.tables import create_layers, refresh_monthly, write_landing
 from marketlake.streaming.daily import stream_bars
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,11 +84,34 @@ def stock_facts_split(spark, sf):
     return _rounded_facts(gold.stock_facts(_bars(spark, sf), time="bar_ts", id_col=None, max_group_rows=100))
 
 
+def stock_facts_wide(spark, sf):
+    """The same facts of closes in a wider decimal type: the type does not change a value."""
+    bars = _bars(spark, sf).withColumns({c: F.col(c).cast("decimal(10,2)") for c in ("open", "high", "low", "close")})
+    return _rounded_facts(gold.stock_facts(bars, time="bar_ts", id_col=None))
+
+
 def stock_facts_silver(spark, sf):
     silver = checkpointed(surrogate_key_silver(spark, sf))  # a stored table in the flows
     return _rounded_facts(gold.stock_facts(silver))
 
 
+def stock_facts_increment(spark, sf):
+    """Stored price facts brought up to date after a second batch of bars went over the first."""
+    lake, (bars, _) = _lake(spark), _daily_halves(spark, sf)
+    create_layers(spark, lake.databases, lake.tables_root)
+    silver, facts = f"{lake.silver}.ohclv_silver", f"{lake.gold}.stock_facts_stored"
+    halves = [
+        enforce(_for_silver(trim_strings(half.drop("batch"), ["ticker"])), schemas.OHLCV_SILVER)[0] for half in bars
+    ]
+    values = [F.col(c).asc() for c in schemas.OHLCV_COLUMNS]
+    stored = keep_first(halves[0], BAR_KEY, values)
+    refresh_monthly(surrogate_key(checkpointed(stored), "stock_id", [F.col(k) for k in BAR_KEY], unique=True), silver)
+    store_facts(spark, silver, facts)
+    upsert_table(spark, silver, halves[1], BAR_KEY, order=values, id_col="stock_id")
+    update_facts(spark, silver, facts, halves[1].select(*BAR_KEY))
+    return _rounded_facts(spark.table(facts).drop(MONTH, "UUID"))
+
+
 def macro_facts(spark, sf):
     return gold.macro_facts(adapters.macro_series(_macro(spark, sf)), id_col=None)
 
@@ -180,6 +204,18 @@ def macro_median_fill_split(spark, sf):
     return macro_median_fill(spark, sf, max_group_rows=20)
 
 
+def macro_median_increment(spark, sf):
+    """The same gaps filled after two loads, the medians from kept counts and the second load alone."""
+    lake, rows = _lake(spark), _macro(spark, sf)
+    create_layers(spark, [lake.bronze], lake.tables_root)
+    for half in (0, 1):
+        medians = update_medians(
+            spark, f"{lake.bronze}.macro_value_counts", rows.filter(F.col("insert_order") % 2 == half), "country_id", MEASURES
+        )
+    filled = fill_by_medians(rows, "country_id", MEASURES, medians)
+    return filled.select("country_id", "year", "insert_order", *[F.round(c, 4).alias(c) for c in MEASURES])
+
+
 def macro_ungrouped(spark, sf):
     return ungrouped_rows(_macro(spark, sf), "country_id")
 
@@ -351,6 +387,27 @@ def json_rates_explode(spark, sf):
     return explode_rates(payloads, "body")
 
 
+def json_variant_rates(spark, sf):
+    """Rates from payloads of four shapes, one of them without rates; fields that nobody asked for are kept."""
+    events = adapters.table(spark, sf, "events")
+    day, value, shape = F.col("ts").cast("date").cast("string"), F.col("value"), F.col("event_id") % 4
+    rate = F.struct(value.alias("INR"))
+    body = (
+        F.when(shape == 0, F.to_json(F.struct(F.lit(1).alias("amount"), F.create_map(day, rate).alias("rates"))))
+        .when(
+            shape == 1,
+            F.to_json(
+                F.struct(F.array(F.struct(day.alias("date"), value.alias("INR"))).alias("rates"), F.lit("n").alias("note"))
+            ),
+        )
+        .when(shape == 2, F.to_json(F.struct(F.lit("USD").alias("base"))))
+        .otherwise(F.to_json(F.struct(day.alias("date"), rate.alias("rates"))))
+    )
+    rates = variant_rates(events.select("event_id", body.alias("body")), "body")
+    other = F.concat_ws(",", F.transform(F.map_entries("other"), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return rates.select("event_id", "date", "rate", other.alias("other"))
+
+
 def json_rate_flatten(spark, sf):
     body = F.struct(
         F.lit(1.0).alias("amount"),
@@ -610,6 +667,8 @@ QUERIES: dict[str, Query] = {
     "stock_facts": stock_facts,
     "stock_facts_split": stock_facts_split,
     "stock_facts_silver": stock_facts_silver,
+    "stock_facts_increment": stock_facts_increment,
+    "stock_facts_wide": stock_facts_wide,
     "macro_facts": macro_facts,
     "macro_facts_compat": macro_facts_compat,
     "rank_trim_ohlcv": rank_trim_ohlcv,
@@ -625,6 +684,7 @@ QUERIES: dict[str, Query] = {
     "dedup_daily": dedup_daily,
     "macro_median_fill": macro_median_fill,
     "macro_median_fill_split": macro_median_fill_split,
+    "macro_median_increment": macro_median_increment,
     "macro_ungrouped": macro_ungrouped,
     "year_filter": macro_year_filter,
     "contract_ohlcv": contract_ohlcv,
@@ -651,6 +711,7 @@ QUERIES: dict[str, Query] = {
     "path_parts": path_parts,
     "json_rates_explode": json_rates_explode,
     "json_rate_flatten": json_rate_flatten,
+    "json_variant_rates": json_variant_rates,
     "json_pick_keys": json_pick_keys,
     "provider_columns": provider_columns,
     "landing_snapshot": landing_snapshot,

@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 import statistics
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -60,6 +61,32 @@ def test_split_series_equal_whole_series(prices):
     assert whole.columns == split.columns
 
 
+def test_the_width_of_a_decimal_changes_nothing(prices):
+    want = rows(stock_facts(prices).select("ticker", "trade_date", "daily_return", "volatility_days_30", "stock_90_day_average"))
+    for kind in ("decimal(9,2)", "decimal(10,2)", "decimal(24,2)", "decimal(24,6)"):
+        wide = prices.withColumns({c: F.col(c).cast(kind) for c in ("open", "high", "low", "close")})
+        got = stock_facts(wide).select("ticker", "trade_date", "daily_return", "volatility_days_30", "stock_90_day_average")
+        assert rows(got) == want, kind
+
+
+def test_wide_closes_are_exact(spark):
+    """Closes beyond what doubles tell apart; returns and averages against whole numbers."""
+    values = [Decimal("123456789012345678.25") + Decimal(i * i) / 4 for i in range(120)]
+    data = [("W", dt.date(2020, 1, 1) + dt.timedelta(days=i), v, v, v, v, 1, i) for i, v in enumerate(values)]
+    got = stock_facts(spark.createDataFrame(data, SCHEMA.format("decimal(22,2)"))).orderBy("trade_date").collect()
+
+    def millionths(top, bottom):
+        top, bottom = int(top), int(bottom)
+        size = (2 * abs(top) * 10**6 + abs(bottom)) // (2 * abs(bottom))
+        return (size if (top < 0) == (bottom < 0) else -size) / 1e6
+
+    cents = [v * 100 for v in values]
+    for i, row in enumerate(got):
+        frame = cents[max(0, i - 89): i + 1]
+        assert row.stock_90_day_average == millionths(sum(frame), 100 * len(frame))
+        assert row.daily_return == (millionths(cents[i] - cents[i - 1], cents[i - 1]) if i else None)
+
+
 def test_double_prices_use_doubles(prices):
     exact = stock_facts(prices).orderBy("ticker", "trade_date").collect()
     plain = prices.withColumns({c: F.col(c).cast("double") for c in ("open", "high", "low", "close")})

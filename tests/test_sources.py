@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from marketlake import schemas
 from marketlake.functions.columns import landing_day, landing_time, path_file_ts, path_run_day, path_ticker
 from marketlake.sources.landing import latest_snapshot, read_landing, read_stamped, ticker_from_path
-from marketlake.sources.payloads import explode_rates, flatten_rate, pick_keys, upper_headers
+from marketlake.sources.payloads import explode_rates, flatten_rate, pick_keys, upper_headers, variant_rates
 from marketlake.sources.tables import write_landing, write_metrics, write_report
 
 BARS = "Date,CLOSE,HIGH,LOW,OPEN,VOLUME,COMPANY_TICKER"
@@ -121,6 +121,24 @@ def test_rates_payload(spark):
     assert rows(got) == [(dt.date(2025, 12, 17), 90.1, 1), (dt.date(2025, 12, 18), 90.26, 1)]
 
 
+def test_payloads_of_changing_shape(spark):
+    bodies = [
+        (0, '{"amount": 1.5, "rates": {"2025-12-17": {"INR": 90.1}, "2025-12-18": {"INR": 90}}}'),
+        (1, '{"rates": [{"date": "2025-12-18", "INR": 90.26}, {"date": "2025-12-19"}], "note": "n", "z": [1]}'),
+        (2, '{"base": "USD"}'), (3, '{"date": "2025-12-18", "rates": {"INR": 9, "EUR": 2}}'), (4, "no json"), (5, None),
+        (6, "[1]"), (7, '{"rates": null}'),
+    ]
+    got = variant_rates(spark.createDataFrame(bodies, "id int, body string"), "body")
+    assert got.columns == ["id", "date", "rate", "other"]
+    found = sorted(((r.id, str(r.date), r.rate, r.other) for r in got.collect()), key=repr)
+    assert found == [
+        (0, "2025-12-17", 90.1, {"amount": "1.5"}), (0, "2025-12-18", 90.0, {"amount": "1.5"}),
+        (1, "2025-12-18", 90.26, {"note": '"n"', "z": "[1]"}), (1, "2025-12-19", None, {"note": '"n"', "z": "[1]"}),
+        (2, "None", None, {"base": '"USD"'}), (3, "2025-12-18", 9.0, {}), (4, "None", None, None), (5, "None", None, None),
+        (6, "None", None, None), (7, "None", None, {}),
+    ]
+
+
 def test_latest_rate_payload(spark):
     body = json.dumps({"amount": 1.0, "base": "USD", "date": "2025-12-18", "rates": {"INR": 90.26}})
     assert rows(flatten_rate(spark.createDataFrame([(body,)], "body string"), "body")) == [(DAY, 90.26, 1)]
