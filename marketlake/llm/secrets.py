@@ -49,13 +49,19 @@ BASE_RULES = (
 )
 #: Public token formats.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    # With its body and its END line, if it has one; header lines of the body may hold single hyphens.
+    Rule(
+        "private_key",
+        r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+        r"(?:[A-Za-z0-9+/=\s:,._\\]*+(?:-[A-Za-z0-9+/=\s:,._\\]++){0,60}-----END [A-Z ]{0,30}PRIVATE KEY-----)?",
+    ),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("github_pat", r"github_pat_[A-Za-z0-9_]{22,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"sk_live_[A-Za-z0-9]{24,}"),
-    Rule("url_login", r"[a-z]{2,12}://[^/\s:@]{1,64}:[^/\s:@]{1,64}@"),
+    Rule("url_login", r"[a-z]{2,12}://[^/\s:@]++:[^/\s:@]++@"),
 )
 RULES = BASE_RULES + MORE_RULES
 

@@ -71,6 +71,28 @@ def test_given_table(spark):
         assert {k: v for k, v in got[i][0].items() if k != "doc_id"} == brute(text)
 
 
+KEY = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\n{}\n-----END RSA PRIVATE KEY-----"
+
+
+def test_long_logins_tokens_and_whole_keys(spark):
+    """Spans written down by hand."""
+    pat, jwt = "github_pat_" + "A1_" * 27 + "b", "eyJ" + "h" * 200
+    body = "\n".join(["QUJD" * 16] * 400)
+    key = KEY.format(body)
+    cases = {
+        f"x https://me:{pat}@host/": [("url_login", 2, 2 + 11 + len(pat) + 1), ("github_pat", 13, 13 + len(pat))],
+        f"https://{jwt}:{jwt}@host": [("url_login", 0, 8 + 2 * len(jwt) + 2)],
+        f"a\n{key}\nb": [("private_key", 2, 2 + len(key))],
+        f"{key}{key}": [("private_key", 0, len(key)), ("private_key", len(key), 2 * len(key))],
+        "-----BEGIN PRIVATE KEY-----\nQUJD no end": [("private_key", 0, 27)],
+        "-----BEGIN PRIVATE KEY-----" * 2000: [("private_key", 27 * i, 27 * i + 27) for i in range(2000)],
+        "github_pat_short": [],
+    }
+    got = by_id(find_secrets(docs(spark, list(cases))))
+    for i, (text, want) in enumerate(cases.items()):
+        assert [(s["kind"], s["start"], s["end"]) for s in got[i][0]["spans"] if s["kind"] != "assign"] == want, text[:60]
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     df = docs(spark, ["token=abcdefg", "token=abcdefg", "password=1234567"], ids=[1, 1, None])
     rows = secret_report(df).collect()
