@@ -7,7 +7,19 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).parent))
 from cases import SF, by_id, docs, with_clashes
 
-from marketlake.llm.licenses import TEMPLATES, as_files, license_report, licenses
+from pyspark.sql import functions as F
+
+from marketlake.llm.licenses import (
+    MIT_TEXT,
+    PUBLISHED,
+    TEMPLATES,
+    as_files,
+    blocks_of,
+    license_report,
+    licenses,
+    own_licenses,
+    template_frequencies,
+)
 
 TERM = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
@@ -100,6 +112,79 @@ def test_repeats_null_ids_and_empty(spark):
     assert license_report(df.limit(0)).count() == 0
 
 
+def comment(text, mark="# ", width=70):
+    lines, line = [], ""
+    for word in text.split(" "):
+        if len(line) + len(word) > width:
+            lines, line = [*lines, line], ""
+        line += (" " if line else "") + word
+    return "\n".join(mark + x for x in [*lines, line])
+
+
+CODE = "\nimport this\n\nprint('rights reserved: none')\n"
+PUBLIC = {
+    "/one/LICENSE": ("MIT License\n\nCopyright (c) 2020 Jo Doe\n\n" + MIT_TEXT, "MIT"),
+    "/one/a.py": ("#!/usr/bin/env python\n# Copyright 2021 The Authors\n#\n" + comment(PUBLISHED["Apache-2.0/notice"]) + CODE, "Apache-2.0"),
+    "/two/COPYING": ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n" + "Other words that follow. " * 900, "GPL-3.0"),
+    "/two/b.c": ("/*\n" + comment(PUBLISHED["GPL-3.0/notice"], " * ") + "\n */" + CODE, "GPL-3.0"),
+    "/bsd3/licence.txt": ("Copyright (c) 2019, Someone\nAll rights are with Someone.\n\n" + PUBLISHED["BSD-3-Clause/text"], "BSD-3-Clause"),
+    "/bsd2/LICENSE.md": ("Copyright 2019 Someone\n\n" + PUBLISHED["BSD-2-Clause/text"], "BSD-2-Clause"),
+    "/isc/c.js": (comment(PUBLISHED["ISC/text"], "// ") + CODE, "ISC"),
+    "/spdx/d.rs": ("// SPDX-License-Identifier: MIT OR Apache-2.0\nfn main() {}", "MIT OR Apache-2.0"),
+    "/mpl/e.h": ("/* " + PUBLISHED["MPL-2.0/notice"] + " */" + CODE, "MPL-2.0"),
+    "/none/f.py": ("# A module on licenses and permission in software, without warranty talk.\n" + CODE, None),
+    "/none/LICENSE": ("This file intentionally says nothing of the kind. " * 40, None),
+    "/none/g.py": ("print(1)\n\n" + comment(PUBLISHED["Apache-2.0/notice"]), None),
+    "/two/deep/h.c": ("int x;", None),
+}
+
+
+def test_headers_and_whole_license_files(spark):
+    """Published texts in files as they are found, each with the license a reader would name."""
+    rows = [(i, text, "en", "s", len(text)) for i, (text, _) in enumerate(PUBLIC.values())]
+    paths = spark.createDataFrame([*enumerate(PUBLIC)], "doc_id bigint, path string")
+    df = with_clashes(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"))
+    found = licenses(df.join(paths, "doc_id")).select("row.doc_id", "own_license", "own_score", "license", "inherited_from")
+    got = by_id(found)
+    for i, (path, (_, want)) in enumerate(PUBLIC.items()):
+        assert got[i][0]["own_license"] == want, (path, got[i][0])
+    last = got[len(PUBLIC) - 1][0]
+    assert (last["license"], last["inherited_from"]) == ("GPL-3.0", "/two/")
+    assert all(r["own_score"] >= 0.8 for v in got.values() for r in v if r["own_license"])
+
+
+def test_scores_of_blocks_against_brute_force(spark):
+    """Cosines of headers and whole licence files, from plain counts over all files."""
+    names = {t for text in (*TEMPLATES.values(), *PUBLISHED.values()) for t in TERM.findall(text.lower())}
+    texts = [text for text, _ in PUBLIC.values()]
+    n = len(texts)
+    df = Counter(t for text in texts for t in names & set(TERM.findall(text.lower())))
+    own = {t for text in PUBLISHED.values() for t in TERM.findall(text.lower())}
+    idf = {t: math.log((n + 1) / (df[t] + 1)) + 1 for t in own}
+    other = math.log(n + 1) + 1
+
+    def cosine(piece, template):
+        a, b = Counter(TERM.findall(piece.lower())), Counter(TERM.findall(template.lower()))
+        length = math.sqrt(sum((c * idf[t]) ** 2 if t in idf else c * other**2 for t, c in a.items()))
+        size = math.sqrt(sum((c * idf[t]) ** 2 for t, c in b.items()))
+        return sum(a[t] * b[t] * idf[t] ** 2 for t in b) / length / size if length else 0
+
+    files = spark.createDataFrame([(p, i, t) for i, (p, (t, _)) in enumerate(PUBLIC.items())], "path string, tkey long, text string")
+    counts = template_frequencies(files, TEMPLATES | PUBLISHED)
+    assert counts == (n, dict(df))
+    pieces = {r["tkey"]: r["pieces"] for r in files.select("tkey", blocks_of(F.col("text"), F.col("path")).alias("pieces")).collect()}
+    assert pieces[1][0].split()[:3] == ["Copyright", "2021", "The"] and len(pieces[0]) == 2
+    got = own_licenses(files, PUBLISHED, 0.8, counts, blocks_of(F.col("text"), F.col("path")))
+    best = {r["tkey"]: (r["license"], r["score"]) for r in got.collect()}
+    for key, blocks in pieces.items():
+        scores = [(round(cosine(p, t), 6), name) for p in blocks for name, t in PUBLISHED.items()]
+        top = max(s for s, _ in scores)
+        if top >= 0.8:
+            assert abs(best[key][1] - top) < 2e-6 and (best[key][1], best[key][0]) in [(round(s, 6), m) for s, m in scores]
+        else:
+            assert key not in best
+
+
 def test_copies_score_as_one(spark):
     text = "Licensed under the Apache License, Version 2.0, with wibble wobble and wubble."
     rows = [(None, text)] * 40 + [(7, text)] * 40 + [(i, "plain words") for i in range(100, 200)]
