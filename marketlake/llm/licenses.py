@@ -135,10 +135,14 @@ def any_word(words: list[str]) -> str:
     return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
 
 
+def whole_terms(words: list[str]) -> str:
+    """A pattern of the words where each is a term of its own."""
+    return rf"(?<![a-z0-9])(?<![a-z0-9][.-]){any_word(words)}(?![a-z0-9])(?![.-][a-z0-9])"
+
+
 def template_frequencies(files: DataFrame, templates: dict[str, str]) -> tuple[int, dict[str, int]]:
     """The number of files, and for each template term the number of files with it: one row for each term."""
-    words = any_word(vocabulary(templates))
-    whole = rf"(?<![a-z0-9])(?<![a-z0-9][.-]){words}(?![a-z0-9])(?![.-][a-z0-9])"
+    whole = whole_terms(vocabulary(templates))
     found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(whole), F.lit(0)))
     counted = files.select(F.explode(found).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
     return files.count(), {r["term"]: r["n"] for r in counted.collect()}  # at most the templates' terms
@@ -213,34 +217,50 @@ def file_licenses(files: DataFrame, templates: dict[str, str], published: dict[s
 def own_licenses(
     files: DataFrame, templates: dict[str, str], threshold: float, counts: tuple[int, dict[str, int]], pieces: Column
 ) -> DataFrame:
-    """(path, tkey, license, score) of the best template for the files that have one among their ``pieces``."""
+    """(path, tkey, license, score) of the best template for the files that have one among their ``pieces``.
+
+    A piece's terms are counted where its file is read. Its cosine with any template is at most the share of its length
+    that lies in the templates' terms, so only pieces whose share reaches the threshold are moved at all.
+    """
     spark = files.sparkSession
     weights = Weights(*counts, templates, threshold)
     needed = any_word(sorted(weights.needed))
     sentences = F.filter(pieces, lambda s: F.lower(s).rlike(rf"(?<![a-z0-9]){needed}(?![a-z0-9])"))
     candidates = files.select("path", "tkey", F.posexplode(F.array_distinct(sentences)).alias("place", "sentence"))
-    candidates = candidates.distinct()  # rows of one path and text are one file
-    terms = F.regexp_extract_all(F.lower("sentence"), F.lit(TERM), F.lit(0))
     idf = F.create_map(*[F.lit(x) for pair in sorted(weights.idf.items()) for x in pair])
-    counted = (
-        candidates.select("path", "tkey", "place", F.explode(terms).alias("term"))
-        .groupBy("path", "tkey", "place", "term")
-        .agg(F.count("*").alias("n"))
-        .withColumn("weight", F.col("n") * F.coalesce(F.try_element_at(idf, F.col("term")), F.lit(weights.other)))
+    low = F.lower("sentence")
+    found = candidates.select(
+        "path",
+        "tkey",
+        "place",
+        F.regexp_extract_all(low, F.lit(whole_terms(sorted(weights.idf))), F.lit(0)).alias("known"),
+        F.regexp_count(low, F.lit(TERM)).alias("n"),
     )
+    weighted = F.transform(
+        F.array_distinct("known"),
+        lambda t: F.struct(
+            t.alias("term"),
+            (F.size(F.filter("known", lambda x: x == t)) * F.try_element_at(idf, t)).alias("weight"),
+        ),
+    )
+    share = F.aggregate("terms", F.lit(0.0), lambda total, t: total + t["weight"] * t["weight"])
     # A word without a template's term is a dimension of its own for each occurrence.
-    known = F.col("term").isin(sorted(weights.idf))
-    lengths = counted.groupBy("path", "tkey", "place").agg(
-        F.sqrt(F.sum(F.when(known, F.pow("weight", F.lit(2))).otherwise(F.col("n") * weights.other**2))).alias("length")
+    square = F.col("share") + (F.col("n") - F.size("known")) * weights.other**2
+    lengths = (
+        found.withColumn("terms", weighted)
+        .withColumn("share", share)
+        .withColumn("square", square)
+        .where(F.col("share") >= (threshold - 1e-9) ** 2 * F.col("square"))
+        .select("path", "tkey", "place", "terms", F.sqrt("square").alias("length"))
+        .dropDuplicates(["path", "tkey", "place"])  # rows of one path and text are one file
     )
-    dots = (
-        counted.join(F.broadcast(weights.table(spark)), "term")
-        .groupBy("path", "tkey", "place", "license")
+    scored = (
+        lengths.select("path", "tkey", "place", "length", F.explode("terms").alias("t"))
+        .select("path", "tkey", "place", "length", "t.*")
+        .join(F.broadcast(weights.table(spark)), "term")
+        .groupBy("path", "tkey", "place", "license", "length")
         .agg(F.sum(F.col("weight") * F.col("value")).alias("dot"))
-    )
-    same = [dots[c].eqNullSafe(lengths[c]) for c in ("path", "tkey", "place")]
-    scored = dots.join(lengths, same).select(
-        dots["path"], dots["tkey"], "license", F.round(F.col("dot") / F.col("length"), 6).alias("score")
+        .select("path", "tkey", "license", F.round(F.col("dot") / F.col("length"), 6).alias("score"))
     )
     best = F.max(F.struct("score", negated_name(F.col("license"), sorted(templates)).alias("order"), "license"))
     return (
