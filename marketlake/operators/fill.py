@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.columns import missing_as_null
-from marketlake.operators.ordering import AHEAD, COPIES, collapse_copies, group_sizes, rows_ahead
+from marketlake.operators.ordering import AHEAD, COPIES, collapse_copies, key_sketch, rows_ahead, split_hot
 
 # The aggregation state of an exact median holds every distinct value of a group.
 MAX_MEDIAN_ROWS = 200_000
@@ -102,12 +102,12 @@ def median_fill(
     known = df.filter(F.col(group).isNotNull()).withColumns(
         {c: missing_as_null(F.col(c).cast("double")) for c in cols}
     )
-    sizes = group_sizes(known, [group])
-    few_groups = sizes.groups <= MAX_BROADCAST_GROUPS
-    if sizes.largest <= max_group_rows:
-        medians = known.groupBy(group).agg(*[F.median(c).alias(f"_median_{c}") for c in cols])
-    else:
-        medians = _medians_by_range(known, group, cols, few_groups)
+    sketch = key_sketch(known, [group], max_group_rows)
+    few_groups = sketch.groups <= MAX_BROADCAST_GROUPS
+    small, large = split_hot(known, [group], sketch.hot) if sketch.hot else (known, None)
+    medians = small.groupBy(group).agg(*[F.median(c).alias(f"_median_{c}") for c in cols])
+    if large is not None:
+        medians = medians.unionByName(_medians_by_range(large, group, cols, few_groups))
     if few_groups:
         medians = F.broadcast(medians)
     filled = known.join(medians, group, "left").withColumns(

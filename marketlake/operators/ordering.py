@@ -1,9 +1,10 @@
 """Exact ordinals inside groups, also when one group holds a large share of all rows.
 
 ``row_number`` over a window puts a whole group into one task. That is the right plan while groups
-are small, so the group sizes are measured first (one pre-aggregated pass over the key columns).
-Beyond the limit the rows are range-partitioned by (keys, order): a large group then spans many
-partitions, each partition numbers its own rows, and the rows ahead of a partition are added.
+are small, so large groups are looked for first: a frequent-items sketch over the key columns, one
+partial sketch per task and no shuffle of keys. Only rows of the groups it finds are range-partitioned
+by (keys, order): a large group then spans many partitions, each partition numbers its own rows, and
+the rows ahead of a partition are added. The sketch chooses the plan only, never the result.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from marketlake.session import checkpointed
 
 MAX_GROUP_ROWS = 1_000_000
 COPY_STEP = 65_536
+#: Keys a sketch keeps apart, and the most it reports. It knows every key with more than about one row in 2,000; one
+#: that it misses holds no more rows than a fair share of a job of that many tasks.
+SKETCH_KEYS, SKETCH_FOUND = 20_000, 5_000
 
 COPIES, AHEAD = "_copies", "_ahead"
 _PART, _FROM, _PLACE = "_part", "_from", "_place"
@@ -36,6 +40,30 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> GroupSizes:
     return GroupSizes(row["groups"], row["largest"] or 0)
 
 
+@dataclass(frozen=True)
+class KeySketch:
+    """``groups``: about how many keys there are (within a tenth); ``hot``: hashes of those beyond the limit."""
+
+    groups: int
+    hot: tuple[int, ...]
+
+
+def key_sketch(df: DataFrame, keys: Sequence[str], limit: int) -> KeySketch:
+    """The keys of more than about ``limit`` rows, without counting every key."""
+    key = F.xxhash64(*keys)
+    row = df.select(key.alias("key")).agg(
+        F.approx_count_distinct("key", 0.03).alias("groups"),
+        F.expr(f"approx_top_k(key, {SKETCH_FOUND}, {SKETCH_KEYS})").alias("top"),
+    ).first()
+    return KeySketch(row["groups"], tuple(sorted(t["item"] for t in row["top"] or () if t["count"] > limit)))
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], hot: Sequence[int]) -> tuple[DataFrame, DataFrame]:
+    """Rows of other keys, rows of hot keys. A key that shares a hash with a hot one goes with it."""
+    is_hot = F.xxhash64(*keys).isin(list(hot))
+    return df.filter(~is_hot), df.filter(is_hot)
+
+
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """NULL-safe equality on ``keys``."""
     condition = F.lit(True)
@@ -112,12 +140,26 @@ def number_rows(
     """
     if unique and not keys:
         return number_sorted_rows(df, order, name)  # no count first, and no task ever sees the whole table
-    if at_most is None or at_most > max_group_rows:
-        at_most = group_sizes(df, keys).largest
-    if at_most <= max_group_rows:
-        spec = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(spec).cast("long"))
+    if at_most is not None and at_most <= max_group_rows:
+        return _number_in_window(df, keys, order, name)
+    if not keys:
+        small = group_sizes(df, keys).largest <= max_group_rows
+        return (_number_in_window if small else _number_by_range)(df, keys, order, name)
+    hot = key_sketch(df, keys, max_group_rows).hot
+    if not hot:
+        return _number_in_window(df, keys, order, name)
+    others, rows = split_hot(df, keys, hot)
+    return _number_in_window(others, keys, order, name).unionByName(_number_by_range(rows, keys, order, name, unique))
+
 
+def _number_in_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    spec = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(spec).cast("long"))
+
+
+def _number_by_range(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, unique: bool = False
+) -> DataFrame:
     if unique:
         numbered = rows_ahead(df.withColumn(COPIES, F.lit(1).cast("long")), keys, order)
         return numbered.select(*df.columns, (F.col(AHEAD) + 1).alias(name))

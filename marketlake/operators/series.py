@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from marketlake.operators.ordering import MAX_GROUP_ROWS, group_sizes, number_sorted_rows
+from marketlake.operators.ordering import MAX_GROUP_ROWS, key_sketch, number_sorted_rows, split_hot
 
 BLOCK_ROWS = 100_000
 
@@ -29,14 +29,28 @@ def over_series(
     shuffle on the keys. A longer series is cut into blocks of consecutive rows, and each block gets
     copies of the ``lookback`` rows before it, so values at block starts stay exact.
     ``time`` must be unique inside a series. ``at_most`` is a known bound on the rows of a series; without
-    one below ``max_group_rows`` the rows are counted first. The bound chooses the plan only, never the result.
+    one below ``max_group_rows`` long series are looked for with a sketch, and only those are cut. Neither
+    changes the result.
     """
     keys = list(keys)
-    if at_most is None or at_most > max_group_rows:
-        at_most = group_sizes(df, keys).largest
-    if at_most <= max_group_rows:
-        return compute(df, Window.partitionBy(*keys).orderBy(time))
+    whole = Window.partitionBy(*keys).orderBy(time)
+    if at_most is not None and at_most <= max_group_rows:
+        return compute(df, whole)
+    hot = key_sketch(df, keys, max_group_rows).hot
+    if not hot:
+        return compute(df, whole)
+    short, long = split_hot(df, keys, hot)
+    return compute(short, whole).unionByName(_over_blocks(long, keys, time, lookback, compute, max_group_rows))
 
+
+def _over_blocks(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    lookback: int,
+    compute: Callable[[DataFrame, WindowSpec], DataFrame],
+    max_group_rows: int,
+) -> DataFrame:
     # Blocks are cut from the whole table in (keys, time) order, so all have the same size. The rows
     # before a block start belong to the same series or to another one, which the window keeps apart.
     size = max(min(max_group_rows, BLOCK_ROWS), lookback)

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlake.operators import ordering
-from marketlake.operators.ordering import group_sizes, number_rows, surrogate_key
+from marketlake.operators.ordering import group_sizes, key_sketch, number_rows, split_hot, surrogate_key
 
 
 @pytest.fixture
@@ -62,3 +62,34 @@ def test_surrogate_key_continues_after_start(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k string")
     assert surrogate_key(df, "id", [F.col("k")]).count() == 0
+
+
+@pytest.fixture
+def third(spark):
+    """A key with a third of all rows among keys of one row each, NULL among them."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.when(F.col("id") > 1, F.col("id") + 10))
+    return spark.range(0, 60_000, 1, 6).select(key.alias("k"), (F.col("id") * 7919 % 60_013).alias("v"))
+
+
+def test_a_sketch_finds_the_hot_key_without_a_shuffle_of_keys(spark, third):
+    sketch = key_sketch(third, ["k"], 1000)
+    assert sketch.hot == (third.filter("k = 7").select(F.xxhash64("k")).first()[0],)
+    assert 0.9 < sketch.groups / 40_001 < 1.1
+    assert key_sketch(third, ["k"], 30_000).hot == () == key_sketch(third.limit(0), ["k"], 0).hot
+    others, hot = split_hot(third, ["k"], sketch.hot)
+    assert (others.count(), hot.count()) == (40_000, 20_000)
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_only_the_hot_key_is_split(spark, third, unique):
+    want = third.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v")))
+    got = number_rows(third, ["k"], [F.col("v")], "n", max_group_rows=1000, unique=unique)
+    assert got.exceptAll(want).isEmpty() and got.count() == 60_000
+
+
+def test_no_key_is_counted_when_rows_are_ranked(spark, third, monkeypatch):
+    def counted(*_):
+        raise AssertionError("counting pass")
+
+    monkeypatch.setattr(ordering, "group_sizes", counted)
+    assert number_rows(third, ["k"], [F.col("v")], "n").count() == 60_000
