@@ -1,13 +1,22 @@
-"""Insert-or-update by a unique key, as a DataFrame and on a month-partitioned table."""
+"""Insert-or-update by a unique key, as a DataFrame and on a month-partitioned table.
+
+Several writers may upsert into one table at the same time. Each writes its months to a folder of its own and then tries
+to become the next entry of the table's commit log, which says for every month which folder holds it. A writer that
+comes second looks whether its months changed meanwhile: if not, it takes the next number, else it merges its batch
+again with what the months hold now. Months are read from where the log says, so a partition that still points to an
+older folder misleads nobody; after a commit the partitions follow the log. Ids are set aside in a second log.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from hashlib import sha1
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.operators.commits import CommitLog
 from marketlake.operators.contract import ContractError
 from marketlake.operators.dedup import keep_first, newest_first
 from marketlake.operators.ordering import surrogate_key
@@ -81,9 +90,12 @@ def month_of(date: str) -> Column:
     return F.date_format(F.col(date), "yyyy-MM")
 
 
+def _detail(spark: SparkSession, table: str, name: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == name).first()["data_type"]
+
+
 def table_location(spark: SparkSession, table: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return details.filter("col_name = 'Location'").first()["data_type"]
+    return _detail(spark, table, "Location")
 
 
 def versions_root(spark: SparkSession, table: str) -> str:
@@ -98,12 +110,60 @@ def point_months(spark: SparkSession, table: str, months: Iterable[str], folder:
     added = [f"{p} LOCATION '{folder}/{MONTH}={m}'" for m, p in places.items() if f"{MONTH}={m}" not in known]
     if added:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
-    for month, place in places.items():
-        if f"{MONTH}={month}" in known:
-            spark.sql(f"ALTER TABLE {table} {place} SET LOCATION '{folder}/{MONTH}={month}'")
+    for month, place in places.items():  # added ones too: another writer may have added them first
+        spark.sql(f"ALTER TABLE {table} {place} SET LOCATION '{folder}/{MONTH}={month}'")
     spark.catalog.refreshTable(table)
 
 
+def commits_root(location: str) -> str:
+    """Folder of the logs of the table at ``location``, outside of the folder that the location lies in."""
+    parent, name = location.rstrip("/").rsplit("/", 1)
+    return f"{parent}-commits/{name}"
+
+
+def commit_log(spark: SparkSession, table: str, kind: str = "months") -> CommitLog:
+    """The table's log. A table that was dropped and made again has another one, even at the same place."""
+    made = sha1(_detail(spark, table, "Created Time").encode()).hexdigest()[:12]
+    return CommitLog(spark, f"{commits_root(table_location(spark, table))}/{made}/{kind}")
+
+
+def logged_months(log: CommitLog, number: int) -> dict[str, str]:
+    """month -> folder, after entry ``number``, of all months that upserts have written."""
+    return log.read(number)["months"] if number else {}
+
+
+def follow_log(spark: SparkSession, table: str, log: CommitLog) -> None:
+    """Let the partitions follow the log, also for writers that were lost after their commit.
+
+    Whoever moved a partition looks at the log again afterwards, so the last one to move it has seen the last entry.
+    """
+    while True:
+        number, unfinished = log.newest(), log.open_entries()
+        if not unfinished:
+            return
+        months, folders = logged_months(log, number), {}
+        for month in {m for n in unfinished for m in log.read(n)["changed"]}:
+            folders.setdefault(months[month], []).append(month)
+        for folder, changed in folders.items():
+            point_months(spark, table, sorted(changed), folder)
+        if log.newest() == number:
+            for n in unfinished:
+                log.mark_done(n)
+
+
+def months_as_logged(spark: SparkSession, table: str, logged: dict[str, str], months: Sequence[str]) -> DataFrame:
+    """The rows of ``months``, each read from where the log says."""
+    target = spark.table(table)
+    found, folders = target.filter(F.col(MONTH).isin([m for m in months if m not in logged])), {}
+    for month in months:
+        if month in logged:
+            folders.setdefault(logged[month], []).append(f"{logged[month]}/{MONTH}={month}")
+    for folder, paths in folders.items():
+        rows = spark.read.schema(target.schema).option("basePath", folder).parquet(*paths)
+        found = found.unionByName(rows.select(*target.columns))
+    return found
+
+
 def drop_old_months(spark: SparkSession, table: str) -> None:
     """Remove written months that no partition reads from. For quiet times: an older reader may still use them."""
     used = set()
@@ -126,14 +186,21 @@ def drop_old_months(spark: SparkSession, table: str) -> None:
 def reserve_ids(spark: SparkSession, table: str, id_col: str, count: int) -> int:
     """Set ``count`` ids aside and return the last one in use before them.
 
-    The mark is a table property, so an increment does not scan the stored ids; only a table without
-    the mark is scanned, once. Ids are reserved before they are written: a failed run leaves a gap,
-    never a repeated id.
+    Each reservation is an entry of a log of its own, so writers at the same time get ids of their own, and an increment
+    does not scan the stored ids; only a table without an entry is scanned, once. Ids are reserved before they are
+    written: a failed run leaves a gap, never a repeated id.
     """
-    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == LAST_ID).first()
-    last = int(found["value"]) if found else spark.table(table).agg(F.max(id_col)).first()[0] or 0
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LAST_ID}' = '{last + count}')")
-    return last
+    log = commit_log(spark, table, "ids")
+    while True:
+        number = log.newest()
+        last = log.read(number)["last"] if number else _last_id(spark, table, id_col)
+        if log.append(number + 1, {"last": last + count}):
+            return last
+
+
+def _last_id(spark: SparkSession, table: str, id_col: str) -> int:
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == LAST_ID).first()  # of older versions
+    return int(found["value"]) if found else spark.table(table).agg(F.max(id_col)).first()[0] or 0
 
 
 def upsert_table(
@@ -150,23 +217,40 @@ def upsert_table(
 
     Only the months present in the batch are read and rewritten. They are written to new folders, and their
     partitions point there once all are complete: until then, and if the job is lost, the table keeps its old months.
-    Running the same batch again gives the same table. One writer per table: ids are reserved without a lock.
+    Running the same batch again gives the same table. Batches of several writers are merged one after the other, in the
+    order of their commits.
     """
     target = spark.table(table)
     source = source.withColumn(MONTH, month_of(date)).select(*[c for c in target.columns if c != id_col])
-    rows = keep_first(source, keys, order or newest_first(source)).persist()
-    try:
-        counts = rows.groupBy(MONTH).count().collect()  # one row per calendar month in the batch
-        months, count = [r[MONTH] for r in counts], sum(r["count"] for r in counts)
-        if None in months:
-            raise ContractError(f"{table}: rows without {date}")
-        if not months:
-            return
-        last_id = reserve_ids(spark, table, id_col, count) if id_col else 0
-        touched = target.filter(F.col(MONTH).isin(months))
+    rows = checkpointed(keep_first(source, keys, order or newest_first(source)))
+    counts = rows.groupBy(MONTH).count().collect()  # one row per calendar month in the batch
+    months, count = sorted(r[MONTH] or "" for r in counts), sum(r["count"] for r in counts)
+    if "" in months:
+        raise ContractError(f"{table}: rows without {date}")
+    if not months:
+        return
+    log = commit_log(spark, table)
+    follow_log(spark, table, log)
+    last_id = reserve_ids(spark, table, id_col, count) if id_col else 0
+    while True:
+        seen = log.newest()
+        logged = logged_months(log, seen)
+        touched = months_as_logged(spark, table, logged, months)
         merged = _merge(touched, rows, count, [*keys, MONTH], id_col, newer_by, last_id, MAX_BROADCAST_ROWS)
         folder = f"{versions_root(spark, table)}/{uuid4().hex}"
         merged.select(*target.columns).hint("rebalance", F.col(MONTH)).write.partitionBy(MONTH).parquet(folder)
-    finally:
-        rows.unpersist()
-    point_months(spark, table, months, folder)
+        if _commit(log, seen, months, folder):
+            break
+    follow_log(spark, table, log)
+
+
+def _commit(log: CommitLog, seen: int, months: Sequence[str], folder: str) -> bool:
+    """Put ``folder`` in force for ``months``; False if another writer changed one of them after entry ``seen``."""
+    before = logged_months(log, seen)
+    while True:
+        now = logged_months(log, seen)
+        if any(now.get(m) != before.get(m) for m in months):
+            return False
+        if log.append(seen + 1, {"months": now | dict.fromkeys(months, folder), "changed": list(months)}):
+            return True
+        seen = log.newest()

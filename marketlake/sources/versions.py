@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.operators.upsert import LAST_ID, table_location
+from marketlake.operators.upsert import LAST_ID, commits_root, table_location
 
 NEXT = "__next"
 KEPT = 1
@@ -43,7 +43,7 @@ def _delete(spark: SparkSession, folder: str) -> None:
 def drop_old_versions(spark: SparkSession, table: str, keep: int = KEPT) -> None:
     """Remove versions that the table left behind, but for the ``keep`` newest of them: older readers may use those.
 
-    A version's folder goes with the months that upserts have written beside it.
+    A version's folder goes with the months that upserts have written beside it and with the log of those.
     """
     files, root = _file_system(spark, table_versions(spark, table))
     if not files.exists(root):
@@ -59,6 +59,8 @@ def drop_old_versions(spark: SparkSession, table: str, keep: int = KEPT) -> None
     for paths in by_age[keep:]:
         for _, path in paths:
             files.delete(path, True)
+        version = paths[0][1].getName().removesuffix("-months")
+        _delete(spark, commits_root(f"{table_versions(spark, table)}/{version}"))
 
 
 def settle(spark: SparkSession, table: str) -> None:
