@@ -16,6 +16,8 @@ a digest that a third of all documents share is one row on one side and can be s
 
 Defined results: a NULL text stays NULL; an empty one has no units; rows of one id are one document (they may share
 units), rows without an id are told apart by their text; texts without repeats are unchanged; offsets are code points.
+With ``each_row`` every row is a document of its own, so of rows with one id, and of equal rows without one, a single copy
+stays. Ids may be of any type that has a text form: whole numbers count by value, others by their text.
 """
 
 from __future__ import annotations
@@ -26,8 +28,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from marketlake.llm.common import stored
 
 REACH = 24
 LEAST_UNIT = 2 * REACH + 2  # bytes; shorter units are never repeats
@@ -149,7 +154,7 @@ def may_repeat(piece: bytes) -> bool:
 def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of (doc, tkey, text) as units (digest, doc, tkey, start, end, again); ``again``: seen in this text."""
 
-    def rows(block: list[tuple]) -> pa.RecordBatch:
+    def rows(block: list[tuple], doc_type: pa.DataType) -> pa.RecordBatch:
         texts = [t for _, _, t in block]
         columns: list[list] = [[], [], [], [], [], []]
         for (doc, tkey, text), places in zip(block, cuts(texts), strict=True):
@@ -159,20 +164,20 @@ def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.setdefault(digest, a)
                 for column, value in zip(columns, (digest, doc, tkey, a, b, again), strict=True):
                     column.append(value)
-        types = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+        types = (pa.binary(), doc_type, pa.int64(), pa.int32(), pa.int32(), pa.bool_())
         names = ["digest", "doc", "tkey", "start", "end", "again"]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     for batch in batches:
-        block, size = [], 0
+        block, size, doc_type = [], 0, batch.schema.field("doc").type
         for doc, tkey, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "tkey", "text")), strict=True):
             block.append((doc, tkey, text.encode("utf-8")))
             size += len(text)
             if size >= BLOCK:
-                yield rows(block)
+                yield rows(block, doc_type)
                 block, size = [], 0
         if block:
-            yield rows(block)
+            yield rows(block, doc_type)
 
 
 def joined(spans) -> list[tuple[int, int]]:
@@ -207,15 +212,40 @@ def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["id", "text", "spans"])
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text, spans) for every row: the text without its repeats, and what was cut out."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).withColumn("tkey", F.xxhash64("text"))
-    nameless = F.col("tkey").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)  # after every id
-    rows = rows.withColumn("doc", F.coalesce(F.col("id").cast("bigint"), nameless))
+def document_key(id_type: T.DataType, each_row: bool) -> Column:
+    """What rows of (id, tkey, and ``row`` with ``each_row``) are ordered and told apart by; no part of it is NULL.
+    Rows without an id come last."""
+    whole = isinstance(id_type, T.IntegralType)
+    if whole and not each_row:
+        nameless = F.col("tkey").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)  # after every id
+        return F.coalesce(F.col("id").cast("bigint"), nameless)
+    return F.struct(
+        F.col("id").isNull().cast("int").alias("nameless"),
+        F.coalesce(F.col("id").cast("bigint") if whole else F.lit(None), F.lit(0)).cast("bigint").alias("value"),
+        F.coalesce(F.lit(None) if whole else F.col("id").cast("string"), F.lit("")).alias("name"),
+        (F.col("row") if each_row else F.when(F.col("id").isNull(), F.col("tkey")).otherwise(F.lit(0)))
+        .cast("bigint")
+        .alias("number"),
+    )
+
+
+def dedup_substrings(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", each_row: bool = False
+) -> DataFrame:
+    """(id, text, spans) for every row: the text without its repeats, and what was cut out.
+
+    With ``each_row`` rows get numbers, which are stored before they are used, as a task that runs again may number anew.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    if each_row:
+        rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "substring-rows")
+    rows = rows.withColumn("tkey", F.xxhash64("text"))
+    rows = rows.withColumn("doc", document_key(rows.schema["id"].dataType, each_row))
+    doc_type = rows.schema["doc"].dataType.simpleString()
     found = (
         rows.where(F.octet_length("text") >= LEAST_UNIT)
         .select("doc", "tkey", "text")
-        .mapInArrow(chunk, "digest binary, doc bigint, tkey bigint, start int, end int, again boolean")
+        .mapInArrow(chunk, f"digest binary, doc {doc_type}, tkey bigint, start int, end int, again boolean")
     )
     shared = (
         found.where("not again")

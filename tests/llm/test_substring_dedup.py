@@ -6,7 +6,9 @@ sys.path.insert(0, str(Path(__file__).parent))
 import numpy as np
 from cases import SF, by_id, docs, with_clashes
 
-from marketlake.llm.substring_dedup import GEAR, LEAST_UNIT, REACH, cuts, substring_report, units
+from pyspark.sql import functions as F
+
+from marketlake.llm.substring_dedup import GEAR, LEAST_UNIT, REACH, cuts, dedup_substrings, substring_report, units
 
 
 def slow_cuts(text):
@@ -146,3 +148,43 @@ def test_stretches_of_one_text(spark):
     text = sentences(40, 60) + " Q " + run + "W " + sentences(41, 60) + " Z " + run + "V " + sentences(42, 60)
     row = by_id(substring_report(docs(spark, [text])))[0][0]
     assert len(run) - 120 < len(text) - len(row["text"]) <= len(run) + 2
+
+
+def left(df):
+    """(id, text) of every row, NULL first."""
+    return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+
+
+def test_each_row_is_a_document_of_its_own(spark):
+    one, other = sentences(50, 60), sentences(51, 60)
+    given = docs(spark, [one, one, one, None, None, "short", "short", other, other], ids=[1, 1, None, 1, 1, 2, 2, None, None])
+    got = left(dedup_substrings(with_clashes(given), each_row=True))
+    want = [(1, ""), (1, None), (1, None), (1, one), (2, "short"), (2, "short"), (None, ""), (None, ""), (None, other)]
+    assert got == sorted(want, key=repr)
+    assert dedup_substrings(given.limit(0), each_row=True).count() == 0
+
+
+def test_rows_of_one_id_with_other_texts(spark):
+    texts = [sentences(60, 80) + " " + PASSAGE + " " + sentences(61, 50), PASSAGE + sentences(62, 80)]
+    given = docs(spark, texts, ids=[9, 9], parts=1)
+    assert [t for _, t in left(dedup_substrings(given))] == sorted(texts, key=repr)
+    found = [t for _, t in left(dedup_substrings(given, each_row=True))]
+    assert sorted(PASSAGE[100:250] in t for t in found) == [False, True]
+    assert texts[0] in found or texts[1] in found
+
+
+def test_each_row_equals_the_plain_run_where_ids_differ(spark):
+    given = docs(spark, TEXTS)
+    assert left(dedup_substrings(given, each_row=True)) == left(dedup_substrings(given))
+
+
+def test_ids_of_other_types(spark):
+    one = sentences(70, 60)
+    rows = [("b", one), ("a", one), (None, one), ("c", "short"), ("a", one)]
+    given = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    want = [("a", one), ("a", one), ("b", ""), ("c", "short"), (None, "")]
+    assert left(dedup_substrings(given)) == sorted(want, key=repr)
+    alone = [("a", ""), ("a", one), ("b", ""), ("c", "short"), (None, "")]
+    assert left(dedup_substrings(given, each_row=True)) == sorted(alone, key=repr)
+    halves = given.select(F.when(F.col("doc_id") == "b", 1.5).otherwise(2.5).cast("decimal(3,1)").alias("doc_id"), "text")
+    assert [str(i) for i, t in left(dedup_substrings(halves, each_row=True)) if t == one] == ["1.5"]
