@@ -20,6 +20,7 @@ from marketlake.llm.merkle import ORACLE as MANIFEST
 from marketlake.llm.merkle import merkle_report
 from marketlake.llm.pii import pii_report
 from marketlake.llm.quality_rules import quality_report
+from marketlake.llm.secrets import ORACLE as SECRETS
 from marketlake.llm.secrets import secret_report
 from marketlake.llm.simhash import simhash_report
 from marketlake.llm.substring_dedup import substring_report
@@ -95,6 +96,7 @@ QUERIES = {
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
+    "op2_secret_scan": SECRETS,
     "op6_decontamination": DECONTAMINATION,
     "op7_warc_archives": ARCHIVES,
     "op10_preference_pairs": PREFERENCES,

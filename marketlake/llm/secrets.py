@@ -254,3 +254,62 @@ def secret_report(docs: DataFrame) -> DataFrame:
         F.sha2(as_text(base), 256).alias("base_sha256"),
         as_text(F.col("spans")).alias("spans"),
     )
+
+
+#: The same scan in SQL, its patterns written out again: (kind, pattern, group, least characters of it). That engine has
+#: no possessive runs and folds letters beyond ASCII, so runs are greedy and either case is spelled out.
+SQL_RULES = (
+    (
+        "assign",
+        "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"
+        """[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\\x20*[:=]\\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        2,
+        6,
+    ),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    (
+        "private_key",
+        "-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[A-Za-z0-9+/=\\x09-\\x0D\\x20:,._\\\\]*"
+        "(?:-[A-Za-z0-9+/=\\x09-\\x0D\\x20:,._\\\\]+){0,60}-----END [A-Z ]{0,30}PRIVATE KEY-----)?",
+        0,
+        1,
+    ),
+    ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("github_pat", "github_pat_[A-Za-z0-9_]{22,}", 0, 1),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("google", "AIza[A-Za-z0-9_-]{35}", 0, 1),
+    ("stripe", "sk_live_[A-Za-z0-9]{24,}", 0, 1),
+    ("url_login", "[a-z]{2,12}://[^/\\x09-\\x0D\\x20:@]+:[^/\\x09-\\x0D\\x20:@]+@", 0, 1),
+)
+
+
+def _matches_sql(order: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """A match's end is the total length of the texts up to the end of each match so far."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT rid, {order} AS ord, '{kind}' AS kind, {least} AS least,
+    generate_subscripts(regexp_extract_all(text, '{quoted}'), 1) AS i,
+    unnest(regexp_extract_all(text, '(?s).*?(?:{quoted})')) AS upto,
+    unnest(regexp_extract_all(text, '{quoted}')) AS found,
+    unnest(regexp_extract_all(text, '{quoted}', {group})) AS picked
+  FROM d"""
+
+
+ORACLE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rid FROM documents),
+m AS ({" UNION ALL ".join(_matches_sql(n, *rule) for n, rule in enumerate(SQL_RULES))}),
+s AS (
+  SELECT *, CAST(sum(length(upto)) OVER (PARTITION BY rid, ord ORDER BY i) AS BIGINT) AS stop FROM m),
+p AS (
+  SELECT rid, ord, kind, stop - length(found) AS start, kind || ':' || (stop - length(found)) || ':' || stop AS span
+  FROM s WHERE length(picked) >= least)
+SELECT any_value(doc_id) AS doc_id,
+  count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+  count(*) FILTER (WHERE kind = 'access') AS n_access,
+  count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY start, ord) FILTER (WHERE ord < 3), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY start, ord), '') AS spans
+FROM d LEFT JOIN p USING (rid) GROUP BY rid
+"""

@@ -3,12 +3,15 @@ import re
 import sys
 from pathlib import Path
 
+import duckdb
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
+sys.path.insert(0, str(Path(__file__).parents[1]))
 from cases import SF, by_id, docs, with_clashes
+from compare import difference
 
-from marketlake.llm.secrets import RULES, Rule, find_secrets, secret_report, trigram_query
+from marketlake.llm.secrets import ORACLE, RULES, Rule, find_secrets, secret_report, trigram_query
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
@@ -74,22 +77,23 @@ def test_given_table(spark):
 KEY = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\n{}\n-----END RSA PRIVATE KEY-----"
 
 
+PAT, JWT = "github_pat_" + "A1_" * 27 + "b", "eyJ" + "h" * 200
+WHOLE = KEY.format("\n".join(["QUJD" * 16] * 400))
+CASES = {
+    f"x https://me:{PAT}@host/": [("url_login", 2, 2 + 11 + len(PAT) + 1), ("github_pat", 13, 13 + len(PAT))],
+    f"https://{JWT}:{JWT}@host": [("url_login", 0, 8 + 2 * len(JWT) + 2)],
+    f"a\n{WHOLE}\nb": [("private_key", 2, 2 + len(WHOLE))],
+    f"{WHOLE}{WHOLE}": [("private_key", 0, len(WHOLE)), ("private_key", len(WHOLE), 2 * len(WHOLE))],
+    "-----BEGIN PRIVATE KEY-----\nQUJD no end": [("private_key", 0, 27)],
+    "-----BEGIN PRIVATE KEY-----" * 2000: [("private_key", 27 * i, 27 * i + 27) for i in range(2000)],
+    "github_pat_short": [],
+}
+
+
 def test_long_logins_tokens_and_whole_keys(spark):
     """Spans written down by hand."""
-    pat, jwt = "github_pat_" + "A1_" * 27 + "b", "eyJ" + "h" * 200
-    body = "\n".join(["QUJD" * 16] * 400)
-    key = KEY.format(body)
-    cases = {
-        f"x https://me:{pat}@host/": [("url_login", 2, 2 + 11 + len(pat) + 1), ("github_pat", 13, 13 + len(pat))],
-        f"https://{jwt}:{jwt}@host": [("url_login", 0, 8 + 2 * len(jwt) + 2)],
-        f"a\n{key}\nb": [("private_key", 2, 2 + len(key))],
-        f"{key}{key}": [("private_key", 0, len(key)), ("private_key", len(key), 2 * len(key))],
-        "-----BEGIN PRIVATE KEY-----\nQUJD no end": [("private_key", 0, 27)],
-        "-----BEGIN PRIVATE KEY-----" * 2000: [("private_key", 27 * i, 27 * i + 27) for i in range(2000)],
-        "github_pat_short": [],
-    }
-    got = by_id(find_secrets(docs(spark, list(cases))))
-    for i, (text, want) in enumerate(cases.items()):
+    got = by_id(find_secrets(docs(spark, list(CASES))))
+    for i, (text, want) in enumerate(CASES.items()):
         assert [(s["kind"], s["start"], s["end"]) for s in got[i][0]["spans"] if s["kind"] != "assign"] == want, text[:60]
 
 
@@ -114,3 +118,13 @@ def test_rules_without_trigrams_scan_fully(spark):
     df = docs(spark, ["a 1234 b", "none"])
     got = by_id(find_secrets(df, rules=(Rule("pin", r"[0-9]{4}"),)))
     assert [(s["start"], s["end"]) for s in got[0][0]["spans"]] == [(2, 6)] and got[1][0]["spans"] == []
+
+
+def test_agrees_with_sql(spark, tmp_path):
+    texts = [*TEXTS, *CASES, KEY.format("QUJD:=" * 40) + "\x0b" + "a:b@ ftp://u\x0bv:w@x http://é:😀@", "\u212aey token=ab"]
+    df = docs(spark, [*texts, TEXTS[4]])
+    df.coalesce(1).write.parquet(str(tmp_path / "d"))
+    for path in (f"{tmp_path}/d/*.parquet", f"{SF}/documents.parquet"):
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+        assert difference(secret_report(spark.read.parquet(path)), con, ORACLE) is None
