@@ -20,7 +20,8 @@ class Lake:
     """Landing folders, layer databases and the report folder.
 
     ``stamped`` selects the folder layout that Spark itself writes for landing snapshots
-    (``run_day=.../run_time=...``, ticker in the file's own column).
+    (``run_day=.../run_time=...``, ticker in the file's own column). ``writes_tree`` states that the dated tree of a lake
+    that is not ``stamped`` is filled from here and not by a provider.
     """
 
     reports: str
@@ -33,6 +34,7 @@ class Lake:
     gold: str = "gold"
     tables_root: str | None = None
     stamped: bool = False
+    writes_tree: bool = False
 
     @property
     def databases(self) -> tuple[str, str, str]:

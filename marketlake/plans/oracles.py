@@ -406,6 +406,24 @@ SILVER_AFTER_TWO = f"""
         batch_rows(f'batch <= 3 AND {FITS}', '2025-12-17'), batch_rows(f'batch > 3 AND {FITS}', '2025-12-18'),
         'ticker, date', (*VALUES[2:], 'insert_datetime'), 'volume')})
 """
+TREE_BARS = f"SELECT *, CAST(bar_ts AS DATE) AS date, hour(bar_ts) AS hour FROM ({BARS})"
+
+
+def tree_batch(where: str, day: str) -> str:
+    rows = f"SELECT {', '.join(VALUES)} FROM ({TREE_BARS}) WHERE {where} AND {FITS} AND volume IS NOT NULL"
+    return f"SELECT *, DATE '{day}' AS insert_datetime FROM ({first(rows, 'ticker, date', VALUE_ORDER)})"
+
+
+TREE_AFTER_TWO = f"""
+    SELECT {TYPED}, insert_datetime FROM ({second_over_first(
+        tree_batch('hour < 12', '2025-12-17'), tree_batch('hour >= 12', '2025-12-18'),
+        'ticker, date', (*VALUES[2:], 'insert_datetime'), 'volume')})
+"""
+TREE_HISTORICAL = f"""
+    SELECT row_number() OVER (ORDER BY ticker, date) AS stock_id, {TYPED}, DATE '2025-12-17' AS insert_datetime
+    FROM ({first(f"SELECT {', '.join(VALUES)} FROM ({TREE_BARS})", 'ticker, date', VALUE_ORDER)})
+    WHERE {FITS} AND volume IS NOT NULL
+"""
 REJECTS_OF_TWO = f"""
     SELECT ticker, date, reasons FROM (SELECT *, {_ohlcv_reasons(20)} AS reasons FROM ({TRIMMED})) WHERE reasons <> ''
 """
@@ -612,6 +630,8 @@ def oracles() -> dict[str, str]:
         "daily_fx_silver": DAILY_FX,
         "lineage_ohlcv": LINEAGE_AFTER_TWO,
         "daily_rejects": REJECTS_OF_TWO,
+        "daily_tree_silver": TREE_AFTER_TWO,
+        "historical_tree_silver": TREE_HISTORICAL,
         "stream_silver": SILVER_AFTER_TWO,
         "stream_rejects": REJECTS_OF_TWO,
         "stream_suite_report": " UNION ALL ".join(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,7 @@ from marketlake.plans.loading import load
 from marketlake.session import checkpointed, scratch_path
 from marketlake.sources.landing import latest_snapshot, read_landing, ticker_from_path
 from marketlake.sources.payloads import explode_rates, flatten_rate, pick_keys, upper_headers, variant_rates
-from marketlake.sources.tables import create_layers, refresh_monthly, write_landing
+from marketlake.sources.tables import create_layers, refresh_monthly, write_landing, write_landing_tree
 from marketlake.streaming.daily import stream_bars
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -492,12 +493,10 @@ def landing_tree(spark, sf):
     root = scratch_path(spark, "tree")
     kind = F.col("ticker")
     named = F.when(kind == "VIEW", "VIEW B").when(kind == "CLICK", "^CLICK").otherwise(kind)
-    rows = _bars(spark, sf).withColumns({"ticker": named, "date": F.to_date("bar_ts")})
-    rows = checkpointed(_provider(rows, schemas.OHLCV_RENAME, schemas.OHLCV_DAILY))
-    for ticker in [r[0] for r in rows.select("COMPANY_TICKER").distinct().collect()]:  # a folder for each event type
-        own = rows.filter(F.col("COMPANY_TICKER") == ticker).withColumn("COMPANY_TICKER", F.lit("of the file"))
-        own.write.option("header", True).csv(f"{root}/{ticker}/{FIRST_RUN:%Y/%b/%d}")
-    found = read_landing(spark, root, schemas.OHLCV_DAILY, FIRST_RUN.date(), by_ticker=True, latest=False)
+    rows = _bars(spark, sf).withColumns({"ticker": F.lit("of the file"), "date": F.to_date("bar_ts"), "folder": named})
+    rows = rows.withColumnsRenamed({v: k for k, v in schemas.OHLCV_RENAME.items()})
+    write_landing_tree(rows, root, FIRST_RUN, "stock", "folder", schemas.OHLCV_DAILY.names)
+    found = read_landing(spark, root, schemas.OHLCV_DAILY, FIRST_RUN.date(), by_ticker=True)
     found = ticker_from_path(found.drop("COMPANY_TICKER")).withColumnsRenamed(schemas.OHLCV_RENAME)
     return found.select(*schemas.OHLCV_COLUMNS)
 
@@ -633,6 +632,47 @@ def daily_rejects(spark, sf):
     return _reasons(spark, [f"{lake.bronze}.ohclv_daily_bronze_rejects", f"{lake.silver}.ohclv_daily_rejects"])
 
 
+def _tree_lake(spark) -> Lake:
+    return replace(_lake(spark), stamped=False, writes_tree=True)
+
+
+def _tree_bars(spark, sf) -> DataFrame:
+    """Hourly bars as several rows of their day, in file layout; some tickers are padded."""
+    padded = F.when(F.hour("bar_ts") % 2 == 0, F.concat(F.lit(" "), F.col("ticker"))).otherwise(F.col("ticker"))
+    rows = _bars(spark, sf).withColumns({"ticker": padded, "date": F.to_date("bar_ts"), "hour": F.hour("bar_ts")})
+    return rows.withColumnsRenamed({v: k for k, v in schemas.OHLCV_RENAME.items()})
+
+
+def _land_tree(rows: DataFrame, lake: Lake, run: dt.datetime) -> None:
+    write_landing_tree(rows, lake.ohlcv, run, "stock", "COMPANY_TICKER", schemas.OHLCV_DAILY.names)
+
+
+def daily_tree_silver(spark, sf):
+    """Bars after two increments from the dated tree; of two snapshots of the second day the newer one counts."""
+    lake, rows = _tree_lake(spark), _tree_bars(spark, sf)
+    for run, part in ((FIRST_RUN, "hour < 12"), (SECOND_RUN.replace(hour=9), "hour >= 6"), (SECOND_RUN, "hour >= 12")):
+        _land_tree(rows.filter(part), lake, run)
+    for run, rates in zip((FIRST_RUN, SECOND_RUN), _daily_halves(spark, sf)[1]):
+        write_landing_tree(_provider(rates, schemas.FX_DAILY_RENAME, schemas.FX_DAILY), lake.fx, run, "exchange_rate")
+        run_daily(spark, lake, run, fail_fast=True)
+    return spark.table(f"{lake.silver}.ohclv_silver").drop(MONTH, "stock_id")
+
+
+def historical_tree_silver(spark, sf):
+    """Bars after the full refresh of all tables from the dated tree, the folder naming the ticker."""
+    lake, rows = _tree_lake(spark), _tree_bars(spark, sf).withColumn("folder", F.trim("COMPANY_TICKER"))
+    rows = rows.withColumn("COMPANY_TICKER", F.lit("of the file"))
+    write_landing_tree(rows, lake.ohlcv, FIRST_RUN, "stock", "folder", schemas.OHLCV_DAILY.names)
+    company = _provider(_company(spark, sf), schemas.COMPANY_RENAME, schemas.COMPANY)
+    write_landing_tree(company, lake.company, FIRST_RUN, "company_metadata")
+    rates = _provider(_fx_by_day(spark, sf), schemas.FX_HISTORIC_RENAME, schemas.FX_HISTORIC)
+    write_landing_tree(rates, lake.fx, FIRST_RUN, "exchange_rate")
+    macro = _macro(spark, sf).withColumn("ISO3", F.col("country_id"))
+    write_landing_tree(_provider(macro, schemas.MACRO_RENAME, schemas.MACRO), lake.macro, FIRST_RUN, "macro_data")
+    run_historical(spark, lake, FIRST_RUN, fail_fast=True)
+    return spark.table(f"{lake.silver}.ohclv_silver").drop(MONTH)
+
+
 def _streamed(spark, sf) -> Lake:
     """The same two snapshots as a file stream, the newer one arriving first."""
     lake, (bars, _) = _lake(spark), _daily_halves(spark, sf)
@@ -728,6 +768,8 @@ QUERIES: dict[str, Query] = {
     "daily_fx_silver": daily_fx_silver,
     "lineage_ohlcv": lineage_ohlcv,
     "daily_rejects": daily_rejects,
+    "daily_tree_silver": daily_tree_silver,
+    "historical_tree_silver": historical_tree_silver,
     "stream_silver": stream_silver,
     "stream_rejects": stream_rejects,
     "stream_suite_report": stream_suite_report,

@@ -7,7 +7,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,8 @@ from marketlake.operators.fill import MAX_BROADCAST_GROUPS
 from marketlake.session import checkpointed
 
 FILE_COLUMNS = ("file_path", "file_mtime", "run_day", "file_ts", "folder_ticker")
-NEWEST = ("file_mtime", "file_ts", "file_path")
+#: What tells the files of one snapshot in a dated tree apart, as in ``AAPL_stock.part-00002_13-16-54.csv``.
+PART = r"\.part-\d+(?=_[^/]*$)"
 RAW_PATH = "raw_path"
 #: The whole line where a field cannot be read as its type, or where there are more or fewer fields; else NULL.
 RAW_LINE = "raw_line"
@@ -72,10 +73,14 @@ def file_facts(files: DataFrame) -> DataFrame:
 
 
 def latest_files(facts: DataFrame) -> DataFrame:
-    """One file per leaf folder: newest modification time, then the stamp in the name, then the name."""
-    rest = [c for c in facts.columns if c not in (*NEWEST, "leaf")]
-    newest = F.max(F.struct(*NEWEST, *rest)).alias("f")
-    return facts.groupBy("leaf").agg(newest).select("leaf", "f.*")
+    """The newest snapshot of every leaf: newest modification time, then the stamp in the name, then the name.
+
+    A snapshot is one file, or all its parts.
+    """
+    snapshot = F.regexp_replace("file_path", PART, "")
+    newest = F.max(F.struct("file_mtime", "file_ts", snapshot.alias("snapshot"))).over(Window.partitionBy("leaf"))
+    found = facts.withColumn("_newest", newest).filter(F.col("_newest.snapshot") == snapshot)
+    return found.select("leaf", *[c for c in facts.columns if c != "leaf"])
 
 
 def latest_folders(facts: DataFrame) -> DataFrame:
@@ -172,7 +177,7 @@ def read_landing(
 ) -> DataFrame:
     """Rows of a landing tree ``<root>[/<ticker>]/yyyy/Mon/dd/*.csv`` with their file columns.
 
-    With ``latest`` only the newest file of every leaf is opened. Headers must match ``schema``. A line that cannot be
+    With ``latest`` only the newest snapshot of every leaf is opened. Headers must match ``schema``. A line that cannot be
     read is kept in ``raw_line`` (see ``readable`` and ``unreadable``). Without
     files the result is empty, or ``NoLandingFiles`` is raised if they are ``required``.
     """

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +71,54 @@ def write_landing(df: DataFrame, root: str, run: dt.datetime, by: Sequence[str]
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root)
 
 
+#: Folder of the rows whose folder column is empty.
+UNNAMED = "unnamed"
+_FOLDER = "landing_folder"
+
+
+def write_landing_tree(
+    df: DataFrame, root: str, run: dt.datetime, name: str, by: str | None = None, columns: Sequence[str] | None = None
+) -> None:
+    """Headered CSV snapshot in the dated tree: ``root[/<by>]/yyyy/Mon/dd/[<by>_]<name>_HH-MM-SS.csv``.
+
+    ``by`` names the column whose trimmed values are the folders; rows without one go to ``unnamed``, and a slash in one
+    is written ``%2F``. ``columns`` (default: all) are those of the file. A folder with many rows gets a snapshot of
+    several files, ``<name>.part-<n>_HH-MM-SS.csv``, so no task holds a whole folder. Files are written beside the tree
+    and then renamed into place, one by one; the same run again replaces its own.
+    """
+    spark = df.sparkSession
+    columns, root = columns or df.columns, root.rstrip("/")
+    staging = f"{root}-staging-{uuid4().hex}"
+    rows = df.select(*[F.col(f"`{c}`") for c in columns])
+    if by:
+        folder = F.coalesce(F.nullif(F.trim(F.col(f"`{by}`").cast("string")), F.lit("")), F.lit(UNNAMED))
+        rows = df.withColumn(_FOLDER, folder).select(*[F.col(f"`{c}`") for c in columns], _FOLDER)
+        rows = rows.hint("rebalance", F.col(_FOLDER))  # few files for a folder; a very large one is still split
+    writer = rows.write.option("header", True)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    (writer.partitionBy(_FOLDER) if by else writer).csv(staging)
+
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    written = [path(staging)] if not by else [s.getPath() for s in files.listStatus(path(staging)) if s.isDirectory()]
+    stamp = run.strftime("%H-%M-%S")
+    for source in written:
+        owner = unquote(source.getName().split("=", 1)[1]).replace("/", "%2F") if by else ""
+        leaf = path("/".join([root, *([owner] if by else []), run.strftime("%Y/%b/%d")]))
+        stem = f"{owner}_{name}" if by else name
+        files.mkdirs(leaf)
+        own = re.compile(rf"{re.escape(stem)}(\.part-\d+)?_{stamp}\.csv")
+        for status in files.listStatus(leaf):
+            if own.fullmatch(status.getPath().getName()):
+                files.delete(status.getPath(), False)
+        parts = sorted(s.getPath().getName() for s in files.listStatus(source) if s.getPath().getName().endswith(".csv"))
+        for number, part in enumerate(parts):
+            marked = f"{stem}.part-{number:05d}" if len(parts) > 1 else stem
+            if not files.rename(path(source, part), path(leaf, f"{marked}_{stamp}.csv")):
+                raise OSError(f"{source}/{part} could not be moved to {leaf}")
+    files.delete(path(staging), True)
+
+
 def write_report(results: DataFrame, path: str, run: dt.datetime) -> None:
     """Suite results as JSON lines, one run after the other."""
     results.withColumn("run_ts", F.lit(run)).write.mode("append").json(path)

@@ -49,6 +49,22 @@ def test_provider_data_reaches_silver(spark, lake, tmp_path):
     assert spark.table(f"{lake.silver}.ohclv_silver").count() == 2
 
 
+def test_provider_data_reaches_silver_by_the_dated_tree(spark, lake):
+    lake = dataclasses.replace(lake, writes_tree=True)
+    day = dt.date(2025, 12, 18)
+    bars = spark.createDataFrame(
+        [(day, 271.1949, 273.0, 266.0, 270.0, 1000.0)], "Date date, Close double, High double, Low double, Open double, Volume double"
+    )
+    latest = {"amount": 1.0, "base": "USD", "date": "2025-12-18", "rates": {"INR": 90.5}}
+    for ticker in ("AAPL", "^GSPC"):
+        land_bars(bars, lake, RUN, ticker)
+    land_rates(spark.createDataFrame([(json.dumps(latest),)], "body string"), lake, RUN)
+    assert set(run_daily(spark, lake, RUN).values()) == {"ok"}
+    silver = spark.table(f"{lake.silver}.ohclv_silver")
+    assert [r[0] for r in rows(silver.select("ticker"))] == ["AAPL", "^GSPC"]
+    assert rows(spark.table(f"{lake.silver}.exchange_rates_silver").select("inr_rate")) == [(90.5,)]
+
+
 def test_landing_wants_the_layout_that_is_read(spark, lake):
     bodies = spark.createDataFrame([("{}",)], "body string")
     with pytest.raises(ValueError, match="stamped"):

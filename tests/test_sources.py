@@ -10,7 +10,7 @@ from marketlake import schemas
 from marketlake.functions.columns import landing_day, landing_time, path_file_ts, path_run_day, path_ticker
 from marketlake.sources.landing import latest_snapshot, read_landing, read_stamped, ticker_from_path
 from marketlake.sources.payloads import explode_rates, flatten_rate, pick_keys, upper_headers, variant_rates
-from marketlake.sources.tables import write_landing, write_metrics, write_report
+from marketlake.sources.tables import write_landing, write_landing_tree, write_metrics, write_report
 
 BARS = "Date,CLOSE,HIGH,LOW,OPEN,VOLUME,COMPANY_TICKER"
 DAY = dt.date(2025, 12, 18)
@@ -172,3 +172,41 @@ def test_file_names_with_encoded_characters(spark, lake, land):
     got = ticker_from_path(read_landing(spark, lake.ohlcv, schemas.OHLCV_DAILY, DAY, by_ticker=True))
     assert sorted(r.ticker for r in got.collect()) == sorted(tickers)
     assert rows(got.select("ticker", "run_day")) == sorted((t, DAY) for t in tickers)
+
+
+def test_dated_tree_is_written_as_it_is_read(spark, lake):
+    names = ["AAPL ", "^GSPC", "BRK B", "A/B", "A%41", None, " "]
+    rows = [(DAY, 2.0, 3.0, 1.0, 2.0, float(i), n) for i, n in enumerate(names)]
+    bars = spark.createDataFrame(rows, schemas.OHLCV_DAILY)
+    for hour in (9, 16):
+        write_landing_tree(bars, lake.ohlcv, dt.datetime(2025, 12, 18, hour, 5, 7), "stock", "COMPANY_TICKER")
+    folders = ["A%2FB", "A%41", "AAPL", "BRK B", "^GSPC", "unnamed"]
+    assert sorted(os.listdir(lake.ohlcv)) == folders
+    for folder in folders:
+        found = sorted(f for f in os.listdir(f"{lake.ohlcv}/{folder}/2025/Dec/18") if f.endswith(".csv"))
+        assert found == [f"{folder}_stock_{hour}-05-07.csv" for hour in ("09", "16")]
+    got = ticker_from_path(read_landing(spark, lake.ohlcv, schemas.OHLCV_DAILY, DAY, by_ticker=True))
+    assert rows_of(got, "ticker", "VOLUME") == [
+        ("A%2FB", 3.0), ("A%41", 4.0), ("AAPL", 0.0), ("BRK B", 2.0), ("^GSPC", 1.0), ("unnamed", 5.0), ("unnamed", 6.0)
+    ]
+    assert {str(r.file_ts) for r in got.collect()} == {"2025-12-18 16:05:07"}
+    assert not [d for d in os.listdir(os.path.dirname(lake.ohlcv)) if "staging" in d]
+
+
+def rows_of(df, *names):
+    return rows(df.select(*names))
+
+
+def test_snapshots_of_several_files_are_read_whole(spark, lake):
+    rates = spark.range(0, 100, 1, 4).selectExpr("date'2025-12-18' as date", "double(id) as inr_rate", "1 as USD_rate")
+    early, late = (dt.datetime(2025, 12, 18, hour, 0, 0) for hour in (9, 16))
+    write_landing_tree(rates, lake.fx, early, "exchange_rate")
+    for _ in range(2):  # the same run again replaces its own files
+        write_landing_tree(rates.filter("inr_rate < 80"), lake.fx, late, "exchange_rate")
+    files = [f for f in os.listdir(f"{lake.fx}/2025/Dec/18") if f.endswith(".csv")]
+    assert len(files) == 8 and "exchange_rate.part-00003_16-00-00.csv" in files
+    got = read_landing(spark, lake.fx, schemas.FX_DAILY, DAY)
+    assert sorted(r.inr_rate for r in got.collect()) == [float(i) for i in range(80)]
+    assert read_landing(spark, lake.fx, schemas.FX_DAILY, DAY, latest=False).count() == 180
+    write_landing_tree(rates.limit(0), lake.fx, dt.datetime(2025, 12, 19, 9, 0, 0), "exchange_rate")
+    assert read_landing(spark, lake.fx, schemas.FX_DAILY, dt.date(2025, 12, 19)).count() == 0
