@@ -93,43 +93,52 @@ def run_daily(
             day.isoformat(),
         )
 
-    run.step("stage_bars", lambda: stage_table(
-        bars, lake.ohlcv, schemas.OHLCV_DAILY, daily_bars, schemas.OHLCV_DAILY_BRONZE, suites.ohlcv_daily_suite(day), True
-    ))
-    run.step("stage_rates", lambda: stage_table(
-        rates, lake.fx, schemas.FX_DAILY, daily_rates, schemas.FX_DAILY_BRONZE, suites.fx_daily_suite(day)
-    ))
-    run.step("lineage_bars", lambda: upsert_table(
-        spark, f"{lake.bronze}.ohclv_daily_lineage",
-        _accepted(
-            enforce(spark.table(bars), schemas.OHLCV_DAILY_LINEAGE), f"{lake.bronze}.ohclv_daily_lineage", day
-        ),
-        ["ticker", "date"], id_col="id",
-    ), ["stage_bars"])
-    run.step("lineage_rates", lambda: upsert_table(
-        spark, f"{lake.bronze}.exchange_daily_lineage",
-        _accepted(
-            enforce(spark.table(rates), schemas.FX_DAILY_LINEAGE), f"{lake.bronze}.exchange_daily_lineage", day
-        ),
-        ["date"], id_col="id",
-    ), ["stage_rates"])
-    run.step("validate_bars", lambda: validate(
-        spark, lake, "ohclv_daily_bronze", suites.ohlcv_daily_suite(day), run_ts, fail_on_error, counted.get(bars)
-    ), ["stage_bars"])
-    run.step("validate_rates", lambda: validate(
-        spark, lake, "exchange_daily_bronze", suites.fx_daily_suite(day), run_ts, fail_on_error, counted.get(rates)
-    ), ["stage_rates"])
-    run.step("processed_bars", lambda: refresh(
-        _accepted(silver_bars(spark.table(bars)), f"{lake.silver}.ohclv_daily", day),
-        f"{lake.bronze}.ohclv_daily_processed",
-    ), ["stage_bars"])
-    run.step("silver_bars", lambda: upsert_table(
-        spark, f"{lake.silver}.ohclv_silver", spark.table(f"{lake.bronze}.ohclv_daily_processed"),
-        ["ticker", "date"], id_col="stock_id",
-    ), ["processed_bars"])
-    run.step("silver_rates", lambda: upsert_table(
-        spark, f"{lake.silver}.exchange_rates_silver",
-        _accepted(silver_rates(spark.table(rates)), f"{lake.silver}.exchange_daily", day),
-        ["date"], id_col="rate_id",
-    ), ["stage_rates"])
+    def lineage(own: Run, kind: str, staged: str, table: str, contract: Contract, keys: list[str]) -> None:
+        own.step(f"lineage_{kind}", lambda: upsert_table(
+            spark, table, _accepted(enforce(spark.table(staged), contract), table, day), keys, id_col="id"
+        ), [f"stage_{kind}"])
+
+    def silver_of_bars(own: Run) -> None:
+        processed = f"{lake.bronze}.ohclv_daily_processed"
+        own.step("processed_bars", lambda: refresh(
+            _accepted(silver_bars(spark.table(bars)), f"{lake.silver}.ohclv_daily", day), processed
+        ), ["stage_bars"])
+        own.step("silver_bars", lambda: upsert_table(
+            spark, f"{lake.silver}.ohclv_silver", spark.table(processed), ["ticker", "date"], id_col="stock_id"
+        ), ["processed_bars"])
+
+    def all_bars(own: Run) -> None:
+        own.step("stage_bars", lambda: stage_table(
+            bars, lake.ohlcv, schemas.OHLCV_DAILY, daily_bars, schemas.OHLCV_DAILY_BRONZE, suites.ohlcv_daily_suite(day),
+            True,
+        ))
+        own.together(
+            lambda own: lineage(
+                own, "bars", bars, f"{lake.bronze}.ohclv_daily_lineage", schemas.OHLCV_DAILY_LINEAGE, ["ticker", "date"]
+            ),
+            lambda own: own.step("validate_bars", lambda: validate(
+                spark, lake, "ohclv_daily_bronze", suites.ohlcv_daily_suite(day), run_ts, fail_on_error, counted.get(bars)
+            ), ["stage_bars"]),
+        )
+        silver_of_bars(own)
+
+    def all_rates(own: Run) -> None:
+        own.step("stage_rates", lambda: stage_table(
+            rates, lake.fx, schemas.FX_DAILY, daily_rates, schemas.FX_DAILY_BRONZE, suites.fx_daily_suite(day)
+        ))
+        own.together(
+            lambda own: lineage(
+                own, "rates", rates, f"{lake.bronze}.exchange_daily_lineage", schemas.FX_DAILY_LINEAGE, ["date"]
+            ),
+            lambda own: own.step("validate_rates", lambda: validate(
+                spark, lake, "exchange_daily_bronze", suites.fx_daily_suite(day), run_ts, fail_on_error, counted.get(rates)
+            ), ["stage_rates"]),
+        )
+        own.step("silver_rates", lambda: upsert_table(
+            spark, f"{lake.silver}.exchange_rates_silver",
+            _accepted(silver_rates(spark.table(rates)), f"{lake.silver}.exchange_daily", day),
+            ["date"], id_col="rate_id",
+        ), ["stage_rates"])
+
+    run.together(all_bars, all_rates)
     return run.steps

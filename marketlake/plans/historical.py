@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,24 +124,26 @@ def load_silver(spark: SparkSession, lake: Lake, load_date: dt.date, run: Run, r
     def to_silver(base, prepared, keys, id_col, contract, monthly=False):
         _to_silver(lake, base, prepared, keys, id_col, contract, load_date, monthly, ranked)
 
-    run.step("silver_ohlcv", lambda: to_silver(
-        "ohclv", bronze("ohclv_bronze").withColumnRenamed("id", "stock_id"),
-        ["ticker", "date"], "stock_id", schemas.OHLCV_SILVER, monthly=True,
-    ), ["ohclv_bronze"])
-    run.step("silver_company", lambda: to_silver(
-        "company_meta_data", bronze("company_meta_data_bronze"),
-        ["ticker"], "company_id", schemas.COMPANY_SILVER,
-    ), ["company_meta_data_bronze"])
-    run.step("silver_fx", lambda: to_silver(
-        "exchange_rates",
-        bronze("exchange_rates_bronze").withColumnRenamed("id", "rate_id").withColumn("date", F.to_date("date")),
-        ["date"], "rate_id", schemas.FX_SILVER, monthly=True,
-    ), ["exchange_rates_bronze"])
-    run.step("silver_macro", lambda: to_silver(
-        "macro_economic_data",
-        bronze("macro_economic_data_bronze").withColumnsRenamed({"id": "data_id", "country_id": "country_code"}),
-        ["country_code", "year"], "data_id", schemas.MACRO_SILVER,
-    ), ["macro_economic_data_bronze"])
+    run.together(
+        lambda own: own.step("silver_ohlcv", lambda: to_silver(
+            "ohclv", bronze("ohclv_bronze").withColumnRenamed("id", "stock_id"),
+            ["ticker", "date"], "stock_id", schemas.OHLCV_SILVER, monthly=True,
+        ), ["ohclv_bronze"]),
+        lambda own: own.step("silver_company", lambda: to_silver(
+            "company_meta_data", bronze("company_meta_data_bronze"),
+            ["ticker"], "company_id", schemas.COMPANY_SILVER,
+        ), ["company_meta_data_bronze"]),
+        lambda own: own.step("silver_fx", lambda: to_silver(
+            "exchange_rates",
+            bronze("exchange_rates_bronze").withColumnRenamed("id", "rate_id").withColumn("date", F.to_date("date")),
+            ["date"], "rate_id", schemas.FX_SILVER, monthly=True,
+        ), ["exchange_rates_bronze"]),
+        lambda own: own.step("silver_macro", lambda: to_silver(
+            "macro_economic_data",
+            bronze("macro_economic_data_bronze").withColumnsRenamed({"id": "data_id", "country_id": "country_code"}),
+            ["country_code", "year"], "data_id", schemas.MACRO_SILVER,
+        ), ["macro_economic_data_bronze"]),
+    )
 
 
 def run_historical(
@@ -175,14 +178,23 @@ def run_historical(
             row_wise=shape is not bronze_macro,  # gap filling reads its rows twice
         )
 
-    for name in loads:
-        run.step(name, lambda: load_table(name))
-    for name, suite in rules.items():
-        run.step(
-            f"validate_{name}", lambda: validate(spark, lake, name, suite, run_ts, fail_on_error, counted.get(name)), [name]
-        )
-    run.step("layer_metrics", lambda: write_metrics(layer_metrics(spark, lake), f"{lake.reports}/bronze_layer_metrics"))
-    load_silver(spark, lake, day, run, ranked)
+    def load_and_validate(name: str) -> Callable[[Run], None]:
+        def chain(own: Run) -> None:
+            own.step(name, lambda: load_table(name))
+            own.step(
+                f"validate_{name}",
+                lambda: validate(spark, lake, name, rules[name], run_ts, fail_on_error, counted.get(name)),
+                [name],
+            )
+
+        return chain
+
+    run.together(*[load_and_validate(name) for name in loads])
+    metrics = f"{lake.reports}/bronze_layer_metrics"
+    run.together(
+        lambda own: own.step("layer_metrics", lambda: write_metrics(layer_metrics(spark, lake), metrics)),
+        lambda own: load_silver(spark, lake, day, own, ranked),
+    )
     run.step("gold", lambda: create_gold_views(spark, lake.silver, lake.gold))
     return run.steps
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -81,3 +83,14 @@ class Run:
                 raise
             log.exception("step %s failed", name)
             self.steps[name] = f"failed: {error}"
+
+    def together(self, *chains: Callable[[Run], object]) -> None:
+        """Chains of steps that need nothing of each other, side by side: each takes a run of its own that knows the
+        steps so far. With ``fail_fast`` the first failure is raised once all chains have ended."""
+        runs = [Run(self.fail_fast, dict(self.steps)) for _ in chains]
+        with ThreadPoolExecutor(len(chains)) as pool:
+            ended = [pool.submit(inheritable_thread_target(chain), run) for chain, run in zip(chains, runs)]
+        for run in runs:
+            self.steps.update(run.steps)
+        for chain in ended:
+            chain.result()

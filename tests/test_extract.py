@@ -8,6 +8,7 @@ from conftest import rows
 from marketlake.plans.daily import run_daily
 from marketlake.plans.extract import land_bars, land_companies, land_macro, land_rates
 from marketlake.plans.historical import run_historical
+from marketlake.plans.lake import Run
 from marketlake.streaming.daily import stream_daily
 
 RUN = dt.datetime(2025, 12, 18, 17, 0, 0)
@@ -69,3 +70,26 @@ def test_landing_wants_the_layout_that_is_read(spark, lake):
     bodies = spark.createDataFrame([("{}",)], "body string")
     with pytest.raises(ValueError, match="stamped"):
         land_rates(bodies, lake, RUN)
+
+
+def test_steps_side_by_side_are_recorded_and_fail_alone():
+    def fail():
+        raise RuntimeError("broken")
+
+    def chain(name, action):
+        def steps(own):
+            own.step(f"{name}_one", action, ["before"])
+            own.step(f"{name}_two", lambda: None, [f"{name}_one"])
+
+        return steps
+
+    run = Run()
+    run.step("before", lambda: None)
+    run.together(chain("a", lambda: None), chain("b", fail))
+    assert list(run.steps) == ["before", "a_one", "a_two", "b_one", "b_two"]
+    assert run.steps["a_two"] == "ok" and run.steps["b_one"] == "failed: broken"
+    assert run.steps["b_two"] == "skipped: needs b_one"
+    strict = Run(fail_fast=True, steps={"before": "ok"})
+    with pytest.raises(RuntimeError, match="broken"):
+        strict.together(chain("b", fail), chain("a", lambda: None))
+    assert strict.steps["a_two"] == "ok" and "b_one" not in strict.steps
