@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,18 +16,45 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
+#: Where ``stored`` notes what it has written, inside of ``temporary``.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back: lineage is cut, sizes are known, nothing runs twice."""
+    """Write ``df`` below the shared folder and read it back: lineage is cut, sizes are known, nothing runs twice.
+
+    The files stay, as the result may be read at any time; inside of ``temporary`` they go at its end.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if (noted := _written.get()) is not None:
+        noted.append(path)  # before it is written, so that an unfinished one goes as well
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What ``stored`` writes inside is removed at the end: results that need it are to be written inside as well."""
+    noted: list[str] = []
+    token = _written.set(noted)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in noted:
+            remove(spark, path)
+
+
 def text_key(*columns: str | Column) -> Column:
     """A 64-bit key of a row's content. Only ever used to find rows that are checked again afterwards."""
     return F.xxhash64(*columns)

@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -13,6 +14,7 @@ import corpus_pipeline
 from marketlake.llm.common import table
 from marketlake.llm.pii import pseudonymize
 from marketlake.llm.quality_rules import quality_report
+from marketlake.session import shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -51,6 +53,18 @@ def test_stages_against_brute_force(spark):
         assert {k: v for k, v in got[i][0].items() if k != "doc_id"} == test_bpe.brute(library, text)
 
 
+def test_only_the_last_stage_stays(spark, tmp_path):
+    write(docs(spark, [" ".join(f"plain{i}" for i in range(40)), "short", None]), tmp_path, "documents")
+    write(spark.createDataFrame([], "doc_id bigint, quality int, toxic int"), tmp_path, "labels")
+    write(spark.createDataFrame([(1, "a b c")], "item_id bigint, text string"), tmp_path, "benchmark")
+    folder = shared_dir(spark).removeprefix("file:")
+    before = {f for f in os.listdir(folder) if os.path.isdir(f"{folder}/{f}")}
+    rows = corpus_pipeline.run(spark, str(tmp_path))
+    left = {f for f in os.listdir(folder) if os.path.isdir(f"{folder}/{f}")} - before
+    assert [f for f in left if not f.startswith("pipeline-bpe_round_trip-")] == [] and len(left) == 1
+    assert [r["doc_id"] for r in rows.collect()] == [0]
+
+
 def test_edge_rows(spark, tmp_path):
     good = " ".join(f"plain{i}" for i in range(40))
     texts = [None, "", good, good, good, good + " 4111111111111111", "x " * 50_000]
