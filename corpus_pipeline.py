@@ -2,7 +2,8 @@
 
 Rows that a filtering stage rejects are gone; the others keep their columns. The personal data stage replaces the text
 and its length. The last stage returns token counts and digests. Stages stand empty tables, NULLs and repeated rows as
-their operators define; repeated rows end in the near-duplicate stage, which keeps one row of each group.
+their operators define; repeated rows end in the near-duplicate stage, which keeps one row of each group. What an
+operator stores on the way goes when its stage is written, and a stage's rows when the next stage's are.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm.bpe import bpe_report
-from marketlake.llm.common import stored, table
+from marketlake.llm.common import remove, table, temporary
 from marketlake.llm.decontamination import clean_documents
 from marketlake.llm.pii import pseudonymize
 from marketlake.llm.quality_rules import good_documents
 from marketlake.llm.simhash import first_of_each
+from marketlake.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with temporary(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
