@@ -9,22 +9,35 @@ older folder misleads nobody; after a commit the partitions follow the log. Ids
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 from hashlib import sha1
+from itertools import accumulate
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlake.operators.commits import CommitLog
 from marketlake.operators.contract import ContractError
 from marketlake.operators.dedup import keep_first, newest_first
-from marketlake.operators.ordering import surrogate_key
+from marketlake.operators.ordering import MAX_GROUP_ROWS, key_sketch, surrogate_key
 from marketlake.session import checkpointed
 
 MAX_BROADCAST_ROWS = 100_000
 MONTH = "month"
 LAST_ID = "marketlake.last_id"
+#: Written tables are read by column, once or twice: the smaller files are worth the time to compress them.
+CODEC = "zstd"
+
+_STORED, _APART, _NEW, _HIT, _KNOWN, _FIRST, _PART, _PLACE, _BEFORE = (
+    "_stored", "_apart", "_new", "_hit", "_known", "_first", "_part", "_place", "_before"
+)
+
+
+def _replaced(stored: Column, incoming: Column) -> Column:
+    """Whether a row takes the place of a stored one, by their ``newer_by``."""
+    return F.coalesce(stored.isNull() | (incoming >= stored), F.lit(False))
 
 
 def _merge(
@@ -49,7 +62,7 @@ def _merge(
     replace = F.col("_hit").isNotNull()
     if newer_by:
         stored, incoming = F.col(newer_by), F.col(f"_new_{newer_by}")
-        replace = replace & F.coalesce(stored.isNull() | (incoming >= stored), F.lit(False))
+        replace = replace & _replaced(stored, incoming)
     updated = target.join(side(marked), keys, "left").select(
         *[
             F.when(replace, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
@@ -63,6 +76,59 @@ def _merge(
     return updated.unionByName(added.select(*target.columns))
 
 
+def _merge_by_range(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    date: str,
+    order: Sequence[Column],
+    id_col: str | None,
+    newer_by: str | None,
+) -> DataFrame:
+    """``source`` written over ``target`` in one shuffle, for a batch too large to broadcast; ``date`` is one of ``keys``.
+
+    Both sides go by ranges of date and key, so a task has all rows of its keys and few months to write. ``_stored`` tells
+    the rows of the target from new ones, which have no id yet; ``_hit`` those whose key is in the batch. As in a join, a
+    key that holds a NULL meets no other row.
+    """
+    by = [date, *[k for k in keys if k != date]]
+    columns = [c for c in target.columns if c not in by and c not in (id_col, MONTH)]
+    both = target.drop(MONTH).withColumn(_STORED, F.lit(True)).unionByName(
+        source.drop(MONTH).withColumn(_STORED, F.lit(False)), allowMissingColumns=True
+    )
+    unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in by])
+    ranged = both.repartitionByRange(*[F.col(k) for k in by]).withColumn(_APART, F.when(unknown, F.col(_STORED)))
+    # The new row of a key that counts comes first, then the other new ones, then what is stored.
+    spec = Window.partitionBy(*by, _APART).orderBy(_STORED, *order)
+    first, whole = spec.rowsBetween(Window.unboundedPreceding, 0), spec.rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    found = ranged.withColumns({
+        _NEW: F.first(F.struct(*columns)).over(first),
+        _HIT: ~F.first(_STORED).over(first),
+        _KNOWN: F.max(_STORED).over(whole),
+        _FIRST: F.row_number().over(spec) == 1,
+    }).filter(F.col(_STORED) | (F.col(_FIRST) & ~F.col(_KNOWN)))
+    replace = F.col(_HIT)
+    if newer_by:
+        replace = replace & _replaced(F.col(newer_by), F.col(f"{_NEW}.{newer_by}"))
+    return found.select(*[
+        F.when(replace, F.col(f"{_NEW}.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+        for c in target.columns if c != MONTH
+    ], _STORED, _HIT)
+
+
+def _numbered(merged: DataFrame, sizes: dict[int, int], id_col: str, last_id: int) -> DataFrame:
+    """The new rows of a kept ``merged`` with the ids after ``last_id``, in its order; ``sizes`` are those of its parts."""
+    parts = sorted(sizes)
+    ahead = accumulate((sizes[p] for p in parts), initial=last_id)
+    offsets = merged.sparkSession.createDataFrame(list(zip(parts, ahead)), f"{_PART} int, {_BEFORE} long")
+    # Part number and position come from one id: part << 33 | position.
+    placed = merged.filter(~F.col(_STORED)).drop(id_col).withColumn(_PLACE, F.monotonically_increasing_id())
+    joined = placed.join(F.broadcast(offsets), F.shiftright(_PLACE, 33).cast("int") == F.col(_PART))
+    return joined.withColumn(id_col, F.col(_BEFORE) + F.col(_PLACE).bitwiseAND((1 << 33) - 1) + 1).select(*merged.columns)
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -151,17 +217,28 @@ def follow_log(spark: SparkSession, table: str, log: CommitLog) -> None:
                 log.mark_done(n)
 
 
+def month_folder(spark: SparkSession, table: str, month: str) -> str:
+    """Folder that the partition of ``month`` reads from, without the month's own."""
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({MONTH} = '{month}')")
+    return facts.filter("col_name = 'Location'").first()["data_type"].rstrip("/").rsplit("/", 1)[0]
+
+
 def months_as_logged(spark: SparkSession, table: str, logged: dict[str, str], months: Sequence[str]) -> DataFrame:
-    """The rows of ``months``, each read from where the log says."""
-    target = spark.table(table)
-    found, folders = target.filter(F.col(MONTH).isin([m for m in months if m not in logged])), {}
+    """The rows of ``months``, each read from where the log says, else from where its partition does.
+
+    They are read by path: what a merge keeps of them does not change when the table changes over.
+    """
+    schema, folders = spark.table(table).schema, {}
+    stored = {r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     for month in months:
-        if month in logged:
-            folders.setdefault(logged[month], []).append(f"{logged[month]}/{MONTH}={month}")
-    for folder, paths in folders.items():
-        rows = spark.read.schema(target.schema).option("basePath", folder).parquet(*paths)
-        found = found.unionByName(rows.select(*target.columns))
-    return found
+        if month in logged or month in stored:
+            folder = logged[month] if month in logged else month_folder(spark, table, month)
+            folders.setdefault(folder, []).append(f"{folder}/{MONTH}={month}")
+    found = [
+        spark.read.schema(schema).option("basePath", folder).parquet(*paths).select(*schema.names)
+        for folder, paths in folders.items()
+    ]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
 
 def drop_old_months(spark: SparkSession, table: str) -> None:
@@ -169,9 +246,7 @@ def drop_old_months(spark: SparkSession, table: str) -> None:
     used = set()
     for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
         month = row["partition"].split("=", 1)[1]
-        facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({MONTH} = '{month}')")
-        place = facts.filter("col_name = 'Location'").first()["data_type"]
-        used.add("/".join(place.rstrip("/").split("/")[-2:]))
+        used.add(f"{month_folder(spark, table, month).rsplit('/', 1)[1]}/{MONTH}={month}")
     root = spark._jvm.org.apache.hadoop.fs.Path(versions_root(spark, table))
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(root):
@@ -203,6 +278,13 @@ def _last_id(spark: SparkSession, table: str, id_col: str) -> int:
     return int(found["value"]) if found else spark.table(table).agg(F.max(id_col)).first()[0] or 0
 
 
+def _of_keys(target: DataFrame, rows: DataFrame, count: int, keys: Sequence[str]) -> DataFrame:
+    """The rows of a monthly table for the keys of ``rows`` (``count`` of them), whose months alone are read."""
+    wanted = rows.select(*keys, MONTH).distinct()
+    wanted = F.broadcast(wanted) if count <= MAX_BROADCAST_ROWS else wanted
+    return target.join(wanted, [*keys, MONTH], "left_semi").select(*target.columns)
+
+
 def upsert_table(
     spark: SparkSession,
     table: str,
@@ -212,6 +294,8 @@ def upsert_table(
     order: Sequence[Column] | None = None,
     id_col: str | None = None,
     newer_by: str | None = None,
+    then: Callable[[DataFrame], object] | None = None,
+    broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> None:
     """Upsert ``source`` into ``table``, a Parquet table partitioned by ``month`` of ``date``.
 
@@ -219,29 +303,63 @@ def upsert_table(
     partitions point there once all are complete: until then, and if the job is lost, the table keeps its old months.
     Running the same batch again gives the same table. Batches of several writers are merged one after the other, in the
     order of their commits.
+
+    A batch beyond ``broadcast_rows`` is moved once, together with the months that it touches; it is read three times,
+    so keep one that is costly to compute. ``then`` is called with the rows that the table has for the keys of the batch
+    afterwards.
     """
     target = spark.table(table)
     source = source.withColumn(MONTH, month_of(date)).select(*[c for c in target.columns if c != id_col])
-    rows = checkpointed(keep_first(source, keys, order or newest_first(source)))
-    counts = rows.groupBy(MONTH).count().collect()  # one row per calendar month in the batch
-    months, count = sorted(r[MONTH] or "" for r in counts), sum(r["count"] for r in counts)
-    if "" in months:
+    order = order or newest_first(source.drop(MONTH))
+    counts = source.groupBy(MONTH).agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(*keys)).alias("keys")
+    ).collect()  # one row per calendar month in the batch
+    months, count, known = [r[MONTH] for r in counts], sum(r["n"] for r in counts), sum(r["keys"] for r in counts)
+    small = known <= broadcast_rows or date not in keys or None in months
+    if small or (count - known > MAX_GROUP_ROWS and key_sketch(source, keys, MAX_GROUP_ROWS).hot):
+        # One row of a key leaves a task here, however many it has.
+        source = checkpointed(keep_first(source, keys, order))
+        found = source.groupBy(MONTH).count().collect()
+        months, count = [r[MONTH] for r in found], sum(r["count"] for r in found)
+    if None in months:
         raise ContractError(f"{table}: rows without {date}")
     if not months:
+        if then:
+            then(target.limit(0))
         return
+    months = sorted(months)
     log = commit_log(spark, table)
     follow_log(spark, table, log)
-    last_id = reserve_ids(spark, table, id_col, count) if id_col else 0
+    last_id = reserve_ids(spark, table, id_col, count) if id_col and small else 0
     while True:
         seen = log.newest()
         logged = logged_months(log, seen)
         touched = months_as_logged(spark, table, logged, months)
-        merged = _merge(touched, rows, count, [*keys, MONTH], id_col, newer_by, last_id, MAX_BROADCAST_ROWS)
-        folder = f"{versions_root(spark, table)}/{uuid4().hex}"
-        merged.select(*target.columns).hint("rebalance", F.col(MONTH)).write.partitionBy(MONTH).parquet(folder)
+        folder, kept = f"{versions_root(spark, table)}/{uuid4().hex}", None
+        if small:
+            merged = _merge(touched, source, count, [*keys, MONTH], id_col, newer_by, last_id, broadcast_rows)
+            written = merged.hint("rebalance", F.col(MONTH))
+        else:
+            written = kept = _merge_by_range(touched, source, keys, date, order, id_col, newer_by).persist()
+            if id_col:
+                new = kept.filter(~F.col(_STORED)).groupBy(F.spark_partition_id().alias(_PART)).count()
+                sizes = {r[_PART]: r["count"] for r in new.collect()}  # one row per part
+                last_id = reserve_ids(spark, table, id_col, sum(sizes.values())) if sizes else 0
+                written = kept.filter(_STORED).unionByName(_numbered(kept, sizes, id_col, last_id))
+            written = written.withColumn(MONTH, month_of(date))
+        written.select(*target.columns).write.partitionBy(MONTH).option("compression", CODEC).parquet(folder)
         if _commit(log, seen, months, folder):
             break
+        if kept:
+            kept.unpersist()
     follow_log(spark, table, log)
+    if then:
+        # What was merged is what the table has now, if no other writer came in between.
+        alone = kept is not None and not id_col and log.newest() == seen + 1
+        then(kept.filter(_HIT).withColumn(MONTH, month_of(date)).select(*target.columns) if alone
+             else _of_keys(spark.table(table), source, count, keys))
+    if kept:
+        kept.unpersist()
 
 
 def _commit(log: CommitLog, seen: int, months: Sequence[str], folder: str) -> bool:

@@ -449,6 +449,7 @@ def provider_columns(spark, sf):
 
 FIRST_RUN = dt.datetime(2025, 12, 17, 18)
 SECOND_RUN = dt.datetime(2025, 12, 18, 18)
+GZIP = "gzip"
 
 
 def _lake(spark: SparkSession) -> Lake:
@@ -472,11 +473,11 @@ def _provider(df: DataFrame, names: dict[str, str], schema) -> DataFrame:
 
 
 def _land_bars(rows: DataFrame, lake: Lake, run: dt.datetime) -> None:
-    write_landing(_provider(rows, schemas.OHLCV_RENAME, schemas.OHLCV_DAILY), lake.ohlcv, run)
+    write_landing(_provider(rows, schemas.OHLCV_RENAME, schemas.OHLCV_DAILY), lake.ohlcv, run, compression=GZIP)
 
 
 def _land_rates(rows: DataFrame, lake: Lake, run: dt.datetime) -> None:
-    write_landing(_provider(rows, schemas.FX_DAILY_RENAME, schemas.FX_DAILY), lake.fx, run)
+    write_landing(_provider(rows, schemas.FX_DAILY_RENAME, schemas.FX_DAILY), lake.fx, run, compression=GZIP)
 
 
 def landing_snapshot(spark, sf):
@@ -538,11 +539,11 @@ def landing_rejects(spark, sf):
 def _historical(spark, sf) -> Lake:
     lake = _lake(spark)
     _land_bars(_ohlcv(spark, sf), lake, FIRST_RUN)
-    write_landing(_provider(_company(spark, sf), schemas.COMPANY_RENAME, schemas.COMPANY), lake.company, FIRST_RUN)
+    write_landing(_provider(_company(spark, sf), schemas.COMPANY_RENAME, schemas.COMPANY), lake.company, FIRST_RUN, compression=GZIP)
     rates = _fx_by_day(spark, sf)
-    write_landing(_provider(rates, schemas.FX_HISTORIC_RENAME, schemas.FX_HISTORIC), lake.fx, FIRST_RUN)
+    write_landing(_provider(rates, schemas.FX_HISTORIC_RENAME, schemas.FX_HISTORIC), lake.fx, FIRST_RUN, compression=GZIP)
     macro = _macro(spark, sf).withColumn("ISO3", F.col("country_id"))
-    write_landing(_provider(macro, schemas.MACRO_RENAME, schemas.MACRO), lake.macro, FIRST_RUN)
+    write_landing(_provider(macro, schemas.MACRO_RENAME, schemas.MACRO), lake.macro, FIRST_RUN, compression=GZIP)
     run_historical(spark, lake, FIRST_RUN, fail_fast=True)
     return lake
 

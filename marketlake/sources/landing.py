@@ -204,12 +204,12 @@ def read_stamped(
 ) -> DataFrame:
     """Snapshots in ``[<by>=<value>/]run_day=.../run_time=...`` folders, with the same file columns.
 
-    With ``latest`` only the files of the newest run time per leaf are opened.
+    With ``latest`` only the files of the newest run time per leaf are opened. Files may be compressed (``.csv.gz``).
     """
     root = root.rstrip("/")
     day = run_day.isoformat() if run_day else "*"
     folders = "/".join([*[f"{name}=*" for name in by], f"run_day={day}", "run_time=*"])
-    files = list_files(spark, f"{root}/{folders}/*.csv")
+    files = list_files(spark, f"{root}/{folders}/*.csv*")
     if files is None:
         return _absent(spark, schema, root, required)
     full = T.StructType([*schema.fields])

@@ -59,16 +59,26 @@ def create_empty(spark: SparkSession, table: str, schema: T.StructType, monthly:
     (writer.partitionBy(MONTH) if monthly else writer).saveAsTable(table)
 
 
-def write_landing(df: DataFrame, root: str, run: dt.datetime, by: Sequence[str] = ()) -> None:
+#: Rows of one compressed landing file, which a single task reads.
+FILE_ROWS = 2_000_000
+
+
+def write_landing(
+    df: DataFrame, root: str, run: dt.datetime, by: Sequence[str] = (), compression: str = "none"
+) -> None:
     """Headered CSV snapshot below ``root``, stamped with the run day and time.
 
-    Folders are ``[<by>=<value>/]run_day=yyyy-MM-dd/run_time=HH-MM-SS``; a snapshot may have many files.
+    Folders are ``[<by>=<value>/]run_day=yyyy-MM-dd/run_time=HH-MM-SS``; a snapshot may have many files. With
+    ``compression`` ``gzip`` they are ``.csv.gz``.
     """
     stamped = df.withColumn("run_day", F.lit(run.date().isoformat())).withColumn(
         "run_time", F.lit(run.strftime("%H-%M-%S"))
     )
     writer = stamped.write.mode("append").partitionBy(*by, "run_day", "run_time").option("header", True)
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    if compression != "none":
+        writer = writer.option("maxRecordsPerFile", FILE_ROWS)
+    writer.option("compression", compression).csv(root)
 
 
 #: Folder of the rows whose folder column is empty.

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.operators.upsert import LAST_ID, commits_root, table_location
+from marketlake.operators.upsert import CODEC, LAST_ID, commits_root, table_location
 
 NEXT = "__next"
 KEPT = 1
@@ -118,7 +118,7 @@ def refresh(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> Data
     if partition_by:
         # Rebalancing gathers a partition value into few files and still splits a very large one.
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write
+    writer = df.write.option("compression", CODEC)
     try:
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
     except Exception:

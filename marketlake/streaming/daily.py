@@ -14,7 +14,7 @@ from marketlake import schemas
 from marketlake.functions.columns import trim_strings
 from marketlake.operators.contract import Contract, enforce
 from marketlake.operators.quality import Suite
-from marketlake.operators.upsert import MAX_BROADCAST_ROWS, MONTH, month_of, upsert_table
+from marketlake.operators.upsert import upsert_table
 from marketlake.plans import suites
 from marketlake.plans.daily import create_targets, daily_bars, daily_rates
 from marketlake.plans.lake import Lake
@@ -31,14 +31,6 @@ def _stamped(rows: DataFrame) -> DataFrame:
     return trim_strings(rows, ["ticker"]) if "ticker" in rows.columns else rows
 
 
-def _stored(spark: SparkSession, table: str, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of ``table`` for the keys in ``batch``."""
-    wanted = batch.select(*keys, month_of("date").alias(MONTH)).distinct()
-    if wanted.count() <= MAX_BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    return spark.table(table).join(wanted, [*keys, MONTH], "left_semi")
-
-
 @dataclass(frozen=True)
 class Feed:
     """One kind of landing files: their layout, rules and tables."""
@@ -90,11 +82,12 @@ def apply_batch(spark: SparkSession, lake: Lake, feed: Feed, landed: DataFrame,
     upsert_table(spark, lineage, enforce(batch, feed.lineage)[0], feed.keys, id_col="id", newer_by="insert_datetime")
     fit, unfit = enforce(batch, feed.accepted)
     keep_rejects(unfit, f"{silver}_stream_rejects", run)
-    upsert_table(spark, accepted, fit, feed.keys, newer_by="insert_datetime")
-    newest = _stored(spark, accepted, fit, feed.keys)
-    upsert_table(
-        spark, silver, newest.withColumn("insert_datetime", F.to_date("insert_datetime")), feed.keys, id_col=feed.silver_id
-    )
+
+    def to_silver(newest: DataFrame) -> None:
+        dated = newest.withColumn("insert_datetime", F.to_date("insert_datetime"))
+        upsert_table(spark, silver, dated, feed.keys, id_col=feed.silver_id)
+
+    upsert_table(spark, accepted, fit, feed.keys, newer_by="insert_datetime", then=to_silver)
 
 
 def _stream(spark: SparkSession, lake: Lake, feed: Feed, folders: str, checkpoint: str | None) -> StreamingQuery:

@@ -1,0 +1,107 @@
+"""Upserts of batches too large to broadcast: the same table as the small way gives, moved once and stored once."""
+
+import datetime as dt
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from marketlake.operators import ordering
+from marketlake.operators import upsert as upserts
+from marketlake.operators.upsert import MONTH, upsert_table
+from marketlake.sources.landing import read_stamped
+from marketlake.sources.tables import create_layers, refresh_monthly, write_landing
+
+STORED = "id bigint, k string, date date, v string, insert_datetime int"
+BATCH = "k string, date date, v string, insert_datetime int"
+
+
+def day(month, number):
+    return dt.date(2025, month, number)
+
+
+def put(spark, lake, name, stored, batches, limit, **options):
+    create_layers(spark, [lake.silver], lake.tables_root)
+    table = f"{lake.silver}.{name}"
+    frame = spark.createDataFrame(stored, STORED)
+    refresh_monthly(frame if "id_col" in options else frame.drop("id"), table)
+    followed = []
+    for batch in batches:
+        upsert_table(
+            spark, table, spark.createDataFrame(batch, BATCH), ["k", "date"], broadcast_rows=limit,
+            then=lambda df: followed.append(rows(df.drop(MONTH))), **options,
+        )
+    return spark.table(table).drop(MONTH), followed
+
+
+OLD = [(1, "a", day(1, 5), "old", 10), (2, "b", day(2, 5), "old", 20), (3, "c", day(2, 6), None, 30),
+       (4, "d", day(3, 1), "untouched", 5), (5, "b", day(2, 5), "old copy", 19), (6, None, day(2, 5), "no key", 1)]
+FIRST = [("a", day(1, 5), "new", 11), ("a", day(1, 5), "newer", 12), ("b", day(2, 5), None, 20), ("c", day(2, 6), "older", 29),
+         ("e", day(4, 1), "e", 1), (None, day(2, 5), "x", 1), (None, day(2, 5), "y", 2)]
+SECOND = [("f", day(1, 1), "f", 1), ("a", day(1, 5), "late", 12), ("e", day(4, 1), "e2", None), ("g", day(4, 2), "g", 3)]
+
+
+@pytest.mark.parametrize("newer_by", [None, "insert_datetime"])
+@pytest.mark.parametrize("ids", [True, False])
+def test_large_batches_give_the_same_table(spark, lake, ids, newer_by):
+    options = {"newer_by": newer_by} | ({"id_col": "id"} if ids else {})
+    small, followed = put(spark, lake, "small", OLD, [FIRST, SECOND], 100, **options)
+    large, after = put(spark, lake, "large", OLD, [FIRST, SECOND], 0, **options)
+    assert rows(large.drop("id")) == rows(small.drop("id"))
+    if ids:
+        known = {r.id for r in large.collect()}
+        assert len(known) == large.count() == 10 and min(known) == 1
+        old = {(r.id, r.k) for r in small.filter("id <= 6").collect()}
+        assert {(r.id, r.k) for r in large.filter("id <= 6").collect()} == old
+        assert sorted(known - set(range(1, 7))) == [7, 8, 9, 10]
+    else:
+        # A new row with a NULL in its key has no stored one to follow.
+        assert [[r for r in f if r[0] is not None] for f in after] == [[r for r in f if r[0] is not None] for f in followed]
+
+
+def test_a_large_batch_is_moved_once(spark, lake, monkeypatch):
+    stored = []
+    for module in (upserts, ordering):
+        monkeypatch.setattr(module, "checkpointed", lambda df: stored.append(df) or df.checkpoint())
+    plans, merge = [], upserts._merge_by_range
+
+    def kept(*args):
+        merged = merge(*args)
+        plans.append(merged._jdf.queryExecution().executedPlan().toString())
+        return merged
+
+    monkeypatch.setattr(upserts, "_merge_by_range", kept)
+    put(spark, lake, "moved", OLD[:4], [FIRST[:5], SECOND], 0, id_col="id")
+    assert not stored
+    assert [p.count("Exchange") for p in plans] == [1, 1]
+
+
+def test_writers_of_one_month_with_large_batches(spark, lake, monkeypatch):
+    plain, waiting = upserts._commit, [[("e", day(2, 7), "other", 1), ("f", day(2, 8), "other", 1)]]
+
+    def commit(*args):
+        if waiting:
+            other = spark.createDataFrame(waiting.pop(), BATCH)
+            upsert_table(spark, f"{lake.silver}.t", other, ["k", "date"], id_col="id", broadcast_rows=0)
+        return plain(*args)
+
+    monkeypatch.setattr(upserts, "_commit", commit)
+    table, followed = put(spark, lake, "t", OLD[:4], [[("f", day(2, 8), "own", 2), ("g", day(2, 9), "own", 2)]], 0, id_col="id")
+    assert rows(table.filter("id > 4").select("k", "v")) == [("e", "other"), ("f", "own"), ("g", "own")]
+    assert table.select("id").distinct().count() == table.count() == 7
+    assert [sorted(r[1] for r in f) for f in followed] == [["f", "g"]]
+
+
+def test_dates_missing_from_a_large_batch(spark, lake):
+    with pytest.raises(upserts.ContractError):
+        put(spark, lake, "t", OLD[:4], [[("a", None, "x", 1), ("b", day(2, 5), "x", 1)]], 0, id_col="id")
+
+
+def test_compressed_landing_files(spark, tmp_path):
+    root, run = str(tmp_path / "bars"), dt.datetime(2025, 12, 18, 18)
+    df = spark.createDataFrame([(" a ", 1), (None, 2)], "k string, n int")
+    write_landing(df, root, run, compression="gzip")
+    assert list((tmp_path / "bars").rglob("*.csv.gz")) and not list((tmp_path / "bars").rglob("*.csv"))
+    found = read_stamped(spark, root, df.schema, run_day=run.date())
+    assert rows(found.select("k", "n")) == rows(df)
+    assert [r.file_ts for r in found.select("file_ts").distinct().collect()] == [run]
