@@ -219,8 +219,8 @@ def follow_log(spark: SparkSession, table: str, log: CommitLog) -> None:
 
 def month_folder(spark: SparkSession, table: str, month: str) -> str:
     """Folder that the partition of ``month`` reads from, without the month's own."""
-    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({MONTH} = '{month}')")
-    return facts.filter("col_name = 'Location'").first()["data_type"].rstrip("/").rsplit("/", 1)[0]
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({MONTH} = '{month}')").collect()  # no job
+    return next(r["data_type"] for r in facts if r["col_name"] == "Location").rstrip("/").rsplit("/", 1)[0]
 
 
 def months_as_logged(spark: SparkSession, table: str, logged: dict[str, str], months: Sequence[str]) -> DataFrame:

@@ -55,11 +55,10 @@ def daily_rates(rows: DataFrame) -> DataFrame:
     return named.select(*schemas.FX_COLUMNS, "file_ts", "file_mtime", RAW_LINE)
 
 
-def silver_bars(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One trimmed row per (ticker, date), load time narrowed to its day; and the rows the contract rejects."""
-    staged = trim_strings(staged, ["ticker"])
-    rows = rank_dedup(staged, ["ticker", "date"])
-    return enforce(rows.withColumn("insert_datetime", F.to_date("insert_datetime")), schemas.OHLCV_SILVER)
+def newest_bars(staged: DataFrame) -> DataFrame:
+    """One trimmed row per (ticker, date), load time narrowed to its day."""
+    rows = rank_dedup(trim_strings(staged, ["ticker"]), ["ticker", "date"])
+    return rows.withColumn("insert_datetime", F.to_date("insert_datetime"))
 
 
 def silver_rates(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -100,9 +99,13 @@ def run_daily(
 
     def silver_of_bars(own: Run) -> None:
         processed = f"{lake.bronze}.ohclv_daily_processed"
-        own.step("processed_bars", lambda: refresh(
-            _accepted(silver_bars(spark.table(bars)), f"{lake.silver}.ohclv_daily", day), processed
-        ), ["stage_bars"])
+
+        def process() -> None:
+            newest = newest_bars(spark.table(bars)).persist()  # the contract parts them in two
+            refresh(_accepted(enforce(newest, schemas.OHLCV_SILVER), f"{lake.silver}.ohclv_daily", day), processed)
+            newest.unpersist()
+
+        own.step("processed_bars", process, ["stage_bars"])
         own.step("silver_bars", lambda: upsert_table(
             spark, f"{lake.silver}.ohclv_silver", spark.table(processed), ["ticker", "date"], id_col="stock_id"
         ), ["processed_bars"])

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from marketlake.operators import ordering
 from marketlake.operators import upsert as upserts
 from marketlake.operators.upsert import MONTH, upsert_table
+from marketlake.plans.daily import newest_bars
+from marketlake.plans.gold import stock_facts
+from marketlake.plans.increment import affected_facts
 from marketlake.sources.landing import read_stamped
 from marketlake.sources.tables import create_layers, refresh_monthly, write_landing
 
@@ -105,3 +108,25 @@ def test_compressed_landing_files(spark, tmp_path):
     found = read_stamped(spark, root, df.schema, run_day=run.date())
     assert rows(found.select("k", "n")) == rows(df)
     assert [r.file_ts for r in found.select("file_ts").distinct().collect()] == [run]
+
+
+def test_affected_facts_move_the_rows_once(spark):
+    changed = spark.createDataFrame([("a", day(1, 3))], "ticker string, date date")
+    prices = spark.createDataFrame(
+        [(i, k, day(1, i), 1.0, 1.0, 1.0, float(i), 1, "2025-01") for k in "ab" for i in range(1, 6)],
+        "stock_id bigint, ticker string, date date, open double, high double, low double, close double, volume bigint, month string",
+    )
+    facts = affected_facts(prices, changed, lookback=2)
+    assert facts._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert rows(facts.select("UUID", "ticker", "trade_date", "prev_close_price")) == [
+        (3, "a", day(1, 3), 2.0), (4, "a", day(1, 4), 3.0),
+    ]
+    assert rows(facts) == rows(stock_facts(prices.drop(MONTH)).filter("ticker = 'a' and UUID in (3, 4)"))
+
+
+def test_rejects_of_a_daily_run_are_told_apart_in_one_pass(spark):
+    staged = spark.createDataFrame(
+        [(" A ", day(1, 1), 1.0, dt.datetime(2025, 1, 2, 3)), ("A", day(1, 1), 2.0, dt.datetime(2025, 1, 3, 3))],
+        "ticker string, date date, open double, insert_datetime timestamp",
+    )
+    assert rows(newest_bars(staged)) == [("A", day(1, 1), 2.0, day(1, 3))]
