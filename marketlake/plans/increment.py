@@ -55,13 +55,20 @@ def changed_rows(prices: DataFrame, changed: DataFrame, months: Sequence[str], l
 
 
 def affected_facts(rows: DataFrame, changed: DataFrame, lookback: int = LOOKBACK) -> DataFrame:
-    """The facts of those of ``rows`` that look back on a changed key."""
-    marks = changed.select("ticker", "date", F.lit(True).alias("_changed"))
+    """The facts of those of ``rows`` that look back on a changed key.
+
+    Keys go with the rows in the one shuffle by series that the facts need, and the mark of a row goes through the facts
+    beside its id.
+    """
+    keys = changed.select("ticker", "date", F.lit(True).alias("_changed"))
+    both = rows.drop(MONTH).unionByName(keys, allowMissingColumns=True).repartition("ticker")
+    marked = both.withColumn("_mark", F.max("_changed").over(Window.partitionBy("ticker", "date")))
     back = Window.partitionBy("ticker").orderBy("date").rowsBetween(1 - lookback, 0)
-    marked = rows.select("ticker", "date").join(marks, ["ticker", "date"], "left")
-    touched = marked.withColumn("_touched", F.max("_changed").over(back)).filter("_touched")
-    keys = touched.select("ticker", F.col("date").alias("trade_date"))
-    return stock_facts(rows.drop(MONTH)).join(keys, ["ticker", "trade_date"], "left_semi")
+    touched = F.coalesce(F.max("_mark").over(back), F.lit(False))
+    own = marked.filter(F.col("_changed").isNull())
+    own = own.withColumn("stock_id", F.struct("stock_id", touched.alias("touched"))).drop("_changed", "_mark")
+    facts = stock_facts(own).filter("UUID.touched")
+    return facts.withColumn("UUID", F.col("UUID.stock_id"))
 
 
 def store_facts(spark: SparkSession, silver: str, facts: str) -> None:
@@ -84,7 +91,9 @@ def update_facts(spark: SparkSession, silver: str, facts: str, changed: DataFram
     if keys.isEmpty():
         return
     rows = changed_rows(prices, keys, months)
-    upsert_table(spark, facts, affected_facts(rows, keys), ["ticker", "trade_date"], date="trade_date", order=[F.col("UUID")])
+    new = affected_facts(rows, keys).persist()  # an upsert reads a large batch several times
+    upsert_table(spark, facts, new, ["ticker", "trade_date"], date="trade_date", order=[F.col("UUID")])
+    new.unpersist()
 
 
 def update_medians(spark: SparkSession, table: str, increment: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:

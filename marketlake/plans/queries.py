@@ -105,11 +105,12 @@ def stock_facts_increment(spark, sf):
         enforce(_for_silver(trim_strings(half.drop("batch"), ["ticker"])), schemas.OHLCV_SILVER)[0] for half in bars
     ]
     values = [F.col(c).asc() for c in schemas.OHLCV_COLUMNS]
-    stored = keep_first(halves[0], BAR_KEY, values)
-    refresh_monthly(surrogate_key(checkpointed(stored), "stock_id", [F.col(k) for k in BAR_KEY], unique=True), silver)
+    stored, batch = keep_first(halves[0], BAR_KEY, values), halves[1].persist()
+    refresh_monthly(surrogate_key(stored, "stock_id", [F.col(k) for k in BAR_KEY], unique=True), silver)
     store_facts(spark, silver, facts)
-    upsert_table(spark, silver, halves[1], BAR_KEY, order=values, id_col="stock_id")
-    update_facts(spark, silver, facts, halves[1].select(*BAR_KEY))
+    upsert_table(spark, silver, batch, BAR_KEY, order=values, id_col="stock_id")
+    update_facts(spark, silver, facts, batch.select(*BAR_KEY))
+    batch.unpersist()
     return _rounded_facts(spark.table(facts).drop(MONTH, "UUID"))
 
 
