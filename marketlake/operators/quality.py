@@ -208,9 +208,9 @@ class Suite:
         return without_nan(df).filter(rule.unexpected({f.name: f.dataType for f in df.schema.fields}))
 
     def samples(self, df: DataFrame, limit: int = SAMPLE_ROWS, positions: Collection[int] | None = None) -> DataFrame:
-        """Up to ``limit`` unexpected values per broken rule, for all rules (or ``positions``) in one pass.
+        """Up to ``limit`` unexpected values per broken rule, the smallest ones, for all rules (or ``positions``).
 
-        The row limit per rule is applied before the shuffle too.
+        Each rule reads its own columns, and a task keeps and forwards ``limit`` values of them, without a sort.
         """
         df = without_nan(df)
         types = {f.name: f.dataType for f in df.schema.fields}
@@ -220,14 +220,14 @@ class Suite:
             return F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns])
 
         wanted = [(i, r) for i, r in enumerate(self.expectations, 1) if positions is None or i in positions]
-        broken = {i: rule.unexpected(types) for i, rule in wanted}
-        hits = F.array(
-            *[F.when(broken[i], F.struct(F.lit(i).alias("position"), value(r).alias("value"))) for i, r in wanted]
-        )
-        any_hit = reduce(lambda a, b: a | b, broken.values())
-        found = df.filter(any_hit).select(F.explode(hits).alias("h")).filter("h is not null").select("h.*")
+
+        def smallest(i: int, rule: Expectation) -> DataFrame:
+            hits = df.filter(rule.unexpected(types)).select(F.lit(i).alias("position"), value(rule).alias("value"))
+            return hits.orderBy("value").limit(limit)
+
+        found = reduce(DataFrame.unionByName, [smallest(i, rule) for i, rule in wanted])
         spec = Window.partitionBy("position").orderBy("value")
-        ranked = found.withColumn("sample", F.row_number().over(spec)).filter(F.col("sample") <= limit)
+        ranked = found.withColumn("sample", F.row_number().over(spec))
         rules = F.array(*[F.lit(rule.rule) for rule in self.expectations])
         return ranked.select(
             F.lit(self.name).alias("suite"),

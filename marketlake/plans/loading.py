@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from marketlake.operators.contract import Contract, enforce, unfit
 from marketlake.operators.quality import Suite
+from marketlake.session import kept
 from marketlake.sources.landing import RAW_LINE, readable, unreadable
 from marketlake.sources.tables import keep_rejects
 from marketlake.sources.versions import refresh
@@ -36,16 +38,15 @@ def load(
 ) -> Counts | None:
     """Store ``shape`` of the readable rows as ``table``, and the unreadable lines beside it, by run.
 
-    Returns the counts of ``suite``. ``row_wise`` states that ``shape`` reads its input once and row by row; lines are
-    then counted in the same pass, and looked up only if there are any.
+    Returns the counts of ``suite``. ``row_wise`` states that ``shape`` reads its input once and row by row; else the
+    files are parsed once and ``shape`` reads the parsed rows. Unreadable lines are counted in the pass that parses
+    them, and looked up only if there are any.
     """
     lines, rules = Observation(), Observation()
-    seen = landed
-    if row_wise:
-        seen = landed.observe(lines, F.count_if(F.col(RAW_LINE).isNotNull()).alias("unreadable"))
-    stored = refresh(suite.observe(shape(readable(seen)), rules), table)
-    none = row_wise and lines.get["unreadable"] == 0
-    keep_rejects(unreadable(landed, schema), f"{table}_landing_rejects", run, none)
+    seen = landed.observe(lines, F.count_if(F.col(RAW_LINE).isNotNull()).alias("unreadable"))
+    with nullcontext(seen) if row_wise else kept(seen, "parsed") as rows:
+        stored = refresh(suite.observe(shape(readable(rows)), rules), table)
+    keep_rejects(unreadable(landed, schema), f"{table}_landing_rejects", run, lines.get["unreadable"] == 0)
     return stored_counts(stored, rules.get)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +57,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def kept(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` as files below the shared folder: computed once, and its readers open only the columns they need.
+
+    The files are removed at the end, so whatever reads them is to be written before.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
