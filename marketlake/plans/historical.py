@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from marketlake import schemas
 from marketlake.functions.columns import trim_strings
-from marketlake.operators.contract import Contract, enforce, require_unique
+from marketlake.operators.contract import Contract, checked, parted, require_unique
 from marketlake.operators.dedup import keep_first, keep_ranked, newest_first, rank_rows
 from marketlake.operators.fill import median_fill, ungrouped_rows
 from marketlake.operators.ordering import surrogate_key
@@ -21,7 +21,7 @@ from marketlake.plans import suites
 from marketlake.plans.gold import create_gold_views
 from marketlake.plans.lake import Lake, Run
 from marketlake.plans.loading import Counts, load
-from marketlake.session import checkpointed
+from marketlake.session import checkpointed, kept
 from marketlake.sources.landing import ticker_from_path
 from marketlake.sources.tables import (
     create_layers,
@@ -104,17 +104,18 @@ def _to_silver(
         survivors = keep_ranked(refresh(rank_rows(prepared, keys, order), f"{lake.bronze}.{base}_processed"))
     else:
         survivors = keep_first(prepared, keys, order)
-    # Stored once: the contract, the rejects and the ids each read it again.
     clean = refresh(survivors, f"{lake.silver}.{base}_clean")
     if "insert_datetime" in contract.names:
         clean = clean.withColumn("insert_datetime", F.lit(load_date))
-    good, rejects = enforce(clean, contract)
-    require_unique(good, contract.unique or keys, contract.name)
     by_key: list[Column] = [F.col(k) for k in keys]
     table = f"{lake.silver}.{contract.name}"
-    numbered = surrogate_key(good, id_col, by_key, unique=True)
-    refresh_monthly(numbered, table) if monthly else refresh(numbered, table)
-    refresh(rejects, f"{table}_rejects")
+    # The unique check, the ids (twice) and the rejects read what the contract made of each row.
+    with kept(checked(clean, contract), f"{base}-checked") as rows:
+        good, rejects = parted(rows, contract)
+        require_unique(good, contract.unique or keys, contract.name)
+        numbered = surrogate_key(good, id_col, by_key, unique=True)
+        refresh_monthly(numbered, table) if monthly else refresh(numbered, table)
+        refresh(rejects, f"{table}_rejects")
 
 
 def load_silver(spark: SparkSession, lake: Lake, load_date: dt.date, run: Run, ranked: bool) -> None:

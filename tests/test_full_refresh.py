@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from marketlake import schemas
+from marketlake.operators.contract import ColumnRule, Contract, checked, enforce, parted
 from marketlake.operators.fill import median_fill
 from marketlake.operators.quality import Suite, between, not_null
 from marketlake.plans import suites
@@ -52,3 +53,14 @@ def test_samples_of_many_broken_values_are_not_sorted(spark):
     assert "TakeOrderedAndProject" in plan(found)
     got = rows(found.select("position", "value", "sample"))
     assert got == [(2, "-1", 1), (2, "-10", 2), (2, "-100", 3), (3, "4", 1), (3, "4", 2), (3, "4", 3)]
+
+
+def test_checked_rows_part_as_enforce_parts_them(spark):
+    contract = Contract("c", (ColumnRule("t", "string", max_length=3), ColumnRule("x", "decimal(4,2)"), ColumnRule("n", "int", True)))
+    given = [("a", 1.5, 2.4, 1), ("long", 1.0, 1.0, 2), (None, None, None, 3), ("b", 1e9, 3e12, 4), ("c", float("nan"), 1.0, 5),
+             ("d", 2.345, None, 6), ("d", 2.345, None, 6)]
+    df = spark.createDataFrame(given, "t string, x double, n double, other int")
+    want, got = enforce(df, contract), parted(checked(df, contract), contract)
+    for a, b in zip(want, got):
+        assert a.columns == b.columns and [t for _, t in a.dtypes] == [t for _, t in b.dtypes]
+        assert repr(rows(a)) == repr(rows(b))  # NaN is not equal to itself
