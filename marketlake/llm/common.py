@@ -16,6 +16,9 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
+#: Spark's bound on the rows that a Python worker gets at once, and the bytes of ``small_batches``.
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
+
 #: Where ``stored`` notes what it has written, inside of ``temporary``.
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
@@ -55,6 +58,23 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Python workers get whole texts a megabyte at a time in what is run inside, by default up to 64 MB.
+
+    A batch is held several times over: by the JVM, by the worker, and as the values made of it.
+    """
+    before = spark.conf.get(BATCH_CONF, None)
+    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_CONF)
+        else:
+            spark.conf.set(BATCH_CONF, before)
+
+
 def text_key(*columns: str | Column) -> Column:
     """A 64-bit key of a row's content. Only ever used to find rows that are checked again afterwards."""
     return F.xxhash64(*columns)

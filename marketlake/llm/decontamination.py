@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import keyed_rows, row_keys, stored
+from marketlake.llm.common import keyed_rows, row_keys, small_batches, stored
 
 WINDOW = 10
 GRAM = 5
-BLOCK = 1 << 21  # bytes of text hashed at once
+BLOCK = 1 << 18  # bytes of text hashed at once; hashing takes about 40 times as much memory for a moment
 
 #: A-Z to a-z; digits, letters and every byte of a character beyond ASCII stay; all else parts words.
 WORD_BYTES = bytes(
@@ -198,23 +198,20 @@ def contamination(
 ) -> DataFrame:
     """(id, key, key2, n_words, n_hit, items) for every row; ``items`` are the ids, as sorted strings, whose windows occur."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col("text").alias("text"))
-    windows = stored(
-        items.mapInPandas(item_windows, "item string, size int, digest binary").distinct(), "benchmark-windows"
-    )
-    fps = stored(
-        items.select("text").distinct().mapInPandas(item_fingerprints, "fp bigint, size int").distinct(), "benchmark-fps"
-    )
+    windows = items.mapInPandas(item_windows, "item string, size int, digest binary").distinct()
+    fps = items.select("text").distinct().mapInPandas(item_fingerprints, "fp bigint, size int").distinct()
+    with small_batches(docs.sparkSession):
+        windows, fps = stored(windows, "benchmark-windows"), stored(fps, "benchmark-fps")
     sizes = [r["size"] for r in windows.where(F.col("size") < WINDOW).select("size").distinct().collect()]  # below 10
 
     rows = docs.select(F.col(id_col).alias("id"), *row_keys(id_col, text), F.col(text).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    marks = stored(
-        rows.mapInArrow(
-            marking(tuple(sorted(sizes))),
-            f"id {id_type}, key bigint, key2 int, n_words bigint, fps array<bigint>, places array<int>",
-        ),
-        "document-fps",
+    marks = rows.mapInArrow(
+        marking(tuple(sorted(sizes))),
+        f"id {id_type}, key bigint, key2 int, n_words bigint, fps array<bigint>, places array<int>",
     )
+    with small_batches(docs.sparkSession):
+        marks = stored(marks, "document-fps")
     placed = marks.select("key", "key2", F.inline(F.arrays_zip(F.col("fps").alias("fp"), F.col("places").alias("place"))))
     hits = stored(
         placed.join(fps, "fp").groupBy("key", "key2").agg(F.collect_set(F.struct("place", "size")).alias("hits")),
@@ -222,7 +219,8 @@ def contamination(
     )
     around = rows.join(hits, ["key", "key2"]).select("key", "key2", "text", "hits")
     near = around.mapInPandas(extend, "key bigint, key2 int, start int, size int, digest binary")
-    found = stored(near.join(windows.select("digest").distinct(), "digest", "left_semi"), "window-hits")
+    with small_batches(docs.sparkSession):
+        found = stored(near.join(windows.select("digest").distinct(), "digest", "left_semi"), "window-hits")
 
     spans = found.groupBy("key", "key2").agg(
         F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias("spans")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import keyed_rows, row_keys, stored
+from marketlake.llm.common import keyed_rows, row_keys, small_batches, stored
 from marketlake.llm.components import components
 
 SHINGLE = 3
@@ -160,7 +160,8 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
 ) -> DataFrame:
     """(id, key, key2, fp, root, component_id) for every row; ``root`` names the component, also one without ids."""
-    own = stored(fingerprints(docs, id_col, text, shingle), "fingerprints")
+    with small_batches(docs.sparkSession):
+        own = stored(fingerprints(docs, id_col, text, shingle), "fingerprints")
     fps = stored(own.groupBy("fp").agg(F.min("id").alias("first")), "fingerprint-firsts")
     roots = components(near_links(fps.select("fp"), radius))
     rooted = fps.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(

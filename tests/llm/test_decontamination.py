@@ -2,16 +2,20 @@ import hashlib
 import random
 import re
 import sys
+import tracemalloc
 from pathlib import Path
 
 import duckdb
+import pyarrow as pa
 
 sys.path.insert(0, str(Path(__file__).parent))
 sys.path.insert(0, str(Path(__file__).parents[1]))
 from cases import SF, by_id, docs, with_clashes
 from compare import difference
 
-from marketlake.llm.decontamination import ORACLE, decontamination_report
+from marketlake.llm import decontamination
+from marketlake.llm.common import BATCH_BYTES, BATCH_CONF
+from marketlake.llm.decontamination import ORACLE, decontamination_report, marking
 
 
 def words(text):
@@ -77,3 +81,33 @@ def test_repeats_null_ids_and_empty_tables(spark):
     assert sorted(r["n_hit"] for r in rows) == [0, 11, 11, 11]
     assert decontamination_report(df.limit(0), items).count() == 0
     assert [r["n_hit"] for r in decontamination_report(df, items.limit(0)).collect()] == [0] * 4
+
+
+def test_workers_get_small_batches(spark, monkeypatch):
+    seen, stored = {}, decontamination.stored
+
+    def noting(df, name):
+        seen[name] = spark.conf.get(BATCH_CONF)
+        return stored(df, name)
+
+    monkeypatch.setattr(decontamination, "stored", noting)
+    text = "one two three four five six seven eight nine ten eleven"
+    assert [r["n_hit"] for r in decontamination_report(docs(spark, [text]), bench(spark, [(1, text)])).collect()] == [11]
+    workers = ("benchmark-windows", "benchmark-fps", "document-fps", "window-hits")
+    assert [seen[name] for name in workers] == [str(BATCH_BYTES)] * 4
+
+
+def test_memory_of_marking_is_bounded(spark):
+    line = " ".join(f"word{i}" for i in range(250))
+    columns = [pa.array(range(4000), pa.int64())] * 2 + [pa.array(range(4000), pa.int32()), pa.array([line] * 4000)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["id", "key", "key2", "text"])
+    run = marking((3,))
+    assert sum(out.num_rows for out in run(iter([batch]))) == 4000
+    tracemalloc.start()
+    try:
+        for _ in run(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 4 * batch.nbytes, (peak, batch.nbytes)

@@ -8,6 +8,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 from cases import SF, by_id, docs, with_clashes
 
 from marketlake.llm import simhash
+from marketlake.llm.common import BATCH_BYTES, BATCH_CONF
 from marketlake.llm.simhash import covering_masks, near_links, simhash_report
 
 
@@ -119,3 +120,16 @@ def test_large_buckets_are_split_without_losing_links(spark, monkeypatch):
         parent[find(r["a"] & mask)] = find(r["b"] & mask)
     groups = lambda of: sorted(sorted(f for f in fps if of(f) == r) for r in {of(f) for f in fps})
     assert groups(find) == groups(want.get)
+
+
+def test_workers_get_small_batches(spark, monkeypatch):
+    seen, stored = {}, simhash.stored
+
+    def noting(df, name):
+        seen[name] = spark.conf.get(BATCH_CONF)
+        return stored(df, name)
+
+    monkeypatch.setattr(simhash, "stored", noting)
+    rows = by_id(simhash_report(docs(spark, ["one two three four", "one two three four"])))
+    assert rows[1][0]["component_id"] == 0
+    assert seen["fingerprints"] == str(BATCH_BYTES)
