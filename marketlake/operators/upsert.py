@@ -362,6 +362,34 @@ def upsert_table(
         kept.unpersist()
 
 
+def replace_months(
+    spark: SparkSession,
+    table: str,
+    compute: Callable[[], DataFrame],
+    date: str = "date",
+    derive: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Let ``table``, partitioned by ``month`` of ``date``, hold the rows of ``compute`` in place of all it has in their months.
+
+    The stored rows of those months are neither read nor moved. A writer that comes second calls ``compute`` again.
+    ``derive`` adds columns that follow from the others of a row: those are not moved with it.
+    """
+    columns = spark.table(table).columns
+    log = commit_log(spark, table)
+    follow_log(spark, table, log)
+    while True:
+        seen, folder = log.newest(), f"{versions_root(spark, table)}/{uuid4().hex}"
+        rows = compute().withColumn(MONTH, month_of(date)).hint("rebalance", F.col(MONTH))
+        rows = derive(rows) if derive else rows
+        rows.select(*columns).write.partitionBy(MONTH).option("compression", CODEC).parquet(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)  # one folder per calendar month
+        months = sorted(f.getPath().getName().split("=", 1)[1] for f in found if f.isDirectory())
+        if not months or _commit(log, seen, months, folder):
+            break
+    follow_log(spark, table, log)
+
+
 def _commit(log: CommitLog, seen: int, months: Sequence[str], folder: str) -> bool:
     """Put ``folder`` in force for ``months``; False if another writer changed one of them after entry ``seen``."""
     before = logged_months(log, seen)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,10 +11,33 @@ from marketlake.operators.ordering import MAX_GROUP_ROWS
 from marketlake.operators.rolling import HELPERS, fixed_point, frame_mean, returns, running_totals, totals_before
 from marketlake.operators.series import over_series
 
+#: Columns of price facts that follow from the others of their row.
+DERIVED = ("daily_return", "stock_id")
+
 # A series holds one row per calendar day or year, so the calendar bounds it: three centuries of days.
 DAYS_OF_SERIES, YEARS_OF_SERIES = 110_000, 10_000
 
 
+def _daily_return(dtype: T.DataType) -> Column:
+    close, before = F.col("close_price"), F.col("prev_close_price")
+    return returns(close, before, dtype) if fixed_point(dtype) else relative_change(close, before).cast("double")
+
+
+def _series_id() -> Column:
+    return F.concat(F.lit("STK_"), F.col("ticker"))
+
+
+def derive_facts(facts: DataFrame) -> DataFrame:
+    """Price facts with the columns of ``DERIVED``, for facts that were moved without them."""
+    values = dict(zip(DERIVED, (_daily_return(facts.schema["close_price"].dataType), _series_id())))
+    at = facts.columns.index("prev_close_price") + 1
+    first, rest = facts.columns[:at], [c for c in facts.columns[at:] if c not in values]
+    end = rest.index("stock_90_day_average") + 1
+    return facts.select(
+        *first, values["daily_return"].alias("daily_return"), *rest[:end], values["stock_id"].alias("stock_id"), *rest[end:]
+    )
+
+
 def stock_facts(
     prices: DataFrame,
     key: str = "ticker",
@@ -39,7 +62,7 @@ def stock_facts(
     )
 
     dtype = base.schema["close_price"].dataType
-    close, before = F.col("close_price"), F.col("prev_close_price")
+    close = F.col("close_price")
 
     def metrics(df, w):
         # Two window passes: the second one needs the results of the first.
@@ -47,16 +70,16 @@ def stock_facts(
         volatility = {"volatility_days_30": F.stddev_samp("daily_return").over(w.rowsBetween(1 - vol_rows, 0))}
         if not fixed_point(dtype):
             mean = F.avg(close).over(w.rowsBetween(1 - avg_rows, 0)).cast("double")
-            df = df.withColumns(prev).withColumn("daily_return", relative_change(close, before).cast("double"))
+            df = df.withColumns(prev).withColumn("daily_return", _daily_return(dtype))
             return df.withColumns(volatility | {"stock_90_day_average": mean})
         df = df.withColumns(prev | running_totals("close_price", dtype, w))
-        df = df.withColumn("daily_return", returns(close, before, dtype))
+        df = df.withColumn("daily_return", _daily_return(dtype))
         df = df.withColumns(volatility | totals_before(avg_rows, w))
         return df.withColumn("stock_90_day_average", frame_mean(dtype)).drop(*HELPERS)
 
     at_most = DAYS_OF_SERIES if base.schema["trade_date"].dataType == T.DateType() else None
     facts = over_series(base, ["ticker"], "trade_date", max(vol_rows, avg_rows), metrics, max_group_rows, at_most)
-    return facts.withColumn("stock_id", F.concat(F.lit("STK_"), F.col("ticker")))
+    return facts.withColumn("stock_id", _series_id())
 
 
 def macro_facts(

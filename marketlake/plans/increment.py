@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlake.operators.fill import medians_of_counts, merge_counts, value_counts
-from marketlake.operators.upsert import MONTH, month_of, upsert_table
-from marketlake.plans.gold import stock_facts
+from marketlake.operators.upsert import MAX_BROADCAST_ROWS, MONTH, month_of, replace_months, upsert_table
+from marketlake.plans.gold import DERIVED, derive_facts, stock_facts
 from marketlake.session import checkpointed
 from marketlake.sources.tables import refresh_monthly
 from marketlake.sources.versions import refresh
@@ -73,17 +73,41 @@ def affected_facts(rows: DataFrame, changed: DataFrame, lookback: int = LOOKBACK
 
 def store_facts(spark: SparkSession, silver: str, facts: str) -> None:
     """All facts as a table by month, to be kept up to date by ``update_facts``."""
-    refresh_monthly(stock_facts(spark.table(silver).drop(MONTH)), facts, "trade_date")
+    every = stock_facts(spark.table(silver).drop(MONTH)).drop(*DERIVED)
+    refresh_monthly(every, facts, "trade_date", derive_facts)
 
 
-def update_facts(spark: SparkSession, silver: str, facts: str, changed: DataFrame) -> None:
+def _replace_facts(spark: SparkSession, silver: str, facts: str, first: str) -> None:
+    """Compute all facts of the month ``first`` and later ones again: whole series are read, in one shuffle."""
+
+    def compute() -> DataFrame:
+        spark.catalog.refreshTable(silver)
+        every = stock_facts(spark.table(silver).drop(MONTH)).drop(*DERIVED)
+        return every.filter(month_of("trade_date") >= first)
+
+    replace_months(spark, facts, compute, "trade_date", derive_facts)
+
+
+def update_facts(
+    spark: SparkSession, silver: str, facts: str, changed: DataFrame, broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> None:
     """Bring the stored ``facts`` up to date after ``silver`` got new values for the (ticker, date) keys in ``changed``.
 
     A changed close reaches the next ``LOOKBACK`` rows of its series. Those are computed again from the months around
     them and swapped in month by month; running it again changes nothing. Keys that silver does not have are ignored.
+
+    More than ``broadcast_rows`` keys in at least half of the months reach nearly every row. All facts from the first of
+    these months on are then computed and stored as they are: neither keys nor stored facts are moved to be matched.
     """
     months = months_of(spark, silver)
     prices = spark.table(silver)
+    found = changed.groupBy(month_of("date").alias(MONTH)).agg(
+        F.approx_count_distinct(F.xxhash64("ticker", "date")).alias("keys")
+    ).collect()  # one row per calendar month
+    reached = sorted({r[MONTH] for r in found}.intersection(months))
+    if sum(r["keys"] for r in found) > broadcast_rows and 2 * len(reached) >= len(months):
+        _replace_facts(spark, silver, facts, reached[0])
+        return
     wanted = changed.select("ticker", "date", month_of("date").alias(MONTH)).distinct()
     keys = checkpointed(
         prices.select("ticker", "date", MONTH).join(wanted, ["ticker", "date", MONTH], "left_semi").select("ticker", "date")

@@ -32,7 +32,7 @@ from marketlake.plans.historical import bronze_ohlcv, run_historical
 from marketlake.plans.increment import store_facts, update_facts, update_medians
 from marketlake.plans.lake import Lake
 from marketlake.plans.loading import load
-from marketlake.session import checkpointed, scratch_path
+from marketlake.session import checkpointed, kept, scratch_path
 from marketlake.sources.landing import latest_snapshot, read_landing, ticker_from_path
 from marketlake.sources.payloads import explode_rates, flatten_rate, pick_keys, upper_headers, variant_rates
 from marketlake.sources.tables import create_layers, refresh_monthly, write_landing, write_landing_tree
@@ -105,12 +105,12 @@ def stock_facts_increment(spark, sf):
         enforce(_for_silver(trim_strings(half.drop("batch"), ["ticker"])), schemas.OHLCV_SILVER)[0] for half in bars
     ]
     values = [F.col(c).asc() for c in schemas.OHLCV_COLUMNS]
-    stored, batch = keep_first(halves[0], BAR_KEY, values), halves[1].persist()
+    stored = keep_first(halves[0], BAR_KEY, values)
     refresh_monthly(surrogate_key(stored, "stock_id", [F.col(k) for k in BAR_KEY], unique=True), silver)
     store_facts(spark, silver, facts)
-    upsert_table(spark, silver, batch, BAR_KEY, order=values, id_col="stock_id")
-    update_facts(spark, silver, facts, batch.select(*BAR_KEY))
-    batch.unpersist()
+    with kept(halves[1], "batch") as batch:
+        upsert_table(spark, silver, batch, BAR_KEY, order=values, id_col="stock_id")
+        update_facts(spark, silver, facts, batch.select(*BAR_KEY))
     return _rounded_facts(spark.table(facts).drop(MONTH, "UUID"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 from uuid import uuid4
 
@@ -23,9 +23,11 @@ def create_layers(spark: SparkSession, names: Sequence[str], root: str | None =
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{location}")
 
 
-def refresh_monthly(df: DataFrame, table: str, date: str = "date") -> DataFrame:
+def refresh_monthly(
+    df: DataFrame, table: str, date: str = "date", derive: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Replace ``table``, partitioned by the month of ``date`` so that later upserts touch few files."""
-    return refresh(df.withColumn(MONTH, month_of(date)), table, [MONTH])
+    return refresh(df.withColumn(MONTH, month_of(date)), table, [MONTH], derive)
 
 
 def append(df: DataFrame, table: str) -> None:

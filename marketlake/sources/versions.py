@@ -7,7 +7,7 @@ leaves the table as it was, and readers that started before the change go on wit
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,19 +105,26 @@ def change_over(spark: SparkSession, table: str, schema: T.StructType, folder: s
     spark.catalog.refreshTable(table)
 
 
-def refresh(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def refresh(
+    df: DataFrame,
+    table: str,
+    partition_by: Sequence[str] = (),
+    derive: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Replace ``table`` by ``df`` and return the stored table; ``df`` may read from the table it replaces.
 
-    If the rows cannot be written, the table keeps its old ones. One writer per table.
+    If the rows cannot be written, the table keeps its old ones. One writer per table. ``derive`` adds columns that follow
+    from the others of a row: those are not moved with it.
     """
     spark = df.sparkSession
     settle(spark, table)
-    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in partition_by], *partition_by)
-    schema = df.schema
     folder = f"{table_versions(spark, table)}/{uuid4().hex}"
     if partition_by:
         # Rebalancing gathers a partition value into few files and still splits a very large one.
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    df = derive(df) if derive else df
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in partition_by], *partition_by)
+    schema = df.schema
     writer = df.write.option("compression", CODEC)
     try:
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)

@@ -9,8 +9,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from marketlake.operators.fill import fill_by_medians, median_fill, value_counts
-from marketlake.operators.upsert import MONTH, upsert_table
-from marketlake.plans.gold import stock_facts
+from marketlake.operators.upsert import MONTH, replace_months, upsert_table
+from marketlake.plans import increment
+from marketlake.plans.gold import DERIVED, derive_facts, stock_facts
 from marketlake.plans.increment import affected_facts, changed_rows, months_of, store_facts, update_facts, update_medians
 from marketlake.sources.tables import create_layers, refresh_monthly
 
@@ -85,6 +86,77 @@ def test_only_months_around_a_change_are_read(spark, silver):
     assert affected_facts(found, keys).count() == 90
 
 
+def folders(spark, table):
+    """month -> folder that the table reads it from"""
+    found = [f.rsplit("/", 2) for f in spark.table(table).inputFiles()]
+    return {month: folder for folder, month, _ in found}
+
+
+def test_a_batch_over_most_months_neither_matches_keys_nor_stored_facts(spark, lake, silver, monkeypatch):
+    facts = f"{lake.gold}.stored"
+    store_facts(spark, silver, facts)
+    before = folders(spark, facts)
+    # Every 20th day from the fourth month on, a new series, and a key that silver does not get.
+    data = [bar(0, "DAY", FIRST + dt.timedelta(days=i), float(i % 900 + 1)) for i in range(100, 1080, 20)]
+    data += [bar(0, "NEW", FIRST + dt.timedelta(days=i), 7.0) for i in range(95, 1070, 31)]
+    batch = bars(spark, data).drop("stock_id")
+    upsert_table(spark, silver, batch, ["ticker", "date"], order=[F.col("close")], id_col="stock_id")
+
+    def fails(*args, **kwargs):
+        raise AssertionError("rows are moved to be matched")
+
+    for name in ("upsert_table", "checkpointed", "changed_rows", "affected_facts"):
+        monkeypatch.setattr(increment, name, fails)
+    keys = batch.unionByName(bars(spark, [bar(0, "NONE", FIRST + dt.timedelta(days=500), 1.0)]).drop("stock_id"))
+    keys = keys.select("ticker", "date")
+    for _ in range(2):
+        update_facts(spark, silver, facts, keys, broadcast_rows=10)
+        assert rounded(spark.table(facts)) == rounded(stock_facts(spark.table(silver).drop(MONTH)))
+    after = folders(spark, facts)
+    assert {m for m in before if after[m] == before[m]} == {"month=2018-01", "month=2018-02", "month=2018-03"}
+
+
+def test_a_large_batch_in_few_months_reads_what_is_near(spark, lake, silver, monkeypatch):
+    facts = f"{lake.gold}.stored"
+    store_facts(spark, silver, facts)
+    batch = bars(spark, [bar(0, "DAY", FIRST + dt.timedelta(days=i), 3.0) for i in range(400, 460)]).drop("stock_id")
+    upsert_table(spark, silver, batch, ["ticker", "date"], order=[F.col("close")], id_col="stock_id")
+    monkeypatch.setattr(increment, "replace_months", None)
+    update_facts(spark, silver, facts, batch.select("ticker", "date"), broadcast_rows=10)
+    assert rounded(spark.table(facts)) == rounded(stock_facts(spark.table(silver).drop(MONTH)))
+
+
+def test_replaced_months_are_computed_again_after_another_writer(spark, lake, silver):
+    calls = []
+
+    def compute():
+        now = spark.table(silver).drop(MONTH)
+        if not calls:  # another writer commits while the first one computes
+            late = bars(spark, [bar(0, "LATE", FIRST, 5.0)]).drop("stock_id")
+            upsert_table(spark, silver, late, ["ticker", "date"], order=[F.col("close")], id_col="stock_id")
+        calls.append(len(calls))
+        return now.filter("date < '2018-03-01'").withColumn("volume", F.col("volume") + 1)
+
+    size = spark.table(silver).count()
+    replace_months(spark, silver, compute)
+    assert len(calls) == 2
+    found = spark.table(silver)
+    assert found.count() == size + 1 and found.filter("ticker = 'LATE'").count() == 1
+    assert {r["volume"] for r in found.filter("date < '2018-03-01'").collect()} == {11}
+    assert {r["volume"] for r in found.filter("date >= '2018-03-01'").collect()} == {10}
+
+
+@pytest.mark.parametrize("kind", ["decimal(6,2)", "double"])
+def test_derived_columns_are_not_moved(spark, kind):
+    prices = bars(spark, series()).withColumn("close", F.col("close").cast(kind))
+    facts = stock_facts(prices)
+    derived = derive_facts(facts.drop(*DERIVED).withColumn(MONTH, F.date_format("trade_date", "yyyy-MM")).hint("rebalance", F.col(MONTH)))
+    assert derived.columns == [*facts.columns, MONTH]
+    assert rows(derived.drop(MONTH)) == rows(facts)
+    plan = derived._jdf.queryExecution().optimizedPlan().toString()
+    assert "STK_" in plan.split("RebalancePartitions")[0] and "STK_" not in plan.split("RebalancePartitions")[1]
+
+
 def test_medians_of_kept_counts(spark, lake):
     create_layers(spark, [lake.bronze], lake.tables_root)
     rnd, table, seen = random.Random(2), f"{lake.bronze}.counts", []
