@@ -9,7 +9,7 @@ the rows ahead of a partition are added. The sketch chooses the plan only, never
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -108,11 +108,16 @@ def rows_ahead(distinct: DataFrame, keys: Sequence[str], order: Sequence[Column]
     ).drop(_PART, *offsets.columns)
 
 
-def number_sorted_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """Number a whole table of distinct rows: one range shuffle, then a position inside each partition."""
+def number_sorted_rows(
+    df: DataFrame, order: Sequence[Column], name: str, store: Callable[[DataFrame], DataFrame] = checkpointed
+) -> DataFrame:
+    """Number a whole table of distinct rows: one range shuffle, then a position inside each partition.
+
+    ``store`` writes the placed rows down; with ``session.kept`` they are compressed, and removed by the caller.
+    """
     # Partition number and position come from one id: partition << 33 | position.
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = checkpointed(ranged.withColumn(_PLACE, F.monotonically_increasing_id()))
+    placed = store(ranged.withColumn(_PLACE, F.monotonically_increasing_id()))
     part, position = F.shiftright(_PLACE, 33), F.col(_PLACE).bitwiseAND((1 << 33) - 1)
     sizes = placed.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
@@ -131,15 +136,16 @@ def number_rows(
     max_group_rows: int = MAX_GROUP_ROWS,
     at_most: int | None = None,
     unique: bool = False,
+    store: Callable[[DataFrame], DataFrame] = checkpointed,
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` as column ``name``.
 
     ``order`` should be total over distinct rows; rows that tie get numbers in arbitrary order.
     ``at_most`` is a known bound on the rows of a group, if there is one. ``unique`` states that no
-    two rows tie on ``keys`` and ``order``.
+    two rows tie on ``keys`` and ``order``; without ``keys`` such rows are written down by ``store``.
     """
     if unique and not keys:
-        return number_sorted_rows(df, order, name)  # no count first, and no task ever sees the whole table
+        return number_sorted_rows(df, order, name, store)  # no count first, and no task ever sees the whole table
     if at_most is not None and at_most <= max_group_rows:
         return _number_in_window(df, keys, order, name)
     if not keys:
@@ -186,7 +192,8 @@ def surrogate_key(
     max_rows: int = MAX_GROUP_ROWS,
     at_most: int | None = None,
     unique: bool = False,
+    store: Callable[[DataFrame], DataFrame] = checkpointed,
 ) -> DataFrame:
     """Consecutive ids ``start + 1, start + 2, ...`` in the given order, as the first column."""
-    numbered = number_rows(df, [], order, name, max_rows, at_most, unique)
+    numbered = number_rows(df, [], order, name, max_rows, at_most, unique, store)
     return numbered.select((F.col(name) + start).alias(name), *df.columns)

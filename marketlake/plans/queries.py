@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from contextlib import ExitStack
 from dataclasses import replace
 from functools import reduce
 
@@ -106,7 +107,12 @@ def stock_facts_increment(spark, sf):
     ]
     values = [F.col(c).asc() for c in schemas.OHLCV_COLUMNS]
     stored = keep_first(halves[0], BAR_KEY, values)
-    refresh_monthly(surrogate_key(stored, "stock_id", [F.col(k) for k in BAR_KEY], unique=True), silver)
+    with ExitStack() as files:
+        numbered = surrogate_key(
+            stored, "stock_id", [F.col(k) for k in BAR_KEY], unique=True,
+            store=lambda rows: files.enter_context(kept(rows, "placed")),
+        )
+        refresh_monthly(numbered, silver)
     store_facts(spark, silver, facts)
     with kept(halves[1], "batch") as batch:
         upsert_table(spark, silver, batch, BAR_KEY, order=values, id_col="stock_id")

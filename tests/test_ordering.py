@@ -1,3 +1,7 @@
+from contextlib import ExitStack
+from pathlib import Path
+from urllib.parse import unquote, urlparse
+
 import pytest
 from conftest import rows
 from pyspark.sql import Window
@@ -5,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators import ordering
 from marketlake.operators.ordering import group_sizes, key_sketch, number_rows, split_hot, surrogate_key
+from marketlake.session import kept
 
 
 @pytest.fixture
@@ -51,6 +56,24 @@ def test_numbering_of_distinct_rows(spark):
     assert rows(number_rows(df, ["k"], [F.col("v")], "n", max_group_rows=10, unique=True)) == rows(by_key)
 
 
+def test_placed_rows_are_kept_as_files_if_the_caller_says_so(spark, monkeypatch):
+    df = spark.range(500).select((F.col("id") * 7919 % 997).alias("v"), (F.col("id") % 3).alias("k"))
+    order = [F.col("v").desc()]
+    whole, none, paths = rows(surrogate_key(df, "n", order)), df.limit(0), []
+    monkeypatch.setattr(ordering, "checkpointed", None)
+    with ExitStack() as files:
+
+        def store(placed):
+            found = files.enter_context(kept(placed, "placed"))
+            paths.extend(found.inputFiles())
+            return found
+
+        numbered = surrogate_key(df, "n", order, unique=True, store=store)
+        assert rows(numbered) == whole and all(Path(unquote(urlparse(f).path)).exists() for f in paths)
+        assert rows(surrogate_key(none, "n", order, unique=True, store=store)) == []
+    assert paths and not any(Path(unquote(urlparse(f).path)).exists() for f in paths)
+
+
 def test_surrogate_key_continues_after_start(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",)], "k string")
     want = [(11, "a"), (12, "b"), (13, "c")]
